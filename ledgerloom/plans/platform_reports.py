@@ -46,7 +46,8 @@ def promotion_effect(wh: Warehouse, profile: DataFrame, months: ReportMonths) ->
         .withColumn("user_level", F.coalesce("user_level", F.lit(DEFAULT_LEVEL)))
         .groupBy("stat_month", "promotion_id", "user_level")
         .agg(F.sum("amount").cast(MONEY).alias("gmv"), F.sum("priced").alias("priced"), F.sum("orders").alias("orders"))
-        .withColumn("mean", ratio(c("gmv"), c("priced")))
+        # decimal division, so that halves round up as money should
+        .withColumn("mean", F.try_divide(c("gmv"), c("priced").cast("decimal(20,0)")))
     )
     promoted = spent.join(running, ["stat_month", "promotion_id"]).select(
         "stat_month",
@@ -78,8 +79,8 @@ def promotion_detail(wh: Warehouse, profile: DataFrame, months: ReportMonths) ->
         "promotion_id",
         "promotion_name",
         "user_level",
-        F.round("avg_order_amount_promo", 2).alias("avg_order_amount_promo"),
-        F.round("avg_order_amount_base", 2).alias("avg_order_amount_base"),
+        F.round("avg_order_amount_promo", 2).cast("decimal(20,2)").alias("avg_order_amount_promo"),
+        F.round("avg_order_amount_base", 2).cast("decimal(20,2)").alias("avg_order_amount_base"),
         F.round("lift", 4).alias("lift"),
         "promo_order_cnt",
         "base_order_cnt",

@@ -10,7 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.schemas import Warehouse
 
-BASE_TABLES = ["customer", "supplier", "part", "orders", "lineitem", "events"]
+# Columns of the sample files; stating them saves a footer-reading job per table and plan.
+BASE_TABLES = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+    "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, "
+    "l_shipdate TIMESTAMP",
+    "events": "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
 
 VIEWS = {
     "users": """
@@ -79,28 +90,37 @@ FROM {lineitem} l JOIN {dim_products} p ON concat('P', l.l_partkey) = p.product_
 }
 
 
-def base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in BASE_TABLES}
+class SampleTables:
+    """Base tables and derived views by name, each built when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._built: dict[str, DataFrame] = {}
 
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            if name in BASE_TABLES:
+                reader = self.spark.read.schema(BASE_TABLES[name])
+                self._built[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+            else:
+                self._built[name] = self.sql(VIEWS[name])
+        return self._built[name]
 
-def sample_views(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Base tables plus the derived views, all lazy."""
-    frames = base_tables(spark, sf_dir)
-    for name, text in VIEWS.items():
-        used = {k: v for k, v in frames.items() if "{" + k + "}" in text}
-        frames[name] = spark.sql(text, **used)
-    return frames
+    def sql(self, text: str) -> DataFrame:
+        """Run SQL that names tables and views in braces."""
+        used = {n: self[n] for n in [*BASE_TABLES, *VIEWS] if "{" + n + "}" in text}
+        return self.spark.sql(text, **used)
 
 
 def sample_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    v = sample_views(spark, sf_dir)
+    t = SampleTables(spark, sf_dir)
     return Warehouse(
-        users=v["users"],
-        merchants=v["dim_merchants"],
-        products=v["dim_products"],
-        promotions=v["dim_promotions"],
-        orders=v["dwd_orders"],
-        returns=v["returns"],
-        actions=v["user_actions"],
-        operations=v["merchant_operations"],
+        users=t["users"],
+        merchants=t["dim_merchants"],
+        products=t["dim_products"],
+        promotions=t["dim_promotions"],
+        orders=t["dwd_orders"],
+        returns=t["returns"],
+        actions=t["user_actions"],
+        operations=t["merchant_operations"],
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,56 +33,54 @@ STORED = Cutoffs.on(ONE_DAY, open_end=True)
 
 
 class Models:
-    """The model chain over one set of sample tables; every property is lazy."""
+    """The model chain over one set of sample tables; every member is a lazy plan, built once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.wh = sample_warehouse(spark, sf_dir)
 
-    @property
+    @cached_property
     def days(self) -> DataFrame:
         return merchant_daily(self.wh, FIRST_DAY, LAST_DAY)
 
-    @property
+    @cached_property
     def health(self) -> DataFrame:
         return business_health(self.wh)
 
-    @property
+    @cached_property
     def merchants(self) -> DataFrame:
         return merchant_profile(self.wh, self.days, MONTH_CUTOFFS)
 
-    @property
+    @cached_property
     def users(self) -> DataFrame:
         return user_profile(self.wh, MONTH_CUTOFFS)
 
-    @property
+    @cached_property
     def snapshots(self) -> DataFrame:
-        days = self.days
-        return merchant_daily_snapshot(days, merchant_profile(self.wh, days, MONTH_CUTOFFS))
+        return merchant_daily_snapshot(self.days, self.merchants)
 
-    @property
+    @cached_property
     def merchant_months(self) -> DataFrame:
         return merchant_monthly(self.wh, self.snapshots, MONTHS)
 
-    @property
+    @cached_property
     def merchant_years(self) -> DataFrame:
         return merchant_yearly(self.wh, self.merchant_months, o.FIRST_YEAR, o.LAST_YEAR)
 
-    @property
+    @cached_property
     def user_months(self) -> DataFrame:
         return user_monthly(self.wh, self.users, MONTHS)
 
-    @property
+    @cached_property
     def user_years(self) -> DataFrame:
-        users = self.users
-        return user_yearly(self.wh, users, user_monthly(self.wh, users, MONTHS), o.FIRST_YEAR, o.LAST_YEAR)
+        return user_yearly(self.wh, self.users, self.user_months, o.FIRST_YEAR, o.LAST_YEAR)
 
-    @property
+    @cached_property
     def platform_months(self) -> DataFrame:
         return platform_monthly(
             self.wh, platform_daily_snapshot(self.health), self.merchant_months, self.users, MONTHS
         )
 
-    @property
+    @cached_property
     def platform_years(self) -> DataFrame:
         return platform_yearly(self.wh, self.platform_months, self.merchant_years, o.FIRST_YEAR, o.LAST_YEAR)
 

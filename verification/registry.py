@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from verification import model_queries
+from verification import cleaning_queries, model_queries
 
-MODULES = [model_queries]
+MODULES = [model_queries, cleaning_queries]
 
 QUERIES: dict = {}
 ORACLES: dict = {}
