@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Partition column of stored facts: the day of the event.
+EVENT_DATE = "event_date"
+
 # Accepted time spellings, the shape that selects each one, in the order they are tried.
 TIME_FORMATS = [
     (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d H:m:s"),
@@ -55,6 +58,12 @@ def capped_share(value: Column, mean: Column, head_room: float = 1.2) -> Column:
     return F.when(share.isNotNull(), F.least(share, F.lit(1.0)))
 
 
+def exact_mean(col: Column, kind: str) -> Column:
+    """Mean over fixed-point values: the sum does not depend on the order in which tasks finish, so
+    thresholds on the mean fall the same way in every run."""
+    return F.sum(col.cast(kind)).cast("double") / F.nullif(F.count(col), F.lit(0))
+
+
 def growth_percent(now: Column, before: Column) -> Column:
     return ratio(now - before, before) * F.lit(100.0)
 
@@ -73,6 +82,17 @@ def within_days(ts: Column, start: date | None, end: date | None) -> Column:
     return cond
 
 
+def between_days(df: DataFrame, ts: str, start: date | None, end: date | None) -> DataFrame:
+    """Rows of the days from ``start`` to ``end``; tables stored by event date read only those folders."""
+    rows = df.filter(within_days(F.col(ts), start, end))
+    if EVENT_DATE in df.columns:
+        if start is not None:
+            rows = rows.filter(F.col(EVENT_DATE) >= F.lit(start))
+        if end is not None:
+            rows = rows.filter(F.col(EVENT_DATE) <= F.lit(end))
+    return rows
+
+
 def month_label(ts: Column) -> Column:
     """The report month a moment is counted in: the first day of the following month."""
     return F.add_months(F.trunc(ts, "month"), 1)

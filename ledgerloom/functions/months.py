@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import month_label
+from ledgerloom.functions.columns import between_days, month_label
 
 
 def add_months(day: date, n: int) -> date:
@@ -36,10 +36,9 @@ class ReportMonths:
         """First day measured."""
         return add_months(self.first, -1)
 
-    def measured(self, ts: Column) -> Column:
-        """Moments inside the measured months, as a range on the bare column."""
-        kind = "timestamp"
-        return (ts >= F.lit(self.data_start).cast(kind)) & (ts < F.lit(self.last).cast(kind))
+    def measured(self, df: DataFrame, ts: str) -> DataFrame:
+        """Rows inside the measured months."""
+        return between_days(df, ts, self.data_start, self.last - timedelta(days=1))
 
     def label(self, ts: Column) -> Column:
         return month_label(ts).alias("stat_month")

@@ -7,7 +7,15 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import capped_share, is_true, ratio, ratio_or_zero, within_days, zero_if_null
+from ledgerloom.functions.columns import (
+    between_days,
+    capped_share,
+    exact_mean,
+    is_true,
+    ratio,
+    ratio_or_zero,
+    zero_if_null,
+)
 from ledgerloom.schemas import Warehouse
 
 # Actions that make a user active.
@@ -28,14 +36,20 @@ COLUMNS = [
     "conversion_drop_warning",
     "refund_spike_warning",
 ]
-_MEASURES = ["daily_sales", "active_users", "new_users", "conversion_rate", "refund_rate"]
+_MEASURES = {
+    "daily_sales": "decimal(24,2)",
+    "active_users": "bigint",
+    "new_users": "bigint",
+    "conversion_rate": "decimal(18,6)",
+    "refund_rate": "decimal(18,6)",
+}
 
 
 def platform_day_counters(wh: Warehouse, start: date | None, end: date | None) -> DataFrame:
     """One row per day with orders. Each total goes through one row per (day, user), so a busy day or
     a busy user is spread over tasks before the day is folded."""
     ordered = (
-        wh.orders.filter(within_days(F.col("order_time"), start, end))
+        between_days(wh.orders, "order_time", start, end)
         .groupBy(F.to_date("order_time").alias("stat_date"), "user_id")
         .agg(F.sum("order_amount").alias("amount"), F.count("order_id").alias("orders"))
         .groupBy("stat_date")
@@ -46,14 +60,13 @@ def platform_day_counters(wh: Warehouse, start: date | None, end: date | None) -
         )
     )
     refunded = (
-        wh.returns.filter(within_days(F.col("apply_time"), start, end))
+        between_days(wh.returns, "apply_time", start, end)
         .groupBy(F.to_date("apply_time").alias("stat_date"))
         .agg(F.count("return_id").alias("refund_count"))
     )
     seen = (
-        wh.actions.filter(
-            within_days(F.col("action_time"), start, end) & F.col("action_type").isin(ACTIVE_ACTIONS)
-        )
+        between_days(wh.actions, "action_time", start, end)
+        .filter(F.col("action_type").isin(ACTIVE_ACTIONS))
         .groupBy(F.to_date("action_time").alias("stat_date"), "user_id")
         .agg(F.max(F.when(F.col("action_type") == "register", F.col("user_id"))).alias("registered"))
         .groupBy("stat_date")
@@ -98,7 +111,7 @@ def business_health(
             "stat_date", F.explode(F.sequence(F.date_add("stat_date", 1), F.date_add("stat_date", 30)))
         )
         .groupBy("stat_date")
-        .agg(*[F.avg(F.col(m).cast("double")).alias(f"mean_{m}") for m in _MEASURES])
+        .agg(*[exact_mean(F.col(m), kind).alias(f"mean_{m}") for m, kind in _MEASURES.items()])
     )
     c = F.col
     score = (

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import ratio_or_zero, within_days, zero_if_null
+from ledgerloom.functions.columns import between_days, ratio_or_zero, zero_if_null
 from ledgerloom.schemas import Warehouse
 
 KEYS = ["stat_date", "merchant_id", "category_id"]
@@ -19,7 +19,7 @@ def daily_sales(wh: Warehouse, start: date | None = None, end: date | None = Non
     products = wh.products.select("product_id", "merchant_id", F.col("product_category_id").alias("category_id"))
 
     sold = (
-        wh.orders.filter(within_days(F.col("order_time"), start, end))
+        between_days(wh.orders, "order_time", start, end)
         .select("product_id", "order_id", "user_id", "order_amount", F.to_date("order_time").alias("stat_date"))
         .join(products, "product_id")
         .groupBy(*KEYS)
@@ -31,7 +31,7 @@ def daily_sales(wh: Warehouse, start: date | None = None, end: date | None = Non
         )
     )
     returned = (
-        wh.returns.filter(within_days(F.col("apply_time"), start, end))
+        between_days(wh.returns, "apply_time", start, end)
         .select("order_id", "return_id", "user_id", F.to_date("apply_time").alias("stat_date"))
         .join(wh.orders.select("order_id", "product_id", "order_amount"), "order_id")
         .join(products, "product_id")

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import growth_percent, is_true, ratio_or_zero, within_days, zero_if_null
+from ledgerloom.functions.columns import between_days, growth_percent, is_true, ratio_or_zero, zero_if_null
 from ledgerloom.schemas import Warehouse
 
 MONEY = "decimal(20,2)"
@@ -33,7 +33,7 @@ def merchant_day_counters(wh: Warehouse, start: date, end: date) -> DataFrame:
     days = F.expr(f"sequence(DATE '{start}', DATE '{end}', INTERVAL 1 DAY)")
     spine = wh.products.select("merchant_id").distinct().select(F.explode(days).alias("stat_date"), "merchant_id")
     sold = (
-        wh.orders.filter(within_days(F.col("order_time"), start, end))
+        between_days(wh.orders, "order_time", start, end)
         .select("product_id", "order_id", "user_id", "order_amount", F.to_date("order_time").alias("stat_date"))
         .join(wh.products.select("product_id", "merchant_id"), "product_id")
         # per customer first: hot merchants are spread by user, and no expand is needed for the distinct
@@ -47,7 +47,7 @@ def merchant_day_counters(wh: Warehouse, start: date, end: date) -> DataFrame:
         )
     )
     refunded = (
-        wh.returns.filter(within_days(F.col("apply_time"), start, end))
+        between_days(wh.returns, "apply_time", start, end)
         .groupBy(F.to_date("apply_time").alias("stat_date"), "merchant_id")
         .agg(F.count("return_id").alias("refund_count"))
     )

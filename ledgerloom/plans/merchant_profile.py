@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import is_true, ratio, ratio_or_zero, whole_hours, within_days, zero_if_null
+from ledgerloom.functions.columns import between_days, is_true, ratio, ratio_or_zero, whole_hours, zero_if_null
 from ledgerloom.functions.cutoffs import Cutoffs, in_window
 from ledgerloom.operators.fold import fold, running_totals
 from ledgerloom.schemas import Warehouse
@@ -61,7 +61,7 @@ def merchant_profile(wh: Warehouse, daily: DataFrame, at: Cutoffs, changed_only:
         c("approved_time").isNotNull(), whole_hours(c("apply_time"), c("approved_time"))
     ).when(c("rejected_time").isNotNull(), whole_hours(c("apply_time"), c("rejected_time")))
     taken_back = at.spread(
-        wh.returns.filter(within_days(c("apply_time"), None, at.upper())).select(
+        between_days(wh.returns, "apply_time", None, at.upper()).select(
             "merchant_id", "return_id", day_of["returns"].alias("day"), hours.alias("hours")
         ),
         c("day"),
@@ -75,9 +75,8 @@ def merchant_profile(wh: Warehouse, daily: DataFrame, at: Cutoffs, changed_only:
     )
     # shipping delay is summed per product before the product's merchant is looked up
     shipped = (
-        wh.orders.filter(
-            within_days(c("order_time"), None, at.upper()) & c("shipping_time").isNotNull() & c("order_time").isNotNull()
-        )
+        between_days(wh.orders, "order_time", None, at.upper())
+        .filter(c("shipping_time").isNotNull() & c("order_time").isNotNull())
         .select(
             "product_id",
             at.first_seen(F.to_date("order_time")).alias("as_of"),
@@ -89,14 +88,15 @@ def merchant_profile(wh: Warehouse, daily: DataFrame, at: Cutoffs, changed_only:
         .select("merchant_id", "as_of", "ship_hours", "ship_count")
     )
     withdrawn = (
-        wh.operations.filter(c("operation_type") == "remove_product")
+        between_days(wh.operations, "operation_time", at.lower(1), at.last)
+        .filter(c("operation_type") == "remove_product")
         .select("merchant_id", F.date_add(day_of["operations"], 1).alias("as_of"), F.lit(1).alias("offline"))
         .filter(at.contains(c("as_of")))
     )
     frames = [members, assortment, trading, taken_back, shipped, withdrawn]
     if changed_only:
         operated = at.spread(
-            wh.operations.filter(c("operation_time") >= F.lit(at.lower(30)).cast("timestamp")).select(
+            between_days(wh.operations, "operation_time", at.lower(30), None).select(
                 "merchant_id", day_of["operations"].alias("day")
             ),
             c("day"),

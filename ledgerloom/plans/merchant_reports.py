@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import ordered_text, ratio, ratio_or_zero, zero_if_null
+from ledgerloom.functions.columns import between_days, ordered_text, ratio, ratio_or_zero, zero_if_null
 from ledgerloom.functions.months import ReportMonths, add_months
 from ledgerloom.schemas import Warehouse
 
@@ -27,7 +27,7 @@ def top_products(wh: Warehouse, months: ReportMonths) -> DataFrame:
     """
     c = F.col
     counts = (
-        wh.orders.filter(months.measured(c("order_time")))
+        months.measured(wh.orders, "order_time")
         .groupBy(months.label(c("order_time")), "product_id")
         .agg(F.count("order_id").alias("orders"))
         .join(wh.products.select("product_id", "merchant_id", "product_name"), "product_id")
@@ -64,7 +64,7 @@ def merchant_monthly(
         )
     )
     customers = (
-        wh.orders.filter(months.measured(c("order_time")))
+        months.measured(wh.orders, "order_time")
         .select(months.label(c("order_time")), "product_id", "user_id")
         .distinct()
         .join(wh.products.select("product_id", "merchant_id"), "product_id")
@@ -124,11 +124,8 @@ def merchant_yearly(
             F.sum("refund_count").alias("refund_count"),
         )
     )
-    in_years = (c("order_time") >= F.lit(date(first_year, 1, 1)).cast("timestamp")) & (
-        c("order_time") < F.lit(date(last_year + 1, 1, 1)).cast("timestamp")
-    )
     customers = (
-        wh.orders.filter(in_years)
+        between_days(wh.orders, "order_time", date(first_year, 1, 1), date(last_year, 12, 31))
         .select(F.year("order_time").alias("stat_year"), "product_id", "user_id")
         .distinct()
         .join(wh.products.select("product_id", "merchant_id"), "product_id")

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import json_object, ratio
+from ledgerloom.functions.columns import between_days, exact_mean, json_object, ratio
 from ledgerloom.functions.months import ReportMonths, add_months
 from ledgerloom.operators.latest import latest_snapshot
 from ledgerloom.plans.business_health import ACTIVE_ACTIONS
@@ -35,7 +35,7 @@ def promotion_effect(wh: Warehouse, profile: DataFrame, months: ReportMonths) ->
     )
     levels = latest_snapshot(profile, "user_id", ["user_level"], months)
     spent = (
-        wh.orders.filter(months.measured(c("order_time")))
+        months.measured(wh.orders, "order_time")
         .groupBy(months.label(c("order_time")), "user_id", "promotion_id")
         .agg(
             F.sum("order_amount").alias("amount"),
@@ -93,7 +93,7 @@ def category_sales_json(wh: Warehouse, months: ReportMonths) -> DataFrame:
     """Orders and value per category as one JSON object per month (one member per category)."""
     c = F.col
     per_category = (
-        wh.orders.filter(months.measured(c("order_time")))
+        months.measured(wh.orders, "order_time")
         .groupBy(months.label(c("order_time")), "product_id")
         .agg(F.count("order_id").alias("orders"), F.sum("order_amount").alias("amount"))
         .join(wh.products.select("product_id", "category_name"), "product_id", "left")
@@ -161,7 +161,7 @@ def platform_monthly(
             F.sum("refund_count").alias("total_returns"),
             F.avg("health_score").alias("avg_health_score"),
             F.sum("new_users").alias("total_new_user"),
-            F.avg("conversion_rate").alias("avg_conversion_rate"),
+            exact_mean(c("conversion_rate"), "decimal(18,6)").alias("avg_conversion_rate"),
         )
     )
     active = (
@@ -202,10 +202,9 @@ def retention(wh: Warehouse, first_year: int, last_year: int) -> DataFrame:
     c = F.col
     january, december = F.month("action_time") == 1, F.month("action_time") == 12
     seen = (
-        wh.actions.filter(
-            (c("action_time") >= F.lit(date(first_year, 1, 1)).cast("timestamp"))
-            & (c("action_time") < F.lit(date(last_year + 1, 1, 1)).cast("timestamp"))
-            & c("action_type").isin(ACTIVE_ACTIONS)
+        between_days(wh.actions, "action_time", date(first_year, 1, 1), date(last_year, 12, 31))
+        .filter(
+            c("action_type").isin(ACTIVE_ACTIONS)
             & (january | december)
             & c("user_id").isNotNull()
         )

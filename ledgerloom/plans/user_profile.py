@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import ratio_or_zero, within_days, zero_if_null
+from ledgerloom.functions.columns import between_days, ratio_or_zero, zero_if_null
 from ledgerloom.functions.cutoffs import Cutoffs, in_window
 from ledgerloom.operators.changes import changed_users
 from ledgerloom.operators.fold import fold, running_totals
@@ -49,7 +49,7 @@ def preferred_categories(orders: DataFrame, products: DataFrame, at: Cutoffs) ->
     """
     c = F.col
     counts = (
-        orders.filter(within_days(c("order_time"), None, at.upper()))
+        between_days(orders, "order_time", None, at.upper())
         .select("user_id", "product_id", at.first_seen(F.to_date("order_time")).alias("as_of"))
         .groupBy("user_id", "product_id", "as_of")
         .agg(F.count(F.lit(1)).alias("bought"))
@@ -97,7 +97,7 @@ def user_profile(wh: Warehouse, at: Cutoffs, changed_only: bool = False) -> Data
         users.select("user_id", F.to_date("created_time").alias("register_date"), F.lit(True).alias("member"))
     )
     bought = at.spread(
-        orders.filter(within_days(c("order_time"), None, at.upper())).select(
+        between_days(orders, "order_time", None, at.upper()).select(
             "user_id", "order_id", "order_time", "order_amount", F.to_date("order_time").alias("day")
         ),
         c("day"),
@@ -111,7 +111,7 @@ def user_profile(wh: Warehouse, at: Cutoffs, changed_only: bool = False) -> Data
         F.when(recent(), c("order_id")).alias("recent_order"),
     )
     returned = at.spread(
-        returns.filter(within_days(c("apply_time"), None, at.upper())).select(
+        between_days(returns, "apply_time", None, at.upper()).select(
             "user_id", "return_id", F.to_date("apply_time").alias("day")
         ),
         c("day"),
@@ -123,9 +123,8 @@ def user_profile(wh: Warehouse, at: Cutoffs, changed_only: bool = False) -> Data
     )
     # one row per user and day, so login days can be counted without a distinct
     active_days = (
-        actions.filter(
-            within_days(c("action_time"), at.lower(30), at.upper()) & c("action_type").isin("login", "browse")
-        )
+        between_days(actions, "action_time", at.lower(30), at.upper())
+        .filter(c("action_type").isin("login", "browse"))
         .groupBy("user_id", F.to_date("action_time").alias("day"))
         .agg(
             F.max((c("action_type") == "login").cast("int")).alias("logged_in"),

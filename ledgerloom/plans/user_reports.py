@@ -35,7 +35,7 @@ def brushing_suspects(wh: Warehouse, months: ReportMonths) -> DataFrame:
     """Users with more than 10 orders in a day, or 50 in a month, at one merchant."""
     c = F.col
     return (
-        wh.orders.filter(months.measured(c("order_time")))
+        months.measured(wh.orders, "order_time")
         .groupBy(
             months.label(c("order_time")), "user_id", "product_id", F.to_date("order_time").alias("order_date")
         )

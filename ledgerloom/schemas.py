@@ -35,6 +35,8 @@ class TableSpec:
     references: list[Reference] = field(default_factory=list)
     times_first: bool = False
     event_time: str | None = None
+    # columns the table fills with the load time
+    stamps: list[str] = field(default_factory=list)
 
     @property
     def columns(self) -> list[str]:
@@ -50,6 +52,7 @@ USERS = TableSpec(
     types={"user_id": "string", "user_name": "string", "us_address": "string"},
     required=["user_id", "user_name"],
     key="user_id",
+    stamps=["created_time", "updated_time"],
 )
 MERCHANTS = TableSpec(
     name="dim_merchants",
@@ -65,6 +68,7 @@ MERCHANTS = TableSpec(
     times=["register_time"],
     required_times=["register_time"],
     enums={"merchant_status": ["active", "inactive", "banned"]},
+    stamps=["updated_time"],
 )
 PROMOTIONS = TableSpec(
     name="dim_promotions",
@@ -133,6 +137,7 @@ PRODUCTS = TableSpec(
     },
     nullable_enums=frozenset({"product_lifecycle"}),
     references=[Reference("merchant_id", "dim_merchants", "merchant_id")],
+    stamps=["updated_time"],
 )
 ORDERS = TableSpec(
     name="orders",

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from verification import cleaning_queries, model_queries
+from verification import cleaning_queries, model_queries, primitive_queries, storage_queries
 
-MODULES = [model_queries, cleaning_queries]
+MODULES = [model_queries, cleaning_queries, storage_queries, primitive_queries]
 
 QUERIES: dict = {}
 ORACLES: dict = {}

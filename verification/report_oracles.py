@@ -336,7 +336,8 @@ PLATFORM_MONTHLY_CTES = [
     (
         "pm_totals",
         """SELECT m, sum(daily_sales) AS gmv, sum(daily_orders) AS orders, sum(refund_count) AS returned,
-  avg(health_score) AS score, sum(new_users) AS joined, avg(conversion_rate) AS cvr
+  avg(health_score) AS score, sum(new_users) AS joined,
+  CAST(sum(CAST(conversion_rate AS DECIMAL(18,6))) AS DOUBLE) / count(conversion_rate) AS cvr
 FROM platform_daily JOIN months ON stat_date >= m - INTERVAL 1 MONTH AND stat_date < m GROUP BY 1""",
     ),
     (
