@@ -64,7 +64,8 @@ class Store:
     def put(self, name: str, df: DataFrame) -> DataFrame:
         """Upsert and give back the stored table, so later models read files instead of replanning."""
         upsert(df, self.path(name), KEYS[name])
-        return stored(self.spark, self.path(name))
+        table = self.get(name)
+        return df if table is None else table
 
     def warehouse(self) -> Warehouse:
         """The cleaned tables as stored."""

@@ -68,6 +68,8 @@ def upsert(new: DataFrame, path: str, keys: list[str]) -> None:
     """
     spark, partition = new.sparkSession, keys[0]
     new = staged(new, "upsert-new")
+    if new.isEmpty():
+        return
     merged_rows = new
     if exists(spark, path):
         # Spark would infer another type from folder names; the new rows know it
