@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import between_days, growth_percent, is_true, ratio_or_zero, zero_if_null
@@ -82,15 +82,33 @@ def merchant_daily(
         rows = counters.unionByName(earlier)
 
     by_day = Window.partitionBy("merchant_id").orderBy(F.unix_date("stat_date"))
-    trailing = by_day.rangeBetween(-30, -1)
     sales = F.col("daily_sales")
+
+    def trailing(col: Column, zero: str) -> Column:
+        """Sum over the 30 days before: two running sums, as a moving frame would be resummed for every row."""
+        upto = F.sum(col).over(by_day.rangeBetween(Window.unboundedPreceding, -1))
+        older = F.sum(col).over(by_day.rangeBetween(Window.unboundedPreceding, -31))
+        return upto - F.coalesce(older, F.lit(0).cast(zero))
+
+    # fixed-point sums keep the moments exact, so the alarm does not depend on the order of additions
     compared = rows.select(
         "*",
         F.max("daily_sales").over(by_day.rangeBetween(-1, -1)).alias("sales_d1"),
         F.max("order_count").over(by_day.rangeBetween(-1, -1)).alias("orders_d1"),
         F.max("daily_sales").over(by_day.rangeBetween(-7, -7)).alias("sales_d7"),
-        F.avg(sales.cast("double")).over(trailing).alias("mean30"),
-        F.stddev_pop(sales.cast("double")).over(trailing).alias("sigma30"),
+        trailing(F.lit(1), "bigint").alias("days30"),
+        trailing(sales, MONEY).cast("decimal(18,2)").alias("sum30"),
+        trailing(sales.cast("decimal(16,2)") * sales.cast("decimal(16,2)"), "decimal(33,4)")
+        .cast("decimal(33,4)")
+        .alias("squares30"),
+    )
+    days30 = F.nullif(F.col("days30"), F.lit(0))
+    spread = F.col("squares30") * days30.cast("decimal(3,0)") - F.col("sum30") * F.col("sum30")
+    compared = compared.withColumns(
+        {
+            "mean30": F.col("sum30").cast("double") / days30,
+            "sigma30": F.sqrt(spread.cast("double")) / days30,
+        }
     )
     if history is not None:
         compared = compared.filter(F.col("stat_date") >= F.lit(start))
