@@ -21,10 +21,6 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    return read_table(spark, path) if exists(spark, path) else None
-
-
 def append_clean(df: DataFrame, path: str, spec: TableSpec, loaded_at: datetime | None = None) -> None:
     """Append cleaned rows with the table's types; facts go to the folder of their event date.
 
