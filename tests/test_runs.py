@@ -11,7 +11,7 @@ from ledgerloom.functions.cutoffs import Cutoffs
 from ledgerloom.operators.links import due_reports
 from ledgerloom.operators.quality import QualityError, gate, warehouse_alerts
 from ledgerloom.plans.business_health import business_health
-from ledgerloom.plans.daily_run import KEYS, Store, build_day, clean_day
+from ledgerloom.plans.daily_run import KEYS, Store, backfill, build_day, clean_day
 from ledgerloom.plans.daily_sales import daily_sales
 from ledgerloom.plans.merchant_daily import merchant_daily
 from ledgerloom.plans.user_profile import user_profile
@@ -134,3 +134,13 @@ def test_clean_day_stores_all_tables(spark, tmp_path):
     users = store.get("dwd_users")
     assert users.count() == 2 * before == users.select("user_id").distinct().count()
     assert users.filter(F.col("user_id").contains("_new1")).count() == before
+
+
+def test_backfill_equals_the_range(spark, wh, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    backfill(wh, store, EVE, NEW_YEAR)
+    same(merchant_daily(wh, EVE, NEW_YEAR), store.get("dws_merchant_daily"))
+    same(user_profile(wh, Cutoffs.on(EVE)), store.get("dws_user_profile").filter(F.col("stat_date") == F.lit(EVE)))
+    snapshots = store.get("ads_merchant_daily_snapshot")
+    assert snapshots.filter("merchant_level IS NULL").count() == 0
+    assert snapshots.count() == store.get("dws_merchant_daily").count()
