@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chunk_dedup, line_dedup, sharding, simhash_grid, source_schedule
+from ledgerloom.llm import cap_filters, chunk_dedup, line_dedup, sharding, simhash_grid, source_schedule
 from ledgerloom.llm.common import documents
 
 
@@ -23,6 +23,10 @@ def op4_line_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_near_vectors(spark, sf_dir):
+    return cap_filters.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least_cosine=0.93)
+
+
 def op7_simhash(spark, sf_dir):
     return simhash_grid.near_duplicates(documents(spark, sf_dir), words=4, seed=42, max_bits=4)
 
@@ -35,6 +39,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_near_vectors": op5_near_vectors,
     "op7_simhash": op7_simhash,
     "op8_mixing": op8_mixing,
 }
