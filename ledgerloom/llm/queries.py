@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import cap_filters, chunk_dedup, line_dedup, sharding, simhash_grid, source_schedule
+from ledgerloom.llm import (
+    cap_filters,
+    chunk_dedup,
+    line_dedup,
+    pairwise_quality,
+    sharding,
+    simhash_grid,
+    source_schedule,
+    string_kernel,
+)
 from ledgerloom.llm.common import documents
 
 
@@ -27,6 +36,11 @@ def op5_near_vectors(spark, sf_dir):
     return cap_filters.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), least_cosine=0.93)
 
 
+def op6_quality(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return pairwise_quality.quality_scores(documents(spark, sf_dir), labels, threshold=0.3)
+
+
 def op7_simhash(spark, sf_dir):
     return simhash_grid.near_duplicates(documents(spark, sf_dir), words=4, seed=42, max_bits=4)
 
@@ -35,13 +49,19 @@ def op8_mixing(spark, sf_dir):
     return source_schedule.mix_sources(documents(spark, sf_dir), weights=(5, 2, 1), share=1.5, most=2.0, seed=11)
 
 
+def op10_language(spark, sf_dir):
+    return string_kernel.predict_languages(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_near_vectors": op5_near_vectors,
+    "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op8_mixing": op8_mixing,
+    "op10_language": op10_language,
 }
 
 # crc32 has no DuckDB function: the polynomial's table is built and the bytes are folded through it.
