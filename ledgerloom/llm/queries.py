@@ -2,25 +2,37 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
     cap_filters,
     chunk_dedup,
     line_dedup,
+    merge_replay,
     pairwise_quality,
     sharding,
     simhash_grid,
     source_schedule,
     string_kernel,
+    token_files,
 )
 from ledgerloom.llm.common import documents
+from ledgerloom.session import scratch_path
 
 
 def op1_sharding(spark, sf_dir):
     return sharding.interleaved_shards(documents(spark, sf_dir), shards=40, seed=7)
 
 
+def op2_token_files(spark, sf_dir):
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(
+        documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), vocabulary=50_257, end_id=0
+    )
+    return token_files.document_checksums(token_files.read_token_files(spark, path), token_files.part_starts(spark, path))
+
+
 def op3_exact_dedup(spark, sf_dir):
     return chunk_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -49,18 +61,36 @@ def op8_mixing(spark, sf_dir):
     return source_schedule.mix_sources(documents(spark, sf_dir), weights=(5, 2, 1), share=1.5, most=2.0, seed=11)
 
 
+def byte_bpe_digests(docs):
+    """Encode, decode, and digest what came out of both."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = merge_replay.encode_documents(docs, ranks, public_tokenizers.PATTERN)
+    return merge_replay.decode_documents(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("content", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_byte_bpe(spark, sf_dir):
+    return byte_bpe_digests(documents(spark, sf_dir))
+
+
 def op10_language(spark, sf_dir):
     return string_kernel.predict_languages(documents(spark, sf_dir))
 
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_token_files": op2_token_files,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_near_vectors": op5_near_vectors,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
     "op8_mixing": op8_mixing,
+    "op9_byte_bpe": op9_byte_bpe,
     "op10_language": op10_language,
 }
 
