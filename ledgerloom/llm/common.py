@@ -53,7 +53,8 @@ def with_running_totals(df: DataFrame, groups: list[str], bucket: str, order: li
     itself and then shifted by the sums of the buckets before it, so a group that holds a third of all rows
     is worked on by as many tasks as it has buckets. totals maps a new column to the summed expression; the
     new column has the total of the rows before (ties are broken by Spark's own order of equal rows).
-    df is evaluated twice: it must be deterministic.
+    df is evaluated twice: it must be deterministic; groups must not be NULL. The sums are never broadcast: Spark takes
+    what comes out of explode() for as small as what went in.
     """
     keys = [*groups, bucket]
     sums = df.groupBy(*keys).agg(*[F.sum(c).alias(f"_sum_{n}") for n, c in totals.items()])
@@ -64,7 +65,7 @@ def with_running_totals(df: DataFrame, groups: list[str], bucket: str, order: li
     )
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = df.withColumns({f"_local_{n}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for n, c in totals.items()})
-    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
-    return local.join(shifts, same).select(
+    same = [F.col(k) == F.col(f"_key_{k}") for k in keys]
+    return local.join(shifts.hint("merge"), same).select(
         *df.columns, *[(F.col(f"_local_{n}") + F.col(f"_shift_{n}")).alias(n) for n in totals]
     )

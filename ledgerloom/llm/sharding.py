@@ -32,13 +32,15 @@ def interleaved_shards(docs: DataFrame, shards: int = 40, seed: int = 7) -> Data
         (F.octet_length(text) + 16).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         seeded_digest("doc_id", seed).alias("digest"),
+        F.col("source").isNull().alias("no_source"),
+        F.coalesce("source", F.lit("")).alias("source_key"),
     )
     light = staged(light.withColumn("bucket", digest_bucket(F.col("digest"), buckets)), "shard-digests")
     order = ["digest", "doc_id", "size", "text_crc32"]
-    ranked = with_running_totals(light, ["source"], "bucket", order, {"before": F.lit(1)})
-    of_source = light.groupBy(F.col("source").alias("_source")).agg(F.count("*").alias("of_source"))
+    ranked = with_running_totals(light, ["no_source", "source_key"], "bucket", order, {"before": F.lit(1)})
+    of_source = light.groupBy("no_source", "source_key").agg(F.count("*").alias("of_source"))
     fraction = (F.col("before") + 0.5) / F.col("of_source")
-    ranked = ranked.join(of_source, F.col("source").eqNullSafe(F.col("_source"))).select(
+    ranked = ranked.join(of_source, ["no_source", "source_key"]).select(
         "doc_id", "source", "size", "text_crc32", "digest", fraction.alias("fraction")
     )
     ranked = ranked.withColumn("bucket", F.floor(F.col("fraction") * buckets))

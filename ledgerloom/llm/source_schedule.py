@@ -99,7 +99,8 @@ def mix_sources(
     numbers = F.sequence(F.expr(f"begin div {block_words}"), F.expr(f"(begin + size - 1) div {block_words}"))
     pieces = laid.filter("size > 0").select("place", "nth", "begin", end.alias("end"), F.explode(numbers).alias("block"))
     slots = mix_schedule(targets, block_words).select(F.col("place").alias("_place"), F.col("block").alias("_block"), "words")
-    met = pieces.join(slots, (F.col("place") == F.col("_place")) & (F.col("block") == F.col("_block")))
+    # never broadcast: the slots come out of explode(), whose size Spark takes for that of the table of sources
+    met = pieces.join(slots.hint("merge"), (F.col("place") == F.col("_place")) & (F.col("block") == F.col("_block")))
     start = F.col("block") * block_words
     overlap = F.greatest(F.lit(0), F.least(F.col("end"), start + F.col("words")) - F.greatest(F.col("begin"), start))
     taken = met.groupBy("place", "nth").agg(F.sum(overlap).alias("taken"))
