@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Sequence
 from datetime import date, timedelta
 
@@ -137,8 +139,10 @@ def json_text(text: Column) -> Column:
 
 
 def rename_json_key(text: Column, old: str, new: str) -> Column:
-    """Rename a key at every depth of a JSON text; string values are left alone."""
-    return F.regexp_replace(text, rf'(?<!\\)"{old}"(\s*):', f'"{new}"$1:')
+    """Rename a key at every depth of a JSON text; string values are left alone. Keys may hold any characters."""
+    written = re.escape(json.dumps(old, ensure_ascii=False))
+    renamed = json.dumps(new, ensure_ascii=False).replace("\\", "\\\\").replace("$", "\\$")
+    return F.regexp_replace(text, F.lit(rf"(?<!\\){written}(\s*):"), F.lit(f"{renamed}$1:"))
 
 
 def json_object(entries: Column) -> Column:

@@ -39,7 +39,7 @@ def number_rows(df: DataFrame, keys: list[str], bucket: Column, order: list[str]
 
 def taken_suffixes(ids: DataFrame, suffix: str) -> DataFrame:
     """(base, taken): ids already shaped ``<base><suffix><number>``."""
-    pattern = rf"^(.*){suffix}({NUMBER})$"
+    pattern = rf"(?s)\A(.*){suffix}({NUMBER})\z"  # ids may hold line breaks
     return (
         ids.filter(F.col("id").rlike(pattern))
         .select(

@@ -40,8 +40,9 @@ _MEASURES = {
     "daily_sales": "decimal(24,2)",
     "active_users": "bigint",
     "new_users": "bigint",
-    "conversion_rate": "decimal(18,6)",
-    "refund_rate": "decimal(18,6)",
+    # as many digits as a double has, so that the mean is that of the stored rates whatever the order of additions
+    "conversion_rate": "decimal(38,18)",
+    "refund_rate": "decimal(38,18)",
 }
 
 

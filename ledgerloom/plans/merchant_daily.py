@@ -97,10 +97,8 @@ def merchant_daily(
         F.max("order_count").over(by_day.rangeBetween(-1, -1)).alias("orders_d1"),
         F.max("daily_sales").over(by_day.rangeBetween(-7, -7)).alias("sales_d7"),
         trailing(F.lit(1), "bigint").alias("days30"),
-        trailing(sales, MONEY).cast("decimal(18,2)").alias("sum30"),
-        trailing(sales.cast("decimal(16,2)") * sales.cast("decimal(16,2)"), "decimal(33,4)")
-        .cast("decimal(33,4)")
-        .alias("squares30"),
+        trailing(sales, MONEY).cast("decimal(22,2)").alias("sum30"),
+        trailing(sales * sales, "decimal(38,4)").cast("decimal(38,4)").alias("squares30"),
     )
     days30 = F.nullif(F.col("days30"), F.lit(0))
     spread = F.col("squares30") * days30.cast("decimal(3,0)") - F.col("sum30") * F.col("sum30")

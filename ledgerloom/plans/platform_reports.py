@@ -161,7 +161,7 @@ def platform_monthly(
             F.sum("refund_count").alias("total_returns"),
             F.avg("health_score").alias("avg_health_score"),
             F.sum("new_users").alias("total_new_user"),
-            exact_mean(c("conversion_rate"), "decimal(18,6)").alias("avg_conversion_rate"),
+            exact_mean(c("conversion_rate"), "decimal(38,18)").alias("avg_conversion_rate"),
         )
     )
     active = (

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.cutoffs import Cutoffs
-from ledgerloom.functions.months import ReportMonths
+from ledgerloom.functions.months import ReportMonths, add_months
 from ledgerloom.plans.business_health import business_health
 from ledgerloom.plans.daily_reports import merchant_daily_snapshot, platform_daily_snapshot
 from ledgerloom.plans.daily_sales import daily_sales
@@ -25,9 +25,6 @@ from verification import oracles as o
 from verification import report_oracles as r
 from verification.shape import plain
 
-FIRST_DAY, LAST_DAY = date.fromisoformat(o.FIRST_DAY), date.fromisoformat(o.LAST_DAY)
-MONTH_CUTOFFS = Cutoffs.month_starts(date.fromisoformat(o.FIRST_MONTH), date.fromisoformat(o.LAST_MONTH))
-MONTHS = ReportMonths(MONTH_CUTOFFS.first, MONTH_CUTOFFS.last)
 ONE_DAY = date.fromisoformat(o.ONE_DAY)
 STORED = Cutoffs.on(ONE_DAY, open_end=True)
 
@@ -38,9 +35,33 @@ class Models:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.wh = sample_warehouse(spark, sf_dir)
 
+    @cached_property
+    def facts_span(self) -> tuple[date, date]:
+        """Days of the first and the last fact."""
+        wh = self.wh
+        times = [wh.orders.select("order_time"), wh.returns.select("apply_time"), wh.actions.select("action_time")]
+        stacked = times[0].union(times[1]).union(times[2]).toDF("at")
+        first, last = stacked.agg(F.to_date(F.min("at")), F.to_date(F.max("at"))).first()
+        return first, last
+
+    @property
+    def years(self) -> tuple[int, int]:
+        first, last = self.facts_span
+        return first.year, last.year
+
+    @property
+    def cutoffs(self) -> Cutoffs:
+        """The month starts after the first and the last fact, and those between."""
+        first, last = self.facts_span
+        return Cutoffs.month_starts(add_months(first.replace(day=1), 1), add_months(last.replace(day=1), 1))
+
+    @property
+    def months(self) -> ReportMonths:
+        return ReportMonths(self.cutoffs.first, self.cutoffs.last)
+
     @cached_property
     def days(self) -> DataFrame:
-        return merchant_daily(self.wh, FIRST_DAY, LAST_DAY)
+        return merchant_daily(self.wh, self.facts_span[0], self.cutoffs.last)
 
     @cached_property
     def health(self) -> DataFrame:
@@ -48,11 +69,11 @@ class Models:
 
     @cached_property
     def merchants(self) -> DataFrame:
-        return merchant_profile(self.wh, self.days, MONTH_CUTOFFS)
+        return merchant_profile(self.wh, self.days, self.cutoffs)
 
     @cached_property
     def users(self) -> DataFrame:
-        return user_profile(self.wh, MONTH_CUTOFFS)
+        return user_profile(self.wh, self.cutoffs)
 
     @cached_property
     def snapshots(self) -> DataFrame:
@@ -60,29 +81,29 @@ class Models:
 
     @cached_property
     def merchant_months(self) -> DataFrame:
-        return merchant_monthly(self.wh, self.snapshots, MONTHS)
+        return merchant_monthly(self.wh, self.snapshots, self.months)
 
     @cached_property
     def merchant_years(self) -> DataFrame:
-        return merchant_yearly(self.wh, self.merchant_months, o.FIRST_YEAR, o.LAST_YEAR)
+        return merchant_yearly(self.wh, self.merchant_months, *self.years)
 
     @cached_property
     def user_months(self) -> DataFrame:
-        return user_monthly(self.wh, self.users, MONTHS)
+        return user_monthly(self.wh, self.users, self.months)
 
     @cached_property
     def user_years(self) -> DataFrame:
-        return user_yearly(self.wh, self.users, self.user_months, o.FIRST_YEAR, o.LAST_YEAR)
+        return user_yearly(self.wh, self.users, self.user_months, *self.years)
 
     @cached_property
     def platform_months(self) -> DataFrame:
         return platform_monthly(
-            self.wh, platform_daily_snapshot(self.health), self.merchant_months, self.users, MONTHS
+            self.wh, platform_daily_snapshot(self.health), self.merchant_months, self.users, self.months
         )
 
     @cached_property
     def platform_years(self) -> DataFrame:
-        return platform_yearly(self.wh, self.platform_months, self.merchant_years, o.FIRST_YEAR, o.LAST_YEAR)
+        return platform_yearly(self.wh, self.platform_months, self.merchant_years, *self.years)
 
 
 def _day_with_history(m: Models) -> DataFrame:
@@ -133,11 +154,11 @@ CHECKED = {
     "ads_merchant_monthly_snapshot": (lambda m: m.merchant_months, r.merchant_monthly_sql()),
     "ads_user_monthly_snapshot": (lambda m: m.user_months, r.user_monthly_sql()),
     "ads_platform_monthly_summary": (lambda m: m.platform_months, r.platform_monthly_sql()),
-    "ads_platform_promotion_detail": (lambda m: promotion_detail(m.wh, m.users, MONTHS), r.promotion_detail_sql()),
+    "ads_platform_promotion_detail": (lambda m: promotion_detail(m.wh, m.users, m.months), r.promotion_detail_sql()),
     "ads_merchant_yearly_snapshot": (lambda m: m.merchant_years, r.merchant_yearly_sql()),
     "ads_user_yearly_snapshot": (lambda m: m.user_years, r.user_yearly_sql()),
     "ads_platform_yearly_summary": (lambda m: m.platform_years, r.platform_yearly_sql()),
-    "user_retention_by_year": (lambda m: retention(m.wh, o.FIRST_YEAR, o.LAST_YEAR), r.retention_sql()),
+    "user_retention_by_year": (lambda m: retention(m.wh, *m.years), r.retention_sql()),
 }
 
 

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from ledgerloom.sources.samples import BASE_TABLES, VIEWS
 
-FIRST_DAY, LAST_DAY = "1995-01-01", "2001-09-01"
-FIRST_MONTH, LAST_MONTH = "1995-02-01", "2001-09-01"
-FIRST_YEAR, LAST_YEAR = 1995, 2001
+# the day that the one-day forms are run for
 ONE_DAY = "2000-06-15"
 
 
@@ -17,10 +15,15 @@ def view_sql(name: str) -> str:
     return text
 
 
+# steps that several others read
+SHARED = {"dwd_orders", "order_lines", "span", "merchant_counters", "merchant_daily", "user_profile", "merchant_profile", "user_monthly"}
+
+
 def with_views(*ctes: tuple[str, str], final: str) -> str:
-    parts = [f"{name} AS ({view_sql(name)})" for name in VIEWS]
-    parts += [f"{name} AS ({text})" for name, text in dict(ctes).items()]
-    return "WITH " + ",\n".join(parts) + "\n" + final
+    """A query over the views and steps; the range of days comes from the facts themselves."""
+    steps = {**{name: view_sql(name) for name in VIEWS}, **dict([SPAN]), **dict(ctes)}
+    parts = [f"{name} AS {'MATERIALIZED ' if name in SHARED else ''}({text})" for name, text in steps.items()]
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + final
 
 
 def shaped(sql: str, doubles: str = "", bigints: str = "") -> str:
@@ -32,11 +35,15 @@ def shaped(sql: str, doubles: str = "", bigints: str = "") -> str:
     return f"SELECT * REPLACE ({', '.join(items)}) FROM ({sql}) shaped_rows"
 
 
-DAYS = ("days", f"SELECT CAST(unnest(generate_series(DATE '{FIRST_DAY}', DATE '{LAST_DAY}', INTERVAL 1 DAY)) AS DATE) AS stat_date")
-MONTHS = (
-    "months",
-    f"SELECT CAST(unnest(generate_series(DATE '{FIRST_MONTH}', DATE '{LAST_MONTH}', INTERVAL 1 MONTH)) AS DATE) AS m",
+# From the first fact's day to the first of the month after the last fact, so that every fact is in a reported month.
+SPAN = (
+    "span",
+    """SELECT CAST(min(t) AS DATE) AS first_day, CAST(date_trunc('month', max(t)) + INTERVAL 1 MONTH AS DATE) AS last_day,
+  CAST(date_trunc('month', min(t)) + INTERVAL 1 MONTH AS DATE) AS first_month, year(min(t)) AS first_year, year(max(t)) AS last_year
+FROM (SELECT order_time AS t FROM dwd_orders UNION ALL SELECT apply_time FROM returns UNION ALL SELECT action_time FROM user_actions)""",
 )
+DAYS = ("days", "SELECT CAST(unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS DATE) AS stat_date FROM span")
+MONTHS = ("months", "SELECT CAST(unnest(generate_series(first_month, last_day, INTERVAL 1 MONTH)) AS DATE) AS m FROM span")
 
 ORDER_LINES = (
     "order_lines",
@@ -48,45 +55,30 @@ FROM dwd_orders o JOIN dim_products p ON o.product_id = p.product_id""",
 # --- daily sales -----------------------------------------------------------------------------------
 
 
-def daily_sales_ctes(day: str | None = None):
-    on_order = f"WHERE order_date = DATE '{day}'" if day else ""
-    on_return = f"WHERE CAST(r.apply_time AS DATE) = DATE '{day}'" if day else ""
-    return [
-        ORDER_LINES,
-        (
-            "order_agg",
-            f"""SELECT order_date AS stat_date, merchant_id, category_id, sum(order_amount) AS sales_amount,
-  count(DISTINCT order_id) AS order_count, count(DISTINCT user_id) AS customer_count,
-  count(DISTINCT product_id) AS product_count FROM order_lines {on_order} GROUP BY 1, 2, 3""",
-        ),
-        (
-            "return_agg",
-            f"""SELECT CAST(r.apply_time AS DATE) AS stat_date, o.merchant_id, o.category_id,
-  sum(o.order_amount) AS return_amount, count(DISTINCT r.return_id) AS return_count,
-  count(DISTINCT r.user_id) AS return_customer_count
-FROM returns r JOIN order_lines o ON r.order_id = o.order_id {on_return} GROUP BY 1, 2, 3""",
-        ),
-        (
-            "spine",
-            """SELECT stat_date, merchant_id, category_id FROM order_agg
-UNION SELECT stat_date, merchant_id, category_id FROM return_agg""",
-        ),
-    ]
+SALES_MEASURES = (
+    "measures",
+    """SELECT order_date AS stat_date, merchant_id, category_id, order_amount AS sold, order_id AS sale, user_id AS buyer,
+    product_id, NULL::DECIMAL(10,2) AS refunded, NULL::VARCHAR AS refund, NULL::VARCHAR AS refunder FROM order_lines
+  UNION ALL
+  SELECT CAST(r.apply_time AS DATE), l.merchant_id, l.category_id, NULL, NULL, NULL, NULL, l.order_amount, r.return_id, r.user_id
+  FROM order_lines l JOIN returns r ON r.order_id = l.order_id""",
+)
 
 
-DAILY_SALES_FINAL = """SELECT s.stat_date, s.merchant_id, s.category_id, coalesce(sales_amount, 0) AS sales_amount,
- coalesce(order_count, 0) AS order_count, coalesce(customer_count, 0) AS customer_count,
- coalesce(product_count, 0) AS product_count, coalesce(return_amount, 0) AS return_amount,
- coalesce(return_count, 0) AS return_count, coalesce(return_customer_count, 0) AS return_customer_count,
- CASE WHEN coalesce(order_count, 0) = 0 THEN 0 ELSE coalesce(return_count, 0) / order_count * 100 END AS return_rate
-FROM spine s
-LEFT JOIN order_agg o ON s.stat_date = o.stat_date AND s.merchant_id = o.merchant_id AND s.category_id = o.category_id
-LEFT JOIN return_agg r ON s.stat_date = r.stat_date AND s.merchant_id = r.merchant_id AND s.category_id = r.category_id"""
+def daily_sales_query(day: str | None) -> str:
+    """Sold and returned order lines, stacked as measures of a day, merchant and category, counted once."""
+    chosen = f"WHERE stat_date = DATE '{day}'" if day else ""
+    return f"""SELECT stat_date, merchant_id, category_id, coalesce(sum(sold), 0) AS sales_amount, count(DISTINCT sale) AS order_count,
+  count(DISTINCT buyer) AS customer_count, count(DISTINCT product_id) AS product_count,
+  coalesce(sum(refunded), 0) AS return_amount, count(DISTINCT refund) AS return_count,
+  count(DISTINCT refunder) AS return_customer_count,
+  coalesce(100 * count(DISTINCT refund) / nullif(count(DISTINCT sale), 0), 0) AS return_rate
+FROM measures {chosen} GROUP BY stat_date, merchant_id, category_id"""
 
 
 def daily_sales_sql(day: str | None = None) -> str:
     return shaped(
-        with_views(*daily_sales_ctes(day), final=DAILY_SALES_FINAL),
+        with_views(ORDER_LINES, SALES_MEASURES, final=daily_sales_query(day)),
         "sales_amount return_amount return_rate",
         "order_count customer_count product_count return_count return_customer_count",
     )
@@ -94,52 +86,33 @@ def daily_sales_sql(day: str | None = None) -> str:
 
 # --- merchant day table ----------------------------------------------------------------------------
 
+# Every merchant has a row for every day, so a number of days back is a number of rows back.
 MERCHANT_DAILY_CTES = [
     ORDER_LINES,
     DAYS,
-    (
-        "order_merchant",
-        """SELECT order_date AS stat_date, merchant_id, sum(order_amount) AS daily_sales,
-  count(DISTINCT order_id) AS order_count, count(DISTINCT user_id) AS customer_count
-FROM order_lines GROUP BY 1, 2""",
-    ),
-    (
-        "return_merchant",
-        """SELECT CAST(apply_time AS DATE) AS stat_date, merchant_id, count(DISTINCT return_id) AS refund_count
-FROM returns GROUP BY 1, 2""",
-    ),
     (
         "merchant_counters",
-        """SELECT d.stat_date, m.merchant_id, coalesce(o.daily_sales, 0) AS daily_sales,
-  coalesce(o.order_count, 0) AS order_count, coalesce(o.customer_count, 0) AS customer_count,
-  coalesce(r.refund_count, 0) AS refund_count
-FROM days d CROSS JOIN (SELECT DISTINCT merchant_id FROM dim_products) m
-LEFT JOIN order_merchant o ON o.stat_date = d.stat_date AND o.merchant_id = m.merchant_id
-LEFT JOIN return_merchant r ON r.stat_date = d.stat_date AND r.merchant_id = m.merchant_id""",
-    ),
-    (
-        "merchant_stats",
-        """SELECT stat_date, merchant_id, avg(CAST(daily_sales AS DOUBLE)) OVER w AS mean30,
-  stddev_pop(CAST(daily_sales AS DOUBLE)) OVER w AS sigma30 FROM merchant_counters
-WINDOW w AS (PARTITION BY merchant_id ORDER BY stat_date - DATE '1995-01-01' RANGE BETWEEN 30 PRECEDING AND 1 PRECEDING)""",
+        """WITH measures AS (
+  SELECT merchant_id, order_date AS stat_date, order_amount AS sold, order_id AS sale, user_id AS buyer, NULL AS refund FROM order_lines
+  UNION ALL SELECT merchant_id, CAST(apply_time AS DATE), NULL, NULL, NULL, return_id FROM returns
+  UNION ALL SELECT merchant_id, stat_date, NULL, NULL, NULL, NULL FROM (SELECT DISTINCT merchant_id FROM dim_products), days)
+SELECT stat_date, merchant_id, coalesce(sum(sold), 0) AS daily_sales, count(DISTINCT sale) AS order_count,
+  count(DISTINCT buyer) AS customer_count, count(DISTINCT refund) AS refund_count
+FROM measures WHERE merchant_id IN (SELECT merchant_id FROM dim_products) GROUP BY ALL""",
     ),
     (
         "merchant_daily",
-        """SELECT c.stat_date, c.merchant_id, c.daily_sales, c.order_count, c.customer_count, c.refund_count,
-  CASE WHEN y.daily_sales IS NULL OR y.daily_sales = 0 THEN NULL
-       ELSE CAST(c.daily_sales - y.daily_sales AS DOUBLE) / CAST(y.daily_sales AS DOUBLE) * 100 END AS sales_mom,
-  CASE WHEN w.daily_sales IS NULL OR w.daily_sales = 0 THEN NULL
-       ELSE CAST(c.daily_sales - w.daily_sales AS DOUBLE) / CAST(w.daily_sales AS DOUBLE) * 100 END AS sales_yoy,
-  CASE WHEN y.order_count IS NULL OR y.order_count = 0 THEN NULL
-       ELSE (c.order_count - y.order_count) / y.order_count * 100 END AS order_count_mom,
-  CASE WHEN c.order_count = 0 THEN 0 ELSE c.refund_count / c.order_count * 100 END AS refund_rate,
-  CASE WHEN s.mean30 IS NOT NULL AND CAST(c.daily_sales AS DOUBLE) > s.mean30 + 3 * s.sigma30
-       THEN TRUE ELSE FALSE END AS abnormal_sales_flag,
-  c.daily_sales = 0 AS zero_sales_flag
-FROM merchant_counters c
-LEFT JOIN merchant_counters y ON y.merchant_id = c.merchant_id AND y.stat_date = c.stat_date - 1
-LEFT JOIN merchant_counters w ON w.merchant_id = c.merchant_id AND w.stat_date = c.stat_date - 7
-JOIN merchant_stats s ON s.merchant_id = c.merchant_id AND s.stat_date = c.stat_date""",
+        """SELECT stat_date, merchant_id, daily_sales, order_count, customer_count, refund_count,
+  100 * CAST(daily_sales - lag(daily_sales) OVER days_back AS DOUBLE) / CAST(nullif(lag(daily_sales) OVER days_back, 0) AS DOUBLE) AS sales_mom,
+  100 * CAST(daily_sales - lag(daily_sales, 7) OVER days_back AS DOUBLE) / CAST(nullif(lag(daily_sales, 7) OVER days_back, 0) AS DOUBLE) AS sales_yoy,
+  100 * (order_count - lag(order_count) OVER days_back) / nullif(lag(order_count) OVER days_back, 0) AS order_count_mom,
+  coalesce(100 * refund_count / nullif(order_count, 0), 0) AS refund_rate,
+  coalesce(CAST(daily_sales AS DOUBLE) > avg(CAST(daily_sales AS DOUBLE)) OVER last_thirty
+    + 3 * stddev_pop(CAST(daily_sales AS DOUBLE)) OVER last_thirty, FALSE) AS abnormal_sales_flag,
+  daily_sales = 0 AS zero_sales_flag
+FROM merchant_counters
+WINDOW days_back AS (PARTITION BY merchant_id ORDER BY stat_date),
+  last_thirty AS (PARTITION BY merchant_id ORDER BY stat_date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)""",
     ),
 ]
 MERCHANT_DAILY_DOUBLES = "daily_sales sales_mom sales_yoy order_count_mom refund_rate"
@@ -156,69 +129,53 @@ def merchant_daily_sql(where: str = "") -> str:
 
 # --- platform health -------------------------------------------------------------------------------
 
+# weight, counter and whether more is worse, for the score. Fixed values.
+HEALTH_SCORE = [
+    (0.25, "daily_sales", False), (0.20, "active_users", False), (0.20, "conversion_rate", False),
+    (0.20, "refund_rate", True), (0.15, "new_users", False),
+]
+
+
+def health_score() -> str:
+    terms = []
+    for weight, counter, worse in HEALTH_SCORE:
+        share = f"CAST({counter} AS DOUBLE) / nullif(usual_{counter} * 1.2, 0)"
+        capped = f"CASE WHEN {share} IS NOT NULL THEN least({share}, 1.0) END"
+        terms.append(f"{weight} * (1 - {capped})" if worse else f"{weight} * {capped}")
+    return " + ".join(terms)
+
+
 HEALTH_CTES = [
-    (
-        "order_daily",
-        """SELECT CAST(order_time AS DATE) AS stat_date, sum(order_amount) AS daily_sales,
-  count(DISTINCT order_id) AS daily_orders, count(DISTINCT user_id) AS customers FROM dwd_orders GROUP BY 1""",
-    ),
-    (
-        "return_daily",
-        "SELECT CAST(apply_time AS DATE) AS stat_date, count(DISTINCT return_id) AS refund_count FROM returns GROUP BY 1",
-    ),
-    (
-        "active_daily",
-        """SELECT CAST(action_time AS DATE) AS stat_date, count(DISTINCT user_id) AS active_users FROM user_actions
-WHERE action_type IN ('register','login','browse','favorite','add_cart','purchase','search') GROUP BY 1""",
-    ),
-    (
-        "new_daily",
-        """SELECT CAST(action_time AS DATE) AS stat_date, count(DISTINCT user_id) AS new_users FROM user_actions
-WHERE action_type = 'register' GROUP BY 1""",
-    ),
     (
         "health_counters",
-        """SELECT o.stat_date, o.daily_sales, o.daily_orders, a.active_users, n.new_users,
-  CASE WHEN a.active_users > 0 THEN o.customers / a.active_users ELSE 0 END AS conversion_rate,
-  coalesce(r.refund_count, 0) AS refund_count,
-  CASE WHEN o.daily_orders > 0 THEN coalesce(r.refund_count, 0) / o.daily_orders ELSE 0 END AS refund_rate,
-  CASE WHEN o.daily_orders > 0 THEN CAST(o.daily_sales AS DOUBLE) / o.daily_orders ELSE 0 END AS avg_order_amount
-FROM order_daily o LEFT JOIN return_daily r USING (stat_date)
-LEFT JOIN active_daily a USING (stat_date) LEFT JOIN new_daily n USING (stat_date)""",
-    ),
-    (
-        "health_means",
-        """SELECT c.stat_date, CAST(sum(h.daily_sales) AS DOUBLE) / count(h.daily_sales) AS avg_sales,
-  CAST(sum(h.active_users) AS DOUBLE) / count(h.active_users) AS avg_active,
-  CAST(sum(h.new_users) AS DOUBLE) / count(h.new_users) AS avg_new,
-  CAST(sum(CAST(h.conversion_rate AS DECIMAL(18,6))) AS DOUBLE) / count(h.conversion_rate) AS avg_cvr,
-  CAST(sum(CAST(h.refund_rate AS DECIMAL(18,6))) AS DOUBLE) / count(h.refund_rate) AS avg_refund
-FROM health_counters c JOIN health_counters h ON h.stat_date >= c.stat_date - 30 AND h.stat_date < c.stat_date
-GROUP BY 1""",
+        """WITH measures AS (
+  SELECT CAST(order_time AS DATE) AS stat_date, order_amount AS sold, order_id AS sale, user_id AS buyer,
+    NULL AS refund, NULL AS seen, NULL AS joined FROM dwd_orders
+  UNION ALL SELECT CAST(apply_time AS DATE), NULL, NULL, NULL, return_id, NULL, NULL FROM returns
+  UNION ALL SELECT CAST(action_time AS DATE), NULL, NULL, NULL, NULL, user_id, CASE WHEN action_type = 'register' THEN user_id END
+  FROM user_actions WHERE action_type IN ('register','login','browse','favorite','add_cart','purchase','search'))
+SELECT stat_date, sum(sold) AS daily_sales, count(DISTINCT sale) AS daily_orders, nullif(count(DISTINCT seen), 0) AS active_users,
+  nullif(count(DISTINCT joined), 0) AS new_users, count(DISTINCT refund) AS refund_count,
+  coalesce(count(DISTINCT buyer) / nullif(count(DISTINCT seen), 0), 0) AS conversion_rate,
+  count(DISTINCT refund) / count(DISTINCT sale) AS refund_rate, CAST(sum(sold) AS DOUBLE) / count(DISTINCT sale) AS avg_order_amount
+FROM measures GROUP BY stat_date HAVING count(sale) > 0""",
     ),
     (
-        "health_parts",
-        """SELECT c.*, m.avg_sales, m.avg_cvr, m.avg_refund,
-  CASE WHEN avg_sales IS NULL THEN NULL ELSE CAST(daily_sales AS DOUBLE) / nullif(avg_sales * 1.2, 0) END AS s_raw,
-  active_users / nullif(avg_active * 1.2, 0) AS a_raw, new_users / nullif(avg_new * 1.2, 0) AS n_raw,
-  conversion_rate / nullif(avg_cvr * 1.2, 0) AS c_raw, refund_rate / nullif(avg_refund * 1.2, 0) AS r_raw
-FROM health_counters c LEFT JOIN health_means m USING (stat_date)""",
-    ),
-    (
-        "health_scored",
-        """SELECT *, 0.25 * CASE WHEN s_raw IS NOT NULL THEN least(s_raw, 1.0) END
-  + 0.20 * CASE WHEN a_raw IS NOT NULL THEN least(a_raw, 1.0) END
-  + 0.20 * CASE WHEN c_raw IS NOT NULL THEN least(c_raw, 1.0) END
-  + 0.20 * (1 - CASE WHEN r_raw IS NOT NULL THEN least(r_raw, 1.0) END)
-  + 0.15 * CASE WHEN n_raw IS NOT NULL THEN least(n_raw, 1.0) END AS health_score_raw FROM health_parts""",
+        "health_usual",
+        "SELECT *, "
+        + ", ".join(
+            f"avg({'CAST(daily_sales AS DOUBLE)' if c == 'daily_sales' else c}) OVER before AS usual_{c}" for _, c, _ in HEALTH_SCORE
+        )
+        + """ FROM health_counters
+WINDOW before AS (ORDER BY stat_date RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)""",
     ),
     (
         "health",
-        """SELECT stat_date, daily_sales, daily_orders, active_users, new_users, conversion_rate, refund_count,
-  refund_rate, avg_order_amount, round(health_score_raw, 0) AS health_score, health_score_raw,
-  coalesce(CAST(daily_sales AS DOUBLE) <= CAST(0.8 AS DOUBLE) * avg_sales, FALSE) AS sales_drop_warning,
-  coalesce(conversion_rate <= CAST(0.9 AS DOUBLE) * avg_cvr, FALSE) AS conversion_drop_warning,
-  coalesce(refund_rate >= CAST(1.1 AS DOUBLE) * avg_refund, FALSE) AS refund_spike_warning FROM health_scored""",
+        f"""SELECT stat_date, daily_sales, daily_orders, active_users, new_users, conversion_rate, refund_count,
+  refund_rate, avg_order_amount, round({health_score()}, 0) AS health_score, {health_score()} AS health_score_raw,
+  coalesce(CAST(daily_sales AS DOUBLE) <= CAST(0.8 AS DOUBLE) * usual_daily_sales, FALSE) AS sales_drop_warning,
+  coalesce(conversion_rate <= CAST(0.9 AS DOUBLE) * usual_conversion_rate, FALSE) AS conversion_drop_warning,
+  coalesce(refund_rate >= CAST(1.1 AS DOUBLE) * usual_refund_rate, FALSE) AS refund_spike_warning FROM health_usual""",
     ),
 ]
 HEALTH_DOUBLES = "daily_sales conversion_rate refund_rate health_score active_users new_users"
@@ -237,97 +194,66 @@ def health_sql(where: str = "") -> str:
 
 
 def merchant_profile_ctes(dates: str, bounded: bool = True, changed_only: bool = False):
-    """``dates`` is SQL giving one DATE column as_of."""
-    upto = (lambda expr: f"{expr} <= a.as_of") if bounded else (lambda expr: "TRUE")
-    changed = (
-        """WHERE (b.merchant_id, a.as_of) IN (
-  SELECT m.merchant_id, a.as_of FROM merchant_daily m JOIN as_ofs a ON m.stat_date >= a.as_of - 30
-  UNION SELECT r.merchant_id, a.as_of FROM returns r JOIN as_ofs a ON r.apply_time >= a.as_of - 30
-  UNION SELECT o.merchant_id, a.as_of FROM merchant_operations o JOIN as_ofs a ON o.operation_time >= a.as_of - 30
-  UNION SELECT d.merchant_id, a.as_of FROM dim_merchants d JOIN as_ofs a ON d.updated_time >= a.as_of - 30)"""
-        if changed_only
-        else ""
-    )
-    points = "100 - pow(coalesce(rl.n, 0) / ol.orders * 100, 2)"
+    """``dates`` is SQL giving one DATE column as_of.
+
+    All that happens to a merchant is one list of events with a day; a snapshot folds the events that its date sees, over
+    the merchant's life and over the days just before.
+    """
+    seen = "e.day <= a.as_of" if bounded else "TRUE"
+    before = lambda days: f"FILTER (WHERE e.day >= a.as_of - {days} AND e.day < a.as_of)"
+    life = f"FILTER (WHERE {seen})"
+    touched = """WHERE EXISTS (SELECT 1 FROM merchant_touched t WHERE t.merchant_id = f.merchant_id AND t.day >= f.as_of - 30)"""
     return [
         ("as_ofs", dates),
         (
-            "mp_products",
-            """SELECT merchant_id, count(DISTINCT product_id) AS n,
-  count(DISTINCT CASE WHEN product_status = 'active' THEN product_id END) AS on_sale FROM dim_products GROUP BY 1""",
-        ),
-        (
-            "mp_life",
-            f"""SELECT a.as_of, m.merchant_id, sum(daily_sales) AS sales, sum(order_count) AS orders
-FROM merchant_daily m JOIN as_ofs a ON {upto("m.stat_date")} GROUP BY 1, 2""",
-        ),
-        (
-            "mp_recent",
-            """SELECT a.as_of, m.merchant_id, sum(daily_sales) AS sales, sum(order_count) AS orders
-FROM merchant_daily m JOIN as_ofs a ON m.stat_date >= a.as_of - 30 AND m.stat_date < a.as_of GROUP BY 1, 2""",
-        ),
-        (
-            "mp_week",
-            """SELECT a.as_of, m.merchant_id, avg(CAST(daily_sales AS DOUBLE)) AS mean,
-  stddev_pop(CAST(daily_sales AS DOUBLE)) AS sigma, sum(CASE WHEN daily_sales = 0 THEN 1 ELSE 0 END) AS zero_days
-FROM merchant_daily m JOIN as_ofs a ON m.stat_date >= a.as_of - 7 AND m.stat_date < a.as_of GROUP BY 1, 2""",
-        ),
-        (
-            "mp_returns",
-            f"""SELECT a.as_of, r.merchant_id, count(DISTINCT return_id) AS n
-FROM returns r JOIN as_ofs a ON {upto("CAST(r.apply_time AS DATE)")} GROUP BY 1, 2""",
-        ),
-        (
-            "mp_recent_returns",
-            """SELECT a.as_of, r.merchant_id, count(DISTINCT return_id) AS n FROM returns r
-JOIN as_ofs a ON CAST(r.apply_time AS DATE) >= a.as_of - 30 AND CAST(r.apply_time AS DATE) < a.as_of GROUP BY 1, 2""",
+            "merchant_events",
+            """SELECT merchant_id, stat_date AS day, daily_sales AS sales, order_count AS orders, NULL::VARCHAR AS refund, NULL::DOUBLE AS shipped_after,
+  NULL::DOUBLE AS answered_after, NULL::INTEGER AS removed FROM merchant_daily
+UNION ALL SELECT merchant_id, CAST(apply_time AS DATE), NULL, NULL, return_id, NULL,
+  epoch(coalesce(approved_time, rejected_time) - apply_time) // 3600, NULL FROM returns
+UNION ALL SELECT merchant_id, order_date, NULL, NULL, NULL, epoch(shipping_time - order_time) // 3600, NULL, NULL FROM order_lines
+UNION ALL SELECT merchant_id, CAST(operation_time AS DATE), NULL, NULL, NULL, NULL, NULL, 1 FROM merchant_operations
+  WHERE operation_type = 'remove_product'""",
         ),
         (
-            "mp_shipping",
-            f"""SELECT a.as_of, o.merchant_id, avg(epoch(shipping_time - order_time) // 3600) AS hours
-FROM order_lines o JOIN as_ofs a ON {upto("o.order_date")} WHERE shipping_time IS NOT NULL GROUP BY 1, 2""",
+            "merchant_touched",
+            """SELECT merchant_id, stat_date AS day FROM merchant_daily UNION SELECT merchant_id, apply_time FROM returns
+UNION SELECT merchant_id, operation_time FROM merchant_operations UNION SELECT merchant_id, updated_time FROM dim_merchants""",
         ),
         (
-            "mp_answers",
-            f"""SELECT a.as_of, r.merchant_id, avg(CASE WHEN approved_time IS NOT NULL THEN epoch(approved_time - apply_time) // 3600
-  ELSE epoch(rejected_time - apply_time) // 3600 END) AS hours
-FROM returns r JOIN as_ofs a ON {upto("CAST(r.apply_time AS DATE)")}
-WHERE approved_time IS NOT NULL OR rejected_time IS NOT NULL GROUP BY 1, 2""",
+            "merchant_offer",
+            """SELECT merchant_id, count(DISTINCT product_id) AS listed,
+  count(DISTINCT product_id) FILTER (WHERE product_status = 'active') AS on_sale FROM dim_products GROUP BY merchant_id""",
         ),
         (
-            "mp_offline",
-            """SELECT a.as_of, merchant_id, count(*) AS n FROM merchant_operations o
-JOIN as_ofs a ON CAST(o.operation_time AS DATE) >= a.as_of - 1 AND CAST(o.operation_time AS DATE) < a.as_of
-WHERE operation_type = 'remove_product' GROUP BY 1, 2""",
+            "merchant_folds",
+            f"""SELECT a.as_of, merchant_id, sum(sales) {life} AS sales, sum(orders) {life} AS orders,
+  count(DISTINCT refund) {life} AS refunds, avg(shipped_after) {life} AS shipped_after, avg(answered_after) {life} AS answered_after,
+  sum(sales) {before(30)} AS sales30, sum(orders) {before(30)} AS orders30, count(DISTINCT refund) {before(30)} AS refunds30,
+  avg(CAST(sales AS DOUBLE)) {before(7)} AS mean7, stddev_pop(CAST(sales AS DOUBLE)) {before(7)} AS sigma7,
+  count(*) FILTER (WHERE sales = 0 AND e.day >= a.as_of - 7 AND e.day < a.as_of) AS zero_days, sum(removed) {before(1)} AS removed
+FROM as_ofs a JOIN merchant_events e ON {seen} OR e.day < a.as_of GROUP BY ALL""",
         ),
         (
             "merchant_profile",
-            f"""SELECT a.as_of AS stat_date, b.merchant_id, CAST(b.register_time AS DATE) AS register_date, b.merchant_name,
-  CASE WHEN coalesce(ol.orders, 0) = 0 THEN 'D' WHEN {points} >= 80 THEN 'A' WHEN {points} >= 60 THEN 'B'
-       WHEN {points} >= 40 THEN 'C' ELSE 'D' END AS merchant_level,
-  coalesce(ps.n, 0) AS total_product_count, coalesce(ps.on_sale, 0) AS on_sale_product_count,
-  coalesce(ol.sales, 0) AS total_sales_amount, coalesce(ol.orders, 0) AS total_order_count,
-  coalesce(rl.n, 0) AS total_return_count, coalesce(sh.hours, 0) AS avg_response_time_hours_shop,
-  coalesce(an.hours, 0) AS avg_response_time_hours_return, coalesce(oc.sales, 0) AS last_30d_sales_amount,
-  coalesce(oc.orders, 0) AS last_30d_order_count, coalesce(rr.n, 0) AS last_30d_return_count,
-  CASE WHEN coalesce(oc.orders, 0) = 0 THEN 0 ELSE coalesce(rr.n, 0) / oc.orders END AS last_30d_return_rate,
-  coalesce(wk.mean, 0) AS daily_sales_avg_30d, coalesce(wk.sigma, 0) AS daily_sales_stddev_30d,
-  coalesce(wk.zero_days, 0) AS zero_sales_days_7d, coalesce(of.n, 0) > 5 AS sudden_offline_flag
-FROM dim_merchants b CROSS JOIN as_ofs a
-LEFT JOIN mp_products ps ON ps.merchant_id = b.merchant_id
-LEFT JOIN mp_life ol ON ol.merchant_id = b.merchant_id AND ol.as_of = a.as_of
-LEFT JOIN mp_recent oc ON oc.merchant_id = b.merchant_id AND oc.as_of = a.as_of
-LEFT JOIN mp_returns rl ON rl.merchant_id = b.merchant_id AND rl.as_of = a.as_of
-LEFT JOIN mp_recent_returns rr ON rr.merchant_id = b.merchant_id AND rr.as_of = a.as_of
-LEFT JOIN mp_shipping sh ON sh.merchant_id = b.merchant_id AND sh.as_of = a.as_of
-LEFT JOIN mp_answers an ON an.merchant_id = b.merchant_id AND an.as_of = a.as_of
-LEFT JOIN mp_week wk ON wk.merchant_id = b.merchant_id AND wk.as_of = a.as_of
-LEFT JOIN mp_offline of ON of.merchant_id = b.merchant_id AND of.as_of = a.as_of {changed}""",
+            f"""WITH f AS (SELECT a.as_of, m.*, f.* EXCLUDE (as_of, merchant_id),
+    100 - pow(f.refunds / nullif(f.orders, 0) * 100, 2) AS points FROM dim_merchants m CROSS JOIN as_ofs a
+  LEFT JOIN merchant_folds f ON f.merchant_id = m.merchant_id AND f.as_of = a.as_of)
+SELECT f.as_of AS stat_date, f.merchant_id, CAST(f.register_time AS DATE) AS register_date, f.merchant_name,
+  CASE WHEN points >= 80 THEN 'A' WHEN points >= 60 THEN 'B' WHEN points >= 40 THEN 'C' ELSE 'D' END AS merchant_level,
+  coalesce(o.listed, 0) AS total_product_count, coalesce(o.on_sale, 0) AS on_sale_product_count,
+  coalesce(sales, 0) AS total_sales_amount, coalesce(orders, 0) AS total_order_count, coalesce(refunds, 0) AS total_return_count,
+  coalesce(shipped_after, 0) AS avg_response_time_hours_shop, coalesce(answered_after, 0) AS avg_response_time_hours_return,
+  coalesce(sales30, 0) AS last_30d_sales_amount, coalesce(orders30, 0) AS last_30d_order_count,
+  coalesce(refunds30, 0) AS last_30d_return_count, coalesce(refunds30 / nullif(orders30, 0), 0) AS last_30d_return_rate,
+  coalesce(mean7, 0) AS daily_sales_avg_30d, coalesce(sigma7, 0) AS daily_sales_stddev_30d,
+  coalesce(zero_days, 0) AS zero_sales_days_7d, coalesce(removed, 0) > 5 AS sudden_offline_flag
+FROM f LEFT JOIN merchant_offer o ON o.merchant_id = f.merchant_id {touched if changed_only else ""}""",
         ),
     ]
 
 
-MONTH_DATES = f"SELECT CAST(unnest(generate_series(DATE '{FIRST_MONTH}', DATE '{LAST_MONTH}', INTERVAL 1 MONTH)) AS DATE) AS as_of"
+MONTH_DATES = "SELECT CAST(unnest(generate_series(first_month, last_day, INTERVAL 1 MONTH)) AS DATE) AS as_of FROM span"
 DAY_DATE = f"SELECT DATE '{ONE_DAY}' AS as_of"
 
 
@@ -406,81 +332,58 @@ LEFT JOIN turnover t USING (product_id) {changed}""",
 # --- user profile ----------------------------------------------------------------------------------
 
 
+# points for more than so many login days, orders and spent in the last 30 days. Fixed values.
+USER_POINTS = [("logins", [(27, 15), (20, 10), (10, 5)]), ("orders30", [(10, 15), (5, 5)]), ("amount30", [(50000, 55), (10000, 30), (1000, 15)])]
+
+
+def user_points() -> str:
+    steps = [(c, " ".join(f"WHEN {c} > {over} THEN {points}" for over, points in levels)) for c, levels in USER_POINTS]
+    return " + ".join(f"CASE {step} ELSE 0 END" for _, step in steps)
+
+
 def user_profile_ctes(dates: str, bounded: bool = True, changed_only: bool = False):
-    upto = (lambda expr: f"CAST({expr} AS DATE) <= a.as_of") if bounded else (lambda expr: "TRUE")
-    recent = lambda expr: f"{expr} >= a.as_of - 30" + (f" AND {upto(expr)}" if bounded else "")
-    changed = (
-        f"""WHERE u.user_id IN (SELECT user_id FROM users WHERE updated_time >= DATE '{ONE_DAY}' - 30
-  UNION SELECT user_id FROM dwd_orders WHERE order_time >= DATE '{ONE_DAY}' - 30
-  UNION SELECT user_id FROM returns WHERE apply_time >= DATE '{ONE_DAY}' - 30
-  UNION SELECT user_id FROM user_actions WHERE action_time >= DATE '{ONE_DAY}' - 30)"""
-        if changed_only
-        else ""
-    )
+    """Orders, returns and actions of a user as one list of events; each snapshot date folds what it sees of it."""
+    seen = "CAST(e.happened AS DATE) <= a.as_of" if bounded else "TRUE"
+    new = f"e.happened >= a.as_of - 30 AND {seen}"
+    touched = f"""WHERE u.user_id IN (SELECT user_id FROM user_events WHERE happened >= DATE '{ONE_DAY}' - 30
+  UNION SELECT user_id FROM users WHERE updated_time >= DATE '{ONE_DAY}' - 30)"""
     return [
         ("user_dates", dates),
         (
-            "up_orders",
-            f"""SELECT a.as_of, o.user_id, count(DISTINCT order_id) AS n, sum(order_amount) AS amount,
-  max(order_time) AS last_order, sum(CASE WHEN {recent("order_time")} THEN order_amount ELSE 0 END) AS amount30,
-  count(DISTINCT CASE WHEN {recent("order_time")} THEN order_id END) AS n30
-FROM dwd_orders o JOIN user_dates a ON {upto("order_time")} GROUP BY 1, 2""",
-        ),
-        (
-            "up_returns",
-            f"""SELECT a.as_of, r.user_id, count(DISTINCT return_id) AS n,
-  count(DISTINCT CASE WHEN {recent("apply_time")} THEN return_id END) AS n30
-FROM returns r JOIN user_dates a ON {upto("apply_time")} GROUP BY 1, 2""",
-        ),
-        (
-            "up_actions",
-            f"""SELECT a.as_of, x.user_id,
-  count(DISTINCT CASE WHEN action_type = 'login' AND {recent("action_time")} THEN CAST(action_time AS DATE) END) AS logins,
-  count(CASE WHEN action_type = 'browse' AND {recent("action_time")} THEN 1 END) AS views
-FROM user_actions x JOIN user_dates a ON {upto("action_time")} GROUP BY 1, 2""",
-        ),
-        (
-            "up_categories",
-            f"""SELECT a.as_of, o.user_id, p.category_name, count(*) AS n FROM dwd_orders o
-LEFT JOIN dim_products p ON o.product_id = p.product_id JOIN user_dates a ON {upto("order_time")} GROUP BY 1, 2, 3""",
-        ),
-        (
-            "up_many",
-            """SELECT as_of, user_id, string_agg(category_name, ',' ORDER BY n DESC, category_name) AS names
-FROM up_categories WHERE n > 5 GROUP BY 1, 2""",
+            "user_events",
+            """SELECT user_id, order_time AS happened, order_id AS sale, order_amount AS amount, product_id, NULL::VARCHAR AS refund, NULL::VARCHAR AS action FROM dwd_orders
+UNION ALL SELECT user_id, apply_time, NULL, NULL, NULL, return_id, NULL FROM returns
+UNION ALL SELECT user_id, action_time, NULL, NULL, NULL, NULL, action_type FROM user_actions""",
         ),
         (
-            "up_most",
-            """SELECT as_of, user_id, category_name AS name FROM (SELECT *, row_number() OVER
-  (PARTITION BY as_of, user_id ORDER BY n DESC, category_name) AS rn FROM up_categories) WHERE rn = 1""",
+            "user_folds",
+            f"""SELECT a.as_of, user_id, count(DISTINCT sale) AS orders, sum(amount) AS amount, max(happened) FILTER (WHERE sale IS NOT NULL) AS last_order,
+  count(DISTINCT refund) AS refunds, count(DISTINCT sale) FILTER (WHERE {new}) AS orders30, coalesce(sum(amount) FILTER (WHERE {new}), 0) AS amount30,
+  count(DISTINCT refund) FILTER (WHERE {new}) AS refunds30, count(*) FILTER (WHERE action = 'browse' AND {new}) AS views,
+  count(DISTINCT CAST(happened AS DATE)) FILTER (WHERE action = 'login' AND {new}) AS logins
+FROM user_dates a JOIN user_events e ON {seen} GROUP BY ALL""",
         ),
         (
-            "up_scored",
-            f"""SELECT a.as_of, u.user_id, u.created_time, o.n AS orders, o.amount, o.last_order, o.n30, o.amount30,
-  r.n AS returned, r.n30 AS returned30, x.logins, x.views, coalesce(m.names, t.name, '未知') AS preferred_category,
-  (CASE WHEN coalesce(x.logins, 0) > 27 THEN 15 WHEN coalesce(x.logins, 0) > 20 THEN 10
-        WHEN coalesce(x.logins, 0) > 10 THEN 5 ELSE 0 END)
-  + (CASE WHEN coalesce(o.n30, 0) > 10 THEN 15 WHEN coalesce(o.n30, 0) > 5 THEN 5 ELSE 0 END)
-  + (CASE WHEN coalesce(o.amount30, 0) > 50000 THEN 55 WHEN coalesce(o.amount30, 0) > 10000 THEN 30
-          WHEN coalesce(o.amount30, 0) > 1000 THEN 15 ELSE 0 END) AS score
-FROM users u CROSS JOIN user_dates a
-LEFT JOIN up_orders o ON o.user_id = u.user_id AND o.as_of = a.as_of
-LEFT JOIN up_returns r ON r.user_id = u.user_id AND r.as_of = a.as_of
-LEFT JOIN up_actions x ON x.user_id = u.user_id AND x.as_of = a.as_of
-LEFT JOIN up_many m ON m.user_id = u.user_id AND m.as_of = a.as_of
-LEFT JOIN up_most t ON t.user_id = u.user_id AND t.as_of = a.as_of {changed}""",
+            "user_tastes",
+            f"""SELECT as_of, user_id, coalesce(string_agg(category_name, ',' ORDER BY n DESC, category_name) FILTER (WHERE n > 5),
+    (list(category_name ORDER BY n DESC, category_name))[1]) AS names
+FROM (SELECT a.as_of, e.user_id, p.category_name, count(*) AS n FROM user_dates a JOIN user_events e ON e.sale IS NOT NULL AND {seen}
+  LEFT JOIN dim_products p ON p.product_id = e.product_id GROUP BY ALL) GROUP BY ALL""",
         ),
         (
             "user_profile",
-            """SELECT as_of AS stat_date, user_id, CAST(created_time AS DATE) AS register_date,
-  coalesce(amount, 0) AS total_order_amount, coalesce(orders, 0) AS total_order_count,
-  coalesce(returned, 0) AS total_return_count, last_order AS last_order_date,
-  coalesce(logins, 0) AS last_30d_login_days, coalesce(views, 0) AS last_30d_view_cnt,
-  coalesce(n30, 0) AS last_30d_order_cnt, coalesce(amount30, 0) AS last_30d_order_amount,
-  coalesce(returned30, 0) AS last_30d_return_cnt,
-  CASE WHEN n30 > 0 THEN CAST(amount30 AS DOUBLE) / n30 ELSE 0 END AS avg_order_amount_30d, score AS user_score,
+            f"""WITH f AS (SELECT a.as_of, u.user_id, u.created_time, t.names, f.last_order, coalesce(f.orders, 0) AS orders,
+    coalesce(f.amount, 0) AS amount, coalesce(f.refunds, 0) AS refunds, coalesce(f.orders30, 0) AS orders30, coalesce(f.amount30, 0) AS amount30,
+    coalesce(f.refunds30, 0) AS refunds30, coalesce(f.logins, 0) AS logins, coalesce(f.views, 0) AS views
+  FROM users u CROSS JOIN user_dates a LEFT JOIN user_folds f ON f.user_id = u.user_id AND f.as_of = a.as_of
+  LEFT JOIN user_tastes t ON t.user_id = u.user_id AND t.as_of = a.as_of {touched if changed_only else ""}),
+scored AS (SELECT *, {user_points()} AS score FROM f)
+SELECT as_of AS stat_date, user_id, CAST(created_time AS DATE) AS register_date, amount AS total_order_amount,
+  orders AS total_order_count, refunds AS total_return_count, last_order AS last_order_date, logins AS last_30d_login_days,
+  views AS last_30d_view_cnt, orders30 AS last_30d_order_cnt, amount30 AS last_30d_order_amount, refunds30 AS last_30d_return_cnt,
+  coalesce(CAST(amount30 AS DOUBLE) / nullif(orders30, 0), 0) AS avg_order_amount_30d, score AS user_score,
   CASE WHEN score >= 80 THEN '优质' WHEN score >= 60 THEN '高潜质' WHEN score >= 30 THEN '中潜质' ELSE '普通' END AS user_level,
-  preferred_category FROM up_scored""",
+  coalesce(names, '未知') AS preferred_category FROM scored""",
         ),
     ]
 

@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from verification.oracles import (
-    FIRST_YEAR,
     HEALTH_BIGINTS,
     HEALTH_CTES,
     HEALTH_DOUBLES,
-    LAST_YEAR,
     MERCHANT_DAILY_BIGINTS,
     MERCHANT_DAILY_CTES,
     MERCHANT_DAILY_DOUBLES,
@@ -20,7 +18,6 @@ from verification.oracles import (
     with_views,
 )
 
-YEARS = range(FIRST_YEAR, LAST_YEAR + 1)
 SNAPSHOT = (
     "merchant_snapshot",
     """SELECT d.stat_date, d.merchant_id, p.merchant_name, p.merchant_level, d.daily_sales, d.order_count,
@@ -53,53 +50,33 @@ def platform_daily_sql() -> str:
 MERCHANT_MONTHLY_CTES = [
     MONTHS,
     (
-        "mm_totals",
-        """SELECT m, merchant_id, sum(daily_sales) AS total_sales, sum(order_count) AS order_count,
-  sum(refund_count) AS refund_count FROM merchant_snapshot
-JOIN months ON stat_date >= m - INTERVAL 1 MONTH AND stat_date < m GROUP BY 1, 2""",
+        "merchant_sums",
+        """SELECT CAST(date_trunc('month', stat_date) + INTERVAL 1 MONTH AS DATE) AS stat_month, merchant_id, sum(daily_sales) AS total_sales,
+  sum(order_count) AS order_count, sum(refund_count) AS refund_count FROM merchant_daily GROUP BY ALL""",
     ),
     (
-        "mm_customers",
-        """SELECT m, merchant_id, count(DISTINCT user_id) AS n FROM order_lines
-JOIN months ON order_time >= m - INTERVAL 1 MONTH AND order_time < m GROUP BY 1, 2""",
+        "merchant_tops",
+        """SELECT label AS stat_month, merchant_id, list(product_name ORDER BY n DESC, product_name, product_id) AS names
+FROM (SELECT label, merchant_id, product_id, product_name, count(DISTINCT order_id) AS n FROM order_lines GROUP BY ALL) GROUP BY ALL""",
     ),
     (
-        "mm_products",
-        """SELECT label AS m, merchant_id, product_id, product_name, count(DISTINCT order_id) AS n
-FROM order_lines GROUP BY 1, 2, 3, 4""",
-    ),
-    (
-        "mm_top",
-        """SELECT m, merchant_id, string_agg(product_name, ',' ORDER BY rn) AS names FROM (
-  SELECT *, row_number() OVER (PARTITION BY m, merchant_id ORDER BY n DESC, product_name, product_id) AS rn
-  FROM mm_products) WHERE rn <= 5 GROUP BY 1, 2""",
-    ),
-    (
-        "mm_all",
-        """SELECT m, merchant_id, string_agg(product_name, ',' ORDER BY n DESC, product_name, product_id) AS names
-FROM mm_products GROUP BY 1, 2""",
-    ),
-    ("mm_sizes", "SELECT merchant_id, count(DISTINCT product_id) AS n FROM dim_products GROUP BY 1"),
-    (
-        "mm_base",
-        """SELECT m AS stat_month, s.merchant_id, s.merchant_name, s.merchant_level, t.total_sales, t.order_count,
-  t.refund_count FROM merchant_snapshot s JOIN months ON s.stat_date = m
-LEFT JOIN mm_totals t USING (m, merchant_id)""",
+        "merchant_customers",
+        "SELECT label AS stat_month, merchant_id, count(DISTINCT user_id) AS n FROM order_lines GROUP BY ALL",
     ),
     (
         "merchant_monthly",
-        """SELECT b.stat_month, b.merchant_id, b.merchant_name, b.merchant_level, b.total_sales, b.order_count,
-  coalesce(c.n, 0) AS customer_count, b.refund_count,
-  CASE WHEN b.order_count > 0 THEN b.refund_count / b.order_count ELSE 0 END AS refund_rate,
-  CASE WHEN z.n < 5 THEN coalesce(al.names, '') ELSE coalesce(tp.names, '') END AS top_products,
-  CASE WHEN CAST(b.total_sales AS DOUBLE) > CAST(1.2 AS DOUBLE) * coalesce(CAST(h.total_sales AS DOUBLE), 0) THEN '上升'
-       WHEN CAST(b.total_sales AS DOUBLE) < CAST(0.8 AS DOUBLE) * coalesce(CAST(h.total_sales AS DOUBLE), 0) THEN '下降'
+        """SELECT s.stat_date AS stat_month, s.merchant_id, s.merchant_name, s.merchant_level, t.total_sales, t.order_count,
+  coalesce(c.n, 0) AS customer_count, t.refund_count, coalesce(t.refund_count / nullif(t.order_count, 0), 0) AS refund_rate,
+  coalesce(array_to_string(p.names[1:5], ','), '') AS top_products,
+  CASE WHEN CAST(t.total_sales AS DOUBLE) > CAST(1.2 AS DOUBLE) * coalesce(CAST(e.total_sales AS DOUBLE), 0) THEN '上升'
+       WHEN CAST(t.total_sales AS DOUBLE) < CAST(0.8 AS DOUBLE) * coalesce(CAST(e.total_sales AS DOUBLE), 0) THEN '下降'
        ELSE '平稳' END AS sales_trend
-FROM mm_base b LEFT JOIN mm_customers c ON c.m = b.stat_month AND c.merchant_id = b.merchant_id
-LEFT JOIN mm_top tp ON tp.m = b.stat_month AND tp.merchant_id = b.merchant_id
-LEFT JOIN mm_all al ON al.m = b.stat_month AND al.merchant_id = b.merchant_id
-LEFT JOIN mm_sizes z ON z.merchant_id = b.merchant_id
-LEFT JOIN mm_base h ON h.merchant_id = b.merchant_id AND h.stat_month = b.stat_month - INTERVAL 1 MONTH""",
+FROM merchant_snapshot s JOIN months ON m = s.stat_date
+LEFT JOIN merchant_sums t ON t.stat_month = m AND t.merchant_id = s.merchant_id
+LEFT JOIN merchant_customers c ON c.stat_month = m AND c.merchant_id = s.merchant_id
+LEFT JOIN merchant_tops p ON p.stat_month = m AND p.merchant_id = s.merchant_id
+LEFT JOIN merchant_sums e ON e.stat_month = m - INTERVAL 1 MONTH AND e.merchant_id = s.merchant_id
+  AND e.stat_month >= (SELECT first_month FROM span)""",
     ),
 ]
 
@@ -115,10 +92,10 @@ def merchant_monthly_sql() -> str:
 MERCHANT_YEARLY_CTES = [
     (
         "my_totals",
-        f"""SELECT year(stat_month) AS stat_year, merchant_id, max(merchant_name) AS merchant_name,
+        """SELECT year(stat_month) AS stat_year, merchant_id, max(merchant_name) AS merchant_name,
   max(merchant_level) AS merchant_level, sum(total_sales) AS total_sales, sum(order_count) AS order_count,
   sum(refund_count) AS refund_count FROM merchant_monthly
-WHERE stat_month >= DATE '{FIRST_YEAR}-01-01' AND stat_month < DATE '{LAST_YEAR + 1}-01-01' GROUP BY 1, 2""",
+WHERE year(stat_month) <= (SELECT last_year FROM span) GROUP BY 1, 2""",
     ),
     (
         "my_customers",
@@ -155,15 +132,10 @@ USER_MONTHLY_CTES = [
     MONTHS,
     *user_profile_ctes(MONTH_DATES),
     (
-        "um_day",
-        "SELECT label AS m, user_id, merchant_id, order_date, count(DISTINCT order_id) AS n FROM order_lines GROUP BY 1, 2, 3, 4",
-    ),
-    ("um_month", "SELECT m, user_id, merchant_id, sum(n) AS n FROM um_day GROUP BY 1, 2, 3"),
-    (
-        "um_suspicious",
-        """SELECT d.m, d.user_id, max(CASE WHEN d.n > 10 THEN 1 ELSE 0 END) AS day_high,
-  max(CASE WHEN t.n > 50 THEN 1 ELSE 0 END) AS month_high
-FROM um_day d LEFT JOIN um_month t USING (m, user_id, merchant_id) GROUP BY 1, 2""",
+        "brushing",
+        """SELECT label AS m, user_id FROM (SELECT *, sum(in_day) OVER (PARTITION BY label, user_id, merchant_id) AS in_month
+  FROM (SELECT label, user_id, merchant_id, order_date, count(DISTINCT order_id) AS in_day FROM order_lines GROUP BY ALL))
+WHERE in_day > 10 OR in_month > 50 GROUP BY ALL""",
     ),
     (
         "um_base",
@@ -188,9 +160,9 @@ WINDOW w AS (PARTITION BY user_id ORDER BY m ROWS UNBOUNDED PRECEDING)""",
        WHEN b.user_level IN ('优质', '高潜质', '中潜质') THEN '活跃'
        WHEN b.last_30d_order_cnt = 0 THEN '流失' ELSE '无明显特征' END AS lifecycle_stage,
   CASE WHEN b.last_30d_return_cnt >= 50 AND b.last_30d_return_cnt / nullif(b.last_30d_order_cnt, 0) > 0.7 THEN '异常退货'
-       WHEN coalesce(s.day_high, 0) = 1 OR coalesce(s.month_high, 0) = 1 THEN '刷单嫌疑' ELSE '正常' END AS risk_flag
+       WHEN s.user_id IS NOT NULL THEN '刷单嫌疑' ELSE '正常' END AS risk_flag
 FROM um_base b LEFT JOIN users u ON u.user_id = b.user_id
-LEFT JOIN um_suspicious s ON s.m = b.stat_month AND s.user_id = b.user_id""",
+LEFT JOIN brushing s ON s.m = b.stat_month AND s.user_id = b.user_id""",
     ),
 ]
 
@@ -203,79 +175,60 @@ def user_monthly_sql() -> str:
     )
 
 
-def user_yearly_ctes():
-    inside = f"stat_month >= DATE '{FIRST_YEAR}-01-01' AND stat_month < DATE '{LAST_YEAR + 1}-01-01'"
-    ctes = [
-        (
-            "uy_sums",
-            f"""SELECT year(stat_month) AS y, user_id, sum(month_login_days) AS logins, sum(month_view_cnt) AS views,
-  sum(month_order_cnt) AS orders, sum(month_order_amount) AS amount, sum(month_return_cnt) AS returned,
-  count(CASE WHEN user_level = '优质' THEN 1 END) AS l1, count(CASE WHEN user_level IN ('优质','高潜质') THEN 1 END) AS l2,
-  count(CASE WHEN user_level IN ('优质','高潜质','中潜质') THEN 1 END) AS l3,
-  count(CASE WHEN user_level IN ('中潜质','普通') THEN 1 END) AS low2, count(CASE WHEN user_level = '普通' THEN 1 END) AS low1,
-  count(CASE WHEN risk_flag != '正常' THEN 1 END) AS risky,
-  sum(CASE WHEN month(stat_month) >= 10 THEN month_order_cnt END) AS last3
-FROM user_monthly WHERE {inside} GROUP BY 1, 2""",
-        ),
-        ("uy_split", f"""SELECT year(stat_month) AS y, user_id, trim(unnest(string_split(preferred_category, ',')[1:5])) AS category
-FROM user_monthly WHERE {inside} AND preferred_category IS NOT NULL AND preferred_category != ''"""),
-        ("uy_counts", "SELECT y, user_id, category, count(*) AS n FROM uy_split WHERE category != '' GROUP BY 1, 2, 3"),
-        (
-            "uy_top",
-            """SELECT y, user_id, string_agg(category, ',' ORDER BY n DESC, category) AS names FROM (
-  SELECT *, row_number() OVER (PARTITION BY y, user_id ORDER BY n DESC, category) AS rn FROM uy_counts)
-WHERE rn <= 5 GROUP BY 1, 2""",
-        ),
-    ]
-    for y in YEARS:
-        p1 = f"LEFT JOIN uy_flag_{y - 1} h1 ON h1.user_id = r.user_id" if y > FIRST_YEAR else ""
-        p2 = f"LEFT JOIN uy_flag_{y - 2} h2 ON h2.user_id = r.user_id" if y - 1 > FIRST_YEAR else ""
-        f1 = "h1.flag IN ('高风险', '超级高风险')" if p1 else "FALSE"
-        f2 = "h2.flag IN ('高风险', '超级高风险')" if p2 else "FALSE"
-        usual = "CASE WHEN risky > 3 THEN '高风险' ELSE '正常' END"
-        ctes.append(
-            (
-                f"uy_reg_{y}",
-                f"""SELECT user_id, year(register_date) AS reg, register_date FROM (SELECT *, row_number() OVER
-  (PARTITION BY user_id ORDER BY stat_date DESC) AS rn FROM user_profile WHERE stat_date <= DATE '{y + 1}-01-01') WHERE rn = 1""",
-            )
-        )
-        ctes.append(
-            (
-                f"uy_flag_{y}",
-                f"""SELECT u.user_id, coalesce(f.flag, '正常') AS flag FROM users u LEFT JOIN (SELECT r.user_id,
-  CASE WHEN g.reg = {y} THEN {usual}
-       WHEN g.reg = {y - 1} THEN CASE WHEN {f1} THEN CASE WHEN risky > 1 THEN '高风险' ELSE '正常' END ELSE {usual} END
-       WHEN g.reg <= {y - 2} THEN CASE WHEN {f1} AND {f2} THEN CASE WHEN risky > 0 THEN '超级高风险' ELSE '正常' END ELSE {usual} END
-       ELSE '正常' END AS flag
-FROM (SELECT user_id, risky FROM uy_sums WHERE y = {y}) r {p1} {p2}
-LEFT JOIN uy_reg_{y} g ON g.user_id = r.user_id) f ON f.user_id = u.user_id""",
-            )
-        )
-    rows = "\nUNION ALL ".join(
-        f"""SELECT {y} AS stat_year, u.user_id, u.user_name, g.register_date,
-  coalesce(CASE WHEN s.l1 >= 9 AND s.low2 = 0 THEN '年度优质用户' WHEN s.l2 >= 9 AND s.low1 = 0 THEN '年度高潜质用户'
-       WHEN s.l3 >= 9 THEN '年度潜质用户' WHEN s.user_id IS NOT NULL THEN '普通用户' END, '普通') AS user_level,
+# A year's risk looks at the flags of the two years before, so the years are walked one after the other.
+USER_YEARLY_CTES = [
+    (
+        "year_rows",
+        """SELECT year(stat_month) AS y, * FROM user_monthly WHERE year(stat_month) <= (SELECT last_year FROM span)""",
+    ),
+    (
+        "year_sums",
+        """SELECT y, user_id, sum(month_login_days) AS logins, sum(month_view_cnt) AS views, sum(month_order_cnt) AS orders,
+  sum(month_order_amount) AS amount, sum(month_return_cnt) AS refunds, count(*) FILTER (WHERE risk_flag != '正常') AS risky,
+  sum(month_order_cnt) FILTER (WHERE month(stat_month) >= 10) AS late_orders,
+  list(array_position(['优质', '高潜质', '中潜质', '普通'], user_level)) AS ranks FROM year_rows GROUP BY ALL""",
+    ),
+    (
+        "year_tastes",
+        """SELECT y, user_id, array_to_string((list(taste ORDER BY n DESC, taste))[1:5], ',') AS names
+FROM (SELECT y, user_id, taste, count(*) AS n FROM (SELECT y, user_id, trim(unnest(string_split(preferred_category, ',')[1:5])) AS taste
+  FROM year_rows) WHERE taste != '' GROUP BY ALL) GROUP BY ALL""",
+    ),
+    (
+        "year_risks",
+        """SELECT first_year - 1 AS y, user_id, '正常' AS flag, '正常' AS flag_before FROM users, span
+UNION ALL
+SELECT r.y + 1, r.user_id, CASE
+    WHEN s.risky IS NULL THEN '正常'
+    WHEN year(u.created_time) = r.y AND r.flag != '正常' THEN CASE WHEN s.risky > 1 THEN '高风险' ELSE '正常' END
+    WHEN year(u.created_time) < r.y AND r.flag != '正常' AND r.flag_before != '正常' THEN CASE WHEN s.risky > 0 THEN '超级高风险' ELSE '正常' END
+    WHEN year(u.created_time) <= r.y + 1 AND s.risky > 3 THEN '高风险' ELSE '正常' END, r.flag
+FROM year_risks r JOIN users u ON u.user_id = r.user_id LEFT JOIN year_sums s ON s.y = r.y + 1 AND s.user_id = r.user_id
+WHERE r.y < (SELECT last_year FROM span)""",
+    ),
+    (
+        "user_yearly",
+        """SELECT CAST(r.y AS INTEGER) AS stat_year, u.user_id, u.user_name, CAST(u.created_time AS DATE) AS register_date,
+  CASE WHEN s.user_id IS NULL THEN '普通'
+       WHEN len(list_filter(ranks, lambda k: k <= 1)) >= 9 AND len(list_filter(ranks, lambda k: k >= 3)) = 0 THEN '年度优质用户'
+       WHEN len(list_filter(ranks, lambda k: k <= 2)) >= 9 AND len(list_filter(ranks, lambda k: k = 4)) = 0 THEN '年度高潜质用户'
+       WHEN len(list_filter(ranks, lambda k: k <= 3)) >= 9 THEN '年度潜质用户' ELSE '普通用户' END AS user_level,
   coalesce(t.total_order_amount, 0) AS total_order_amount, coalesce(t.total_order_count, 0) AS total_order_count,
-  coalesce(t.total_return_count, 0) AS total_return_count, coalesce(s.logins, 0) AS year_login_days,
-  coalesce(s.views, 0) AS year_view_cnt, coalesce(s.orders, 0) AS year_order_cnt, coalesce(s.amount, 0) AS year_order_amount,
-  coalesce(s.returned, 0) AS year_return_cnt,
-  CASE WHEN coalesce(s.orders, 0) = 0 THEN 0 ELSE CAST(s.amount AS DOUBLE) / CAST(s.orders AS DOUBLE) END AS year_avg_order_amount,
+  coalesce(t.total_return_count, 0) AS total_return_count, coalesce(s.logins, 0) AS year_login_days, coalesce(s.views, 0) AS year_view_cnt,
+  coalesce(s.orders, 0) AS year_order_cnt, coalesce(s.amount, 0) AS year_order_amount, coalesce(s.refunds, 0) AS year_return_cnt,
+  coalesce(CAST(s.amount AS DOUBLE) / nullif(CAST(s.orders AS DOUBLE), 0), 0) AS year_avg_order_amount,
   coalesce(c.names, '未知') AS preferred_category,
-  CASE WHEN coalesce(s.last3, 0) = 0 THEN '流失' ELSE '沉睡' END AS lifecycle_stage, f.flag AS risk_flag
-FROM users u LEFT JOIN uy_reg_{y} g USING (user_id) LEFT JOIN uy_flag_{y} f USING (user_id)
-LEFT JOIN (SELECT * FROM uy_sums WHERE y = {y}) s USING (user_id)
-LEFT JOIN (SELECT * FROM uy_top WHERE y = {y}) c USING (user_id)
-LEFT JOIN (SELECT * FROM user_monthly WHERE stat_month = DATE '{y + 1}-01-01') t USING (user_id)"""
-        for y in YEARS
-    )
-    ctes.append(("user_yearly", rows))
-    return ctes
+  CASE WHEN coalesce(s.late_orders, 0) = 0 THEN '流失' ELSE '沉睡' END AS lifecycle_stage, r.flag AS risk_flag
+FROM year_risks r JOIN span ON r.y >= first_year JOIN users u ON u.user_id = r.user_id
+LEFT JOIN year_sums s ON s.y = r.y AND s.user_id = r.user_id LEFT JOIN year_tastes c ON c.y = r.y AND c.user_id = r.user_id
+LEFT JOIN user_monthly t ON t.user_id = r.user_id AND t.stat_month = make_date(CAST(r.y AS INTEGER) + 1, 1, 1)""",
+    ),
+]
 
 
 def user_yearly_sql() -> str:
     return shaped(
-        with_views(*USER_MONTHLY_CTES, *user_yearly_ctes(), final="SELECT * FROM user_yearly"),
+        with_views(*USER_MONTHLY_CTES, *USER_YEARLY_CTES, final="SELECT * FROM user_yearly"),
         "total_order_amount year_order_amount year_avg_order_amount",
         "total_order_count total_return_count year_login_days year_view_cnt year_order_cnt year_return_cnt",
     )
@@ -337,7 +290,7 @@ PLATFORM_MONTHLY_CTES = [
         "pm_totals",
         """SELECT m, sum(daily_sales) AS gmv, sum(daily_orders) AS orders, sum(refund_count) AS returned,
   avg(health_score) AS score, sum(new_users) AS joined,
-  CAST(sum(CAST(conversion_rate AS DECIMAL(18,6))) AS DOUBLE) / count(conversion_rate) AS cvr
+  avg(conversion_rate) AS cvr
 FROM platform_daily JOIN months ON stat_date >= m - INTERVAL 1 MONTH AND stat_date < m GROUP BY 1""",
     ),
     (
@@ -399,7 +352,7 @@ def platform_monthly_sql() -> str:
 
 ACTIVE = "action_type IN ('register','login','browse','favorite','add_cart','purchase','search')"
 RETENTION_CTES = [
-    ("years", f"SELECT unnest(range({FIRST_YEAR}, {LAST_YEAR + 1})) AS y"),
+    ("years", "SELECT unnest(range(first_year, last_year + 1)) AS y FROM span"),
     (
         "jan_active",
         f"SELECT DISTINCT year(action_time) AS y, user_id FROM user_actions WHERE month(action_time) = 1 AND {ACTIVE}",
