@@ -6,11 +6,15 @@ Ids may repeat without limit, so no step puts all rows of one id into one task:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# a used number: 18 digits at most, as no id repeats more often than that
 NUMBER = r"[1-9][0-9]{0,17}"
 RANGE_BITS = 16
+RUN = 10_000
 
 
 def row_digest(columns: list[str]) -> Column:
@@ -54,35 +58,62 @@ def _ranked_suffixes(taken: DataFrame) -> DataFrame:
     return number_rows(taken, ["base"], F.shiftright("taken", RANGE_BITS), ["taken"], "place")
 
 
-def repair_duplicates(df: DataFrame, key: str, digest: Column, suffix: str = "_dup") -> DataFrame:
+def running_before(df: DataFrame, keys: list[str], bucket: str, order: list[str], value: Column, fold, start: Column, name: str) -> DataFrame:
+    """``fold`` (a sum or a maximum) of ``value`` over the rows of ``keys`` in front of each row.
+
+    Buckets, which must never decrease along ``order``, are folded by themselves and joined with the fold of those in
+    front, so one id with most rows is worked on by many tasks.
+    """
+    cells = [*keys, bucket]
+    front = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    carried = df.groupBy(*cells).agg(fold(value).alias("_own")).select(*cells, fold("_own").over(front).alias("_carried"))
+    inside = Window.partitionBy(*cells).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    both = df.withColumn("_inside", fold(value).over(inside)).join(carried, cells)
+    folded = F.greatest("_inside", "_carried", start) if fold is F.max else F.coalesce("_inside", start) + F.coalesce("_carried", start)
+    return both.withColumn(name, folded).drop("_inside", "_carried")
+
+
+def repair_duplicates(
+    df: DataFrame,
+    key: str,
+    digest: Column,
+    suffix: str = "_dup",
+    make_id: Callable[[Column, Column], Column] | None = None,
+    bucket_digits: int = 2,
+) -> DataFrame:
     """One row per id keeps it (the one with the smallest digest); the n-th repeat gets the n-th free
-    ``<id>_dup<number>``, where numbers already used by ids of the batch are not free."""
+    ``<id>_dup<number>``, where numbers already used by ids of the batch are not free.
+
+    Rows that are equal in all columns are counted first and written out again after numbering, in runs, so any number of them
+    is spread over tasks. Different rows of one id are numbered in ``16 ** bucket_digits`` digest ranges. The numbers
+    that a repeat skips are a running maximum over the used numbers in front of it; repeats and used numbers
+    are never paired. ``make_id(id, n)`` replaces the naming rule; its ids must be free.
+    """
     columns = df.columns
-    numbered = number_rows(
-        df.withColumn("_digest", digest), [key], F.substring("_digest", 1, 2), ["_digest"], "_rank"
-    )
+    groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_order", digest)
+    groups = groups.withColumn("_bucket", F.substring("_order", 1, bucket_digits))
+    zero = F.lit(0).cast("bigint")
+    groups = running_before(groups, [key], "_bucket", ["_order"], F.col("_copies"), F.sum, zero, "_before")
+    runs = groups.withColumn("_from", F.explode(F.sequence(zero, F.col("_copies") - 1, F.lit(RUN).cast("bigint"))))
+    last = F.least(F.col("_from") + RUN, F.col("_copies")) - 1
+    rows = runs.withColumn("_nth", F.explode(F.sequence(F.col("_from"), last))).withColumn("_repeat", F.col("_before") + F.col("_nth"))
+    rows = rows.select(*columns, "_repeat")
+    first, repeats = rows.filter("_repeat = 0").select(*columns), rows.filter("_repeat > 0")
+    if make_id is not None:
+        return first.unionByName(repeats.withColumn(key, make_id(F.col(key), F.col("_repeat"))).select(*columns))
     # the number of used suffixes in front of a free one only changes where used numbers leave a hole
-    ids = df.select(F.col(key).alias("id"))
     holes = (
-        _ranked_suffixes(taken_suffixes(ids, suffix))
-        .withColumn("gap", F.col("taken") - F.col("place"))
-        .groupBy("base", "gap")
-        .agg(F.max("place").alias("skipped"))
-        .withColumn("next_gap", F.lead("gap").over(Window.partitionBy("base").orderBy("gap")))
+        _ranked_suffixes(taken_suffixes(df.select(F.col(key).alias("id")), suffix))
+        .groupBy(F.col("base").alias(key), (F.col("taken") - F.col("place")).alias("_at"))
+        .agg(F.max("place").alias("_skipped"))
     )
-    repeat = F.col("_rank") - 1
-    # first rows look for nothing; their digest keeps them apart in the join
-    probe = F.when(repeat > 0, F.col(key)).otherwise(F.concat(F.lit("\u0000"), "_digest"))
-    joined = numbered.withColumn("_probe", probe).join(
-        holes,
-        (F.col("_probe") == F.col("base"))
-        & (F.col("gap") < repeat)
-        & (F.col("next_gap").isNull() | (repeat <= F.col("next_gap"))),
-        "left",
-    )
-    number = repeat + F.coalesce("skipped", F.lit(0))
-    fixed = F.when(repeat > 0, F.concat(F.col(key), F.lit(suffix), number.cast("string"))).otherwise(F.col(key))
-    return joined.withColumn(key, fixed).select(*columns)
+    # a hole at a gap counts for repeats beyond it
+    line = repeats.withColumn("_at", F.col("_repeat") - 1).unionByName(holes, allowMissingColumns=True)
+    line = line.withColumn("_bucket", F.shiftright("_at", RANGE_BITS)).withColumn("_is_row", F.col("_repeat").isNotNull())
+    line = running_before(line, [key], "_bucket", ["_at", "_is_row"], F.col("_skipped"), F.max, zero, "_jump")
+    number = (F.col("_repeat") + F.col("_jump")).cast("string")
+    named = line.filter("_is_row").withColumn(key, F.concat(F.col(key), F.lit(suffix), number))
+    return first.unionByName(named.select(*columns))
 
 
 def resolve_conflicts(df: DataFrame, key: str, stored: DataFrame, suffix: str = "_new") -> DataFrame:
@@ -94,9 +125,9 @@ def resolve_conflicts(df: DataFrame, key: str, stored: DataFrame, suffix: str =
     batch = df.select(F.col(key).alias("id"))
     old = stored.select(F.col(key).cast("string").alias("id"))
     clashing = old.join(batch, "id", "left_semi").distinct().withColumnRenamed("id", "_clash")
-    taken = taken_suffixes(old.unionByName(batch), suffix).join(
-        clashing, F.col("base") == F.col("_clash"), "left_semi"
-    )
+    # only ids that hold the suffix are taken apart; a plain substring test is far cheaper than the pattern
+    marked = old.unionByName(batch).filter(F.col("id").contains(suffix))
+    taken = taken_suffixes(marked, suffix).join(clashing, F.col("base") == F.col("_clash"), "left_semi")
     first_free = (
         _ranked_suffixes(taken)
         .groupBy("base")

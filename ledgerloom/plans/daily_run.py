@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.cutoffs import Cutoffs
 from ledgerloom.functions.months import ReportMonths
-from ledgerloom.operators.cleaning import EmptyResult, ensure_not_empty
+from ledgerloom.operators.cleaning import EmptyResult
 from ledgerloom.operators.links import LINK_KEYS, due, report_links
 from ledgerloom.operators.quality import gate, warehouse_alerts
 from ledgerloom.plans.business_health import business_health
@@ -24,9 +24,9 @@ from ledgerloom.plans.product_summary import product_summary
 from ledgerloom.plans.user_profile import user_profile
 from ledgerloom.plans.user_reports import user_monthly, user_yearly
 from ledgerloom.schemas import SPECS, Warehouse
-from ledgerloom.session import staged
+from ledgerloom.session import remove, scratch_path
 from ledgerloom.sources.extracts import read_extract
-from ledgerloom.sources.tables import append_clean, exists, stored, upsert
+from ledgerloom.sources.tables import LOAD_DATE, append_clean, exists, stored, upsert
 
 # Each table's key; the first column is the partition.
 KEYS = {
@@ -82,16 +82,34 @@ class Store:
 
 
 def clean_day(spark: SparkSession, extracts: str, store: Store, day: date) -> None:
-    """Clean all nine extracts of a day, parents before children, and append them."""
+    """Clean all nine extracts of a day, parents before children, and store them as that day's load.
+
+    Rejected rows are stored before good ones, and every table is done before an empty one stops the run, so nothing is
+    lost. A repeated load replaces its earlier try; only keys of other loads count as stored.
+    """
+    empty = []
     for name, spec in SPECS.items():
         raw = read_extract(spark, extracts, name, day)
         references = {ref.table: store.get(f"dwd_{ref.table}") for ref in spec.references}
-        result = clean_table(raw, spec, references, store.get(f"dwd_{name}"))
-        rows = staged(result.rows, f"clean-{name}")
-        loaded_at = datetime.combine(day, datetime.min.time())
-        append_clean(ensure_not_empty(rows, name), store.path(f"dwd_{name}"), spec, loaded_at)
-        rejected = result.rejected.withColumn("data_date", F.lit(day))
-        rejected.write.mode("append").partitionBy("data_date").parquet(store.path("rejected_rows"))
+        if missing := [table for table, rows in references.items() if rows is None]:
+            raise EmptyResult(f"{name} refers to {missing}, of which nothing is stored")
+        others = store.get(f"dwd_{name}")
+        if others is not None:
+            others = others.filter(F.col(LOAD_DATE) != F.lit(day))
+        result = clean_table(raw, spec, references, others)
+        scratch = scratch_path(spark, f"clean-{name}")
+        result.rows.write.parquet(scratch)
+        rows = spark.read.schema(result.rows.schema).parquet(scratch)
+        rejected = result.rejected.withColumn("data_date", F.lit(day)).withColumn("rejected_from", F.lit(name))
+        remove(spark, f"{store.path('rejected_rows')}/data_date={day}/rejected_from={name}")
+        rejected.write.mode("append").partitionBy("data_date", "rejected_from").parquet(store.path("rejected_rows"))
+        if rows.isEmpty():
+            empty.append(name)
+        else:
+            append_clean(rows, store.path(f"dwd_{name}"), spec, datetime.combine(day, datetime.min.time()), day)
+        remove(spark, scratch)
+    if empty:
+        raise EmptyResult(f"no rows left for {', '.join(empty)}")
 
 
 def build_day(wh: Warehouse, store: Store, day: date, link_base: str = "", public_ids: dict | None = None) -> None:

@@ -53,3 +53,11 @@ def staged(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, or the folders that a pattern names, wherever they are stored."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(hadoop) or []:
+        files.delete(found.getPath(), True)

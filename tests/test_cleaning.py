@@ -148,3 +148,28 @@ def test_clean_plus_rejected_is_input(spark):
     assert {r.order_status for r in kept} == {"paid"}
     # the strict form also wants coupon, address, all times and a promotion
     assert clean_table(raw, ORDERS, refs, strict=True).rows.count() == 0
+
+
+def test_rows_that_are_equal_in_all_columns(spark):
+    """Most rows are one row many times over; used numbers in between are skipped."""
+    rows = [("a", "x")] * 25_000 + [("a", "y")] * 3 + [("a_dup2", "x"), ("a_dup7", "x"), ("line\nbreak", "x"), ("line\nbreak", "y"), ("line\nbreak_dup1", "z")]
+    df = spark.createDataFrame(rows, "id string, v string")
+    for digits in (1, 2):
+        out = repair_duplicates(df, "id", row_digest(["id", "v"]), bucket_digits=digits)
+        ids = {r.id for r in out.collect()}
+        numbers = [n for n in range(1, 25_005) if n not in (2, 7)][:25_002]
+        assert out.count() == len(rows) == len(ids)
+        assert ids == {"a", *(f"a_dup{n}" for n in numbers), "a_dup2", "a_dup7", "line\nbreak", "line\nbreak_dup1", "line\nbreak_dup2"}
+
+
+def test_own_naming_of_repeats(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("a", 3), ("b", 1)], "id string, v int")
+    named = repair_duplicates(df, "id", row_digest(["id", "v"]), make_id=lambda key, n: F.concat(F.lit("#"), n.cast("string"), key))
+    assert {r.id for r in named.collect()} == {"a", "#1a", "#2a", "b"}
+
+
+def test_renamed_json_keys_are_literal(spark):
+    df = spark.createDataFrame([('{"a.b": 1, "axb": 2, "$1": {"a.b" : "a.b"}}',)], "j string")
+    out = df.select(rename_json_key(F.col("j"), "a.b", "p$1\\").alias("x"), rename_json_key(F.col("j"), "$1", "q").alias("y")).first()
+    assert out.x == '{"p$1\\\\": 1, "axb": 2, "$1": {"p$1\\\\" : "a.b"}}'
+    assert out.y == '{"a.b": 1, "axb": 2, "q": {"a.b" : "a.b"}}'

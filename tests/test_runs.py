@@ -11,14 +11,14 @@ from ledgerloom.functions.cutoffs import Cutoffs
 from ledgerloom.operators.links import due_reports
 from ledgerloom.operators.quality import QualityError, gate, warehouse_alerts
 from ledgerloom.plans.business_health import business_health
-from ledgerloom.plans.daily_run import KEYS, Store, backfill, build_day, clean_day
+from ledgerloom.plans.daily_run import KEYS, EmptyResult, Store, backfill, build_day, clean_day
 from ledgerloom.plans.daily_sales import daily_sales
 from ledgerloom.plans.merchant_daily import merchant_daily
 from ledgerloom.plans.user_profile import user_profile
 from ledgerloom.schemas import SPECS
-from ledgerloom.sources.extracts import write_extract
+from ledgerloom.sources.extracts import read_extract, write_extract
 from ledgerloom.sources.samples import SampleTables, sample_warehouse
-from ledgerloom.sources.tables import stored, upsert
+from ledgerloom.sources.tables import stored, untouched_rows, upsert
 from verification.compare import difference
 from verification.dirty import EXTRACTS
 
@@ -128,12 +128,41 @@ def test_clean_day_stores_all_tables(spark, tmp_path):
     assert stored_wh.orders.count() > 0 and "event_date" in stored_wh.orders.columns
     rejected = {r[0] for r in store.get("rejected_rows").select("table_name").distinct().collect()}
     assert {"orders", "returns", "user_actions", "data_quality_alerts"} <= rejected
-    # the same extract again: every stored id gets a new one
-    before = store.get("dwd_users").count()
+    # the same load again replaces itself
+    counts = {name: store.get(f"dwd_{name}").count() for name in SPECS}
+    rejects = store.get("rejected_rows").count()
     clean_day(spark, root, store, day)
-    users = store.get("dwd_users")
+    assert {name: store.get(f"dwd_{name}").count() for name in SPECS} == counts
+    assert store.get("rejected_rows").count() == rejects
+    # as the next day's load, every stored id gets a new one
+    for name in SPECS:
+        write_extract(read_extract(spark, root, name, day), root, name, date(2024, 2, 2))
+    clean_day(spark, root, store, date(2024, 2, 2))
+    users, before = store.get("dwd_users"), counts["users"]
     assert users.count() == 2 * before == users.select("user_id").distinct().count()
     assert users.filter(F.col("user_id").contains("_new1")).count() == before
+    # a table without a good row keeps its rejects, and the tables after it are cleaned
+    bad = read_extract(spark, root, "dim_promotions", day).withColumn("promotion_type", F.lit("giveaway"))
+    later = date(2024, 2, 3)
+    for name in SPECS:
+        write_extract(bad if name == "dim_promotions" else read_extract(spark, root, name, day), root, name, later)
+    with pytest.raises(EmptyResult, match="dim_promotions"):
+        clean_day(spark, root, store, later)
+    refused = store.get("rejected_rows").filter((F.col("data_date") == F.lit(later)) & (F.col("table_name") == "dim_promotions"))
+    assert refused.count() == bad.count()
+    assert store.get("dwd_users").filter(F.col("load_date") == F.lit(later)).count() > 0
+
+
+def test_upsert_reads_only_touched_folders(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "stat_date date, k string, v int"
+    days = [date(2001, 1, d) for d in range(1, 5)]
+    upsert(spark.createDataFrame([(d, "a", d.day) for d in days], schema), path, ["stat_date", "k"])
+    new = spark.createDataFrame([(days[1], "b", 9), (days[1], "a", 8)], schema)
+    plan = untouched_rows(path, new, ["stat_date", "k"], [days[1]])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "= 2001-01-02" in plan.replace("11324", "2001-01-02")
+    upsert(new, path, ["stat_date", "k"])
+    got = {(r.stat_date, r.k): r.v for r in stored(spark, path).collect()}
+    assert got == {(days[0], "a"): 1, (days[1], "a"): 8, (days[1], "b"): 9, (days[2], "a"): 3, (days[3], "a"): 4}
 
 
 def test_backfill_equals_the_range(spark, wh, tmp_path):
