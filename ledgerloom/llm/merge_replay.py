@@ -167,15 +167,13 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame
     def run(batches):
         import pyarrow as pa
 
-        memo = WordMemo(piece_encoder(MergeReplay(read_ranks(content.value)), pattern))
+        memo = WordMemo(piece_encoder(MergeReplay(read_ranks(content.value)), pattern), "<i4")
         for batch in batches:
-            at = 0
-            for texts in slices_by_size(batch.column("text")):
-                raw = memo.ids(texts)
-                ends = np.cumsum([0, *(len(r) // 4 for r in raw)])
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(raw), "<i4"), pa.int32()))
+            for at, texts in slices_by_size(batch.column("text")):
+                flat, counts = memo.ids(texts)
+                ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), ids], ["doc_id", "ids"])
-                at += len(texts)
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return slim.mapInArrow(run, "doc_id long, ids array<int>")

@@ -4,7 +4,7 @@ A file set is a folder with three Parquet tables, so Spark's committers and any
   frequencies  symbol, frequency: the one table that all blocks share; frequencies add up to 2^20
   blocks       part, block, first_token, n_tokens, and for decoding payload (32-bit words), states and offsets (the
                checkpoints), payload_crc32, ids_crc32, and for documents piece_doc, piece_order, piece_length, piece_after
-A block has 65,536 ids (the last of a part fewer), dealt to 32 interleaved coder lanes. A checkpoint every 256 steps
+A block has 65,536 ids (the last of a part fewer), dealt to 64 interleaved coder lanes. A checkpoint every 128 steps
 holds the lanes' states and the payload offset, so every segment of 8,192 ids is decoded by itself and many at once.
 """
 
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +23,11 @@ from ledgerloom.llm.token_words import WordMemo, slices_by_size
 from ledgerloom.llm.workers import by_value
 from ledgerloom.session import staged
 
-SCALE_BITS, LANES, SEGMENT_STEPS, BLOCK_SEGMENTS = 20, 32, 256, 8
+SCALE_BITS, LANES, SEGMENT_STEPS, BLOCK_SEGMENTS = 20, 64, 128, 8
 SEGMENT = LANES * SEGMENT_STEPS
 BLOCK = SEGMENT * BLOCK_SEGMENTS
 LOWEST = np.uint64(1 << 31)
-BLOCKS_AT_ONCE = 16
+BLOCKS_AT_ONCE = 32
 
 BLOCK_SCHEMA = (
     "part int, block int, first_token long, n_tokens int, payload binary, states binary, offsets binary, payload_crc32 long, "
@@ -114,6 +115,40 @@ class SharedTable:
         return [out[e - -(-n // SEGMENT) : e].reshape(-1)[:n] for e, (*_, n) in zip(ends, blocks, strict=True)]
 
 
+def byte_characters() -> dict[int, str]:
+    """Byte-level vocabularies spell bytes as characters: printable ones as themselves, the n-th other one as 256 + n."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+def library_encoder(tokenizer, kind: str):
+    """Strings to raw ids by the tokenizers library; an optional blank and letters, one piece, go straight to its model."""
+    spelled, piece = byte_characters(), tokenizer.model.tokenize
+    code = "H" if kind == "<u2" else "I"
+
+    def encode(strings: list[str]) -> list[bytes]:
+        out, whole = [], []
+        for i, text in enumerate(strings):
+            if text[text[:1] == " " :].isalpha():
+                if text.isascii():
+                    text = text.replace(" ", spelled[32])
+                else:
+                    text = text.encode().decode("latin-1").translate(spelled)
+                found = piece(text)
+                out.append(array(code, [t.id for t in found]).tobytes())
+            else:
+                out.append(b"")
+                whole.append(i)
+        for at in range(0, len(whole), 1000):
+            some = whole[at : at + 1000]
+            for i, e in zip(some, tokenizer.encode_batch_fast([strings[i] for i in some], add_special_tokens=False), strict=True):
+                out[i] = array(code, e.ids).tobytes()
+        return out
+
+    return encode
+
+
 def raw_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
@@ -130,19 +165,15 @@ def tokenize(docs: DataFrame, tokenizer_file: str, end_id: int, kind: str) -> Da
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         tokenizer = Tokenizer.from_str(content.value)
         tokenizer.encode_special_tokens = True
-        end = np.array([end_id], kind).tobytes()
-
-        def encode(strings: list[str]) -> list[bytes]:
-            found = (tokenizer.encode_batch_fast(strings[a : a + 5000], add_special_tokens=False) for a in range(0, len(strings), 5000))
-            return [np.array(e.ids, kind).tobytes() for batch in found for e in batch]
-
-        memo = WordMemo(encode)
+        memo = WordMemo(library_encoder(tokenizer, kind), kind)
         for batch in batches:
-            at = 0
-            for texts in slices_by_size(batch.column("text")):
-                raw = pa.array([ids + end for ids in memo.ids(texts)], pa.binary())
+            for at, texts in slices_by_size(batch.column("text")):
+                ids, counts = memo.ids(texts)
+                ends = np.cumsum(counts)
+                ended = np.insert(ids, ends, end_id).astype(kind)
+                bounds = np.concatenate(([0], ends + np.arange(1, len(ends) + 1))) * ended.itemsize
+                raw = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(ended)])
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), raw], ["doc_id", "ids"])
-                at += len(texts)
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return slim.mapInArrow(run, "doc_id long, ids binary")

@@ -4,11 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+
 from ledgerloom.llm.workers import by_value
 
 MEMO_WORDS = 600_000
-#: Marks that are a piece of their own after letters, where nothing follows.
-MARKS = frozenset(".,!?;:%&*#$|")
+#: Marks that are one piece after letters, however many, where nothing else follows.
+MARKS = ".,!?;:%&*#$|"
+
+
+def pieces_of(word: str) -> list[tuple[str, str]]:
+    """A word cut at single line breaks, and each line into letters and the marks behind them where it is just that."""
+    lines = word.split("\n")
+    if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+        lines = [word]
+    cut = []
+    for line in lines:
+        letters = line.rstrip(MARKS)
+        cut.append((letters, line[len(letters) :]) if letters.isalpha() else (line, ""))
+    return cut
 
 
 class WordMemo:
@@ -17,54 +31,78 @@ class WordMemo:
     Byte-level pre-tokenizers attach a blank to what follows it, so a text may be cut before any single space that stands
     between two characters that are not white space: the parts' ids, joined, are the text's. A part that is empty
     or has white space at a cut (runs of blanks, blanks at line ends) voids the cuts, and the text is encoded whole.
+    Words are joined from what is known of their letters, marks and line breaks, all pieces of their own.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self.encode, self.heads, self.words = encode, {}, {}
-        self.marks = dict(zip(MARKS, encode(list(MARKS)), strict=True))
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], kind: str):
+        self.encode, self.kind = encode, np.dtype(kind)
+        self.words, self.bare, self.marks = {}, {}, {}  # with a blank before them, without, and marks
+        self.line_break = encode(["\n"])[0]
 
-    def learn(self, memo: dict, wanted: set, blank: str) -> None:
-        wanted = [w for w in wanted if w not in memo]
+    def learn(self, wanted: list[str], blank: str) -> None:
+        """Enter words with or without a blank before them; None for those that may not be cut off."""
+        known = self.words if blank else self.bare
         fit = [w for w in wanted if w and not w[-1].isspace() and not (blank and w[0].isspace())]
-        memo.update(dict.fromkeys(wanted))
-        # letters with one mark behind them are two pieces, and the letters are often known
-        marked = [w for w in fit if w[-1] in MARKS and w[:-1].isalpha()]
-        bases = {w[:-1] for w in marked}.union(fit).difference(marked)
-        bases = [w for w in bases if memo.get(w) is None]
-        memo.update(zip(bases, self.encode([blank + w for w in bases]), strict=True))
-        for word in marked:
-            memo[word] = memo[word[:-1]] + self.marks[word[-1]]
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        parts = [text.split(" ") for text in texts]
-        for memo in (self.heads, self.words):
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
-        self.learn(self.heads, {p[0] for p in parts}, "")
-        self.learn(self.words, set().union(*(p[1:] for p in parts)) if parts else set(), " ")
-        out, known = [], self.words.__getitem__
-        for text, words in zip(texts, parts, strict=True):
-            head = self.heads[words[0]]
-            found = [head, *map(known, words[1:])]
-            try:
-                out.append(b"".join(found))
-            except TypeError:  # a part that may not be cut off
-                out.append(self.encode([text])[0] if text else b"")
-        return out
+        known.update(dict.fromkeys(wanted))
+        cut = [pieces_of(w) for w in fit]
+        first = {c[0][0] for c in cut}
+        later = {base for c in cut if len(c) > 1 for base, _ in c[1:]}
+        marks = [m for m in {m for c in cut for _, m in c} if m and m not in self.marks]
+        for memo, bases, before in ((known, first, blank), (self.bare, later, "")):
+            bases = [w for w in bases if memo.get(w) is None]
+            memo.update(zip(bases, self.encode([before + w for w in bases]), strict=True))
+        self.marks.update(zip(marks, self.encode(marks), strict=True))
+        for word, lines in zip(fit, cut, strict=True):
+            if len(lines) > 1 or lines[0][1]:
+                whole = known[lines[0][0]] + self.marks.get(lines[0][1], b"")
+                for base, mark in lines[1:]:
+                    whole += self.line_break + self.bare[base] + self.marks.get(mark, b"")
+                known[word] = whole
+
+    def ids(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of ids of each) for an Arrow array of texts without NULLs."""
+        import pyarrow.compute as pc
+
+        if len(self.words) > MEMO_WORDS:
+            self.words, self.bare, self.marks = {}, {}, {}
+        split = pc.split_pattern(texts, pattern=" ")
+        first = split.offsets.to_numpy() - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        begins = [words[c] for c in codes[first[:-1]].tolist()]
+        self.learn([w for w in words if w not in self.words], " ")
+        self.learn([w for w in dict.fromkeys(begins) if w not in self.bare], "")
+        found = [*map(self.words.__getitem__, words), *map(self.bare.__getitem__, begins)]
+        codes[first[:-1]] = len(words) + np.arange(len(begins))
+        void = np.array([v is None for v in found], bool)
+        sizes = np.array([len(v or b"") for v in found], np.int64) // self.kind.itemsize
+        table = np.frombuffer(b"".join(v for v in found if v), self.kind)
+        starts = np.cumsum(sizes) - sizes
+        each = sizes[codes]
+        out = table[np.arange(each.sum()) + np.repeat(starts[codes] - (np.cumsum(each) - each), each)]
+        counts = np.add.reduceat(each, first[:-1])
+        whole = np.flatnonzero(np.logical_or.reduceat(void[codes], first[:-1]))
+        if len(whole):
+            parts = np.split(out, np.cumsum(counts)[:-1])
+            own = self.encode([t for t in texts.take(whole).to_pylist()])
+            for i, raw in zip(whole.tolist(), own, strict=True):
+                parts[i] = np.frombuffer(raw, self.kind)
+                counts[i] = len(parts[i])
+            out = np.concatenate(parts)
+        return out, counts
 
 
 def slices_by_size(column, most: int = 4_000_000):
-    """Parts of an Arrow text column with some megabytes each, as lists of texts; NULL counts as empty."""
-    part, size = [], 0
-    for value in column:
-        text = value.as_py() or ""
-        part.append(text)
-        size += len(text)
-        if size >= most:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+    """(start, texts) of parts of an Arrow text column with some megabytes each; NULL counts as empty."""
+    import pyarrow.compute as pc
+
+    column = pc.fill_null(column, "")
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+        yield at, column.slice(at, to - at)
+        at = to
 
 
 by_value(__name__)

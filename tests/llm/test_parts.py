@@ -29,10 +29,10 @@ def test_coder_round_trip():
     assert len(coded[0][0]) < 1.02 * entropy
     # one segment alone, from its checkpoint
     payload, states, offsets = coded[1]
-    lone = (payload, states[3 * 256 : 4 * 256], offsets[12:16], 8192)
+    lone = (payload, states[3 * 512 : 4 * 512], offsets[12:16], 8192)
     with pytest.raises(ValueError):
         coder.decode([lone])  # not the block's end, so the last state is another
-    two = coder.decode([(payload, states[7 * 256 :], offsets[28:], 8192)])[0]
+    two = coder.decode([(payload, states[7 * 512 :], offsets[28:], 8192)])[0]
     assert (two == blocks[1][7 * 8192 :]).all()
 
 
