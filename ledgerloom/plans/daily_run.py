@@ -81,33 +81,39 @@ class Store:
         )
 
 
+def clean_load(spark: SparkSession, extracts: str, store: Store, name: str, day: date) -> int:
+    """Clean one table's extract of a day and store it as that day's load; gives back the number of good rows.
+
+    Rejected rows are stored before good ones. A repeated load replaces its earlier try; only keys of other loads count
+    as stored.
+    """
+    spec = SPECS[name]
+    references = {ref.table: store.get(f"dwd_{ref.table}") for ref in spec.references}
+    if missing := [table for table, rows in references.items() if rows is None]:
+        raise EmptyResult(f"{name} refers to {missing}, of which nothing is stored")
+    others = store.get(f"dwd_{name}")
+    if others is not None:
+        others = others.filter(F.col(LOAD_DATE) != F.lit(day))
+    result = clean_table(read_extract(spark, extracts, name, day), spec, references, others)
+    scratch = scratch_path(spark, f"clean-{name}")
+    result.rows.write.parquet(scratch)
+    rows = spark.read.schema(result.rows.schema).parquet(scratch)
+    rejected = result.rejected.withColumn("data_date", F.lit(day)).withColumn("rejected_from", F.lit(name))
+    remove(spark, f"{store.path('rejected_rows')}/data_date={day}/rejected_from={name}")
+    rejected.write.mode("append").partitionBy("data_date", "rejected_from").parquet(store.path("rejected_rows"))
+    good = rows.count()
+    if good:
+        append_clean(rows, store.path(f"dwd_{name}"), spec, datetime.combine(day, datetime.min.time()), day)
+    remove(spark, scratch)
+    return good
+
+
 def clean_day(spark: SparkSession, extracts: str, store: Store, day: date) -> None:
-    """Clean all nine extracts of a day, parents before children, and store them as that day's load.
+    """Clean all nine extracts of a day, parents before children.
 
-    Rejected rows are stored before good ones, and every table is done before an empty one stops the run, so nothing is
-    lost. A repeated load replaces its earlier try; only keys of other loads count as stored.
+    Every table is done before an empty one stops the run, so nothing is lost.
     """
-    empty = []
-    for name, spec in SPECS.items():
-        raw = read_extract(spark, extracts, name, day)
-        references = {ref.table: store.get(f"dwd_{ref.table}") for ref in spec.references}
-        if missing := [table for table, rows in references.items() if rows is None]:
-            raise EmptyResult(f"{name} refers to {missing}, of which nothing is stored")
-        others = store.get(f"dwd_{name}")
-        if others is not None:
-            others = others.filter(F.col(LOAD_DATE) != F.lit(day))
-        result = clean_table(raw, spec, references, others)
-        scratch = scratch_path(spark, f"clean-{name}")
-        result.rows.write.parquet(scratch)
-        rows = spark.read.schema(result.rows.schema).parquet(scratch)
-        rejected = result.rejected.withColumn("data_date", F.lit(day)).withColumn("rejected_from", F.lit(name))
-        remove(spark, f"{store.path('rejected_rows')}/data_date={day}/rejected_from={name}")
-        rejected.write.mode("append").partitionBy("data_date", "rejected_from").parquet(store.path("rejected_rows"))
-        if rows.isEmpty():
-            empty.append(name)
-        else:
-            append_clean(rows, store.path(f"dwd_{name}"), spec, datetime.combine(day, datetime.min.time()), day)
-        remove(spark, scratch)
+    empty = [name for name in SPECS if not clean_load(spark, extracts, store, name, day)]
     if empty:
         raise EmptyResult(f"no rows left for {', '.join(empty)}")
 
@@ -179,4 +185,4 @@ def backfill(wh: Warehouse, store: Store, first: date, last: date) -> None:
         day += timedelta(days=1)
 
 
-__all__ = ["EmptyResult", "Store", "backfill", "build_day", "clean_day"]
+__all__ = ["EmptyResult", "Store", "backfill", "build_day", "clean_day", "clean_load"]

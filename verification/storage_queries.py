@@ -5,7 +5,7 @@ The storage queries write to a fresh folder under the shared scratch directory a
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
@@ -14,6 +14,7 @@ from ledgerloom.operators import quality
 from ledgerloom.operators.changes import changed_products, changed_users
 from ledgerloom.operators.links import due_reports, report_links
 from ledgerloom.plans.business_health import business_health
+from ledgerloom.plans.daily_run import Store, clean_load
 from ledgerloom.plans.daily_sales import daily_sales
 from ledgerloom.schemas import USER_ACTIONS
 from ledgerloom.session import scratch_path
@@ -127,6 +128,37 @@ def _upsert(spark, sf_dir):
     return stored(spark, path).select(*[c for c in sales.columns if c != "stat_year"])
 
 
+@register(
+    "load_without_good_rows",
+    "SELECT 'users' AS table_name, 'not_null' AS rule, 'user_id' AS column_name, count(*) AS n, 0 AS stored_rows FROM customer",
+)
+def _bad_load(spark, sf_dir):
+    """A load in which every row is refused still leaves its refused rows."""
+    root, store = scratch_path(spark, "extracts"), Store(spark, scratch_path(spark, "store"))
+    users = SampleTables(spark, sf_dir).sql(EXTRACTS["users"]).withColumn("user_id", F.lit(" "))
+    write_extract(users, root, "users", DAY)
+    good = clean_load(spark, root, store, "users", DAY)
+    refused = store.get("rejected_rows").groupBy("table_name", "rule", "column_name").agg(F.count(F.lit(1)).alias("n"))
+    return refused.withColumn("stored_rows", F.lit(good))
+
+
+@register(
+    "load_repeated",
+    f"""SELECT day AS load_date, count(*) AS n, count(DISTINCT user_id) AS ids FROM ({clean_sql("users")}),
+(SELECT DATE '{ONE_DAY}' AS day UNION ALL SELECT DATE '{ONE_DAY}' + 1) GROUP BY 1""",
+)
+def _load_twice(spark, sf_dir):
+    """The first day's load runs twice and is stored once; the same extract of the next day gets new ids."""
+    root, store = scratch_path(spark, "extracts"), Store(spark, scratch_path(spark, "store"))
+    users = SampleTables(spark, sf_dir).sql(EXTRACTS["users"])
+    for day in (DAY, DAY + timedelta(days=1)):
+        write_extract(users, root, "users", day)
+    for day in (DAY, DAY, DAY + timedelta(days=1)):
+        clean_load(spark, root, store, "users", day)
+    loads = store.get("dwd_users").groupBy("load_date")
+    return loads.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("ids"))
+
+
 # --- changed entities --------------------------------------------------------------------------------
 
 _D = f"DATE '{ONE_DAY}' - 30"
