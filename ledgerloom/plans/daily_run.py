@@ -46,7 +46,10 @@ KEYS = {
     "ads_user_yearly_snapshot": ["stat_year", "user_id"],
     "ads_platform_yearly_summary": ["stat_year"],
     "report_links": LINK_KEYS,
+    "data_quality_alerts": ["data_date", "problem_description"],
 }
+# When a stored row was computed; only kept in the files, the models do not see it.
+STAMP = "etl_time"
 
 
 class Store:
@@ -59,11 +62,12 @@ class Store:
         return f"{self.root}/{name}"
 
     def get(self, name: str) -> DataFrame | None:
-        return stored(self.spark, self.path(name))
+        table = stored(self.spark, self.path(name))
+        return None if table is None else table.drop(STAMP)
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
         """Upsert and give back the stored table, so later models read files instead of replanning."""
-        upsert(df, self.path(name), KEYS[name])
+        upsert(df.withColumn(STAMP, F.current_timestamp()), self.path(name), KEYS[name])
         table = self.get(name)
         return df if table is None else table
 
@@ -124,8 +128,9 @@ def build_day(wh: Warehouse, store: Store, day: date, link_base: str = "", publi
     Monthly reports are built on day 1, yearly ones on January 1, for the period that just ended. The
     platform month reads the merchant months, and the merchant profile the day table, so those come first.
     """
-    alerts = warehouse_alerts(wh, day)
-    gate(alerts)
+    remove(store.spark, f"{store.path('data_quality_alerts')}/data_date={day}")
+    alerts = store.put("data_quality_alerts", warehouse_alerts(wh, day))
+    gate(alerts.filter(F.col("data_date") == F.lit(day)))
     first_run = not exists(store.spark, store.path("dws_user_profile"))
     stored_data = Cutoffs.on(day, open_end=True)
 
@@ -140,35 +145,41 @@ def build_day(wh: Warehouse, store: Store, day: date, link_base: str = "", publi
         "dws_business_daily_health",
         business_health(wh, day, day, history=store.get("dws_business_daily_health")),
     )
-    snapshots = store.put("ads_merchant_daily_snapshot", merchant_daily_snapshot(days, profiles, day))
-    platform = store.put("ads_platform_daily_snapshot", platform_daily_snapshot(health, day))
-
-    if due("monthly", day):
-        months = ReportMonths.one(day)
-        name = "ads_merchant_monthly_snapshot"
-        merchant_months = store.put(name, merchant_monthly(wh, snapshots, months, store.get(name)))
-        name = "ads_user_monthly_snapshot"
-        user_months = store.put(name, user_monthly(wh, users, months, store.get(name)))
-        store.put("ads_platform_promotion_detail", promotion_detail(wh, users, months))
-        platform_months = store.put(
-            "ads_platform_monthly_summary", platform_monthly(wh, platform, merchant_months, users, months)
-        )
-        if due("yearly", day):
-            year = day.year - 1
-            name = "ads_merchant_yearly_snapshot"
-            merchant_years = store.put(name, merchant_yearly(wh, merchant_months, year, history=store.get(name)))
-            name = "ads_user_yearly_snapshot"
-            store.put(name, user_yearly(wh, users, user_months, year, history=store.get(name)))
-            store.put(
-                "ads_platform_yearly_summary", platform_yearly(wh, platform_months, merchant_years, year)
-            )
+    store.put("ads_merchant_daily_snapshot", merchant_daily_snapshot(days, profiles, day))
+    store.put("ads_platform_daily_snapshot", platform_daily_snapshot(health, day))
+    build_due_reports(wh, store, day)
     if public_ids:
         store.put("report_links", report_links(wh.users, wh.merchants, day, link_base, public_ids))
 
 
-def backfill(wh: Warehouse, store: Store, first: date, last: date) -> None:
-    """Rebuild a range of days. The day tables are computed in one pass over the range; only the profiles,
-    which restate all entities per date, go date by date."""
+def build_due_reports(wh: Warehouse, store: Store, day: date) -> None:
+    """The monthly and yearly reports that are due on a day, from the stored subject tables and daily reports."""
+    if not due("monthly", day):
+        return
+    months, users = ReportMonths.one(day), store.get("dws_user_profile")
+    name = "ads_merchant_monthly_snapshot"
+    snapshots = store.get("ads_merchant_daily_snapshot")
+    merchant_months = store.put(name, merchant_monthly(wh, snapshots, months, store.get(name)))
+    name = "ads_user_monthly_snapshot"
+    user_months = store.put(name, user_monthly(wh, users, months, store.get(name)))
+    store.put("ads_platform_promotion_detail", promotion_detail(wh, users, months))
+    platform = store.get("ads_platform_daily_snapshot")
+    name = "ads_platform_monthly_summary"
+    platform_months = store.put(name, platform_monthly(wh, platform, merchant_months, users, months))
+    if not due("yearly", day):
+        return
+    year = day.year - 1
+    name = "ads_merchant_yearly_snapshot"
+    merchant_years = store.put(name, merchant_yearly(wh, merchant_months, year, history=store.get(name)))
+    name = "ads_user_yearly_snapshot"
+    store.put(name, user_yearly(wh, users, user_months, year, history=store.get(name)))
+    store.put("ads_platform_yearly_summary", platform_yearly(wh, platform_months, merchant_years, year))
+
+
+def backfill(wh: Warehouse, store: Store, first: date, last: date, link_base: str = "", public_ids: dict | None = None) -> None:
+    """Rebuild a range of days, with the reports that were due in it. The day tables are computed in one pass over the
+    range; the profiles and product table, which restate all entities per date, go date by date. Profiles count what had
+    happened by their date, as a run on that day would have."""
     store.put("dws_daily_sales", daily_sales(wh, first, last))
     days = store.put("dws_merchant_daily", merchant_daily(wh, first, last, store.get("dws_merchant_daily")))
     health = store.put(
@@ -180,8 +191,12 @@ def backfill(wh: Warehouse, store: Store, first: date, last: date) -> None:
     while day <= last:
         at = Cutoffs.on(day)
         profiles = store.put("dws_merchant_profile", merchant_profile(wh, days, at))
+        store.put("dws_product_summary", product_summary(wh, day))
         store.put("dws_user_profile", user_profile(wh, at))
         store.put("ads_merchant_daily_snapshot", merchant_daily_snapshot(days, profiles, day))
+        build_due_reports(wh, store, day)
+        if public_ids:
+            store.put("report_links", report_links(wh.users, wh.merchants, day, link_base, public_ids))
         day += timedelta(days=1)
 
 

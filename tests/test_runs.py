@@ -21,6 +21,7 @@ from ledgerloom.sources.samples import SampleTables, sample_warehouse
 from ledgerloom.sources.tables import stored, untouched_rows, upsert
 from verification.compare import difference
 from verification.dirty import EXTRACTS
+from verification.model_queries import Models
 
 EVE, NEW_YEAR = date(1998, 12, 31), date(1999, 1, 1)
 
@@ -56,7 +57,8 @@ def test_two_days_then_rerun(spark, wh, tmp_path):
     same(business_health(wh, EVE, NEW_YEAR), store.get("dws_business_daily_health"))
     # a table without rows so far has no folder
     built = {p.name for p in (tmp_path / "store").iterdir()}
-    assert set(KEYS) - built <= {"ads_platform_promotion_detail", "ads_merchant_yearly_snapshot"}
+    assert set(KEYS) - built <= {"ads_platform_promotion_detail", "ads_merchant_yearly_snapshot", "data_quality_alerts"}
+    assert "etl_time" in stored(spark, store.path("dws_merchant_daily")).columns
     before = {name: rows(store.get(name)) for name in built}
     build_day(wh, store, NEW_YEAR, "https://reports.example", ids)
     for name, old in before.items():
@@ -173,3 +175,16 @@ def test_backfill_equals_the_range(spark, wh, tmp_path):
     snapshots = store.get("ads_merchant_daily_snapshot")
     assert snapshots.filter("merchant_level IS NULL").count() == 0
     assert snapshots.count() == store.get("dws_merchant_daily").count()
+    # the reports that were due on New Year's day
+    assert store.get("ads_user_yearly_snapshot").select("stat_year").distinct().first()[0] == 1998
+    assert store.get("ads_user_monthly_snapshot").select("stat_month").distinct().first()[0] == NEW_YEAR
+    assert store.get("dws_product_summary").select("stat_date").distinct().count() == 2
+
+
+def test_reports_reach_the_last_fact(spark):
+    models = Models(spark, SMALL)
+    late = models.wh.orders.limit(1).withColumn("order_time", F.lit(datetime(2003, 5, 5)))
+    models.wh = replace(models.wh, orders=models.wh.orders.unionByName(late))
+    assert models.cutoffs.last == date(2003, 6, 1) and models.years[1] == 2003
+    month = models.merchant_months.filter(F.col("stat_month") == F.lit(date(2003, 6, 1)))
+    assert month.agg(F.sum("order_count")).first()[0] == 1
