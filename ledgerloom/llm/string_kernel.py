@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import in_remainder
 from ledgerloom.llm.workers import by_value
 
-HASH_BITS = 20
+HASH_BITS, MOST_NGRAMS = 20, 65_536
 
 
 def letter_table() -> np.ndarray:
@@ -20,7 +20,11 @@ def letter_table() -> np.ndarray:
 def ngram_codes(text: str, letters: np.ndarray, longest: int) -> np.ndarray | None:
     """Hashes of all distinct n-grams of 1 to `longest` characters; None for a text without letters."""
     points = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32)
-    points = np.where(points < 0x10000, letters[points & 0xFFFF], points)
+    beyond = points >= 0x10000
+    points = np.where(beyond, points, letters[points & 0xFFFF])
+    for point in np.unique(points[beyond]) if beyond.any() else ():
+        if not chr(point).isalpha():
+            points[points == point] = 32
     if not (points != 32).any():
         return None
     # one blank between words
@@ -33,12 +37,28 @@ def ngram_codes(text: str, letters: np.ndarray, longest: int) -> np.ndarray | No
     return np.flatnonzero(flags).astype(np.int32)
 
 
+def packed(codes: np.ndarray) -> bytes:
+    """A set of hashes as a list or, where that is shorter, as a bit map of 128 kB."""
+    if codes.nbytes < (1 << HASH_BITS) // 8:
+        return codes.tobytes()
+    flags = np.zeros(1 << HASH_BITS, bool)
+    flags[codes] = True
+    return np.packbits(flags).tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    if len(raw) < (1 << HASH_BITS) // 8:
+        return np.frombuffer(raw, np.int32)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8))).astype(np.int32)
+
+
 class PresenceKernel:
-    """k(x, y) = |x and y| / sqrt(|x| |y|) on the n-grams that several landmarks hold."""
+    """k(x, y) = |x and y| / sqrt(|x| |y|) on the n-grams that several landmarks hold, the most widely held MOST_NGRAMS."""
 
     def __init__(self, landmarks: list[np.ndarray], min_landmarks: int):
         held = np.bincount(np.concatenate(landmarks), minlength=1 << HASH_BITS)
         kept = np.flatnonzero(held >= min(min_landmarks, len(landmarks)))
+        kept = np.sort(kept[np.argsort(-held[kept], kind="stable")[:MOST_NGRAMS]])
         self.column = np.full(1 << HASH_BITS, -1, np.int32)
         self.column[kept] = np.arange(len(kept))
         self.width = len(kept)
@@ -107,7 +127,7 @@ def predict_languages(
         letters = letter_table()
         for batch in batches:
             codes = [ngram_codes(t.as_py(), letters, longest) for t in batch.column("text")]
-            raw = pa.array([None if c is None else c.tobytes() for c in codes], pa.binary())
+            raw = pa.array([None if c is None else packed(c) for c in codes], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("ticket"), raw], ["lang", "ticket", "codes"])
 
     picked = learn.filter(chosen).select("text", "lang", ticket.alias("ticket")).mapInArrow(sets, "lang string, ticket long, codes binary")
@@ -118,8 +138,8 @@ def predict_languages(
             rows.append(row)
     model = None
     if rows:
-        model = fit_kernel([np.frombuffer(r["codes"], np.int32) for r in rows], [r["lang"] for r in rows], landmarks, min_landmarks, ridge)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most `landmarks` columns over their own n-grams
+        model = fit_kernel([unpacked(r["codes"]) for r in rows], [r["lang"] for r in rows], landmarks, min_landmarks, ridge)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most landmarks x MOST_NGRAMS numbers
 
     def run(batches):
         import pyarrow as pa

@@ -12,6 +12,41 @@ from ledgerloom.llm import chunk_dedup, line_dedup, merge_replay, pairwise_quali
 from ledgerloom.session import scratch_path
 from plain import bucket, exact_groups, line_results, simhash_components
 
+SCHEMA = "doc_id long, text string, lang string, source string, size int, digest string, kept boolean, score string, label int"
+
+
+def rows_with_everything():
+    """NULLs in every column, empty, blank and very long texts, ties, repeated rows and unusual characters."""
+    long_text = " ".join(f"Word{i % 97} of line {i}.\n" if i % 9 == 0 else f"word{i % 89}" for i in range(60_000))
+    common = "\n".join(["  Shared Line  ", "only here", "ÉCOLE shared", "a line of its own"])
+    texts = [
+        None, None, "", "", " \t\n", "\n\n\n", "one", "one", "One", "two words", "a b c d", "a b c d e",
+        "a" * 5000, long_text, long_text + "end", "x  y   z \n w", "\ttab\t\x0b\x0cfeed\r\n", "日本語 テキスト。\nÉCOLE shared",
+        "don't we'll I'M 12 345", "\U0001f600 emoji \U0001f601", "\x1c odd \x85 blanks　here", "<|endoftext|> is text",
+    ]
+    texts += [common + f"\n{i}" for i in range(12)] + [common] * 5
+    rows = [(i, t, "en" if i % 3 else None, f"s{i % 4}" if i % 5 else None, 1, "d", True, "s", 0) for i, t in enumerate(texts)]
+    rows += [rows[-1], rows[7], (None, "one", None, None, None, None, None, None, None), (None, "no id", None, None, None, None, None, None, None)]
+    return rows
+
+
+@pytest.fixture(scope="session")
+def odd_rows():
+    return rows_with_everything()
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark, odd_rows, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("docs") / "documents")
+    spark.createDataFrame(odd_rows, SCHEMA).repartition(3).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="session")
+def no_docs(odd_docs):
+    return odd_docs.limit(0)
+
+
 
 def as_sorted(rows):
     return sorted((tuple(r) for r in rows), key=repr)
@@ -172,6 +207,8 @@ def test_language_of_odd_rows(spark, odd_docs, odd_rows):
     for r in out:
         letters = r["doc_id"] is None or any(c.isalpha() for c in text[r["doc_id"]] or "")
         assert (r["lang_pred"] == "und") == (not letters) and 0 <= r["score"] <= 1
+    emoji = odd_docs.limit(1).withColumn("text", F.lit("\U0001f600 123 \U0001f601")).unionByName(odd_docs)
+    assert string_kernel.predict_languages(emoji).filter("lang_pred = 'und'").count() == 1 + sum(r["lang_pred"] == "und" for r in out)
     none = string_kernel.predict_languages(odd_docs.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {r["lang_pred"] for r in none} == {"und"}
 
