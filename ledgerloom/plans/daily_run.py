@@ -172,7 +172,7 @@ def build_due_reports(wh: Warehouse, store: Store, day: date) -> None:
     name = "ads_merchant_yearly_snapshot"
     merchant_years = store.put(name, merchant_yearly(wh, merchant_months, year, history=store.get(name)))
     name = "ads_user_yearly_snapshot"
-    store.put(name, user_yearly(wh, users, user_months, year, history=store.get(name)))
+    store.put(name, user_yearly(wh, user_months, year, history=store.get(name)))
     store.put("ads_platform_yearly_summary", platform_yearly(wh, platform_months, merchant_years, year))
 
 

@@ -207,14 +207,8 @@ def top_categories(monthly: DataFrame) -> DataFrame:
     )
 
 
-def _known_by(year: int) -> Column:
-    """Newest profile facts by the end of a year; the array has at most one entry per year."""
-    return F.array_max(F.filter("known", lambda entry: entry["seen_year"] <= year))
-
-
 def user_yearly(
     wh: Warehouse,
-    profile: DataFrame,
     monthly: DataFrame,
     first_year: int,
     last_year: int | None = None,
@@ -262,24 +256,11 @@ def user_yearly(
         "total_order_count",
         "total_return_count",
     )
-    # profile rows up to each year's end name the registration date
-    registered = (
-        profile.select(
-            "user_id",
-            "register_date",
-            F.greatest(F.year(F.date_sub("stat_date", 1)), F.lit(first_year)).alias("seen_year"),
-            "stat_date",
-        )
-        .filter(c("seen_year") <= last_year)
-        .groupBy("user_id", "seen_year")
-        .agg(F.max_by("register_date", "stat_date").alias("register_date"))
-        .groupBy("user_id")
-        .agg(F.collect_list(F.struct("seen_year", "register_date")).alias("known"))
-    )
     risk_input = summed.groupBy("user_id").agg(
         *[F.max(F.when(c("stat_year") == y, c("risky_months"))).alias(f"risky_{y}") for y in years]
     )
-    people = wh.users.select("user_id", "user_name").join(registered, "user_id", "left")
+    # the profile's registration date is the day of the user's creation, so its history need not be read
+    people = wh.users.select("user_id", "user_name", F.to_date("created_time").alias("register_date"))
     people = people.join(risk_input, "user_id", "left")
     earlier = {first_year - 1: F.lit(None).cast("string"), first_year - 2: F.lit(None).cast("string")}
     if history is not None:
@@ -293,9 +274,8 @@ def user_yearly(
         people = people.withColumns({f"flag_{y}": value for y, value in earlier.items()})
 
     for y in years:
-        people = people.withColumn(f"reg_{y}", _known_by(y)["register_date"])
         computed = annual_risk(
-            F.lit(y), F.year(f"reg_{y}"), zero_if_null(c(f"risky_{y}")), c(f"flag_{y - 1}"), c(f"flag_{y - 2}")
+            F.lit(y), F.year("register_date"), zero_if_null(c(f"risky_{y}")), c(f"flag_{y - 1}"), c(f"flag_{y - 2}")
         )
         # a user without months in the year still gets a row, flagged normal
         people = people.withColumn(
@@ -306,14 +286,13 @@ def user_yearly(
             *[
                 F.struct(
                     F.lit(y).alias("stat_year"),
-                    c(f"reg_{y}").alias("register_date"),
                     c(f"flag_{y}").alias("risk_flag"),
                 )
                 for y in years
             ]
         )
     ).alias("y")
-    spine = people.select("user_id", "user_name", per_year).select("user_id", "user_name", "y.*")
+    spine = people.select("user_id", "user_name", "register_date", per_year).select("user_id", "user_name", "register_date", "y.*")
 
     level = c("user_level")
     stage = (

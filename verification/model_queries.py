@@ -93,7 +93,7 @@ class Models:
 
     @cached_property
     def user_years(self) -> DataFrame:
-        return user_yearly(self.wh, self.users, self.user_months, *self.years)
+        return user_yearly(self.wh, self.user_months, *self.years)
 
     @cached_property
     def platform_months(self) -> DataFrame:
