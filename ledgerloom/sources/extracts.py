@@ -13,14 +13,15 @@ def extract_path(root: str, table: str, day: date) -> str:
 
 
 def read_extract(
-    spark: SparkSession, root: str, table: str, day: date, columns: list[str] | None = None
+    spark: SparkSession, root: str, table: str, day: date, columns: list[str] | None = None, multi_line: bool = True
 ) -> DataFrame:
     """One table's extract of one day; only its own folder is listed.
 
     ``columns`` is the header, for extracts whose header is known; otherwise it is taken from the file.
-    Types are never inferred: one dirty cell would change a column's type from day to day.
+    Types are never inferred: one dirty cell would change a column's type from day to day. Cells may hold line breaks, so a
+    file is read by one task; ``multi_line=False`` splits large files whose cells are known to hold none.
     """
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("emptyValue", "")
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').option("emptyValue", "")
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
         reader = reader.option("enforceSchema", False)
