@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.token_words import WordMemo, slices_by_size
+from ledgerloom.llm.token_words import WordMemo
 from ledgerloom.llm.workers import by_value
 
 
@@ -169,8 +169,7 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame
 
         memo = WordMemo(piece_encoder(MergeReplay(read_ranks(content.value)), pattern), "<i4")
         for batch in batches:
-            for at, texts in slices_by_size(batch.column("text")):
-                flat, counts = memo.ids(texts)
+            for at, texts, flat, counts in memo.ids(batch.column("text")):
                 ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), ids], ["doc_id", "ids"])

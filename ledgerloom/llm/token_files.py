@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.token_words import WordMemo, slices_by_size
+from ledgerloom.llm.token_words import WordMemo
 from ledgerloom.llm.workers import by_value
 from ledgerloom.session import staged
 
@@ -167,8 +167,7 @@ def tokenize(docs: DataFrame, tokenizer_file: str, end_id: int, kind: str) -> Da
         tokenizer.encode_special_tokens = True
         memo = WordMemo(library_encoder(tokenizer, kind), kind)
         for batch in batches:
-            for at, texts in slices_by_size(batch.column("text")):
-                ids, counts = memo.ids(texts)
+            for at, texts, ids, counts in memo.ids(batch.column("text")):
                 ends = np.cumsum(counts)
                 ended = np.insert(ids, ends, end_id).astype(kind)
                 bounds = np.concatenate(([0], ends + np.arange(1, len(ends) + 1))) * ended.itemsize
@@ -359,15 +358,14 @@ def document_checksums(pieces: DataFrame, starts: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        names = ["part", "doc_order", "doc_id", "first_token", "n", "crc"]
         for batch in batches:
-            raw = batch.column("ids").to_pylist()
-            crcs = passed_on(np.fromiter(map(zlib.crc32, raw), np.uint32, len(raw)), 4 * batch.column("ids_after").to_numpy())
-            sizes = pa.array([len(r) // 4 for r in raw], pa.int64())
-            columns = [batch.column(c) for c in names[:4]]
-            yield pa.RecordBatch.from_arrays([*columns, sizes, pa.array(crcs.astype(np.int64))], names)
+            crcs = passed_on(batch.column("crc").to_numpy(), 4 * batch.column("ids_after").to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(crcs.astype(np.int64))], [*names, "crc"])
 
-    parts = pieces.mapInArrow(run, "part int, doc_order long, doc_id long, first_token long, n long, crc long")
+    names = ["part", "doc_order", "doc_id", "first_token", "n"]
+    light = pieces.withColumn("n", F.expr("CAST(octet_length(ids) AS BIGINT) div 4"))
+    light = light.select(*names, F.crc32("ids").alias("crc"), "ids_after")
+    parts = light.mapInArrow(run, "part int, doc_order long, doc_id long, first_token long, n long, crc long")
     whole = parts.groupBy("part", "doc_order", "doc_id").agg(
         F.min("first_token").alias("first"), F.sum("n").alias("n_tokens"), F.bit_xor("crc").alias("ids_crc32")
     )

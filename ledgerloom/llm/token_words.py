@@ -8,7 +8,7 @@ import numpy as np
 
 from ledgerloom.llm.workers import by_value
 
-MEMO_WORDS = 600_000
+MEMO_WORDS = 500_000
 #: Marks that are one piece after letters, however many, where nothing else follows.
 MARKS = ".,!?;:%&*#$|"
 
@@ -39,64 +39,83 @@ class WordMemo:
         self.words, self.bare, self.marks = {}, {}, {}  # with a blank before them, without, and marks
         self.line_break = encode(["\n"])[0]
 
-    def learn(self, wanted: list[str], blank: str) -> None:
-        """Enter words with or without a blank before them; None for those that may not be cut off."""
+    def resolve(self, words: list[str], blank: str) -> list[bytes | None]:
+        """Raw ids of words with or without a blank before them; None for those that may not be cut off.
+
+        Only pieces are kept for later calls; words with marks or line breaks are joined from them each time.
+        """
         known = self.words if blank else self.bare
-        fit = [w for w in wanted if w and not w[-1].isspace() and not (blank and w[0].isspace())]
-        known.update(dict.fromkeys(wanted))
-        cut = [pieces_of(w) for w in fit]
-        first = {c[0][0] for c in cut}
-        later = {base for c in cut if len(c) > 1 for base, _ in c[1:]}
-        marks = [m for m in {m for c in cut for _, m in c} if m and m not in self.marks]
+        fresh = [w for w in words if w not in known and w.isalpha()]
+        known.update(zip(fresh, self.encode([blank + w for w in fresh]), strict=True))
+        found = list(map(known.get, words))
+        odd = [(i, words[i]) for i, ids in enumerate(found) if ids is None]
+        cut = [(i, pieces_of(w)) for i, w in odd if w and not w[-1].isspace() and not (blank and w[0].isspace())]
+        first = {lines[0][0] for _, lines in cut}
+        later = {base for _, lines in cut if len(lines) > 1 for base, _ in lines[1:]}
+        marks = [m for m in {m for _, lines in cut for _, m in lines} if m and m not in self.marks]
         for memo, bases, before in ((known, first, blank), (self.bare, later, "")):
-            bases = [w for w in bases if memo.get(w) is None]
+            bases = [w for w in bases if w not in memo]
             memo.update(zip(bases, self.encode([before + w for w in bases]), strict=True))
         self.marks.update(zip(marks, self.encode(marks), strict=True))
-        for word, lines in zip(fit, cut, strict=True):
-            if len(lines) > 1 or lines[0][1]:
-                whole = known[lines[0][0]] + self.marks.get(lines[0][1], b"")
-                for base, mark in lines[1:]:
-                    whole += self.line_break + self.bare[base] + self.marks.get(mark, b"")
-                known[word] = whole
-
-    def ids(self, texts) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, number of ids of each) for an Arrow array of texts without NULLs."""
+        for i, lines in cut:
+            whole = known[lines[0][0]] + self.marks.get(lines[0][1], b"")
+            for base, mark in lines[1:]:
+                whole += self.line_break + self.bare[base] + self.marks.get(mark, b"")
+            found[i] = whole
+        return found
+
+    def ids(self, texts):
+        """(start, texts, their ids laid end to end, number of ids of each) for parts of an Arrow text column; NULL is empty.
+
+        Words are told apart for some megabytes at once, and ids gathered for fewer at a time.
+        """
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for start, some in slices_by_size(pc.fill_null(texts, ""), 8_000_000):
+            for at, part, ids, counts in self.ids_of_some(some):
+                yield start + at, part, ids, counts
+            pa.default_memory_pool().release_unused()  # workers live on between tasks
+
+    def ids_of_some(self, texts):
         import pyarrow.compute as pc
 
-        if len(self.words) > MEMO_WORDS:
+        if len(self.words) + len(self.bare) > MEMO_WORDS:
             self.words, self.bare, self.marks = {}, {}, {}
         split = pc.split_pattern(texts, pattern=" ")
         first = split.offsets.to_numpy() - split.offsets[0].as_py()
         coded = split.flatten().dictionary_encode()
-        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        del split
+        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().copy()
         begins = [words[c] for c in codes[first[:-1]].tolist()]
-        self.learn([w for w in words if w not in self.words], " ")
-        self.learn([w for w in dict.fromkeys(begins) if w not in self.bare], "")
-        found = [*map(self.words.__getitem__, words), *map(self.bare.__getitem__, begins)]
+        found = self.resolve(words, " ") + self.resolve(begins, "")
         codes[first[:-1]] = len(words) + np.arange(len(begins))
-        void = np.array([v is None for v in found], bool)
-        sizes = np.array([len(v or b"") for v in found], np.int64) // self.kind.itemsize
-        table = np.frombuffer(b"".join(v for v in found if v), self.kind)
-        starts = np.cumsum(sizes) - sizes
-        each = sizes[codes]
-        out = table[np.arange(each.sum()) + np.repeat(starts[codes] - (np.cumsum(each) - each), each)]
-        counts = np.add.reduceat(each, first[:-1])
-        whole = np.flatnonzero(np.logical_or.reduceat(void[codes], first[:-1]))
-        if len(whole):
-            parts = np.split(out, np.cumsum(counts)[:-1])
-            own = self.encode([t for t in texts.take(whole).to_pylist()])
-            for i, raw in zip(whole.tolist(), own, strict=True):
-                parts[i] = np.frombuffer(raw, self.kind)
-                counts[i] = len(parts[i])
-            out = np.concatenate(parts)
-        return out, counts
-
-
-def slices_by_size(column, most: int = 4_000_000):
-    """(start, texts) of parts of an Arrow text column with some megabytes each; NULL counts as empty."""
+        void = np.fromiter((v is None for v in found), bool, len(found))
+        table = np.frombuffer(b"".join(filter(None, found)), self.kind)
+        sizes = np.fromiter((0 if v is None else len(v) for v in found), np.int32, len(found)) // self.kind.itemsize
+        starts = np.cumsum(sizes, dtype=np.int64) - sizes
+        del words, found
+        for at, part in slices_by_size(texts):
+            own = codes[first[at] : first[at + len(part)]]
+            bounds = first[at : at + len(part)] - first[at]
+            each = sizes[own]
+            ends = np.cumsum(each, dtype=np.int64)
+            out = table[np.arange(ends[-1]) + np.repeat(starts[own] - ends + each, each)]
+            counts = np.add.reduceat(each.astype(np.int64), bounds)
+            whole = np.flatnonzero(np.logical_or.reduceat(void[own], bounds))
+            if len(whole):
+                parts = np.split(out, np.cumsum(counts)[:-1])
+                for i, raw in zip(whole.tolist(), self.encode(part.take(whole).to_pylist()), strict=True):
+                    parts[i] = np.frombuffer(raw, self.kind)
+                    counts[i] = len(parts[i])
+                out = np.concatenate(parts)
+            yield at, part, out, counts
+
+
+def slices_by_size(column, most: int = 3_000_000):
+    """(start, texts) of parts of an Arrow text column without NULLs, with some megabytes each."""
     import pyarrow.compute as pc
 
-    column = pc.fill_null(column, "")
     ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(column):
