@@ -55,14 +55,19 @@ def unpacked(raw: bytes) -> np.ndarray:
 class PresenceKernel:
     """k(x, y) = |x and y| / sqrt(|x| |y|) on the n-grams that several landmarks hold, the most widely held MOST_NGRAMS."""
 
-    def __init__(self, landmarks: list[np.ndarray], min_landmarks: int):
+    def __init__(self, column: np.ndarray, landmarks: np.ndarray | None = None):
+        self.column, self.landmarks, self.width = column, landmarks, int(column.max(initial=-1)) + 1
+
+    @classmethod
+    def fit(cls, landmarks: list[np.ndarray], min_landmarks: int) -> PresenceKernel:
         held = np.bincount(np.concatenate(landmarks), minlength=1 << HASH_BITS)
         kept = np.flatnonzero(held >= min(min_landmarks, len(landmarks)))
         kept = np.sort(kept[np.argsort(-held[kept], kind="stable")[:MOST_NGRAMS]])
-        self.column = np.full(1 << HASH_BITS, -1, np.int32)
-        self.column[kept] = np.arange(len(kept))
-        self.width = len(kept)
-        self.landmarks = self.rows(landmarks).T.copy()
+        column = np.full(1 << HASH_BITS, -1, np.int32)
+        column[kept] = np.arange(len(kept))
+        kernel = cls(column)
+        kernel.landmarks = kernel.rows(landmarks).T.copy()
+        return kernel
 
     def rows(self, sets: list[np.ndarray]) -> np.ndarray:
         out = np.zeros((len(sets), self.width), np.float32)
@@ -82,14 +87,14 @@ def fit_kernel(sets: list[np.ndarray], langs: list[str], landmarks: int, min_lan
     names = sorted(set(langs))
     of = {name: [i for i, x in enumerate(langs) if x == name] for name in names}
     picks = [of[n][k] for k in range(max(map(len, of.values()))) for n in names if k < len(of[n])][:landmarks]
-    kernel = PresenceKernel([sets[i] for i in picks], min_landmarks)
+    kernel = PresenceKernel.fit([sets[i] for i in picks], min_landmarks)
     values, vectors = np.linalg.eigh(kernel.against([sets[i] for i in picks]).astype(np.float64))
     kept = values > max(1e-6, values.max() * 1e-6)
     project = vectors[:, kept] / np.sqrt(values[kept])
     rows = np.concatenate([kernel.against(sets[a : a + 64]) for a in range(0, len(sets), 64)]) @ project
     target = (np.array(langs)[:, None] == np.array(names)[None]).astype(np.float64)
     solved = np.linalg.solve(rows.T @ rows + ridge * np.eye(rows.shape[1]), rows.T @ target)
-    return {"kernel": kernel, "names": names, "weights": (project @ solved).astype(np.float32)}
+    return {"column": kernel.column, "landmarks": kernel.landmarks, "names": names, "weights": (project @ solved).astype(np.float32)}
 
 
 def predict_languages(
@@ -145,6 +150,7 @@ def predict_languages(
         import pyarrow as pa
 
         letters, fitted = letter_table(), shared.value
+        kernel = PresenceKernel(fitted["column"], fitted["landmarks"]) if fitted else None
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
@@ -152,7 +158,7 @@ def predict_languages(
                 known = [i for i, c in enumerate(found) if c is not None]
                 names, scores = ["und"] * part.num_rows, np.zeros(part.num_rows)
                 if known:
-                    values = np.maximum(fitted["kernel"].against([found[i] for i in known]) @ fitted["weights"], 1e-9)
+                    values = np.maximum(kernel.against([found[i] for i in known]) @ fitted["weights"], 1e-9)
                     best = values.argmax(axis=1)
                     for i, b, share in zip(known, best, values.max(axis=1) / values.sum(axis=1), strict=True):
                         names[i], scores[i] = fitted["names"][b], share
