@@ -30,7 +30,7 @@ def op2_token_files(spark, sf_dir):
     token_files.write_token_files(
         documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), vocabulary=50_257, end_id=0
     )
-    return token_files.document_checksums(token_files.read_token_files(spark, path), token_files.part_starts(spark, path))
+    return token_files.document_checksums(spark, path)
 
 
 def op3_exact_dedup(spark, sf_dir):

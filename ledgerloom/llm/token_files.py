@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from ledgerloom.llm.token_words import WordMemo
 from ledgerloom.llm.workers import by_value
-from ledgerloom.session import staged
+from ledgerloom.session import remove, scratch_path
 
 SCALE_BITS, LANES, SEGMENT_STEPS, BLOCK_SEGMENTS = 20, 64, 128, 8
 SEGMENT = LANES * SEGMENT_STEPS
@@ -33,7 +33,7 @@ BLOCK_SCHEMA = (
     "part int, block int, first_token long, n_tokens int, payload binary, states binary, offsets binary, payload_crc32 long, "
     "ids_crc32 long, piece_doc array<long>, piece_order array<long>, piece_length array<long>, piece_after array<long>"
 )
-PIECE_SCHEMA = "part int, doc_order long, doc_id long, first_token long, ids_after long, ids binary"
+PIECE_SCHEMA = "part int, doc_order long, doc_id long, first_token long, n_ids long"
 
 
 def scaled_frequencies(counts: np.ndarray) -> np.ndarray:
@@ -206,9 +206,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, vocabular
     of their own, in the order of their token ids. An empty table gives a file set without blocks.
     """
     kind = raw_type(vocabulary)
-    tokens = staged(tokenize(docs, tokenizer_file, end_id, kind), "token-ids")
-    frequencies = scaled_frequencies(symbol_counts(tokens, vocabulary, kind))
     spark = docs.sparkSession
+    scratch = scratch_path(spark, "token-ids")
+    tokenize(docs, tokenizer_file, end_id, kind).write.option("compression", "zstd").parquet(scratch)
+    tokens = spark.read.schema("doc_id long, ids binary").parquet(scratch)
+    frequencies = scaled_frequencies(symbol_counts(tokens, vocabulary, kind))
     table = [(i, int(f)) for i, f in enumerate(frequencies) if f]
     spark.createDataFrame(table, "symbol int, frequency int").coalesce(1).write.parquet(f"{path}/frequencies")
     shared = spark.sparkContext.broadcast(frequencies)  # one number per id of the vocabulary
@@ -269,14 +271,15 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, vocabular
 
     ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
     ordered.mapInArrow(run, BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
+    remove(spark, scratch)
 
 
-def read_token_files(spark: SparkSession, path: str) -> DataFrame:
+def read_token_files(spark: SparkSession, path: str, digests: bool = False) -> DataFrame:
     """Decoded documents in pieces, one for each block that a document lies in.
 
     Columns: part, doc_order (number of the document within its part), doc_id, first_token (of the piece, within the part),
-    ids_after (ids of the document behind the piece), ids (32-bit little-endian). Blocks are decoded in parallel; a
-    block whose checksums or final states do not fit its content raises an error.
+    n_ids, and ids (32-bit little-endian) or, with digests, crc: what the piece's ids contribute to the crc32 of the document's.
+    Blocks are decoded in parallel; a block whose checksums or final states do not fit its content raises an error.
     """
     table = spark.read.parquet(f"{path}/frequencies").collect()  # at most 2^20 rows
     frequencies = np.zeros(max((r["symbol"] for r in table), default=-1) + 1, np.int64)
@@ -294,20 +297,27 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 if any(zlib.crc32(r["payload"]) != r["payload_crc32"] for r in rows):
                     raise ValueError("a block's payload does not have its checksum")
                 decoded = coder.decode([(r["payload"], r["states"], r["offsets"], r["n_tokens"]) for r in rows])
-                out = []
+                out, after = [], []
                 for row, ids in zip(rows, decoded, strict=True):
-                    raw = ids.astype("<u4").tobytes()
+                    raw = memoryview(ids.astype("<u4").tobytes())
                     if zlib.crc32(raw) != row["ids_crc32"]:
                         raise ValueError("a block's ids do not have their checksum")
-                    at = 0
-                    for doc, order, length, after in zip(row["piece_doc"], row["piece_order"], row["piece_length"], row["piece_after"], strict=True):
-                        out.append((row["part"], order, doc, row["first_token"] + at, after, raw[4 * at : 4 * (at + length)]))
-                        at += length
-                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                names = ["part", "doc_order", "doc_id", "first_token", "ids_after", "ids"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
-
-    return spark.read.parquet(f"{path}/blocks").mapInArrow(run, PIECE_SCHEMA)
+                    lengths = np.array(row["piece_length"])
+                    ends = np.cumsum(lengths)
+                    for order, doc, length, end in zip(row["piece_order"], row["piece_doc"], lengths.tolist(), ends.tolist(), strict=True):
+                        own = raw[4 * (end - length) : 4 * end]
+                        out.append((row["part"], order, doc, row["first_token"] + end - length, length, zlib.crc32(own) if digests else bytes(own)))
+                    after += row["piece_after"]
+                *columns, last = zip(*out, strict=True)
+                kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+                arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+                if digests:
+                    last = passed_on(np.array(last, np.uint32), 4 * np.array(after, np.int64)).astype(np.int64)
+                arrays.append(pa.array(last))
+                yield pa.RecordBatch.from_arrays(arrays, ["part", "doc_order", "doc_id", "first_token", "n_ids", "crc" if digests else "ids"])
+
+    blocks = spark.read.parquet(f"{path}/blocks")
+    return blocks.mapInArrow(run, PIECE_SCHEMA + (", crc long" if digests else ", ids binary"))
 
 
 def part_starts(spark: SparkSession, path: str) -> DataFrame:
@@ -348,29 +358,17 @@ def passed_on(crcs: np.ndarray, zeros: np.ndarray) -> np.ndarray:
     return out
 
 
-def document_checksums(pieces: DataFrame, starts: DataFrame) -> DataFrame:
-    """Per document of a decoded file set: doc_id, start, n_tokens, ids_crc32 (over its ids as 32-bit little-endian integers).
+def document_checksums(spark: SparkSession, path: str) -> DataFrame:
+    """Per document of a file set, decoded: doc_id, start, n_tokens, ids_crc32 (over its ids as 32-bit little-endian integers).
 
     The crc32 of joined pieces is the exclusive or of each piece's, passed on over the bytes behind it, so the pieces of a long
     document need not meet.
     """
-
-    def run(batches):
-        import pyarrow as pa
-
-        for batch in batches:
-            crcs = passed_on(batch.column("crc").to_numpy(), 4 * batch.column("ids_after").to_numpy())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(crcs.astype(np.int64))], [*names, "crc"])
-
-    names = ["part", "doc_order", "doc_id", "first_token", "n"]
-    light = pieces.withColumn("n", F.expr("CAST(octet_length(ids) AS BIGINT) div 4"))
-    light = light.select(*names, F.crc32("ids").alias("crc"), "ids_after")
-    parts = light.mapInArrow(run, "part int, doc_order long, doc_id long, first_token long, n long, crc long")
-    whole = parts.groupBy("part", "doc_order", "doc_id").agg(
-        F.min("first_token").alias("first"), F.sum("n").alias("n_tokens"), F.bit_xor("crc").alias("ids_crc32")
+    whole = read_token_files(spark, path, digests=True).groupBy("part", "doc_order", "doc_id").agg(
+        F.min("first_token").alias("first"), F.sum("n_ids").alias("n_tokens"), F.bit_xor("crc").alias("ids_crc32")
     )
     # one row per part of the file set, that is per task that wrote it
-    return whole.join(F.broadcast(starts), F.col("part") == F.col("_part")).select(
+    return whole.join(F.broadcast(part_starts(spark, path)), F.col("part") == F.col("_part")).select(
         "doc_id", (F.col("part_start") + F.col("first")).alias("start"), "n_tokens", "ids_crc32"
     )
 

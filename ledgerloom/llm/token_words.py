@@ -72,7 +72,7 @@ class WordMemo:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        for start, some in slices_by_size(pc.fill_null(texts, ""), 8_000_000):
+        for start, some in slices_by_size(pc.fill_null(texts, ""), 10_000_000):
             for at, part, ids, counts in self.ids_of_some(some):
                 yield start + at, part, ids, counts
             pa.default_memory_pool().release_unused()  # workers live on between tasks

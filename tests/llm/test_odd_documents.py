@@ -146,7 +146,7 @@ def test_token_files(spark, odd_docs, odd_rows):
     path = scratch_path(spark, "files")
     file = public_tokenizers.path("byte_bpe_50k.json")
     token_files.write_token_files(odd_docs, path, file, 50_257, 0)
-    out = token_files.document_checksums(token_files.read_token_files(spark, path), token_files.part_starts(spark, path)).collect()
+    out = token_files.document_checksums(spark, path).collect()
     tokenizer = Tokenizer.from_file(file)
     tokenizer.encode_special_tokens = True
     wanted = Counter()
@@ -159,6 +159,13 @@ def test_token_files(spark, odd_docs, odd_rows):
     assert [r["start"] for r in out] == starts[:-1].tolist()
     ids = [-1 if r["doc_id"] is None else r["doc_id"] for r in out]
     assert ids == sorted(ids)
+    texts = {r[0]: r[1] for r in odd_rows}
+    pieces = token_files.read_token_files(spark, path).filter("doc_id IS NOT NULL").orderBy("part", "doc_order", "first_token").collect()
+    read = defaultdict(bytes)
+    for piece in pieces:
+        read[piece["part"], piece["doc_order"], piece["doc_id"]] += bytes(piece["ids"])
+    for (_, _, doc), raw in read.items():
+        assert tokenizer.decode(np.frombuffer(raw, "<u4")[:-1].tolist(), skip_special_tokens=False) == (texts[doc] or "")
 
 
 def test_damaged_token_file(spark, odd_docs):
@@ -227,4 +234,4 @@ def test_no_rows(spark, no_docs):
     assert merge_replay.decode_documents(encoded, ranks).count() == 0
     path = scratch_path(spark, "files")
     token_files.write_token_files(no_docs, path, public_tokenizers.path("byte_bpe_50k.json"), 50_257)
-    assert token_files.document_checksums(token_files.read_token_files(spark, path), token_files.part_starts(spark, path)).count() == 0
+    assert token_files.document_checksums(spark, path).count() == 0
