@@ -21,22 +21,27 @@ class CapFilters:
     """
 
     def __init__(self, dims: int, codewords: int, tables: int, lists: float, seed: int, blocks: int = 2):
-        random = np.random.default_rng(seed)
-        blocks = min(blocks, dims)
-        self.directions, self.tables = codewords**blocks, tables
+        self.random = np.random.default_rng(seed)
+        self.dims, self.codewords, self.blocks = dims, codewords, min(blocks, dims)
+        self.directions, self.tables = codewords**self.blocks, 0
         self.reach = NormalDist().inv_cdf(1 - min(0.5, lists / self.directions))
         self.turns, self.codes = [], []
         for _ in range(tables):
-            self.turns.append(np.linalg.qr(random.standard_normal((dims, dims)))[0])
-            self.codes.append([random.standard_normal((codewords, len(b))) for b in np.array_split(np.arange(dims), blocks)])
+            self.add_table()
 
-    def listed(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(vector, direction) of all exceeding directions, decoded block by block.
+    def add_table(self) -> None:
+        parts = np.array_split(np.arange(self.dims), self.blocks)
+        self.turns.append(np.linalg.qr(self.random.standard_normal((self.dims, self.dims)))[0])
+        self.codes.append([self.random.standard_normal((self.codewords, len(p))) for p in parts])
+        self.tables += 1
+
+    def listed(self, units: np.ndarray, tables: range | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(vector, direction) of all exceeding directions, decoded block by block; of all tables if none are named.
 
         A partial code is dropped as soon as the best codewords of the blocks to come cannot lift it to reach.
         """
         rows, codes = [], []
-        for table in range(self.tables):
+        for table in range(self.tables) if tables is None else tables:
             turned, scores, at = units @ self.turns[table], [], 0
             for words in self.codes[table]:
                 scores.append(turned[:, at : at + words.shape[1]] @ words.T)
@@ -57,6 +62,49 @@ class CapFilters:
         return np.concatenate(rows), np.concatenate(codes)
 
 
+def pairs_at(cosine: float, count: int, dims: int, random: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Random unit vectors and, row by row, partners at exactly this cosine (equal vectors in one dimension)."""
+    a = random.standard_normal((count, dims))
+    a /= np.sqrt((a * a).sum(axis=1))[:, None]
+    if dims == 1:
+        return a, a
+    b = random.standard_normal((count, dims))
+    b -= (b * a).sum(axis=1)[:, None] * a
+    b /= np.sqrt((b * b).sum(axis=1))[:, None]
+    return a, cosine * a + np.sqrt(1 - cosine * cosine) * b
+
+
+def unmet(filters: CapFilters, a: np.ndarray, b: np.ndarray, tables: range | None = None) -> np.ndarray:
+    """Which pairs of rows share no direction in these tables."""
+    out = np.ones(len(a), bool)
+    for at in range(0, len(a), 512):
+        lists = [np.stack(filters.listed(x[at : at + 512], tables), axis=1) for x in (a, b)]
+        seen, times = np.unique(np.concatenate(lists), axis=0, return_counts=True)
+        out[at + seen[times > 1, 0]] = False
+    return out
+
+
+def enough_filters(
+    dims: int, codewords: int, tables: int, lists: float, seed: int, least_cosine: float, most_missed: float, most_tables: int = 256
+) -> CapFilters:
+    """Filters with `tables` tables, and more until they miss few enough of ten thousand random pairs at least_cosine.
+
+    Pairs are met at half of most_missed, so that the count, a sample, bounds the rate itself with about 93 % confidence. Only
+    pairs that no table has met so far are tried on the next. The directions are random, so the rate holds for any data.
+    """
+    filters = CapFilters(dims, codewords, tables, lists, seed)
+    count = max(10_000, int(np.ceil(10 / most_missed)))
+    a, b = pairs_at(min(1.0, least_cosine), count, dims, np.random.default_rng(seed + 1))
+    left = unmet(filters, a, b)
+    while left.sum() > count * most_missed / 2:
+        if filters.tables == most_tables:
+            raise ValueError(f"{most_tables} tables miss more than {most_missed} of pairs at cosine {least_cosine}")
+        a, b = a[left], b[left]
+        filters.add_table()
+        left = unmet(filters, a, b, range(filters.tables - 1, filters.tables))
+    return filters
+
+
 def unit_rows(vectors) -> np.ndarray:
     """A list column of finite floats as rows of length one, in double precision."""
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -175,8 +223,9 @@ def verified(rows: DataFrame, filters: CapFilters, least_cosine: float) -> DataF
 
 
 def near_vectors(
-    vectors: DataFrame, least_cosine: float = 0.93, tables: int = 3, lists: float = 16, run_rows: int = 2048, seed: int = 5
-) -> DataFrame:
+    vectors: DataFrame, least_cosine: float = 0.93, tables: int = 3, lists: float = 16, run_rows: int = 2048, seed: int = 5,
+    most_missed: float = 0.001,
+) -> DataFrame:
     """Vectors (vec_id, embedding, label) linked at a cosine of least_cosine or more within their label.
 
     Equal vectors of a label are one node with a count. Each node is list-decoded to all directions of a few random
@@ -184,7 +233,10 @@ def near_vectors(
     dozen vectors. Nodes join on (label, direction) and every meeting is verified in double precision. A pair is counted only
     under the first direction that both vectors are listed at, so counts need no list of pairs; links leave a task
     as spanning links. A direction with more than run_rows nodes is dealt over several tasks in blocks. The search misses a
-    pair only if its vectors share no direction: with the defaults about 0.5 % of pairs at exactly 0.93, fewer above.
+    pair only if its vectors share no direction. More directions have narrower caps, so tables are added to the given number
+    until at most most_missed of the pairs at exactly least_cosine are missed, fewer above (see enough_filters), whatever the
+    size; each table adds `lists` copies of a vector to the shuffle. At 0.93 and 64 dimensions: 4 tables for labels of up to
+    6,144 vectors, 5 for 101,400, 7 for 1.8 million.
 
     Returns one row per input row: vec_id, n_links (other rows linked directly), component_id (smallest vec_id
     reachable), kept. Rows with a NULL id, label or vector, a zero vector, or NULL or non-finite components link with
@@ -207,7 +259,7 @@ def near_vectors(
     nodes = staged(grouped, "vectors")
     largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0]
     codewords = max(64, int(np.ceil(np.sqrt(lists * largest / 24))))
-    filters = CapFilters(usual["dims"], codewords, tables, lists, seed)
+    filters = enough_filters(usual["dims"], codewords, tables, lists, seed, least_cosine, most_missed)
     spread = nodes.repartition(nodes.sparkSession.sparkContext.defaultParallelism)
     crowded = listings(spread, filters, False).groupBy("label", "code").count().filter(F.col("count") > run_rows)
     crowded = staged(crowded.select("label", "code", F.ceil(F.col("count") / run_rows).cast("int").alias("pieces")), "vectors-crowded")

@@ -8,7 +8,7 @@ import pytest
 import zlib
 
 from ledgerloom.llm import token_files
-from ledgerloom.llm.cap_filters import CapFilters, near_vectors
+from ledgerloom.llm.cap_filters import CapFilters, enough_filters, near_vectors, pairs_at, unmet
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.merge_replay import MergeReplay, read_ranks
 from ledgerloom.llm.simhash_grid import close_links
@@ -156,3 +156,19 @@ def test_recall_at_the_limit():
     lists = [set(zip(*map(np.ndarray.tolist, filters.listed(x)), strict=True)) for x in (a, b)]
     met = {row for row, _ in lists[0] & lists[1]}
     assert len(met) > 0.98 * 800
+
+
+@pytest.mark.parametrize("codewords", [64, 260, 1100])
+def test_recall_holds_as_labels_grow(codewords):
+    filters = enough_filters(64, codewords, 3, 16, 5, least_cosine=0.93, most_missed=0.001)
+    a, b = pairs_at(0.93, 2000, 64, np.random.default_rng(8))
+    assert np.allclose((a * b).sum(axis=1), 0.93)
+    assert unmet(filters, a, b).sum() <= 6
+
+
+def test_recall_is_bounded_in_few_dimensions_and_at_lower_cosines():
+    for dims, cosine in ((1, 0.93), (2, 0.93), (5, 0.93), (64, 0.88)):
+        filters = enough_filters(dims, 64, 3, 16, 5, cosine, most_missed=0.001)
+        assert unmet(filters, *pairs_at(cosine, 2000, dims, np.random.default_rng(9))).sum() <= 6
+    with pytest.raises(ValueError):
+        enough_filters(8, 64, 1, 0.01, 5, 0.1, most_missed=0.01, most_tables=3)
