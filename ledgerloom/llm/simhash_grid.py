@@ -38,8 +38,8 @@ def simhash(text: bytes, words: int, seed: int) -> int:
     return int(np.packbits(ones, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
-    """doc_id and fingerprint (64 bits as a signed long) of every whole text."""
+def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fingerprint (64 bits as a signed long) of every whole text, and the carried columns."""
 
     def run(batches):
         import pyarrow as pa
@@ -48,10 +48,12 @@ def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
             prints = np.empty(batch.num_rows, np.uint64)
             for i, text in enumerate(batch.column("text")):
                 prints[i] = simhash(text.as_buffer().to_pybytes() if text.is_valid else b"", words, seed)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "fingerprint"])
+            columns = [batch.column("doc_id"), pa.array(prints.view(np.int64)), *(batch.column(c) for c in carry)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fingerprint", *carry])
 
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, fingerprint long")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
+    carried = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return slim.mapInArrow(run, f"doc_id long, fingerprint long{carried}")
 
 
 def segment_counts(prints: np.ndarray) -> np.ndarray:
@@ -122,6 +124,18 @@ def close_links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
     return cells.mapInArrow(run, "high long, low long")
 
 
+def rooted_fingerprints(docs: DataFrame, words: int, seed: int, max_bits: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: doc_id, fingerprint, the carried columns, root (smallest fingerprint of the component), component_id."""
+    prints = staged(fingerprints(docs, words, seed, carry), "simhash")
+    nodes = staged(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
+    roots = connected_components(staged(close_links(nodes.select("fingerprint"), max_bits), "simhash-links"))
+    rooted = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left")
+    rooted = rooted.select("fingerprint", F.coalesce("root", "fingerprint").alias("root"), "first_id")
+    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    named = rooted.join(smallest, "root").select(F.col("fingerprint").alias("_print"), "root", "component_id")
+    return prints.join(named, prints["fingerprint"] == named["_print"]).drop("_print")
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42, max_bits: int = 4) -> DataFrame:
     """Documents (doc_id, text) whose SimHash fingerprints are linked, directly or through others.
 
@@ -134,14 +148,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, seed: int = 42, max_bits: i
     any other. Repeated rows share a component. No rows give no rows. Extra columns are ignored. Very long texts are
     hashed whole; a task holds one text's words at a time.
     """
-    prints = staged(fingerprints(docs, words, seed), "simhash")
-    nodes = staged(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
-    roots = connected_components(staged(close_links(nodes.select("fingerprint"), max_bits), "simhash-links"))
-    rooted = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left")
-    rooted = rooted.select("fingerprint", F.coalesce("root", "fingerprint").alias("root"), "first_id")
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(smallest, "root").select(F.col("fingerprint").alias("_print"), "component_id")
-    return prints.join(named, prints["fingerprint"] == named["_print"]).select(
+    return rooted_fingerprints(docs, words, seed, max_bits).select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
 

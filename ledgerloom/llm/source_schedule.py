@@ -67,23 +67,24 @@ def mix_schedule(targets: DataFrame, block_words: int) -> DataFrame:
 
 
 def mix_sources(
-    docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 11
-) -> DataFrame:
+    docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, seed: int = 11,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
     """How many words the mix takes of each document (doc_id, text, source), repeats counted.
 
     Documents of a source are shuffled by a seeded digest and laid end to end; the stream is cut into blocks of
     equal words, about two for a document of mean size, and the schedule of mix_schedule says which block comes next.
     Joining slots to blocks gives each document the words that its blocks bring.
 
-    Returns one row per input row: doc_id, size (words), source_size, target, taken, source. A source's taken words are its
+    Returns one row per input row: doc_id, size (words), source_size, target, taken, source, and the carried columns. A source's taken words are its
     target rounded down; at most `most` passes are made, so no document is taken more often. A NULL text has no words; a
     document without words is taken 0 times. NULL sources are one source, the last. NULL and repeated ids are
-    allowed: equal ids are neighbours in the shuffle, ordered by size. Empty tables give no rows; sources without words
+    allowed: equal ids are neighbours in the shuffle, ordered by size, then by what is carried. Empty tables give no rows; sources without words
     have target 0. Extra columns are ignored. The shuffle is by rank in digest ranges, so a source with a third of all
     rows is spread over all tasks.
     """
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    light = docs.select("doc_id", "source", words.alias("size"), seeded_digest("doc_id", seed).alias("digest"))
+    light = docs.select("doc_id", "source", words.alias("size"), seeded_digest("doc_id", seed).alias("digest"), *carry)
     light = staged(light, "mix-sizes")
     rows, total = light.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     block_words = max(1, total // max(1, 2 * rows))
@@ -92,7 +93,7 @@ def mix_sources(
     named = light.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     named = named.withColumn("bucket", digest_bucket(F.col("digest"), bucket_count(rows)))
     laid = with_running_totals(
-        named, ["place"], "bucket", ["digest", "doc_id", "size"], {"nth": F.lit(1), "begin": F.col("size")}
+        named, ["place"], "bucket", ["digest", "doc_id", "size", *carry], {"nth": F.lit(1), "begin": F.col("size")}
     )
     laid = staged(laid.drop("bucket", "digest"), "mix-streams")
     end = F.col("begin") + F.col("size")
@@ -105,5 +106,5 @@ def mix_sources(
     overlap = F.greatest(F.lit(0), F.least(F.col("end"), start + F.col("words")) - F.greatest(F.col("begin"), start))
     taken = met.groupBy("place", "nth").agg(F.sum(overlap).alias("taken"))
     return laid.join(taken, ["place", "nth"], "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source"
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "source", *carry
     )
