@@ -52,22 +52,41 @@ def unpacked(raw: bytes) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8))).astype(np.int32)
 
 
+def in_turn(ranked: list[np.ndarray], most: int) -> np.ndarray:
+    """Distinct entries of several rankings, the first of each before the second of any, at most `most`."""
+    entries, places = np.concatenate(ranked), np.concatenate([np.arange(len(r)) for r in ranked])
+    firsts, at = np.unique(entries[np.argsort(places, kind="stable")], return_index=True)
+    return firsts[np.argsort(at, kind="stable")[:most]]
+
+
 class PresenceKernel:
-    """k(x, y) = |x and y| / sqrt(|x| |y|) on the n-grams that several landmarks hold, the most widely held MOST_NGRAMS."""
+    """k(x, y) = |x and y| / sqrt(|x| |y|) on the n-grams that several landmarks hold, MOST_NGRAMS at most.
 
-    def __init__(self, column: np.ndarray, landmarks: np.ndarray | None = None):
-        self.column, self.landmarks, self.width = column, landmarks, int(column.max(initial=-1)) + 1
+    An n-gram counts if min_landmarks landmarks hold it, or as many of one language (all of them, where it has fewer). Those
+    most widely held stay; where that would be more than MOST_NGRAMS, each language's own most widely held are taken in turn.
+    """
+
+    def __init__(self, column: np.ndarray):
+        self.column, self.width = column, int(column.max(initial=-1)) + 1
 
     @classmethod
-    def fit(cls, landmarks: list[np.ndarray], min_landmarks: int) -> PresenceKernel:
+    def fit(cls, landmarks: list[np.ndarray], langs: list[str], min_landmarks: int) -> PresenceKernel:
         held = np.bincount(np.concatenate(landmarks), minlength=1 << HASH_BITS)
-        kept = np.flatnonzero(held >= min(min_landmarks, len(landmarks)))
-        kept = np.sort(kept[np.argsort(-held[kept], kind="stable")[:MOST_NGRAMS]])
+        usable, ranked = held >= min(min_landmarks, len(landmarks)), []
+        groups = [[s for s, of in zip(landmarks, langs, strict=True) if of == name] for name in sorted(set(langs))]
+        for sets in groups:
+            codes, times = np.unique(np.concatenate(sets), return_counts=True)
+            usable[codes[times >= min(min_landmarks, len(sets))]] = True
+        kept = np.flatnonzero(usable)
+        if len(kept) > MOST_NGRAMS:
+            for sets in groups:
+                codes, times = np.unique(np.concatenate(sets), return_counts=True)
+                times, codes = times[usable[codes]], codes[usable[codes]]
+                ranked.append(codes[np.lexsort((codes, -held[codes], -times))[:MOST_NGRAMS]])
+            kept = np.sort(in_turn(ranked, MOST_NGRAMS))
         column = np.full(1 << HASH_BITS, -1, np.int32)
         column[kept] = np.arange(len(kept))
-        kernel = cls(column)
-        kernel.landmarks = kernel.rows(landmarks).T.copy()
-        return kernel
+        return cls(column)
 
     def rows(self, sets: list[np.ndarray]) -> np.ndarray:
         out = np.zeros((len(sets), self.width), np.float32)
@@ -78,53 +97,73 @@ class PresenceKernel:
                 out[i, at] = 1 / np.sqrt(len(at))
         return out
 
-    def against(self, sets: list[np.ndarray]) -> np.ndarray:
-        return self.rows(sets) @ self.landmarks
+    def between(self, sets: list[np.ndarray], landmarks: list[np.ndarray], each: int = 128) -> np.ndarray:
+        out = np.empty((len(sets), len(landmarks)), np.float32)
+        for b in range(0, len(landmarks), each):
+            right = self.rows(landmarks[b : b + each]).T.copy()
+            for a in range(0, len(sets), each):
+                out[a : a + each, b : b + each] = self.rows(sets[a : a + each]) @ right
+        return out
+
+    def ngram_weights(self, landmarks: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
+        """What each n-gram adds to each language's score: the landmarks' rows, transposed, times the landmarks' weights."""
+        out = np.zeros((self.width, weights.shape[1]), np.float32)
+        for a in range(0, len(landmarks), 128):
+            out += self.rows(landmarks[a : a + 128]).T @ weights[a : a + 128]
+        return out
 
 
 def fit_kernel(sets: list[np.ndarray], langs: list[str], landmarks: int, min_landmarks: int, ridge: float) -> dict:
-    """One ridge regression per language on Nystroem coordinates; landmarks are taken from the languages in turn."""
+    """One ridge regression per language on Nystroem coordinates; landmarks are taken from the languages in turn.
+
+    There are at least min_landmarks for each language, if it has as many texts.
+    """
     names = sorted(set(langs))
     of = {name: [i for i, x in enumerate(langs) if x == name] for name in names}
-    picks = [of[n][k] for k in range(max(map(len, of.values()))) for n in names if k < len(of[n])][:landmarks]
-    kernel = PresenceKernel.fit([sets[i] for i in picks], min_landmarks)
-    values, vectors = np.linalg.eigh(kernel.against([sets[i] for i in picks]).astype(np.float64))
+    picks = [of[n][k] for k in range(max(map(len, of.values()))) for n in names if k < len(of[n])]
+    picks = picks[: max(landmarks, sum(min(min_landmarks, len(x)) for x in of.values()))]
+    chosen = [sets[i] for i in picks]
+    kernel = PresenceKernel.fit(chosen, [langs[i] for i in picks], min_landmarks)
+    values, vectors = np.linalg.eigh(kernel.between(chosen, chosen).astype(np.float64))
     kept = values > max(1e-6, values.max() * 1e-6)
     project = vectors[:, kept] / np.sqrt(values[kept])
-    rows = np.concatenate([kernel.against(sets[a : a + 64]) for a in range(0, len(sets), 64)]) @ project
+    rows = kernel.between(sets, chosen) @ project
     target = (np.array(langs)[:, None] == np.array(names)[None]).astype(np.float64)
     solved = np.linalg.solve(rows.T @ rows + ridge * np.eye(rows.shape[1]), rows.T @ target)
-    return {"column": kernel.column, "landmarks": kernel.landmarks, "names": names, "weights": (project @ solved).astype(np.float32)}
+    return {"column": kernel.column, "names": names, "weights": kernel.ngram_weights(chosen, (project @ solved).astype(np.float32))}
 
 
 def predict_languages(
     docs: DataFrame, longest: int = 4, sample: int = 1600, landmarks: int = 128, min_landmarks: int = 3,
-    ridge: float = 0.1, max_languages: int = 200, seed: int = 9,
+    ridge: float = 0.1, seed: int = 9,
 ) -> DataFrame:
     """Language of every document (doc_id, text, lang), learned from those whose crc32(doc_id as text) mod 4 is not 2.
 
     A text is the set of its 1- to `longest`-character n-grams (lower case, all but letters as blanks, whole text), hashed to
     2^20 codes; long texts are sets like any others. About `sample` texts with a language, an equal number of each where
-    there are enough, are picked by a hash of their id for fitting; only their sets go to the driver. Nystroem landmarks
-    turn the kernel into coordinates for one-versus-rest ridge regression, and documents are scored by matrix
-    products of batches of sets against the landmarks.
+    there are enough, and min_landmarks of each at least, are picked by a hash of their id for fitting; only their sets go to
+    the driver. Nystroem landmarks, `landmarks` in all or min_landmarks of each language if that is more, turn the kernel into
+    coordinates for one-versus-rest ridge regression. Kernel times weights is summed over the landmarks once, so a document's
+    scores are sums of rows of an n-gram by language table.
 
     Returns one row per input row: doc_id, held_out, lang_pred, score (the winner's share of the positive scores). `und` with score
-    0 where the text is NULL or has no letter, and everywhere if nothing can be learned. Languages beyond the
-    max_languages most frequent are not learned. NULL ids are not held out. No rows give no rows; repeated rows get
+    0 where the text is NULL, has no letter or no n-gram of the kernel, and everywhere if nothing can be learned. Every language
+    with a learning text that has a letter is learned, with one or two texts too; the table sent to tasks has at most
+    MOST_NGRAMS x languages numbers of 4 bytes. NULL ids are not held out. No rows give no rows; repeated rows get
     equal answers; extra columns are ignored. Nothing is shuffled but counts.
     """
     slim = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), in_remainder("doc_id", 4, 2).alias("held_out"),
         F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),
     )
-    learn = slim.filter(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = learn.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
-    each = sample // max(1, len(counts))
+    learn = slim.filter(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    counts = learn.groupBy("lang").count().collect()
+    each = max(min_landmarks, sample // max(1, len(counts)))
     ticket = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 40))
-    chosen = F.lit(False)
-    for row in counts:
-        chosen = chosen | ((F.col("lang") == row["lang"]) & (ticket < int(min(1.0, 1.2 * each / row["count"]) * (1 << 40))))
+    # so many that a language with `each` texts falls short by chance once in some thousand times at most
+    wanted = max(1.2 * each, each + 4 * each**0.5 + 4)
+    bounds = [(r["lang"], int(min(1.0, wanted / r["count"]) * (1 << 40))) for r in counts]
+    limits = docs.sparkSession.createDataFrame(bounds, "_lang string, below long")
 
     def sets(batches):
         import pyarrow as pa
@@ -135,7 +174,8 @@ def predict_languages(
             raw = pa.array([None if c is None else packed(c) for c in codes], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("ticket"), raw], ["lang", "ticket", "codes"])
 
-    picked = learn.filter(chosen).select("text", "lang", ticket.alias("ticket")).mapInArrow(sets, "lang string, ticket long, codes binary")
+    chosen = learn.withColumn("ticket", ticket).join(F.broadcast(limits), (F.col("lang") == F.col("_lang")) & (F.col("ticket") < F.col("below")))
+    picked = chosen.select("text", "lang", "ticket").mapInArrow(sets, "lang string, ticket long, codes binary")
     rows, taken = [], dict.fromkeys((r["lang"] for r in counts), 0)
     for row in sorted((r for r in picked.collect() if r["codes"] is not None), key=lambda r: (r["ticket"], r["codes"])):
         if taken[row["lang"]] < each:
@@ -144,13 +184,13 @@ def predict_languages(
     model = None
     if rows:
         model = fit_kernel([unpacked(r["codes"]) for r in rows], [r["lang"] for r in rows], landmarks, min_landmarks, ridge)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most landmarks x MOST_NGRAMS numbers
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MOST_NGRAMS x languages numbers
 
     def run(batches):
         import pyarrow as pa
 
         letters, fitted = letter_table(), shared.value
-        kernel = PresenceKernel(fitted["column"], fitted["landmarks"]) if fitted else None
+        kernel = PresenceKernel(fitted["column"]) if fitted else None
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
@@ -158,10 +198,12 @@ def predict_languages(
                 known = [i for i, c in enumerate(found) if c is not None]
                 names, scores = ["und"] * part.num_rows, np.zeros(part.num_rows)
                 if known:
-                    values = np.maximum(kernel.against([found[i] for i in known]) @ fitted["weights"], 1e-9)
-                    best = values.argmax(axis=1)
-                    for i, b, share in zip(known, best, values.max(axis=1) / values.sum(axis=1), strict=True):
-                        names[i], scores[i] = fitted["names"][b], share
+                    rows = kernel.rows([found[i] for i in known])
+                    values = np.maximum(rows @ fitted["weights"], 1e-9)
+                    best, any_known = values.argmax(axis=1), rows.any(axis=1)
+                    for i, b, share, any_held in zip(known, best, values.max(axis=1) / values.sum(axis=1), any_known, strict=True):
+                        if any_held:
+                            names[i], scores[i] = fitted["names"][b], share
                 columns = [part.column("doc_id"), part.column("held_out"), pa.array(names, pa.string()), pa.array(np.minimum(scores, 1.0))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "lang_pred", "score"])
 

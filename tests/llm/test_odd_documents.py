@@ -220,6 +220,30 @@ def test_language_of_odd_rows(spark, odd_docs, odd_rows):
     assert {r["lang_pred"] for r in none} == {"und"}
 
 
+@pytest.mark.parametrize("languages, each", [(4, 2), (45, 12), (140, 4), (230, 3)])
+def test_each_language_is_learned(spark, languages, each):
+    """Every language has letters of its own; some have one or two learning texts."""
+    rows = []
+    for n in range(languages):
+        letters = [chr(0x4E00 + 40 * n + i) for i in range(40)]
+        for k in range(each + 1):
+            words = [letters[(i * (k + 3) + k) % 40] + letters[(i + k) % 40] for i in range(60)]
+            rows.append((len(rows), " ".join(words), f"x{n:03d}"))
+    out = string_kernel.predict_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    held = {r["doc_id"]: r["held_out"] for r in out}
+    learned = {lang for d, _, lang in rows if not held[d]}
+    named = {r["doc_id"]: r["lang_pred"] for r in out}
+    wrong = [d for d, _, lang in rows if lang in learned and named[d] != lang]
+    assert len(learned) > 0.9 * languages and len(wrong) <= 0.01 * len(rows)
+
+
+def test_each_language_keeps_ngrams(monkeypatch):
+    monkeypatch.setattr(string_kernel, "MOST_NGRAMS", 100)
+    sets = [np.arange(i % 5, 900, dtype=np.int32) for i in range(20)] + [np.arange(2000, 2300, dtype=np.int32)]
+    kernel = string_kernel.PresenceKernel.fit(sets, ["a"] * 20 + ["b"], 3)
+    assert kernel.width == 100 and (kernel.column[2000:2300] >= 0).sum() == 50
+
+
 def test_no_rows(spark, no_docs):
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
     assert chunk_dedup.exact_dedup(no_docs).count() == 0
