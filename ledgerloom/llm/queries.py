@@ -6,18 +6,21 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
+    bit_sliced,
     cap_filters,
     chunk_dedup,
     line_dedup,
     merge_replay,
     pairwise_quality,
+    periodic_runs,
     sharding,
     simhash_grid,
     source_schedule,
     string_kernel,
+    token_alignment,
     token_files,
 )
-from ledgerloom.llm.common import documents
+from ledgerloom.llm.common import WORD, documents, id_crc, text_or_empty
 from ledgerloom.session import scratch_path
 
 
@@ -81,6 +84,49 @@ def op10_language(spark, sf_dir):
     return string_kernel.predict_languages(documents(spark, sf_dir))
 
 
+def op11_top_products(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return bit_sliced.top_products(vectors, F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+def op12_token_alignment(spark, sf_dir):
+    aligned = token_alignment.align_tokenizers(
+        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), digests=True
+    )
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
+def with_periodic_tails(docs):
+    """In every tenth document by id the words from a place on repeat the first few of them."""
+    h = id_crc()
+    g = F.floor(h / 10)
+    words = F.when(h % 10 == 0, F.regexp_extract_all(text_or_empty(), F.lit(f"({WORD})"), F.lit(1)))
+    split = docs.select("doc_id", "text", g.alias("_g"), words.alias("_words")).withColumn("_n", F.size("_words"))
+    start = F.when(F.col("_n") > 0, F.col("_g") % F.col("_n")).cast("int")
+    split = split.withColumn("_start", start).withColumn("_left", F.col("_n") - F.col("_start"))
+    period = (1 + F.floor(F.col("_left") / (3 + F.col("_g") % 8))).cast("int")
+    head = F.slice("_words", F.lit(1), F.col("_start"))
+    repeat = F.flatten(F.array_repeat(F.slice("_words", F.col("_start") + 1, period), F.ceil(F.col("_left") / period).cast("int")))
+    tailed = F.array_join(F.concat(head, F.slice(repeat, F.lit(1), F.col("_left"))), " ")
+    return split.select("doc_id", F.when(F.col("_n") > 0, tailed).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    found = periodic_runs.periodic_runs(with_periodic_tails(documents(spark, sf_dir)), least=12)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length, (-r.start).alias("start"), (-r.period).alias("period"))))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return found.withColumn("_longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("_longest.start")).alias("start"),
+        F.col("_longest.length").alias("length"),
+        (-F.col("_longest.period")).alias("period"),
+        F.expr("1000 * _longest.length DIV -_longest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_token_files": op2_token_files,
@@ -92,6 +138,9 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_language": op10_language,
+    "op11_top_products": op11_top_products,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 # crc32 has no DuckDB function: the polynomial's table is built and the bytes are folded through it.
