@@ -129,7 +129,7 @@ def listings(nodes: DataFrame, filters: CapFilters, with_vectors: bool) -> DataF
                     names += ["node", "copies", "vector"]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = "label int, code long" + (", node long, copies long, vector array<float>" if with_vectors else "")
+    schema = "label long, code long" + (", node long, copies long, vector array<float>" if with_vectors else "")
     return nodes.mapInArrow(run, schema)
 
 
@@ -240,8 +240,8 @@ def near_vectors(
 
     Returns one row per input row: vec_id, n_links (other rows linked directly), component_id (smallest vec_id
     reachable), kept. Rows with a NULL id, label or vector, a zero vector, or NULL or non-finite components link with
-    nothing and are their own component (NULL for a NULL id, and kept). Vectors of another length than the most common
-    one of the table link with nothing either. Rows that repeat an id and vector count each; rows that share an
+    nothing and are their own component (NULL for a NULL id, and kept). Vectors of different lengths do not link; all are
+    filled up to the longest for the search, so a table should not hold a few that are far longer than the rest. Rows that repeat an id and vector count each; rows that share an
     id but not the vector share component_id and the sum of their links. No rows give no rows; extra columns are ignored.
     """
     vector = F.col("embedding").cast("array<float>")
@@ -251,15 +251,18 @@ def near_vectors(
     rows = vectors.select(
         F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("int").alias("label"), vector.alias("vector"), usable.alias("usable")
     )
-    usual = rows.filter("usable").groupBy(F.size("vector").alias("dims")).count().orderBy(F.desc("count"), "dims").first()
-    if usual is None:
+    # a group is a label and a length; shorter vectors are filled up with zeros, which changes no cosine within the group
+    dims = rows.filter("usable").agg(F.max(F.size("vector"))).first()[0]
+    if dims is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    rows = rows.withColumn("usable", F.col("usable") & (F.size("vector") == usual["dims"]))
+    size = F.size("vector")
+    filled = F.when(size < dims, F.concat("vector", F.array_repeat(F.lit(0.0).cast("float"), dims - size))).otherwise(F.col("vector"))
+    rows = rows.withColumns({"label": F.col("label") * F.lit(1 << 31) + size, "vector": F.when(F.col("usable"), filled)})
     grouped = rows.filter("usable").groupBy("label", "vector").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
     nodes = staged(grouped, "vectors")
     largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0]
     codewords = max(64, int(np.ceil(np.sqrt(lists * largest / 24))))
-    filters = enough_filters(usual["dims"], codewords, tables, lists, seed, least_cosine, most_missed)
+    filters = enough_filters(dims, codewords, tables, lists, seed, least_cosine, most_missed)
     spread = nodes.repartition(nodes.sparkSession.sparkContext.defaultParallelism)
     crowded = listings(spread, filters, False).groupBy("label", "code").count().filter(F.col("count") > run_rows)
     crowded = staged(crowded.select("label", "code", F.ceil(F.col("count") / run_rows).cast("int").alias("pieces")), "vectors-crowded")
