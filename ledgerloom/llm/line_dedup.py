@@ -20,22 +20,23 @@ def line_key(line: Column) -> Column:
 
 
 def document_key() -> Column:
-    """Names a row by its id and text; rows equal in both are one document."""
-    return F.xxhash64(F.col("doc_id"), text_or_empty()).alias("doc_key")
+    """Names a row by its id and text, in 128 bits; rows equal in both share it, and lose the same lines."""
+    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), F.lit(":"), text_or_empty())
+    return F.unhex(F.md5(named)).alias("doc_key")
 
 
 def recurring_line_bitmaps(docs: DataFrame, min_docs: int = 10, min_length: int = 1) -> DataFrame:
     """Which lines of each document (doc_id, text) stay when lines found in min_docs documents go.
 
-    Each line's key is hashed to 128 bits. The hashes are range-partitioned with document and position as
-    secondary sort, and each run is streamed: the first line of a (hash, document) run counts one document. A
+    Each line's key is hashed to 128 bits. Equal lines at one position of rows that are equal in id and text are summed to one
+    row with their number. The hashes are range-partitioned with document and position as
+    secondary sort, and each run is streamed: the first line of a (hash, document) run counts the rows of that document. A
     hash that a third of all documents share spans many ranges, as the document is part of the range. Runs are
     summed per hash, lines with a hash in enough documents are looked up again, and their positions are packed
     into bitmaps: one 64-bit word for 64 lines, of which only words with a dropped line are listed.
 
     Returns doc_id, doc_key and words (map from word number to its keep bits; the others keep all) for documents
-    that lose a line. NULL ids are one id; rows with equal id and text are one document, rows with an equal id but
-    different text are two. NULL and empty texts have one empty line, which is shorter than min_length and stays.
+    that lose a line. NULL ids are one id; every row is a document of its own, rows with equal id and text too. NULL and empty texts have one empty line, which is shorter than min_length and stays.
     """
     lines = docs.select("doc_id", document_key(), F.posexplode(F.split(text_or_empty(), "\n", -1)).alias("at", "line"))
     key = line_key(F.col("line"))
@@ -44,10 +45,11 @@ def recurring_line_bitmaps(docs: DataFrame, min_docs: int = 10, min_length: int
         F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), F.col("key")).alias("h2"), "doc_key", "doc_id", "at"
     )
     hashed = staged(hashed, "line-hashes")
-    ranged = hashed.select("h1", "h2", "doc_key", "at").repartitionByRange("h1", "h2", "doc_key")
+    places = hashed.groupBy("h1", "h2", "doc_key", "at").agg(F.count("*").alias("rows"))
+    ranged = places.repartitionByRange("h1", "h2", "doc_key")
     run = Window.partitionBy("h1", "h2", "doc_key").orderBy("at")
     firsts = ranged.withColumn("nth", F.row_number().over(run)).filter("nth = 1")
-    common = firsts.groupBy("h1", "h2").agg(F.count("*").alias("found_in")).filter(F.col("found_in") >= min_docs)
+    common = firsts.groupBy("h1", "h2").agg(F.sum("rows").alias("found_in")).filter(F.col("found_in") >= min_docs)
     common = staged(common, "line-common")
     dropped = hashed.join(common.select("h1", "h2"), ["h1", "h2"], "left_semi").select("doc_id", "doc_key", "at")
     bit = F.expr("shiftleft(1L, at % 64)")

@@ -59,7 +59,7 @@ def line_results(rows, min_docs):
     found = defaultdict(set)
     for n, (row, own) in enumerate(zip(rows, keys, strict=True)):
         for k in own:
-            found[k].add((row[0], row[1] or ""))
+            found[k].add(n)
     gone = {k for k, docs in found.items() if k and len(docs) >= min_docs}
     out = []
     for (doc, lines), own in zip(split, keys, strict=True):
