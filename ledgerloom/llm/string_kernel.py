@@ -60,17 +60,17 @@ def in_turn(ranked: list[np.ndarray], most: int) -> np.ndarray:
 
 
 class PresenceKernel:
-    """k(x, y) = |x and y| / sqrt(|x| |y|) on the n-grams that several landmarks hold, MOST_NGRAMS at most.
+    """k(x, y) = |x and y| / sqrt(|x| |y|) on the n-grams that several landmarks hold, `most` at most.
 
     An n-gram counts if min_landmarks landmarks hold it, or as many of one language (all of them, where it has fewer). Those
-    most widely held stay; where that would be more than MOST_NGRAMS, each language's own most widely held are taken in turn.
+    most widely held stay; where that would be more than `most`, each language's own most widely held are taken in turn.
     """
 
     def __init__(self, column: np.ndarray):
         self.column, self.width = column, int(column.max(initial=-1)) + 1
 
     @classmethod
-    def fit(cls, landmarks: list[np.ndarray], langs: list[str], min_landmarks: int) -> PresenceKernel:
+    def fit(cls, landmarks: list[np.ndarray], langs: list[str], min_landmarks: int, most: int) -> PresenceKernel:
         held = np.bincount(np.concatenate(landmarks), minlength=1 << HASH_BITS)
         usable, ranked = held >= min(min_landmarks, len(landmarks)), []
         groups = [[s for s, of in zip(landmarks, langs, strict=True) if of == name] for name in sorted(set(langs))]
@@ -78,12 +78,12 @@ class PresenceKernel:
             codes, times = np.unique(np.concatenate(sets), return_counts=True)
             usable[codes[times >= min(min_landmarks, len(sets))]] = True
         kept = np.flatnonzero(usable)
-        if len(kept) > MOST_NGRAMS:
+        if len(kept) > most:
             for sets in groups:
                 codes, times = np.unique(np.concatenate(sets), return_counts=True)
                 times, codes = times[usable[codes]], codes[usable[codes]]
-                ranked.append(codes[np.lexsort((codes, -held[codes], -times))[:MOST_NGRAMS]])
-            kept = np.sort(in_turn(ranked, MOST_NGRAMS))
+                ranked.append(codes[np.lexsort((codes, -held[codes], -times))[:most]])
+            kept = np.sort(in_turn(ranked, most))
         column = np.full(1 << HASH_BITS, -1, np.int32)
         column[kept] = np.arange(len(kept))
         return cls(column)
@@ -113,7 +113,7 @@ class PresenceKernel:
         return out
 
 
-def fit_kernel(sets: list[np.ndarray], langs: list[str], landmarks: int, min_landmarks: int, ridge: float) -> dict:
+def fit_kernel(sets: list[np.ndarray], langs: list[str], landmarks: int, min_landmarks: int, ridge: float, most_ngrams: int = MOST_NGRAMS) -> dict:
     """One ridge regression per language on Nystroem coordinates; landmarks are taken from the languages in turn.
 
     There are at least min_landmarks for each language, if it has as many texts.
@@ -123,7 +123,7 @@ def fit_kernel(sets: list[np.ndarray], langs: list[str], landmarks: int, min_lan
     picks = [of[n][k] for k in range(max(map(len, of.values()))) for n in names if k < len(of[n])]
     picks = picks[: max(landmarks, sum(min(min_landmarks, len(x)) for x in of.values()))]
     chosen = [sets[i] for i in picks]
-    kernel = PresenceKernel.fit(chosen, [langs[i] for i in picks], min_landmarks)
+    kernel = PresenceKernel.fit(chosen, [langs[i] for i in picks], min_landmarks, most_ngrams)
     values, vectors = np.linalg.eigh(kernel.between(chosen, chosen).astype(np.float64))
     kept = values > max(1e-6, values.max() * 1e-6)
     project = vectors[:, kept] / np.sqrt(values[kept])
@@ -135,21 +135,22 @@ def fit_kernel(sets: list[np.ndarray], langs: list[str], landmarks: int, min_lan
 
 def predict_languages(
     docs: DataFrame, longest: int = 4, sample: int = 1600, landmarks: int = 128, min_landmarks: int = 3,
-    ridge: float = 0.1, seed: int = 9,
+    ridge: float = 0.1, seed: int = 9, most_ngrams: int = MOST_NGRAMS,
 ) -> DataFrame:
     """Language of every document (doc_id, text, lang), learned from those whose crc32(doc_id as text) mod 4 is not 2.
 
     A text is the set of its 1- to `longest`-character n-grams (lower case, all but letters as blanks, whole text), hashed to
     2^20 codes; long texts are sets like any others. About `sample` texts with a language, an equal number of each where
-    there are enough, and min_landmarks of each at least, are picked by a hash of their id for fitting; only their sets go to
+    there are enough, and min_landmarks of each at least, are picked by a hash of their id and text for fitting, equal rows once; only their sets go to
     the driver. Nystroem landmarks, `landmarks` in all or min_landmarks of each language if that is more, turn the kernel into
     coordinates for one-versus-rest ridge regression. Kernel times weights is summed over the landmarks once, so a document's
     scores are sums of rows of an n-gram by language table.
 
     Returns one row per input row: doc_id, held_out, lang_pred, score (the winner's share of the positive scores). `und` with score
-    0 where the text is NULL, has no letter or no n-gram of the kernel, and everywhere if nothing can be learned. Every language
+    0 where the text is NULL or has no letter, and everywhere if nothing can be learned; the most frequent language of the
+    learning rows with score 0 where a text has no n-gram of the kernel. Every language
     with a learning text that has a letter is learned, with one or two texts too; the table sent to tasks has at most
-    MOST_NGRAMS x languages numbers of 4 bytes. NULL ids are not held out. No rows give no rows; repeated rows get
+    most_ngrams x languages numbers of 4 bytes. NULL ids are not held out. No rows give no rows; repeated rows get
     equal answers; extra columns are ignored. Nothing is shuffled but counts.
     """
     slim = docs.select(
@@ -157,12 +158,14 @@ def predict_languages(
         F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"),
     )
     learn = slim.filter(~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = learn.groupBy("lang").count().collect()
+    learn = learn.withColumn("ticket", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 40)))
+    # equal rows have one ticket; the estimate errs by less than a fifth
+    different = (0.8 * F.approx_count_distinct("ticket", 0.04)).cast("long").alias("different")
+    counts = learn.groupBy("lang").agg(F.count("*").alias("count"), different).collect()
     each = max(min_landmarks, sample // max(1, len(counts)))
-    ticket = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 40))
     # so many that a language with `each` texts falls short by chance once in some thousand times at most
     wanted = max(1.2 * each, each + 4 * each**0.5 + 4)
-    bounds = [(r["lang"], int(min(1.0, wanted / r["count"]) * (1 << 40))) for r in counts]
+    bounds = [(r["lang"], int(min(1.0, wanted / max(1, r["different"])) * (1 << 40))) for r in counts]
     limits = docs.sparkSession.createDataFrame(bounds, "_lang string, below long")
 
     def sets(batches):
@@ -174,8 +177,8 @@ def predict_languages(
             raw = pa.array([None if c is None else packed(c) for c in codes], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("ticket"), raw], ["lang", "ticket", "codes"])
 
-    chosen = learn.withColumn("ticket", ticket).join(F.broadcast(limits), (F.col("lang") == F.col("_lang")) & (F.col("ticket") < F.col("below")))
-    picked = chosen.select("text", "lang", "ticket").mapInArrow(sets, "lang string, ticket long, codes binary")
+    chosen = learn.join(F.broadcast(limits), (F.col("lang") == F.col("_lang")) & (F.col("ticket") < F.col("below")))
+    picked = chosen.select("text", "lang", "ticket").dropDuplicates(["lang", "ticket"]).mapInArrow(sets, "lang string, ticket long, codes binary")
     rows, taken = [], dict.fromkeys((r["lang"] for r in counts), 0)
     for row in sorted((r for r in picked.collect() if r["codes"] is not None), key=lambda r: (r["ticket"], r["codes"])):
         if taken[row["lang"]] < each:
@@ -183,8 +186,10 @@ def predict_languages(
             rows.append(row)
     model = None
     if rows:
-        model = fit_kernel([unpacked(r["codes"]) for r in rows], [r["lang"] for r in rows], landmarks, min_landmarks, ridge)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MOST_NGRAMS x languages numbers
+        model = fit_kernel([unpacked(r["codes"]) for r in rows], [r["lang"] for r in rows], landmarks, min_landmarks, ridge, most_ngrams)
+        most_held = {r["lang"]: r["count"] for r in counts}
+        model["usual"] = max(model["names"], key=lambda n: (most_held[n], n))
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most most_ngrams x languages numbers
 
     def run(batches):
         import pyarrow as pa
@@ -202,8 +207,7 @@ def predict_languages(
                     values = np.maximum(rows @ fitted["weights"], 1e-9)
                     best, any_known = values.argmax(axis=1), rows.any(axis=1)
                     for i, b, share, any_held in zip(known, best, values.max(axis=1) / values.sum(axis=1), any_known, strict=True):
-                        if any_held:
-                            names[i], scores[i] = fitted["names"][b], share
+                        names[i], scores[i] = (fitted["names"][b], share) if any_held else (fitted["usual"], 0.0)
                 columns = [part.column("doc_id"), part.column("held_out"), pa.array(names, pa.string()), pa.array(np.minimum(scores, 1.0))]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "lang_pred", "score"])
 
