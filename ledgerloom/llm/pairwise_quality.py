@@ -95,15 +95,18 @@ def quality_scores(
 
     Returns one row per input row: the carried columns, held_out, score, predicted (1 where score >= threshold). NULL and empty texts get
     the score of the features of an empty text. NULL ids are not held out and match no label; NULL qualities are not used;
-    repeated labels count each. With labels of one kind only, every score is that label; without labels it is 0.5. No rows
+    repeated labels count each; of several documents with a labelled id, the one with the smallest features is learned from. With labels of one kind only, every score is that label; without labels it is 0.5. No rows
     give no rows; extra columns are ignored. Nothing is shuffled but the labels.
     """
     marks = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("quality").cast("int").alias("quality"))
     marks = marks.filter(F.col("quality").isin(0, 1) & ~in_remainder("_id", 5, 0) & F.col("_id").isNotNull())
     marks = marks.orderBy(F.xxhash64(F.lit(seed), F.col("_id")), "_id", "quality").limit(max_labelled)
-    # at most max_labelled rows
+    marks = marks.groupBy("_id", "quality").agg(F.count("*").cast("int").alias("times"))
+    # at most max_labelled rows, here and, as each id gives one row, behind the join
     known = docs.select("doc_id", "text").join(F.broadcast(marks), F.col("doc_id") == F.col("_id"))
-    sample = sorted(tuple(r) for r in feature_rows(known, "doc_id long, quality int").collect())
+    known = feature_rows(known.select("doc_id", "quality", "times", "text"), "doc_id long, quality int, times int")
+    known = known.groupBy("doc_id", "quality", "times").agg(F.min("features").alias("features"))
+    sample = sorted((r["doc_id"], r["quality"], r["features"]) for r in known.collect() for _ in range(r["times"]))
     quality = np.array([r[1] for r in sample])
     if len(set(quality.tolist())) == 2:
         features = np.stack([np.frombuffer(r[2], np.float32) for r in sample]).astype(np.float64)

@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chunk_dedup, line_dedup, merge_replay, pairwise_quality, sharding, simhash_grid, source_schedule, string_kernel, token_files
+from ledgerloom.llm import cap_filters, chunk_dedup, line_dedup, merge_replay, pairwise_quality, sharding, simhash_grid, source_schedule, string_kernel, token_files
 from ledgerloom.session import scratch_path
 from plain import bucket, exact_groups, line_results, simhash_components
 
@@ -148,7 +148,6 @@ def test_token_files(spark, odd_docs, odd_rows):
     token_files.write_token_files(odd_docs, path, file, 50_257, 0)
     out = token_files.document_checksums(spark, path).collect()
     tokenizer = Tokenizer.from_file(file)
-    tokenizer.encode_special_tokens = True
     wanted = Counter()
     for row in odd_rows:
         ids = np.array([*tokenizer.encode(row[1] or "", add_special_tokens=False).ids, 0], "<u4")
@@ -237,10 +236,42 @@ def test_each_language_is_learned(spark, languages, each):
     assert len(learned) > 0.9 * languages and len(wrong) <= 0.01 * len(rows)
 
 
-def test_each_language_keeps_ngrams(monkeypatch):
-    monkeypatch.setattr(string_kernel, "MOST_NGRAMS", 100)
+def test_languages_of_rows_without_id(spark):
+    """Rows without an id, and equal rows, are drawn from like others; a text of unknown letters gets the most frequent language."""
+    words = {"ru": "дом лес река поле небо ветер вода камень", "el": "σπίτι δάσος ποτάμι ουρανός νερό πέτρα"}
+    rows = [(None, " ".join(words["ru"].split()[i % 7 :]) + f" {i}", "ru") for i in range(3000)]
+    rows += [(i, " ".join(words["el"].split()[i % 5 :]), "el") for i in range(40)] + [(77, words["el"], "el")] * 900
+    docs = spark.createDataFrame([*rows, (5000, "ภาษาไทย", None), (5001, "12", None)], "doc_id long, text string, lang string")
+    out = string_kernel.predict_languages(docs).collect()
+    named = defaultdict(set)
+    for r in out:
+        named["none" if r["doc_id"] is None else r["doc_id"]].add(r["lang_pred"])
+    assert named["none"] == {"ru"} and named[77] == {"el"} and named[5000] == {"ru"} and named[5001] == {"und"}
+    assert [r["score"] for r in out if r["doc_id"] == 5000] == [0.0]
+
+
+def test_labelled_rows_are_bounded(spark, monkeypatch):
+    """One labelled id on many rows gives one row to fit."""
+    seen = []
+    plain_fit = pairwise_quality.fit_pairs
+    monkeypatch.setattr(pairwise_quality, "fit_pairs", lambda f, *rest: seen.append(len(f)) or plain_fit(f, *rest))
+    docs = spark.createDataFrame([(i % 7 + 1 if i < 700 else 1, f"words {i} and {i % 13}") for i in range(9000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 8)] + [(2, 0)], "doc_id long, quality int")
+    assert pairwise_quality.quality_scores(docs, labels, max_labelled=50).count() == 9000
+    assert seen and seen[0] <= 8
+
+
+def test_vectors_of_several_lengths(spark):
+    rows = [(i, [0.6, 0.8], 1) for i in range(3)] + [(10 + i, [0.6, 0.8, 0.0], 1) for i in range(4)] + [(20, [0.6, 0.8], 2)]
+    out = cap_filters.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in out} == {
+        **{i: (2, 0) for i in range(3)}, **{10 + i: (3, 10) for i in range(4)}, 20: (0, 20)
+    }
+
+
+def test_each_language_keeps_ngrams():
     sets = [np.arange(i % 5, 900, dtype=np.int32) for i in range(20)] + [np.arange(2000, 2300, dtype=np.int32)]
-    kernel = string_kernel.PresenceKernel.fit(sets, ["a"] * 20 + ["b"], 3)
+    kernel = string_kernel.PresenceKernel.fit(sets, ["a"] * 20 + ["b"], 3, 100)
     assert kernel.width == 100 and (kernel.column[2000:2300] >= 0).sum() == 50
 
 
