@@ -10,6 +10,7 @@ holds the lanes' states and the payload offset, so every segment of 8,192 ids is
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerloom.llm.token_words import WordMemo
-from ledgerloom.llm.workers import by_value
+from ledgerloom.llm.workers import by_value, kept_in_worker
 from ledgerloom.session import remove, scratch_path
 
 SCALE_BITS, LANES, SEGMENT_STEPS, BLOCK_SEGMENTS = 20, 64, 128, 8
@@ -154,17 +155,26 @@ def raw_type(vocabulary: int) -> str:
 
 
 def tokenize(docs: DataFrame, tokenizer_file: str, end_id: int, kind: str) -> DataFrame:
-    """doc_id and ids (raw integers, the end id behind them) of every whole text; NULL counts as empty."""
+    """doc_id and ids (raw integers, the end id behind them) of every whole text; NULL counts as empty.
+
+    Strings of special tokens in a text are those tokens, as the library has it. The file must be a byte-level one that
+    changes no text before cutting it, as words are tokenized by themselves.
+    """
     with open(tokenizer_file, encoding="utf-8") as source:
-        content = docs.sparkSession.sparkContext.broadcast(source.read())
+        read = source.read()
+    parts = json.loads(read)
+    cutter = parts.get("pre_tokenizer") or {}
+    plain = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
+    if not plain or parts.get("normalizer"):
+        raise ValueError("not a byte-level vocabulary without normalizer")
+    content, named = docs.sparkSession.sparkContext.broadcast(read), (zlib.crc32(read.encode()), kind)
 
     def run(batches):
         import pyarrow as pa
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
-        tokenizer = Tokenizer.from_str(content.value)
-        tokenizer.encode_special_tokens = True
+        tokenizer = kept_in_worker(named, lambda: Tokenizer.from_str(content.value))
         memo = WordMemo(library_encoder(tokenizer, kind), kind)
         for batch in batches:
             for at, texts, ids, counts in memo.ids(batch.column("text")):
@@ -202,8 +212,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, vocabular
     """Tokenize documents (doc_id, text) and write their ids, in ascending doc_id order, as a file set at path.
 
     Texts are tokenized where they are read; only ids are range-partitioned by doc_id, sorted and coded. A part of the file set
-    is one range. NULL and empty texts have the end id only. NULL ids come first; repeated ids stay documents
-    of their own, in the order of their token ids. An empty table gives a file set without blocks.
+    is one range; rows of one doc_id are dealt on by a hash of their ids, so an id that a third of all rows share, or lack, fills
+    several. NULL and empty texts have the end id only. NULL ids come first; repeated ids stay documents
+    of their own, in the order of that hash and their token ids. An empty table gives a file set without blocks.
     """
     kind = raw_type(vocabulary)
     spark = docs.sparkSession
@@ -269,7 +280,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_file: str, vocabular
                     yield from cut(False)
         yield from cut(True)
 
-    ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    hashed = tokens.withColumn("spread", F.xxhash64("ids"))
+    ordered = hashed.repartitionByRange("doc_id", "spread").sortWithinPartitions("doc_id", "spread", "ids").drop("spread")
     ordered.mapInArrow(run, BLOCK_SCHEMA).write.parquet(f"{path}/blocks")
     remove(spark, scratch)
 

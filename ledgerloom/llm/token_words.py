@@ -48,15 +48,26 @@ class WordMemo:
         fresh = [w for w in words if w not in known and w.isalpha()]
         known.update(zip(fresh, self.encode([blank + w for w in fresh]), strict=True))
         found = list(map(known.get, words))
-        odd = [(i, words[i]) for i, ids in enumerate(found) if ids is None]
-        cut = [(i, pieces_of(w)) for i, w in odd if w and not w[-1].isspace() and not (blank and w[0].isspace())]
-        first = {lines[0][0] for _, lines in cut}
+        ended, cut = [], []  # letters with marks behind them, by far the most; and all others
+        for i, ids in enumerate(found):
+            if ids is None:
+                word = words[i]
+                letters = word.rstrip(MARKS)
+                if letters.isalpha():
+                    ended.append((i, letters, word[len(letters) :]))
+                elif word and not word[-1].isspace() and not (blank and word[0].isspace()):
+                    cut.append((i, pieces_of(word)))
+        first = {lines[0][0] for _, lines in cut} | {letters for _, letters, _ in ended}
         later = {base for _, lines in cut if len(lines) > 1 for base, _ in lines[1:]}
-        marks = [m for m in {m for _, lines in cut for _, m in lines} if m and m not in self.marks]
+        marks = {m for _, lines in cut for _, m in lines} | {m for _, _, m in ended}
+        marks = [m for m in marks if m and m not in self.marks]
         for memo, bases, before in ((known, first, blank), (self.bare, later, "")):
             bases = [w for w in bases if w not in memo]
             memo.update(zip(bases, self.encode([before + w for w in bases]), strict=True))
         self.marks.update(zip(marks, self.encode(marks), strict=True))
+        of_marks = self.marks
+        for i, letters, mark in ended:
+            found[i] = known[letters] + of_marks[mark]
         for i, lines in cut:
             whole = known[lines[0][0]] + self.marks.get(lines[0][1], b"")
             for base, mark in lines[1:]:
@@ -90,9 +101,12 @@ class WordMemo:
         begins = [words[c] for c in codes[first[:-1]].tolist()]
         found = self.resolve(words, " ") + self.resolve(begins, "")
         codes[first[:-1]] = len(words) + np.arange(len(begins))
-        void = np.fromiter((v is None for v in found), bool, len(found))
-        table = np.frombuffer(b"".join(filter(None, found)), self.kind)
-        sizes = np.fromiter((0 if v is None else len(v) for v in found), np.int32, len(found)) // self.kind.itemsize
+        void = np.zeros(len(found), bool)
+        if None in found:
+            void[[i for i, v in enumerate(found) if v is None]] = True
+            found = [v or b"" for v in found]
+        table = np.frombuffer(b"".join(found), self.kind)
+        sizes = np.fromiter(map(len, found), np.int32, len(found)) // self.kind.itemsize
         starts = np.cumsum(sizes, dtype=np.int64) - sizes
         del words, found
         for at, part in slices_by_size(texts):

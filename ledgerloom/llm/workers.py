@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import types
 
 import numpy as np
 from pyspark import cloudpickle
@@ -13,6 +14,21 @@ def by_value(module_name: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module_name])
 
 
+def kept_in_worker(key, build):
+    """What build() gives, kept in the Python worker for its later tasks; the last two keys at most.
+
+    For tables made from vocabularies, whose size does not depend on the data. Code sent by value has no module of its own
+    that outlives a task, so they are kept in one that is made here.
+    """
+    name = "_kept_between_tasks"
+    kept = sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("kept", {})
+    if key not in kept:
+        while len(kept) > 1:
+            del kept[next(iter(kept))]
+        kept[key] = build()
+    return kept[key]
+
+
 def whole_runs(batches, key: str):
     """Record batches sorted by a column, as tables that never end inside a run of equal keys."""
     import pyarrow as pa

@@ -29,7 +29,6 @@ def test_token_files(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     out = {r["doc_id"]: r for r in QUERIES["op2_token_files"](spark, SMALL).collect()}
     start = 0
     for doc, text in texts(SMALL):
