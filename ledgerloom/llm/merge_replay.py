@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import zlib
 from pathlib import Path
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.token_words import WordMemo
-from ledgerloom.llm.workers import by_value
+from ledgerloom.llm.workers import by_value, kept_in_worker
 
 
 def read_ranks(content: str) -> list[bytes]:
@@ -154,28 +155,52 @@ def piece_encoder(replay: MergeReplay, pattern: str):
     return encode
 
 
-def encode_documents(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
+def decoder(tokens: list[bytes]):
+    """Turns an Arrow list array of ids, without missing lists, into the bytes that they stand for."""
+    lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    starts, table = np.cumsum(lengths) - lengths, np.frombuffer(b"".join(tokens), np.uint8)
+
+    def decode(flat: np.ndarray, bounds: np.ndarray):
+        import pyarrow as pa
+
+        each = lengths[flat]
+        ends = np.concatenate(([0], np.cumsum(each)))
+        kind = np.int32 if ends[-1] < 1 << 30 else np.int64
+        content = table[np.arange(ends[-1], dtype=kind) + np.repeat((starts[flat] - ends[:-1]).astype(kind), each)]
+        offsets = pa.py_buffer(ends[bounds].astype(np.int64))
+        return pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(content)]).cast(pa.binary())
+
+    return decode
+
+
+def encode_documents(docs: DataFrame, rank_file: str, pattern: str, decoded: bool = False) -> DataFrame:
     """Token ids of every whole text: doc_id, ids (array of int), one row per input row, nothing shuffled.
 
+    With decoded, also content, the bytes that the ids stand for, in the same step (see decode_documents).
+
     Tasks take some megabytes of documents at a time as their corpus; all words that it brings anew are replayed together.
     NULL and empty texts have no ids. Ids and repeated rows are carried as they are; extra columns are ignored; no
     rows give no rows. Special tokens are ordinary text. The vocabulary (its size does not depend on the data) is
     read by the driver and sent with the tasks.
     """
-    content = docs.sparkSession.sparkContext.broadcast(Path(rank_file).read_text())
+    read = Path(rank_file).read_text()
+    content, named = docs.sparkSession.sparkContext.broadcast(read), (zlib.crc32(read.encode()), "replay")
 
     def run(batches):
         import pyarrow as pa
 
-        memo = WordMemo(piece_encoder(MergeReplay(read_ranks(content.value)), pattern), "<i4")
+        replay = kept_in_worker(named, lambda: MergeReplay(read_ranks(content.value)))
+        memo, decode = WordMemo(piece_encoder(replay, pattern), "<i4"), decoder(replay.tokens)
         for batch in batches:
             for at, texts, flat, counts in memo.ids(batch.column("text")):
                 ends = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), ids], ["doc_id", "ids"])
+                columns = [batch.column("doc_id").slice(at, len(texts)), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+                if decoded:
+                    columns.append(decode(flat, ends))
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "content"][: len(columns)])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, ids array<int>")
+    return slim.mapInArrow(run, "doc_id long, ids array<int>" + (", content binary" if decoded else ""))
 
 
 def decode_documents(encoded: DataFrame, rank_file: str) -> DataFrame:
@@ -185,13 +210,13 @@ def decode_documents(encoded: DataFrame, rank_file: str) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        token = read_ranks(content.value).__getitem__
+        decode = decoder(read_ranks(content.value))
         for batch in batches:
             ids = batch.column("ids")
-            flat = ids.values.to_numpy(zero_copy_only=False)
-            bounds = ids.offsets.to_numpy()
-            decoded = [b"".join(map(token, flat[a:b].tolist())) for a, b in zip(bounds, bounds[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, pa.array(decoded, pa.binary())], ["doc_id", "ids", "content"])
+            lengths = ids.value_lengths().fill_null(0).to_numpy()
+            flat = ids.flatten().to_numpy(zero_copy_only=False)  # leaves missing lists out
+            bounds = np.concatenate(([0], np.cumsum(lengths)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, decode(flat, bounds)], ["doc_id", "ids", "content"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, content binary")
 

@@ -67,8 +67,7 @@ def op8_mixing(spark, sf_dir):
 def byte_bpe_digests(docs):
     """Encode, decode, and digest what came out of both."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = merge_replay.encode_documents(docs, ranks, public_tokenizers.PATTERN)
-    return merge_replay.decode_documents(encoded, ranks).select(
+    return merge_replay.encode_documents(docs, ranks, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
