@@ -175,7 +175,7 @@ def tokenize(docs: DataFrame, tokenizer_file: str, end_id: int, kind: str) -> Da
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         tokenizer = kept_in_worker(named, lambda: Tokenizer.from_str(content.value))
-        memo = WordMemo(library_encoder(tokenizer, kind), kind)
+        memo = WordMemo(library_encoder(tokenizer, kind), kind, most_words=1_000_000, at_once=20_000_000)
         for batch in batches:
             for at, texts, ids, counts in memo.ids(batch.column("text")):
                 ends = np.cumsum(counts)

@@ -8,7 +8,7 @@ import numpy as np
 
 from ledgerloom.llm.workers import by_value
 
-MEMO_WORDS = 500_000
+MEMO_WORDS, AT_ONCE = 500_000, 10_000_000
 #: Marks that are one piece after letters, however many, where nothing else follows.
 MARKS = ".,!?;:%&*#$|"
 
@@ -34,8 +34,8 @@ class WordMemo:
     Words are joined from what is known of their letters, marks and line breaks, all pieces of their own.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], kind: str):
-        self.encode, self.kind = encode, np.dtype(kind)
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], kind: str, most_words: int = MEMO_WORDS, at_once: int = AT_ONCE):
+        self.encode, self.kind, self.most_words, self.at_once = encode, np.dtype(kind), most_words, at_once
         self.words, self.bare, self.marks = {}, {}, {}  # with a blank before them, without, and marks
         self.line_break = encode(["\n"])[0]
 
@@ -83,7 +83,7 @@ class WordMemo:
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        for start, some in slices_by_size(pc.fill_null(texts, ""), 10_000_000):
+        for start, some in slices_by_size(pc.fill_null(texts, ""), self.at_once):
             for at, part, ids, counts in self.ids_of_some(some):
                 yield start + at, part, ids, counts
             pa.default_memory_pool().release_unused()  # workers live on between tasks
@@ -91,7 +91,7 @@ class WordMemo:
     def ids_of_some(self, texts):
         import pyarrow.compute as pc
 
-        if len(self.words) + len(self.bare) > MEMO_WORDS:
+        if len(self.words) + len(self.bare) > self.most_words:
             self.words, self.bare, self.marks = {}, {}, {}
         split = pc.split_pattern(texts, pattern=" ")
         first = split.offsets.to_numpy() - split.offsets[0].as_py()
