@@ -16,17 +16,18 @@ from ledgerloom.plans.business_health import business_health
 from ledgerloom.plans.cleaners import clean_table
 from ledgerloom.plans.daily_reports import merchant_daily_snapshot, platform_daily_snapshot
 from ledgerloom.plans.daily_sales import daily_sales
+from ledgerloom.plans.lifetime import Lifetime
 from ledgerloom.plans.merchant_daily import merchant_daily
 from ledgerloom.plans.merchant_profile import merchant_profile
 from ledgerloom.plans.merchant_reports import merchant_monthly, merchant_yearly
 from ledgerloom.plans.platform_reports import platform_monthly, platform_yearly, promotion_detail
-from ledgerloom.plans.product_summary import product_summary
+from ledgerloom.plans.product_summary import product_summary, product_summary_days
 from ledgerloom.plans.user_profile import user_profile
 from ledgerloom.plans.user_reports import user_monthly, user_yearly
 from ledgerloom.schemas import SPECS, Warehouse
 from ledgerloom.session import remove, scratch_path
 from ledgerloom.sources.extracts import read_extract
-from ledgerloom.sources.tables import LOAD_DATE, append_clean, exists, stored, upsert
+from ledgerloom.sources.tables import LOAD_DATE, append_clean, exists, remove_load, stored, upsert
 
 # Each table's key; the first column is the partition.
 KEYS = {
@@ -88,7 +89,7 @@ class Store:
 def clean_load(spark: SparkSession, extracts: str, store: Store, name: str, day: date) -> int:
     """Clean one table's extract of a day and store it as that day's load; gives back the number of good rows.
 
-    Rejected rows are stored before good ones. A repeated load replaces its earlier try; only keys of other loads count
+    Rejected rows are stored before good ones. A repeated load replaces its earlier try, also by nothing; only keys of other loads count
     as stored.
     """
     spec = SPECS[name]
@@ -105,6 +106,7 @@ def clean_load(spark: SparkSession, extracts: str, store: Store, name: str, day:
     rejected = result.rejected.withColumn("data_date", F.lit(day)).withColumn("rejected_from", F.lit(name))
     remove(spark, f"{store.path('rejected_rows')}/data_date={day}/rejected_from={name}")
     rejected.write.mode("append").partitionBy("data_date", "rejected_from").parquet(store.path("rejected_rows"))
+    remove_load(spark, store.path(f"dwd_{name}"), spec, day)
     good = rows.count()
     if good:
         append_clean(rows, store.path(f"dwd_{name}"), spec, datetime.combine(day, datetime.min.time()), day)
@@ -125,6 +127,9 @@ def clean_day(spark: SparkSession, extracts: str, store: Store, day: date) -> No
 def build_day(wh: Warehouse, store: Store, day: date, link_base: str = "", public_ids: dict | None = None) -> None:
     """Subject tables, then reports. A rerun of a day replaces its rows.
 
+    Where the facts tell their load (tables stored by ``clean_load``), lifetime counters are carried: the day's load is added
+    to the totals of the day before, and a rerun after a repeated load puts the totals right from that day on.
+
     Monthly reports are built on day 1, yearly ones on January 1, for the period that just ended. The
     platform month reads the merchant months, and the merchant profile the day table, so those come first.
     """
@@ -136,11 +141,16 @@ def build_day(wh: Warehouse, store: Store, day: date, link_base: str = "", publi
 
     store.put("dws_daily_sales", daily_sales(wh, day, day))
     days = store.put("dws_merchant_daily", merchant_daily(wh, day, history=store.get("dws_merchant_daily")))
-    profiles = store.put(
-        "dws_merchant_profile", merchant_profile(wh, days, stored_data, changed_only=not first_run)
-    )
-    store.put("dws_product_summary", product_summary(wh, day, changed_only=not first_run))
-    users = store.put("dws_user_profile", user_profile(wh, stored_data, changed_only=not first_run))
+    merchants = products = users = tastes = None
+    if LOAD_DATE in wh.orders.columns and LOAD_DATE in wh.returns.columns:
+        lifetime = Lifetime(store.spark, store.path("lifetime"))
+        lifetime.advance(wh, days, day)
+        tables = (lifetime.merchants, lifetime.products, lifetime.users, lifetime.tastes)
+        merchants, products, users, tastes = (t.totals(day) for t in tables)
+    changed = {"changed_only": not first_run}
+    profiles = store.put("dws_merchant_profile", merchant_profile(wh, days, stored_data, carried=merchants, **changed))
+    store.put("dws_product_summary", product_summary(wh, day, carried=products, **changed))
+    store.put("dws_user_profile", user_profile(wh, stored_data, carried=users, tastes=tastes, **changed))
     health = store.put(
         "dws_business_daily_health",
         business_health(wh, day, day, history=store.get("dws_business_daily_health")),
@@ -177,9 +187,9 @@ def build_due_reports(wh: Warehouse, store: Store, day: date) -> None:
 
 
 def backfill(wh: Warehouse, store: Store, first: date, last: date, link_base: str = "", public_ids: dict | None = None) -> None:
-    """Rebuild a range of days, with the reports that were due in it. The day tables are computed in one pass over the
-    range; the profiles and product table, which restate all entities per date, go date by date. Profiles count what had
-    happened by their date, as a run on that day would have."""
+    """Rebuild a range of days, with the reports that were due in it. The day tables and the product table are computed in one
+    pass over the range; the profiles, which restate all entities per date, go date by date. All count what had happened by their
+    date, as a run on that day would have."""
     store.put("dws_daily_sales", daily_sales(wh, first, last))
     days = store.put("dws_merchant_daily", merchant_daily(wh, first, last, store.get("dws_merchant_daily")))
     health = store.put(
@@ -187,11 +197,11 @@ def backfill(wh: Warehouse, store: Store, first: date, last: date, link_base: st
         business_health(wh, first, last, history=store.get("dws_business_daily_health")),
     )
     store.put("ads_platform_daily_snapshot", platform_daily_snapshot(health))
+    store.put("dws_product_summary", product_summary_days(wh, first, last))
     day = first
     while day <= last:
         at = Cutoffs.on(day)
         profiles = store.put("dws_merchant_profile", merchant_profile(wh, days, at))
-        store.put("dws_product_summary", product_summary(wh, day))
         store.put("dws_user_profile", user_profile(wh, at))
         store.put("ads_merchant_daily_snapshot", merchant_daily_snapshot(days, profiles, day))
         build_due_reports(wh, store, day)

@@ -21,14 +21,22 @@ def service_level(returns, orders):
     )
 
 
-def merchant_profile(wh: Warehouse, daily: DataFrame, at: Cutoffs, changed_only: bool = False) -> DataFrame:
+def merchant_profile(
+    wh: Warehouse, daily: DataFrame, at: Cutoffs, changed_only: bool = False, carried: DataFrame | None = None
+) -> DataFrame:
     """One row per merchant and snapshot date.
 
     ``daily`` is the merchant day table. ``changed_only`` keeps merchants with a day row, return,
     operation or master-data change in the 30 days before the snapshot. The columns named
-    ``daily_sales_*_30d`` cover 7 days; the names are kept from the table's definition.
+    ``daily_sales_*_30d`` cover 7 days; the names are kept from the table's definition. ``carried``
+    (``Lifetime.merchants`` after the day) replaces the count over all facts, of which only the 30 days are read then.
     """
     c = F.col
+    if carried is not None and not at.single:
+        raise ValueError("the incremental form works on one date")
+    since = None if carried is None else at.lower(30)
+    if carried is not None:
+        daily = daily.filter(c("stat_date") >= F.lit(since))
     day_of = {"returns": F.to_date("apply_time"), "operations": F.to_date("operation_time")}
 
     members = at.grid(
@@ -61,7 +69,7 @@ def merchant_profile(wh: Warehouse, daily: DataFrame, at: Cutoffs, changed_only:
         c("approved_time").isNotNull(), whole_hours(c("apply_time"), c("approved_time"))
     ).when(c("rejected_time").isNotNull(), whole_hours(c("apply_time"), c("rejected_time")))
     taken_back = at.spread(
-        between_days(wh.returns, "apply_time", None, at.upper()).select(
+        between_days(wh.returns, "apply_time", since, at.upper()).select(
             "merchant_id", "return_id", day_of["returns"].alias("day"), hours.alias("hours")
         ),
         c("day"),
@@ -93,7 +101,22 @@ def merchant_profile(wh: Warehouse, daily: DataFrame, at: Cutoffs, changed_only:
         .select("merchant_id", F.date_add(day_of["operations"], 1).alias("as_of"), F.lit(1).alias("offline"))
         .filter(at.contains(c("as_of")))
     )
-    frames = [members, assortment, trading, taken_back, shipped, withdrawn]
+    counted = {
+        "total_sales_amount": F.sum("life_sales"),
+        "total_order_count": F.sum("life_orders"),
+        "total_return_count": F.count("life_return"),
+        "return_hours": F.sum("return_hours"),
+        "return_answers": F.count("return_hours"),
+        "ship_hours": F.sum("ship_hours"),
+        "ship_count": F.sum("ship_count"),
+    }
+    frames = [members, assortment, trading, taken_back, withdrawn]
+    if carried is None:
+        frames.append(shipped)
+    else:
+        known = [F.col(m).alias(f"carried_{m}") for m in counted]
+        frames.append(at.grid(carried.select("merchant_id", *known)))
+        counted = {m: F.max(f"carried_{m}") for m in counted}
     if changed_only:
         operated = at.spread(
             between_days(wh.operations, "operation_time", at.lower(30), None).select(
@@ -114,13 +137,7 @@ def merchant_profile(wh: Warehouse, daily: DataFrame, at: Cutoffs, changed_only:
             "merchant_name": F.max("merchant_name"),
             "total_product_count": F.max("total_product_count"),
             "on_sale_product_count": F.max("on_sale_product_count"),
-            "total_sales_amount": F.sum("life_sales"),
-            "total_order_count": F.sum("life_orders"),
-            "total_return_count": F.count("life_return"),
-            "return_hours": F.sum("return_hours"),
-            "return_answers": F.count("return_hours"),
-            "ship_hours": F.sum("ship_hours"),
-            "ship_count": F.sum("ship_count"),
+            **counted,
             "last_30d_sales_amount": F.sum("recent_sales"),
             "last_30d_order_count": F.sum("recent_orders"),
             "last_30d_return_count": F.count("recent_return"),

@@ -41,14 +41,14 @@ def user_level(score: Column) -> Column:
     return chosen.otherwise(F.lit(LOWEST_LEVEL))
 
 
-def preferred_categories(orders: DataFrame, products: DataFrame, at: Cutoffs) -> DataFrame:
+def preferred_categories(orders: DataFrame, products: DataFrame, at: Cutoffs, carried: DataFrame | None = None) -> DataFrame:
     """Per user and snapshot: categories bought more than five times, else the one bought most.
 
-    Purchases are counted per product before the category is looked up. A user's list is bounded by the
-    number of categories, so collecting it is safe.
+    Purchases are counted per product before the category is looked up; ``carried`` has the counts of the snapshot already.
+    A user's list is bounded by the number of categories, so collecting it is safe.
     """
     c = F.col
-    counts = (
+    counts = carried.withColumn("as_of", F.lit(at.last)) if carried is not None else (
         between_days(orders, "order_time", None, at.upper())
         .select("user_id", "product_id", at.first_seen(F.to_date("order_time")).alias("as_of"))
         .groupBy("user_id", "product_id", "as_of")
@@ -73,22 +73,29 @@ def preferred_categories(orders: DataFrame, products: DataFrame, at: Cutoffs) ->
     return counts.groupBy("user_id", "as_of").agg(F.coalesce(many, most).alias("preferred_category"))
 
 
-def user_profile(wh: Warehouse, at: Cutoffs, changed_only: bool = False) -> DataFrame:
+def user_profile(
+    wh: Warehouse, at: Cutoffs, changed_only: bool = False, carried: DataFrame | None = None, tastes: DataFrame | None = None
+) -> DataFrame:
     """One row per user and snapshot date.
 
     The 30-day counters run from 30 days before the snapshot through the snapshot day (``Cutoffs.on(day,
     open_end=True)``: through everything stored). ``changed_only`` is the incremental form: users touched
     since 30 days before the day; the facts of other users are dropped before they are aggregated.
+    ``carried`` and ``tastes`` (``Lifetime.users``, ``Lifetime.tastes`` after the day) replace the count over all facts,
+    of which only the 30 days are read then.
     """
     c = F.col
+    since = None if carried is None else at.lower(30)
     users, orders, returns, actions = wh.users, wh.orders, wh.returns, wh.actions
+    if not at.single and (changed_only or carried is not None):
+        raise ValueError("the incremental form works on one date")
     if changed_only:
-        if not at.single:
-            raise ValueError("the incremental form works on one date")
         changed = changed_users(wh, at.last)
         users, orders, returns, actions = (
             df.join(changed, "user_id", "left_semi") for df in (users, orders, returns, actions)
         )
+        if carried is not None:
+            carried, tastes = (df.join(changed, "user_id", "left_semi") for df in (carried, tastes))
 
     def recent(day: str = "day") -> Column:
         return in_window(c(day), 30, closed=True, open_end=at.open_end)
@@ -97,7 +104,7 @@ def user_profile(wh: Warehouse, at: Cutoffs, changed_only: bool = False) -> Data
         users.select("user_id", F.to_date("created_time").alias("register_date"), F.lit(True).alias("member"))
     )
     bought = at.spread(
-        between_days(orders, "order_time", None, at.upper()).select(
+        between_days(orders, "order_time", since, at.upper()).select(
             "user_id", "order_id", "order_time", "order_amount", F.to_date("order_time").alias("day")
         ),
         c("day"),
@@ -111,7 +118,7 @@ def user_profile(wh: Warehouse, at: Cutoffs, changed_only: bool = False) -> Data
         F.when(recent(), c("order_id")).alias("recent_order"),
     )
     returned = at.spread(
-        between_days(returns, "apply_time", None, at.upper()).select(
+        between_days(returns, "apply_time", since, at.upper()).select(
             "user_id", "return_id", F.to_date("apply_time").alias("day")
         ),
         c("day"),
@@ -133,25 +140,29 @@ def user_profile(wh: Warehouse, at: Cutoffs, changed_only: bool = False) -> Data
     )
     active = at.spread(active_days, c("day")).filter(recent()).select("user_id", "as_of", "logged_in", "views")
 
+    frames = [members, bought, returned, active]
+    lifetime = {
+        "total_order_amount": F.sum("life_amount"),
+        "total_order_count": F.count("life_order"),
+        "total_return_count": F.count("life_return"),
+        "last_order_date": F.max("last_order"),
+    }
+    if carried is not None:
+        frames.append(at.grid(carried))
+        lifetime = {m: zero_if_null(F.sum(m)) if m.endswith("count") else F.max(m) for m in lifetime}
     folded = fold(
         ["user_id", "as_of"],
         {
             "member": F.max("member"),
             "register_date": F.max("register_date"),
-            "total_order_amount": F.sum("life_amount"),
-            "total_order_count": F.count("life_order"),
-            "total_return_count": F.count("life_return"),
-            "last_order_date": F.max("last_order"),
+            **lifetime,
             "last_30d_login_days": F.sum("logged_in"),
             "last_30d_view_cnt": F.sum("views"),
             "last_30d_order_cnt": F.count("recent_order"),
             "last_30d_order_amount": F.sum("recent_amount"),
             "last_30d_return_cnt": F.count("recent_return"),
         },
-        members,
-        bought,
-        returned,
-        active,
+        *frames,
     )
     if not at.single:
         folded = running_totals(
@@ -165,7 +176,7 @@ def user_profile(wh: Warehouse, at: Cutoffs, changed_only: bool = False) -> Data
     logins, views = zero_if_null(c("last_30d_login_days")), zero_if_null(c("last_30d_view_cnt"))
     return (
         folded.filter(c("member"))
-        .join(preferred_categories(orders, wh.products, at), ["user_id", "as_of"], "left")
+        .join(preferred_categories(orders, wh.products, at, tastes), ["user_id", "as_of"], "left")
         .withColumn("user_score", user_score(logins, c("last_30d_order_cnt"), amount))
         .select(
             c("as_of").alias("stat_date"),

@@ -24,6 +24,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def remove_load(spark: SparkSession, path: str, spec: TableSpec, load: date) -> None:
+    """Delete what an earlier try of a load has stored."""
+    remove(spark, "/".join([path, *[f"{EVENT_DATE}=*"] * (spec.event_time is not None), f"{LOAD_DATE}={load}"]))
+
+
 def append_clean(
     df: DataFrame, path: str, spec: TableSpec, loaded_at: datetime | None = None, load: date | None = None
 ) -> None:
@@ -44,7 +49,7 @@ def append_clean(
     if load is not None:
         rows = rows.withColumn(LOAD_DATE, F.lit(load))
         folders.append(LOAD_DATE)
-        remove(df.sparkSession, "/".join([path, *[f"{EVENT_DATE}=*"] * (len(folders) - 1), f"{LOAD_DATE}={load}"]))
+        remove_load(df.sparkSession, path, spec, load)
     if not folders:
         rows.write.mode("append").parquet(path)
         return

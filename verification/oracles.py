@@ -274,55 +274,37 @@ def merchant_profile_sql(dates: str, bounded: bool, changed_only: bool = False)
 # --- product summary -------------------------------------------------------------------------------
 
 
-def product_summary_sql(changed_only: bool = False) -> str:
+def product_summary_sql(changed_only: bool = False, dates: str | None = None, bounded: bool = False) -> str:
+    """Sales and returns of a product as one list of events; each date folds what it sees of it."""
     d = f"DATE '{ONE_DAY}'"
-    changed = (
-        f"""WHERE p.product_id IN (SELECT product_id FROM dim_products WHERE updated_time >= {d} - 30
-  UNION SELECT product_id FROM dwd_orders WHERE order_time >= {d} - 30
-  UNION SELECT o.product_id FROM returns r JOIN order_lines o ON r.order_id = o.order_id WHERE r.apply_time >= {d} - 30)"""
-        if changed_only
-        else ""
-    )
+    seen = "e.happened < a.as_of + INTERVAL 1 DAY" if bounded else "TRUE"
+    week = "e.happened >= a.as_of - INTERVAL 7 DAY AND e.happened < a.as_of"
+    touched = f"""WHERE p.updated_time >= {d} - 30 OR p.product_id IN (SELECT product_id FROM product_events WHERE happened >= {d} - 30)"""
     return shaped(
         with_views(
-            ORDER_LINES,
-            (
-                "sold",
-                "SELECT product_id, sum(order_amount) AS amount, count(DISTINCT order_id) AS n FROM order_lines GROUP BY 1",
-            ),
-            (
-                "sold_week",
-                f"""SELECT product_id, count(DISTINCT order_id) AS n FROM order_lines
-WHERE order_date >= {d} - 7 AND order_date < {d} GROUP BY 1""",
-            ),
-            (
-                "back",
-                """SELECT o.product_id, count(DISTINCT r.return_id) AS n
-FROM returns r JOIN order_lines o ON r.order_id = o.order_id GROUP BY 1""",
-            ),
+            ("product_dates", dates or DAY_DATE),
             (
-                "back_week",
-                f"""SELECT o.product_id, count(DISTINCT r.return_id) AS n FROM returns r
-JOIN order_lines o ON r.order_id = o.order_id
-WHERE CAST(r.apply_time AS DATE) >= {d} - 7 AND CAST(r.apply_time AS DATE) < {d} GROUP BY 1""",
+                "product_events",
+                """SELECT product_id, order_time AS happened, order_id AS sale, order_amount AS amount, NULL::VARCHAR AS refund FROM dwd_orders
+UNION ALL SELECT o.product_id, r.apply_time, NULL, NULL, r.return_id FROM returns r JOIN dwd_orders o ON o.order_id = r.order_id""",
             ),
             (
-                "turnover",
-                """SELECT p.product_id, CASE WHEN coalesce(w.n, 0) > 0
-  THEN CAST(p.current_stock AS DOUBLE) / (CAST(w.n AS DOUBLE) / CAST(7 AS DOUBLE)) END AS days
-FROM dim_products p LEFT JOIN sold_week w USING (product_id)""",
+                "product_folds",
+                f"""SELECT a.as_of, e.product_id, sum(amount) AS amount, count(DISTINCT sale) AS sales, count(DISTINCT refund) AS refunds,
+  count(DISTINCT sale) FILTER (WHERE {week}) AS sales7, count(DISTINCT refund) FILTER (WHERE {week}) AS refunds7
+FROM product_dates a JOIN product_events e ON {seen} GROUP BY ALL""",
             ),
-            final=f"""SELECT {d} AS stat_date, p.product_id, p.merchant_id, p.product_name,
-  p.product_category_id AS category_id, p.category_name, p.listing_time AS shelf_time, p.product_status,
-  p.updated_time AS last_status_change, coalesce(s.amount, 0) AS total_sales_amount,
-  coalesce(s.n, 0) AS total_sales_quantity, p.current_stock, t.days AS stock_turnover_days,
-  coalesce(b.n, 0) AS total_return_times,
-  CASE WHEN coalesce(s.n, 0) = 0 THEN 0 ELSE coalesce(b.n, 0) / s.n END AS return_rate,
-  coalesce(sw.n, 0) AS last_7d_sales_quantity, coalesce(bw.n, 0) AS last_7d_return_times,
-  coalesce(t.days > 15, FALSE) AS stock_over_15d_flag, coalesce(t.days > 30, FALSE) AS stock_over_30d_flag
-FROM dim_products p LEFT JOIN sold s USING (product_id) LEFT JOIN sold_week sw USING (product_id)
-LEFT JOIN back b USING (product_id) LEFT JOIN back_week bw USING (product_id)
-LEFT JOIN turnover t USING (product_id) {changed}""",
+            final=f"""SELECT stat_date, product_id, merchant_id, product_name, category_id, category_name, shelf_time, product_status, last_status_change,
+  total_sales_amount, total_sales_quantity, current_stock, lasts AS stock_turnover_days, total_return_times,
+  coalesce(total_return_times / nullif(total_sales_quantity, 0), 0) AS return_rate, last_7d_sales_quantity, last_7d_return_times,
+  coalesce(lasts > 15, FALSE) AS stock_over_15d_flag, coalesce(lasts > 30, FALSE) AS stock_over_30d_flag
+FROM (SELECT a.as_of AS stat_date, p.product_id, p.merchant_id, p.product_name, p.product_category_id AS category_id, p.category_name,
+    p.listing_time AS shelf_time, p.product_status, p.updated_time AS last_status_change, p.current_stock,
+    coalesce(f.amount, 0) AS total_sales_amount, coalesce(f.sales, 0) AS total_sales_quantity, coalesce(f.refunds, 0) AS total_return_times,
+    coalesce(f.sales7, 0) AS last_7d_sales_quantity, coalesce(f.refunds7, 0) AS last_7d_return_times,
+    p.current_stock * 7::DOUBLE / nullif(f.sales7, 0) AS lasts
+  FROM dim_products p CROSS JOIN product_dates a LEFT JOIN product_folds f ON f.product_id = p.product_id AND f.as_of = a.as_of
+  {touched if changed_only else ""})""",
         ),
         "total_sales_amount stock_turnover_days return_rate",
         "total_sales_quantity total_return_times last_7d_sales_quantity last_7d_return_times",
