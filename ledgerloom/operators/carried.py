@@ -94,8 +94,8 @@ class CarriedTotals:
             *[c.alias(n) for n, c in gone.items()],
         )
         folded = folded.filter(F.col(SEEN) > 0)
-        if not self.maxima or not folder_dates(self.spark, f"{self.path}/parts", PART):
-            return folded.drop(*gone)
+        if not self.maxima or day not in folder_dates(self.spark, f"{self.path}/parts", PART):
+            return folded.drop(*gone)  # nothing is taken back
         # a maximum that was as large as the one taken back may have come from there
         doubt = F.lit(False)
         for m in self.maxima:
@@ -123,19 +123,24 @@ class CarriedTotals:
         self.summed(part).write.parquet(f"{scratch}/part")
         new = self.spark.read.parquet(f"{scratch}/part")
         self.corrected(new, day).write.parquet(f"{scratch}/totals")
-        self.replace("totals", self.spark.read.parquet(f"{scratch}/totals"), AS_OF)
-        self.replace("parts", new.withColumn(PART, F.lit(day)), PART)
+        self.replace("totals", self.spark.read.parquet(f"{scratch}/totals"), AS_OF, [v for v in self.versions() if v >= day])
+        self.replace("parts", new.withColumn(PART, F.lit(day)), PART, [day])
         for old in self.versions()[: -self.keep]:
             remove(self.spark, f"{self.path}/totals/{AS_OF}={old}")
         remove(self.spark, scratch)
 
-    def replace(self, table: str, rows: DataFrame, column: str) -> None:
+    def replace(self, table: str, rows: DataFrame, column: str, days: list[date]) -> None:
+        """Write the rows' folders anew, and delete those of the given days that have no row any more."""
         writer = rows.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(column).parquet(f"{self.path}/{table}")
+        filled = {r[0] for r in rows.select(F.col(column).cast("date")).distinct().collect()}
+        for day in days:
+            if day not in filled:
+                remove(self.spark, f"{self.path}/{table}/{column}={day}")
 
     def rebuild(self, day: date) -> None:
         """The totals after a day from all parts, in place of what is stored."""
         parts = self.read("parts", PART, lambda c: c <= F.lit(day))
         sums = [F.sum(m).cast(kind).alias(m) for m, kind in self.sums.items()]
         folded = parts.groupBy(*self.keys).agg(*sums, *[F.max(m).alias(m) for m in self.maxima])
-        self.replace("totals", folded.withColumn(AS_OF, F.lit(day)), AS_OF)
+        self.replace("totals", folded.withColumn(AS_OF, F.lit(day)), AS_OF, [day])

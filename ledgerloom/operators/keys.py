@@ -84,13 +84,17 @@ def repair_duplicates(
     """One row per id keeps it (the one with the smallest digest); the n-th repeat gets the n-th free
     ``<id>_dup<number>``, where numbers already used by ids of the batch are not free.
 
+    Ids are counted first, after map-side aggregation, and only rows whose id repeats go on; the others are passed through.
     Rows that are equal in all columns are counted first and written out again after numbering, in runs, so any number of them
     is spread over tasks. Different rows of one id are numbered in ``16 ** bucket_digits`` digest ranges. The numbers
     that a repeat skips are a running maximum over the used numbers in front of it; repeats and used numbers
     are never paired. ``make_id(id, n)`` replaces the naming rule; its ids must be free.
     """
     columns = df.columns
-    groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_order", digest)
+    repeated = df.groupBy(F.col(key).alias("_repeated")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_repeated")
+    of_repeated = F.col(key) == F.col("_repeated")
+    single, several = (df.join(repeated, of_repeated, how) for how in ("left_anti", "left_semi"))
+    groups = several.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_order", digest)
     groups = groups.withColumn("_bucket", F.substring("_order", 1, bucket_digits))
     zero = F.lit(0).cast("bigint")
     groups = running_before(groups, [key], "_bucket", ["_order"], F.col("_copies"), F.sum, zero, "_before")
@@ -99,11 +103,15 @@ def repair_duplicates(
     rows = runs.withColumn("_nth", F.explode(F.sequence(F.col("_from"), last))).withColumn("_repeat", F.col("_before") + F.col("_nth"))
     rows = rows.select(*columns, "_repeat")
     first, repeats = rows.filter("_repeat = 0").select(*columns), rows.filter("_repeat > 0")
+    first = single.select(*columns).unionByName(first)
     if make_id is not None:
         return first.unionByName(repeats.withColumn(key, make_id(F.col(key), F.col("_repeat"))).select(*columns))
     # the number of used suffixes in front of a free one only changes where used numbers leave a hole
+    # only ids that hold the suffix are taken apart, and only numbers of repeated ids count
+    marked = df.select(F.col(key).alias("id")).filter(F.col("id").contains(suffix))
+    taken = taken_suffixes(marked, suffix).join(repeated, F.col("base") == F.col("_repeated"), "left_semi")
     holes = (
-        _ranked_suffixes(taken_suffixes(df.select(F.col(key).alias("id")), suffix))
+        _ranked_suffixes(taken)
         .groupBy(F.col("base").alias(key), (F.col("taken") - F.col("place")).alias("_at"))
         .agg(F.max("place").alias("_skipped"))
     )
@@ -116,15 +124,21 @@ def repair_duplicates(
     return first.unionByName(named.select(*columns))
 
 
-def resolve_conflicts(df: DataFrame, key: str, stored: DataFrame, suffix: str = "_new") -> DataFrame:
+def resolve_conflicts(
+    df: DataFrame, key: str, stored: DataFrame, suffix: str = "_new", make_id: Callable[[Column, Column], Column] | None = None
+) -> DataFrame:
     """Ids that are already stored become ``<id>_new<number>`` with the first free number.
 
-    Ids of ``df`` must be unique (``repair_duplicates``). ``stored`` has the column ``key``.
+    Ids of ``df`` must be unique (``repair_duplicates``). ``stored`` has the column ``key``. ``make_id(id, 1)`` replaces the
+    naming rule; its ids must be free.
     """
     columns = df.columns
     batch = df.select(F.col(key).alias("id"))
     old = stored.select(F.col(key).cast("string").alias("id"))
     clashing = old.join(batch, "id", "left_semi").distinct().withColumnRenamed("id", "_clash")
+    if make_id is not None:
+        renamed = F.when(F.col("_clash").isNotNull(), make_id(F.col(key), F.lit(1))).otherwise(F.col(key))
+        return df.join(clashing, F.col(key) == F.col("_clash"), "left").withColumn(key, renamed).select(*columns)
     # only ids that hold the suffix are taken apart; a plain substring test is far cheaper than the pattern
     marked = old.unionByName(batch).filter(F.col("id").contains(suffix))
     taken = taken_suffixes(marked, suffix).join(clashing, F.col("base") == F.col("_clash"), "left_semi")

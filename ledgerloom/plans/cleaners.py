@@ -22,6 +22,12 @@ class Cleaned:
     rejected: DataFrame
 
 
+def dealt(raw: DataFrame) -> DataFrame:
+    """Rows of a few large files dealt over all cores, as a file may be one task and the row rules cost far more than a shuffle."""
+    cores = raw.sparkSession.sparkContext.defaultParallelism
+    return raw.repartition(cores) if len(raw.inputFiles()) < cores else raw
+
+
 def check_rows(raw: DataFrame, spec: TableSpec, references: dict[str, DataFrame], strict: bool = False) -> DataFrame:
     """All row rules of a table, in the table's order; rows keep their first broken rule."""
     unknown = rules.extra_columns(raw, spec.columns)
@@ -64,7 +70,7 @@ def clean_table(
     content, for key conflicts. ``strict`` demands every column the original extract check demanded and a
     match for optional keys too. Tables with a key are staged in the shared folder, so the call runs jobs.
     """
-    checked = check_rows(raw, spec, references or {}, strict)
+    checked = check_rows(dealt(raw), spec, references or {}, strict)
     if spec.key:
         # key repair and the rejected rows read this several times
         checked = staged(checked, f"checked-{spec.name}")

@@ -148,13 +148,18 @@ def _bad_load(spark, sf_dir):
 (SELECT DATE '{ONE_DAY}' AS day UNION ALL SELECT DATE '{ONE_DAY}' + 1) GROUP BY 1""",
 )
 def _load_twice(spark, sf_dir):
-    """The first day's load runs twice and is stored once; the same extract of the next day gets new ids."""
+    """The first day's load runs twice and is stored once; the same extract of the next day gets new ids; a third load is repeated
+    without any good row, and nothing of it stays."""
     root, store = scratch_path(spark, "extracts"), Store(spark, scratch_path(spark, "store"))
     users = SampleTables(spark, sf_dir).sql(EXTRACTS["users"])
     for day in (DAY, DAY + timedelta(days=1)):
         write_extract(users, root, "users", day)
-    for day in (DAY, DAY, DAY + timedelta(days=1)):
+    write_extract(users, root, "users", DAY + timedelta(days=2))
+    for day in (DAY, DAY, DAY + timedelta(days=1), DAY + timedelta(days=2)):
         clean_load(spark, root, store, "users", day)
+    again = scratch_path(spark, "extracts")
+    write_extract(users.withColumn("user_id", F.lit(" ")), again, "users", DAY + timedelta(days=2))
+    clean_load(spark, again, store, "users", DAY + timedelta(days=2))
     loads = store.get("dwd_users").groupBy("load_date")
     return loads.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("ids"))
 
