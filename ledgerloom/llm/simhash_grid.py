@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,64 +67,170 @@ def segment_counts(prints: np.ndarray) -> np.ndarray:
     return np.bitwise_count(parts).astype(np.int64)
 
 
-def grid_rows(prints: DataFrame, max_bits: int) -> DataFrame:
-    """Each fingerprint at its own grid cells and, marked as probe, at those one step up: cell, probe, fingerprint."""
+def grid_groups(rows: int, max_bits: int, meetings: int = 512, most_cells: int = 2000) -> int:
+    """Into how many groups the 32 segments are cut, so that a fingerprint meets few others at any table size.
+
+    A fingerprint lies in one cell for each choice of (groups - max_bits) groups. Random ones agree in a segment count with a
+    chance of 3/8, so more groups make fewer meetings of more cells. The first number that expects at most `meetings` of
+    each fingerprint is taken; `most_cells` bounds the cells of one (reached beyond 10^11 fingerprints at four bits).
+    """
+    segments = 64 // SEGMENT_BITS
+    if not 0 <= max_bits <= segments - 2:
+        raise ValueError(f"max_bits must be 0 to {segments - 2}")
+    best = max_bits + 2
+    for groups in range(max_bits + 2, segments + 1):
+        cells, shared = math.comb(groups, max_bits), segments * (groups - max_bits) / groups
+        if cells > most_cells:
+            break
+        best = groups
+        if rows * cells * 0.375**shared <= meetings:
+            break
+    return best
+
+
+def grid_rows(prints: DataFrame, max_bits: int, groups: int) -> DataFrame:
+    """Each fingerprint in its grid cells, one for each choice of (groups - max_bits) groups of segments: cell, fingerprint."""
 
     def run(batches):
         import pyarrow as pa
 
-        segments, groups = 64 // SEGMENT_BITS, max_bits // 2 + 1
+        segments, base = 64 // SEGMENT_BITS, SEGMENT_BITS + 1
         bounds = np.linspace(0, segments, groups + 1).astype(int)
-        base = SEGMENT_BITS + 1
-        room = base ** int(np.diff(bounds).max())
+        widths = np.diff(bounds)
+        choices = list(itertools.combinations(range(groups), groups - max_bits))
         for batch in batches:
+            if not batch.num_rows:
+                continue
             own = batch.column("fingerprint").to_numpy()
-            counts = segment_counts(own.view(np.uint64))
-            cells, probes, prints = [], [], []
-            for group, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
-                steps = base ** np.arange(b - a, dtype=np.int64)
-                home = group * room + counts[:, a:b] @ steps
-                row, segment = np.nonzero(counts[:, a:b] < SEGMENT_BITS)
-                cells += [home, home[row] + steps[segment]]
-                probes += [np.zeros(len(own), np.int32), np.ones(len(row), np.int32)]
-                prints += [own, own[row]]
-            cells, probes, prints = map(np.concatenate, (cells, probes, prints))
-            yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(probes), pa.array(prints)], ["cell", "probe", "fingerprint"])
-
-    return prints.mapInArrow(run, "cell long, probe int, fingerprint long")
-
-
-def close_links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
-    """Links (high, low) between distinct fingerprints at max_bits or fewer differing bits, as spanning links.
-
-    The bit counts of 2-bit segments turn a fingerprint into a point of a 32-dimensional grid, and the Manhattan
-    distance of two points is at most the number of differing bits. With the segments in g = max_bits div 2 + 1 groups, two
-    points within max_bits are within one step of each other in at least one group, so they have the same cell there
-    or one has a cell one step above the other's. Each point is therefore stored at its g cells and
-    probes the cells one step up; homes meet homes and probes within a cell, and every meeting is verified by the exact bit
-    difference in array code. Only links that join something new within a batch leave the task.
+            counts = segment_counts(own.view(np.uint64)).astype(np.uint64)
+            codes = [counts[:, a:b] @ (np.uint64(base) ** np.arange(b - a, dtype=np.uint64)) for a, b in zip(bounds, bounds[1:], strict=False)]
+            at_once = max(1, 200_000 // len(own))
+            for at in range(0, len(choices), at_once):
+                cells = []
+                for number, choice in enumerate(choices[at : at + at_once], at):
+                    cell = np.full(len(own), number, np.uint64)
+                    for group in choice:  # may wrap around: a clash only brings more rows to verify
+                        cell = cell * np.uint64(base ** int(widths[group])) + codes[group]
+                    cells.append(cell.view(np.int64))
+                rows = [pa.array(np.concatenate(cells)), pa.array(np.tile(own, len(cells)))]
+                yield pa.RecordBatch.from_arrays(rows, ["cell", "fingerprint"])
+
+    return prints.mapInArrow(run, "cell long, fingerprint long")
+
+
+def met_links(left: np.ndarray, right: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links of the pairs (one of left, one of right) within max_bits."""
+    highs, lows = [], []
+    step = max(1, 1_000_000 // max(1, len(right)))
+    for at in range(0, len(left), step):
+        i, j = np.nonzero(np.bitwise_count(left[at : at + step, None] ^ right[None, :]) <= max_bits)
+        high, low = spanning_links(left[at + i].view(np.int64), right[j].view(np.int64))
+        highs.append(high)
+        lows.append(low)
+    return spanning_links(np.concatenate(highs), np.concatenate(lows)) if highs else (np.empty(0, np.int64),) * 2
+
+
+def cell_links(cells: DataFrame, max_bits: int, crowd: int) -> DataFrame:
+    """Links within cells of at most `crowd` rows (high, low); rows of fuller cells come out by themselves (cell, chunk, high).
+
+    The rows of a fuller cell are numbered in chunks of `crowd` while they stream by, so no task holds a whole cell.
     """
 
     def run(batches):
         import pyarrow as pa
 
-        for table in whole_runs(batches, "cell"):
-            cells = table.column("cell").to_numpy()
-            prints = table.column("fingerprint").to_numpy().view(np.uint64)
-            homes = np.flatnonzero(table.column("probe").to_numpy() == 0)
-            ends, lefts, rights = run_ends(cells), [], []
-            for i, j in later_in_run(ends, homes):
-                near = np.bitwise_count(prints[i] ^ prints[j]) <= max_bits
+        names = ["high", "low", "cell", "chunk"]
+
+        def settled(cells, prints, chunk, begun):
+            """Batches for sorted cells. begun: the first one is known to be too full, and `chunk` chunks of it went out before."""
+            ends, starts = run_ends(cells), np.searchsorted(cells, cells, side="left")
+            full = (ends - starts > crowd) | ((starts == 0) & begun)
+            if full.any():
+                at = np.flatnonzero(full)
+                number = (at - starts[at]) // crowd + np.where(starts[at] == 0, chunk, 0)
+                yield pa.RecordBatch.from_arrays([pa.array(prints[at]), pa.nulls(len(at), pa.int64()), pa.array(cells[at]), pa.array(number)], names)
+            bits = prints.view(np.uint64)
+            highs, lows = [], []
+            for i, j in later_in_run(ends, np.flatnonzero(~full)):
+                near = np.bitwise_count(bits[i] ^ bits[j]) <= max_bits
                 if near.any():
-                    left, right = spanning_links(prints[i[near]].view(np.int64), prints[j[near]].view(np.int64))
-                    lefts.append(left)
-                    rights.append(right)
-            if lefts:
-                left, right = spanning_links(np.concatenate(lefts), np.concatenate(rights))
-                yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], ["high", "low"])
-
-    cells = grid_rows(prints, max_bits).repartition("cell").sortWithinPartitions("cell", "probe")
-    return cells.mapInArrow(run, "high long, low long")
+                    high, low = spanning_links(prints[i[near]], prints[j[near]])
+                    highs.append(high)
+                    lows.append(low)
+            if highs:
+                high, low = spanning_links(np.concatenate(highs), np.concatenate(lows))
+                none = pa.nulls(len(high), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(high), pa.array(low), none, none], names)
+
+        kept, open_cell, gone = np.empty(0, np.int64), None, 0  # rows of the last cell so far; its chunks that went out
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cells, prints = batch.column("cell").to_numpy(), batch.column("fingerprint").to_numpy()
+            if len(kept):
+                cells, prints = np.concatenate((np.full(len(kept), open_cell), cells)), np.concatenate((kept, prints))
+            if cells[0] != open_cell:
+                gone = 0
+            last = int(np.searchsorted(cells, cells[-1], side="left"))
+            if last:
+                yield from settled(cells[:last], prints[:last], gone, gone > 0)
+                gone = 0
+            kept, open_cell = prints[last:], cells[-1]
+            whole = len(kept) // crowd * crowd if len(kept) > crowd else 0
+            if whole:
+                yield from settled(cells[last : last + whole], kept[:whole], gone, True)
+                gone, kept = gone + whole // crowd, kept[whole:]
+        if len(kept):
+            yield from settled(np.full(len(kept), open_cell), kept, gone, gone > 0)
+
+    return cells.mapInArrow(run, "high long, low long, cell long, chunk long")
+
+
+def chunk_links(crowded: DataFrame, max_bits: int) -> DataFrame:
+    """Links (high, low) within crowded cells (cell, chunk, high): every two chunks of a cell meet in a task of their own."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for table in whole_runs(batches, "tile"):
+            tiles, sides = table.column("tile").to_numpy(), table.column("side").to_numpy()
+            prints = table.column("high").to_numpy().view(np.uint64)
+            at = 0
+            while at < len(tiles):
+                end = int(np.searchsorted(tiles, tiles[at], side="right"))
+                own, side = prints[at:end], sides[at:end]
+                left, right = own[side < 2], own[side > 0]
+                high, low = met_links(left, right, max_bits)
+                if len(high):
+                    yield pa.RecordBatch.from_arrays([pa.array(high), pa.array(low)], ["high", "low"])
+                at = end
+
+    chunks = crowded.groupBy(F.col("cell").alias("_cell")).agg(F.max("chunk").alias("_last"))
+    met = crowded.join(chunks, F.col("cell") == F.col("_cell"))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "_last")))
+    # side 0 meets side 2; rows of side 1 meet each other
+    side = F.when(F.col("chunk") == F.col("other"), 1).when(F.col("chunk") < F.col("other"), 0).otherwise(2)
+    tile = F.xxhash64("cell", F.least("chunk", "other"), F.greatest("chunk", "other"))
+    met = met.select(tile.alias("tile"), side.cast("int").alias("side"), "high")
+    return met.repartition("tile").sortWithinPartitions("tile", "side").mapInArrow(run, "high long, low long")
+
+
+def close_links(prints: DataFrame, max_bits: int = 4, meetings: int = 512, crowd: int = 8192) -> DataFrame:
+    """Links (high, low) between distinct fingerprints at max_bits or fewer differing bits, as spanning links.
+
+    The bit counts of 2-bit segments turn a fingerprint into a point of a 32-dimensional grid, and the Manhattan
+    distance of two points is at most the number of differing bits. With the segments in g groups, two points within
+    max_bits are equal in at least g - max_bits groups, so they meet in the cell of that choice of groups; every meeting is verified
+    by the exact bit difference in array code. g grows with the table, so that random fingerprints expect at most
+    `meetings` others (grid_groups). A cell of more than `crowd` rows is cut into chunks, and every two chunks meet in a task of
+    their own. Only links that join something new within a batch leave the task. prints is read twice.
+    """
+    groups = grid_groups(prints.count(), max_bits, meetings)
+    cells = grid_rows(prints, max_bits, groups).repartition("cell").sortWithinPartitions("cell")
+    met = staged(cell_links(cells, max_bits, crowd), "simhash-met")
+    crowded = met.filter("chunk IS NOT NULL")
+    links = met.filter("chunk IS NULL").select("high", "low")
+    return links.unionByName(chunk_links(crowded.select("cell", "chunk", "high"), max_bits))
 
 
 def rooted_fingerprints(docs: DataFrame, words: int, seed: int, max_bits: int, carry: tuple[str, ...] = ()) -> DataFrame:

@@ -1,6 +1,7 @@
 """Pieces of the operators by themselves."""
 
 import base64
+import math
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +12,7 @@ from ledgerloom.llm import token_files
 from ledgerloom.llm.cap_filters import CapFilters, enough_filters, near_vectors, pairs_at, unmet
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.merge_replay import MergeReplay, read_ranks
-from ledgerloom.llm.simhash_grid import close_links
+from ledgerloom.llm.simhash_grid import close_links, grid_groups, segment_counts
 from plain import components, vector_links
 
 
@@ -95,18 +96,49 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-@pytest.mark.parametrize("max_bits", [1, 3, 4, 6])
-def test_grid_finds_every_close_pair(spark, max_bits):
+@pytest.mark.parametrize(
+    "max_bits, meetings, crowd", [(0, 512, 8192), (1, 512, 8192), (3, 1, 8192), (4, 512, 8192), (4, 0.01, 8192), (4, 512, 3), (6, 10**9, 2)]
+)
+def test_grid_finds_every_close_pair(spark, max_bits, meetings, crowd):
     random = np.random.default_rng(5)
     prints = random.integers(0, 1 << 63, 300, dtype=np.uint64)
     near = [int(p) ^ sum(1 << int(b) for b in random.choice(64, n, replace=False)) for p in prints[:200] for n in (max_bits, max_bits + 1)]
     values = sorted({int(p) for p in prints} | set(near))
     rows = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in values], "fingerprint long")
-    found = [(r["high"] % (1 << 64), r["low"] % (1 << 64)) for r in close_links(rows, max_bits).collect()]
+    found = [(r["high"] % (1 << 64), r["low"] % (1 << 64)) for r in close_links(rows, max_bits, meetings, crowd).collect()]
     links = [(a, b) for i, a in enumerate(values) for b in values[:i] if (a ^ b).bit_count() <= max_bits]
     assert components(values, found) == components(values, links)
 
 
+def test_crowded_cells_are_split(spark):
+    # a cluster in which all fingerprints share most cells, with batches that end inside cells
+    random = np.random.default_rng(9)
+    values = sorted({0x5A5A_5A5A_5A5A_5A5A ^ (1 << int(a)) ^ (1 << int(b)) for a, b in random.integers(0, 64, (700, 2))})
+    rows = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in values], "fingerprint long")
+    links = [(a, b) for i, a in enumerate(values) for b in values[:i] if (a ^ b).bit_count() <= 2]
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for batch, crowd in ((50, 20), (7, 64)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            found = [(r["high"] % (1 << 64), r["low"] % (1 << 64)) for r in close_links(rows, 2, crowd=crowd).collect()]
+            assert components(values, found) == components(values, links)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
+def test_meetings_stay_bounded():
+    # random fingerprints: those that share a cell, counted over all cells, for each fingerprint
+    random = np.random.default_rng(3)
+    for rows in (100_000, 400_000, 1_600_000):
+        groups = grid_groups(rows, 4, meetings=16)
+        counts = segment_counts(random.integers(0, 1 << 63, rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+        bounds = np.linspace(0, 32, groups + 1).astype(int)
+        columns = np.concatenate([np.arange(a, b) for a, b in zip(bounds, bounds[1:])][: groups - 4])
+        cell = counts[:, columns] @ (3 ** np.arange(len(columns)))
+        sizes = np.unique(cell, return_counts=True)[1]
+        assert math.comb(groups, 4) * (sizes * (sizes - 1)).sum() / rows < 3 * 16, rows
+
+
 def planted(dims=32, groups=40, each=4, seed=6):
     random = np.random.default_rng(seed)
     rows = []
