@@ -29,9 +29,13 @@ def in_remainder(column: str, divisor: int, remainder: int) -> Column:
     return F.coalesce(id_crc(column) % divisor == remainder, F.lit(False))
 
 
-def seeded_digest(column: str, seed: int) -> Column:
-    """32 hexadecimal digits that shuffle rows by their id, the same on every run and engine."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(column).cast("string"), F.lit("null"))))
+def seeded_digest(column: str, seed: int, text: str) -> Column:
+    """32 hexadecimal digits that shuffle rows by their id and text, the same on every run and engine.
+
+    With the text in it, an id that many rows share or lack is spread over all digests.
+    """
+    doc = F.coalesce(F.col(column).cast("string"), F.lit("null"))
+    return F.md5(F.concat(F.lit(f"{seed}:"), doc, F.lit(":"), F.md5(text_or_empty(text).cast("binary"))))
 
 
 def digest_bucket(digest: Column, buckets: int) -> Column:

@@ -150,25 +150,55 @@ WITH polynomial AS (
                               lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
         FROM range(256) t(n))
 ), rows_in AS (
-  SELECT doc_id, source, coalesce(text, '') AS text, md5('7:' || coalesce(doc_id::VARCHAR, 'null')) AS digest FROM documents
+  SELECT doc_id, source, coalesce(text, '') AS text, coalesce('1' || source, '0') AS mark FROM documents
 ), summed AS (
-  SELECT doc_id, source, digest, strlen(text) + 16 AS size,
+  SELECT doc_id, source, mark, sha256(text) AS text_hash, strlen(text) + 16 AS size,
          xor(list_reduce(list_prepend(4294967295::BIGINT,
                  list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda pair: ('0x' || pair)::BIGINT)),
              lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
   FROM rows_in, polynomial
-), ranked AS (
-  SELECT *, (row_number() OVER (PARTITION BY source ORDER BY digest, doc_id, size, text_crc32) - 1 + 0.5::DOUBLE)
-            / count(*) OVER (PARTITION BY source) AS fraction
+), weighed AS (
+  SELECT *, sum(size) OVER () AS total, sum(size) OVER (PARTITION BY text_hash) * 40 > sum(size) OVER () AS alone,
+         row_number() OVER (PARTITION BY doc_id, source, text_hash) - 1 AS copy
   FROM summed
+), shuffled AS (
+  SELECT *, md5(concat_ws(':', '7', coalesce(doc_id::VARCHAR, 'null'), CASE WHEN alone THEN copy ELSE 0 END, text_hash)) AS digest FROM weighed
+), in_units AS (
+  SELECT *, CASE WHEN alone THEN text_hash || digest || mark ELSE text_hash END AS unit FROM shuffled
+), units AS (
+  SELECT unit, any_value(total) AS total, sum(size)::BIGINT AS bytes, min(digest || mark)[:32] AS digest, min(digest || mark)[33:] AS mark
+  FROM in_units GROUP BY unit
+), ranked AS (
+  SELECT *, bytes * 64 * 40 > total AS is_big,
+         (row_number() OVER (PARTITION BY mark ORDER BY digest, unit) - 1 + 0.5::DOUBLE) / count(*) OVER (PARTITION BY mark) AS fraction
+  FROM units
+), big AS (
+  SELECT *, row_number() OVER (ORDER BY bytes DESC, digest, unit) - 1 AS r FROM ranked WHERE is_big
+), big_placed AS (
+  SELECT *, (CASE WHEN r // 40 % 2 = 0 THEN r % 40 ELSE 39 - r % 40 END)::INTEGER AS shard FROM big
+), small AS (
+  SELECT *, (coalesce(sum(bytes) OVER (ORDER BY fraction, mark, digest, unit ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+             + bytes // 2)::BIGINT AS middle
+  FROM ranked WHERE NOT is_big
+), loads AS (
+  SELECT s.shard::INTEGER AS shard, coalesce(sum(bytes), 0) AS load, (SELECT coalesce(sum(bytes), 0) FROM small) AS rest
+  FROM range(40) s(shard) LEFT JOIN big_placed b ON b.shard = s.shard GROUP BY s.shard
+), filled AS (
+  SELECT *, ((rest + sum(load) OVER up + count(*) OVER up - 1) // count(*) OVER up) AS filled_to FROM loads
+  WINDOW up AS (ORDER BY load, shard ROWS UNBOUNDED PRECEDING)
+), room AS (
+  SELECT shard, greatest(0, (SELECT min(filled_to) FROM filled) - load) AS room FROM filled
+), line AS (
+  SELECT shard, sum(room) OVER (ORDER BY shard) - room AS room_begin, sum(room) OVER (ORDER BY shard) AS room_end FROM room
 ), placed AS (
-  SELECT *, row_number() OVER (ORDER BY fraction, source NULLS FIRST, digest, doc_id, size, text_crc32) - 1 AS place,
-         count(*) OVER () AS n
-  FROM ranked
+  SELECT unit, shard, fraction, mark, digest FROM big_placed
+  UNION ALL
+  SELECT unit, shard, fraction, mark, digest FROM small JOIN line ON middle >= room_begin AND middle < room_end
 )
-SELECT doc_id, size, text_crc32, 'rows' AS law, (place * 40 // n)::INTEGER AS shard,
-       row_number() OVER (PARTITION BY place * 40 // n ORDER BY place) - 1 AS slot, NULL::INTEGER AS grown_shard, source
-FROM placed
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY p.fraction, p.mark, p.digest, unit, i.digest, i.mark) - 1 AS slot,
+       NULL::INTEGER AS grown_shard, source
+FROM in_units i JOIN placed p USING (unit)
 """
 
 OP3_SQL = """
@@ -200,7 +230,7 @@ FROM marked GROUP BY nr, doc_id
 OP8_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         md5('11:' || coalesce(doc_id::VARCHAR, 'null')) AS digest
+         md5('11:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))) AS digest
   FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,

@@ -79,12 +79,12 @@ def mix_sources(
     Returns one row per input row: doc_id, size (words), source_size, target, taken, source, and the carried columns. A source's taken words are its
     target rounded down; at most `most` passes are made, so no document is taken more often. A NULL text has no words; a
     document without words is taken 0 times. NULL sources are one source, the last. NULL and repeated ids are
-    allowed: equal ids are neighbours in the shuffle, ordered by size, then by what is carried. Empty tables give no rows; sources without words
+    allowed: the shuffle is by id and text, so rows of one id lie apart; rows equal in both are neighbours, ordered by what is carried. Empty tables give no rows; sources without words
     have target 0. Extra columns are ignored. The shuffle is by rank in digest ranges, so a source with a third of all
     rows is spread over all tasks.
     """
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    light = docs.select("doc_id", "source", words.alias("size"), seeded_digest("doc_id", seed).alias("digest"), *carry)
+    light = docs.select("doc_id", "source", words.alias("size"), seeded_digest("doc_id", seed, "text").alias("digest"), *carry)
     light = staged(light, "mix-sizes")
     rows, total = light.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     block_words = max(1, total // max(1, 2 * rows))

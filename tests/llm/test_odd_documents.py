@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import cap_filters, chunk_dedup, line_dedup, merge_replay, pairwise_quality, sharding, simhash_grid, source_schedule, string_kernel, token_files
+from ledgerloom.llm import cap_filters, chunk_dedup, common, line_dedup, merge_replay, pairwise_quality, sharding, simhash_grid, source_schedule, string_kernel, token_files
 from ledgerloom.session import scratch_path
 from plain import bucket, exact_groups, line_results, simhash_components
 
@@ -91,20 +91,57 @@ def test_line_bitmaps_of_many_lines(spark):
 
 
 def test_sharding(odd_docs, odd_rows):
+    # two texts are far larger than a shard here; everything is dealt, without gaps
     out = sharding.interleaved_shards(odd_docs, shards=7).collect()
     raw = Counter((r[0], len((r[1] or "").encode()) + 16, zlib.crc32((r[1] or "").encode())) for r in odd_rows)
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in out) == raw
     slots = defaultdict(list)
-    by_source = defaultdict(Counter)
     for r in out:
         slots[r["shard"]].append(r["slot"])
-        by_source[r["source"]][r["shard"]] += 1
-    sizes = [len(s) for s in slots.values()]
-    assert max(sizes) - min(sizes) <= 1 and len(sizes) == 7
+    assert set(slots) <= set(range(7)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_shards_keep_groups_bytes_and_mixture(spark):
+    random = np.random.default_rng(8)
+    rows = [(i, "w" * int(random.integers(100, 300)) + str(i), f"s{i % 4 % 3}") for i in range(6000)]
+    rows += [(10_000 + i, f"copied {i % 40} " * 20, f"s{i % 3}") for i in range(400)]
+    rows += [(20_000 + i, "x" * 9000 + str(i), None) for i in range(9)]
+    rows += [(30_000 + i, "everywhere " * 40, "s0") for i in range(1500)]  # more than a shard
+    rows += [(None, "no id and one text", "s1")] * 2500 + [(None, f"no id, text {i}", "s1") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    out = sharding.interleaved_shards(docs, shards=8).collect()
+    assert len(out) == len(rows) and {r["law"] for r in out} == {"bytes"}
+    sizes, slots, groups, mix = Counter(), defaultdict(list), defaultdict(set), defaultdict(Counter)
+    for r in out:
+        sizes[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+        groups[r["text_crc32"], r["size"]].add(r["shard"])
+        if r["doc_id"] is not None and r["doc_id"] < 6000:
+            mix[r["source"]][r["shard"]] += 1
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
-    for counts in by_source.values():
-        mean = sum(counts.values()) / 7
-        assert all(abs(counts[s] - mean) < 2 for s in range(7))
+    mean = sum(sizes.values()) / 8
+    assert len(sizes) == 8 and all(abs(n - mean) < mean / 32 for n in sizes.values()), sizes
+    large = zlib.crc32(("everywhere " * 40).encode())
+    assert all(len(shards) == (8 if crc == large else 1) for (crc, _), shards in groups.items())
+    everywhere = Counter(r["shard"] for r in out if r["text_crc32"] == large)
+    # the shard of the other large group has less room for it, the others have the same
+    (fuller,) = groups[zlib.crc32(b"no id and one text"), 34]
+    assert max(everywhere.values()) < 1.2 * min(n for shard, n in everywhere.items() if shard != fuller)
+    # the source shares of a shard's own part are those of all
+    parts = Counter()
+    for counts in mix.values():
+        parts.update(counts)
+    for counts in mix.values():
+        share = sum(counts.values()) / sum(parts.values())
+        assert all(abs(counts[s] / parts[s] - share) < 0.06 for s in range(8)), mix
+
+
+def test_missing_ids_are_spread_over_the_ranking(spark):
+    rows = [(None if i % 3 == 0 else i, f"text {i}") for i in range(30_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    buckets = docs.select(common.digest_bucket(common.seeded_digest("doc_id", 11, "text"), 64).alias("b")).groupBy("b").count()
+    sizes = sorted(r["count"] for r in buckets.collect())
+    assert len(sizes) == 64 and sizes[-1] <= 2 * sizes[32]
 
 
 def test_simhash(odd_docs, odd_rows):
