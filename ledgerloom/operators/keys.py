@@ -41,21 +41,22 @@ def number_rows(df: DataFrame, keys: list[str], bucket: Column, order: list[str]
     )
 
 
-def taken_suffixes(ids: DataFrame, suffix: str) -> DataFrame:
-    """(base, taken): ids already shaped ``<base><suffix><number>``."""
+def taken_suffixes(ids: DataFrame, suffix: str, *by: str) -> DataFrame:
+    """(base, taken, and the columns ``by``): ids already shaped ``<base><suffix><number>``."""
     pattern = rf"(?s)\A(.*){suffix}({NUMBER})\z"  # ids may hold line breaks
     return (
         ids.filter(F.col("id").rlike(pattern))
         .select(
             F.regexp_extract("id", pattern, 1).alias("base"),
             F.regexp_extract("id", pattern, 2).cast("bigint").alias("taken"),
+            *by,
         )
         .distinct()
     )
 
 
-def _ranked_suffixes(taken: DataFrame) -> DataFrame:
-    return number_rows(taken, ["base"], F.shiftright("taken", RANGE_BITS), ["taken"], "place")
+def ranked_suffixes(taken: DataFrame, *by: str) -> DataFrame:
+    return number_rows(taken, ["base", *by], F.shiftright("taken", RANGE_BITS), ["taken"], "place")
 
 
 def running_before(df: DataFrame, keys: list[str], bucket: str, order: list[str], value: Column, fold, start: Column, name: str) -> DataFrame:
@@ -111,7 +112,7 @@ def repair_duplicates(
     marked = df.select(F.col(key).alias("id")).filter(F.col("id").contains(suffix))
     taken = taken_suffixes(marked, suffix).join(repeated, F.col("base") == F.col("_repeated"), "left_semi")
     holes = (
-        _ranked_suffixes(taken)
+        ranked_suffixes(taken)
         .groupBy(F.col("base").alias(key), (F.col("taken") - F.col("place")).alias("_at"))
         .agg(F.max("place").alias("_skipped"))
     )
@@ -143,7 +144,7 @@ def resolve_conflicts(
     marked = old.unionByName(batch).filter(F.col("id").contains(suffix))
     taken = taken_suffixes(marked, suffix).join(clashing, F.col("base") == F.col("_clash"), "left_semi")
     first_free = (
-        _ranked_suffixes(taken)
+        ranked_suffixes(taken)
         .groupBy("base")
         .agg((F.count_if(F.col("taken") == F.col("place")) + 1).alias("free"))
     )

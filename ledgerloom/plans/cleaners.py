@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -63,11 +64,12 @@ def clean_table(
     references: dict[str, DataFrame] | None = None,
     stored: DataFrame | None = None,
     strict: bool = False,
+    resolve: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Cleaned:
     """One extract, cleaned.
 
     ``references`` maps table names to the tables that keys point to; ``stored`` is the table's present
-    content, for key conflicts. ``strict`` demands every column the original extract check demanded and a
+    content, for key conflicts; ``resolve`` settles them another way, as by an index. ``strict`` demands every column the original extract check demanded and a
     match for optional keys too. Tables with a key are staged in the shared folder, so the call runs jobs.
     """
     checked = check_rows(dealt(raw), spec, references or {}, strict)
@@ -77,7 +79,9 @@ def clean_table(
     rows = checked.filter(rules.good(checked)).drop(rules.REJECT)
     if spec.key:
         rows = repair_duplicates(rows, spec.key, F.col("_digest")).drop("_digest")
-        if stored is not None:
+        if resolve is not None:
+            rows = resolve(staged(rows, f"repaired-{spec.name}"))
+        elif stored is not None:
             rows = resolve_conflicts(staged(rows, f"repaired-{spec.name}"), spec.key, stored)
     return Cleaned(rows.select(*spec.columns), rules.rejected_rows(checked, spec.name, spec.key))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.cutoffs import Cutoffs
 from ledgerloom.functions.months import ReportMonths
 from ledgerloom.operators.cleaning import EmptyResult
+from ledgerloom.operators.key_index import KeyIndex
 from ledgerloom.operators.links import LINK_KEYS, due, report_links
 from ledgerloom.operators.quality import gate, warehouse_alerts
 from ledgerloom.plans.business_health import business_health
@@ -90,16 +91,18 @@ def clean_load(spark: SparkSession, extracts: str, store: Store, name: str, day:
     """Clean one table's extract of a day and store it as that day's load; gives back the number of good rows.
 
     Rejected rows are stored before good ones. A repeated load replaces its earlier try, also by nothing; only keys of other loads count
-    as stored.
+    as stored. They are looked up in an index of ids, which the load then extends.
     """
     spec = SPECS[name]
     references = {ref.table: store.get(f"dwd_{ref.table}") for ref in spec.references}
     if missing := [table for table, rows in references.items() if rows is None]:
         raise EmptyResult(f"{name} refers to {missing}, of which nothing is stored")
-    others = store.get(f"dwd_{name}")
-    if others is not None:
-        others = others.filter(F.col(LOAD_DATE) != F.lit(day))
-    result = clean_table(read_extract(spark, extracts, name, day), spec, references, others)
+    index = KeyIndex(spark, store.path(f"key_index/{name}")) if spec.key else None
+    earlier = store.get(f"dwd_{name}") if index and not index.exists() else None
+    if earlier is not None:
+        index.build(earlier, spec.key)
+    resolve = (lambda rows: index.resolve(rows, spec.key, but=day)) if index else None
+    result = clean_table(read_extract(spark, extracts, name, day), spec, references, resolve=resolve)
     scratch = scratch_path(spark, f"clean-{name}")
     result.rows.write.parquet(scratch)
     rows = spark.read.schema(result.rows.schema).parquet(scratch)
@@ -108,6 +111,9 @@ def clean_load(spark: SparkSession, extracts: str, store: Store, name: str, day:
     rejected.write.mode("append").partitionBy("data_date", "rejected_from").parquet(store.path("rejected_rows"))
     remove_load(spark, store.path(f"dwd_{name}"), spec, day)
     good = rows.count()
+    if index:
+        # before the rows: ids of a load that stops in between are at worst used for nothing until it is repeated
+        index.add(rows, spec.key, day)
     if good:
         append_clean(rows, store.path(f"dwd_{name}"), spec, datetime.combine(day, datetime.min.time()), day)
     remove(spark, scratch)

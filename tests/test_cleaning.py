@@ -1,11 +1,13 @@
 import random
-from datetime import datetime
+from datetime import date, datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import json_text, parse_boolean, parse_timestamp, rename_json_key
 from ledgerloom.operators import cleaning as rules
+from ledgerloom.operators.key_index import BUCKET, KeyIndex
 from ledgerloom.operators.keys import repair_duplicates, resolve_conflicts, row_digest
 from ledgerloom.plans.cleaners import clean_table
 from ledgerloom.schemas import ORDERS, USERS
@@ -173,3 +175,44 @@ def test_renamed_json_keys_are_literal(spark):
     out = df.select(rename_json_key(F.col("j"), "a.b", "p$1\\").alias("x"), rename_json_key(F.col("j"), "$1", "q").alias("y")).first()
     assert out.x == '{"p$1\\\\": 1, "axb": 2, "$1": {"p$1\\\\" : "a.b"}}'
     assert out.y == '{"a.b": 1, "axb": 2, "q": {"a.b" : "a.b"}}'
+
+
+@pytest.mark.parametrize("stamp", [2, 3, 4])
+def test_key_index_equals_a_scan(spark, tmp_path, stamp):
+    chance = np.random.default_rng(stamp)
+    kinds = [*"abcdef", "", "x\ny"]
+
+    def some(n):
+        numbers = chance.integers(0, 9, n)
+        return sorted({str(chance.choice(kinds)) + ("" if k < 3 else f"_new{k - 2}") + ("_new2" if k == 7 else "") for k in numbers})
+
+    loads = {date(2024, 1, d): some(30) for d in (1, 2, 3)}
+    index = KeyIndex(spark, str(tmp_path / "index"), buckets=4)
+    frame = lambda ids: spark.createDataFrame([(i,) for i in ids], "id string")
+    batch = frame(some(40)).cache()
+    assert sorted(r.id for r in index.resolve(batch, "id").collect()) == sorted(r.id for r in batch.collect())
+    for day, ids in loads.items():
+        index.add(frame([*ids, "gone", "gone_new1"]), "id", day)
+        index.add(frame(ids), "id", day)  # a repeat replaces its earlier try
+    for but in (None, date(2024, 1, 2)):
+        old = frame([i for day, ids in loads.items() if day != but for i in ids])
+        wanted = sorted(r.id for r in resolve_conflicts(batch, "id", old).collect())
+        assert sorted(r.id for r in index.resolve(batch, "id", but=but).collect()) == wanted
+    # an index of a table that was stored without one
+    late = KeyIndex(spark, str(tmp_path / "late"), buckets=4)
+    late.build(spark.createDataFrame([(i, day) for day, ids in loads.items() for i in ids], "id string, load_date date"), "id")
+    wanted = sorted(tuple(r) for r in spark.read.parquet(index.path).select("base", "first", "last").collect())
+    assert sorted(tuple(r) for r in spark.read.parquet(late.path).select("base", "first", "last").collect()) == wanted
+
+
+def test_key_index_reads_only_its_folders(spark, tmp_path):
+    index = KeyIndex(spark, str(tmp_path / "index"), buckets=16)
+    index.add(spark.range(500).selectExpr("concat('u', id) AS id"), "id", date(2024, 1, 1))
+    batch = spark.createDataFrame([("u1",), ("u1_new1",), ("other",)], "id string")
+    plan = index.entries(batch)._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("PushedFilters")[0]
+    files = lambda df: df.select(F.input_file_name()).distinct().count()
+    assert BUCKET in filters and files(index.entries(batch)) <= 3 < files(spark.read.parquet(index.path))
+    assert sorted(r.id for r in index.resolve(batch, "id").collect()) == ["other", "u1_new1", "u1_new2"]
+    named = index.resolve(batch, "id", make_id=lambda i, n: F.concat(F.lit("fresh-"), i))
+    assert sorted(r.id for r in named.collect()) == ["fresh-u1", "other", "u1_new1"]

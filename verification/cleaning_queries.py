@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import TIME_FORMATS, parse_boolean, parse_timestamp
 from ledgerloom.operators import cleaning as rules
+from ledgerloom.operators.key_index import KeyIndex
 from ledgerloom.operators.keys import repair_duplicates, resolve_conflicts, row_digest
 from ledgerloom.plans.cleaners import clean_table
 from ledgerloom.schemas import SPECS, TableSpec
+from ledgerloom.session import scratch_path
 from ledgerloom.sources.samples import BASE_TABLES, VIEWS, SampleTables
 from verification.dirty import EXTRACTS, REFERENCED, STORED
 from verification.oracles import with_views
@@ -327,6 +331,28 @@ register(
         final="SELECT * FROM resolved",
     ),
 )
+
+
+def _resolved_by_index(t):
+    """The stored ids come in two loads, the second one twice."""
+    users, old = t["users"].select("user_id", "user_name"), t.sql(STORED["users"])
+    index = KeyIndex(t.spark, scratch_path(t.spark, "key-index"))
+    half = F.coalesce(F.crc32(F.col("user_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    index.add(old.filter(half), "user_id", date(2024, 1, 1))
+    index.add(old, "user_id", date(2024, 1, 2))
+    index.add(old.filter(~half), "user_id", date(2024, 1, 2))
+    return index.resolve(users, "user_id", but=date(2024, 1, 3))
+
+
+register(
+    "repair_keys_by_index",
+    _resolved_by_index,
+    with_views(
+        ("deduped", "SELECT user_id, user_name FROM users"),
+        *conflict_ctes("users", "user_id", ["user_id", "user_name"]),
+        final="SELECT * FROM resolved",
+    ),
+)
 register(
     "rule_boolean",
     lambda t: extract(t, "user_actions").select(
