@@ -234,38 +234,35 @@ def user_yearly_sql() -> str:
     )
 
 
-def _mean2(side: str) -> str:
-    """gmv / n to two digits, halves away from zero, in whole numbers so that ties are exact."""
-    cents = f"CAST({side}.gmv * 100 AS HUGEINT)"
-    return f"CAST((2 * {cents} + {side}.n) // (2 * {side}.n) AS DOUBLE) / 100"
+def _mean2(amount: str, n: str) -> str:
+    """amount / n to two digits, halves away from zero, in whole numbers so that ties are exact."""
+    cents = f"CAST({amount} * 100 AS HUGEINT)"
+    return f"CAST((2 * {cents} + {n}) // (2 * {n}) AS DOUBLE) / 100"
 
 
+# One row per month, user level and promotion; orders without a promotion are the row of NULL, which the others of the level
+# are held against.
 PROMOTION_CTES = [
     (
-        "pr_orders",
-        """SELECT m, o.order_id, o.order_amount, o.promotion_id, coalesce(p.user_level, 'Normal') AS user_level
-FROM dwd_orders o JOIN months ON o.order_time >= m - INTERVAL 1 MONTH AND o.order_time < m
-LEFT JOIN user_profile p ON p.user_id = o.user_id AND p.stat_date = m""",
+        "promoted_sales",
+        """SELECT m, promotion_id, coalesce(user_level, 'Normal') AS user_level, sum(order_amount) AS gmv, count(*) AS n
+FROM dwd_orders JOIN months ON CAST(date_trunc('month', order_time) AS DATE) + INTERVAL 1 MONTH = m
+LEFT JOIN user_profile ON stat_date = m AND user_profile.user_id = dwd_orders.user_id GROUP BY ALL""",
     ),
     (
-        "pr_promo",
-        """SELECT m, d.promotion_id, d.promotion_name, user_level, sum(order_amount) AS gmv,
-  CAST(sum(order_amount) AS DOUBLE) / count(*) AS mean, count(DISTINCT order_id) AS n
-FROM pr_orders o JOIN dim_promotions d ON d.promotion_id = o.promotion_id AND d.promotion_status = 'In Progress'
-  AND d.start_time < m AND d.end_time >= m - INTERVAL 1 MONTH GROUP BY 1, 2, 3, 4""",
-    ),
-    (
-        "pr_base",
-        """SELECT m, user_level, sum(order_amount) AS gmv, CAST(sum(order_amount) AS DOUBLE) / count(*) AS mean,
-  count(DISTINCT order_id) AS n FROM pr_orders WHERE promotion_id IS NULL GROUP BY 1, 2""",
+        "compared_sales",
+        """SELECT *, sum(gmv) FILTER (WHERE promotion_id IS NULL) OVER level AS base_gmv,
+  CAST(sum(n) FILTER (WHERE promotion_id IS NULL) OVER level AS BIGINT) AS base_n
+FROM promoted_sales WINDOW level AS (PARTITION BY m, user_level)""",
     ),
     (
         "promotion_detail",
-        f"""SELECT p.m AS stat_month, p.promotion_id, p.promotion_name, p.user_level,
-  {_mean2("p")} AS avg_order_amount_promo, {_mean2("b")} AS avg_order_amount_base,
-  round(CASE WHEN b.mean > 0 THEN (p.mean - b.mean) / b.mean END, 4) AS lift,
-  p.n AS promo_order_cnt, b.n AS base_order_cnt, p.gmv AS promo_gmv, b.gmv AS base_gmv
-FROM pr_promo p LEFT JOIN pr_base b ON b.m = p.m AND b.user_level = p.user_level""",
+        f"""SELECT m AS stat_month, promotion_id, promotion_name, user_level, {_mean2("gmv", "n")} AS avg_order_amount_promo,
+  {_mean2("base_gmv", "base_n")} AS avg_order_amount_base,
+  round((CAST(gmv AS DOUBLE) / n - CAST(base_gmv AS DOUBLE) / base_n) / nullif(CAST(base_gmv AS DOUBLE) / base_n, 0), 4) AS lift,
+  n AS promo_order_cnt, base_n AS base_order_cnt, gmv AS promo_gmv, base_gmv
+FROM compared_sales JOIN dim_promotions USING (promotion_id)
+WHERE promotion_status = 'In Progress' AND start_time < m AND end_time >= m - INTERVAL 1 MONTH""",
     ),
 ]
 PROFILE_MONTH_CTES = [ORDER_LINES, MONTHS, *user_profile_ctes(MONTH_DATES)]
@@ -286,17 +283,18 @@ def _text(column: str, kind: str | None = None) -> str:
 
 PLATFORM_MONTHLY_CTES = [
     PLATFORM_DAILY,
+    # days of the platform and selling merchants as one list, so that a month is one fold of it
     (
-        "pm_totals",
-        """SELECT m, sum(daily_sales) AS gmv, sum(daily_orders) AS orders, sum(refund_count) AS returned,
-  avg(health_score) AS score, sum(new_users) AS joined,
-  avg(conversion_rate) AS cvr
-FROM platform_daily JOIN months ON stat_date >= m - INTERVAL 1 MONTH AND stat_date < m GROUP BY 1""",
+        "month_events",
+        """SELECT last_day(stat_date) + 1 AS m, daily_sales, daily_orders, refund_count, health_score, new_users, conversion_rate,
+  NULL::VARCHAR AS seller FROM platform_daily
+UNION ALL SELECT last_day(stat_month) + 1, NULL, NULL, NULL, NULL, NULL, NULL, merchant_id FROM merchant_monthly WHERE order_count > 0""",
     ),
     (
-        "pm_active",
-        """SELECT m, count(DISTINCT merchant_id) AS n FROM merchant_monthly
-JOIN months ON stat_month >= m - INTERVAL 1 MONTH AND stat_month < m WHERE order_count > 0 GROUP BY 1""",
+        "month_folds",
+        """SELECT m, sum(daily_sales) AS total_gmv, sum(daily_orders) AS total_orders, sum(refund_count) AS total_returns,
+  avg(health_score) AS avg_health_score, sum(new_users) AS total_new_user, avg(conversion_rate) AS avg_conversion_rate,
+  count(DISTINCT seller) AS sellers FROM month_events GROUP BY m""",
     ),
     (
         "pm_category",
@@ -325,11 +323,9 @@ FROM promotion_detail GROUP BY 1, 2""",
     ),
     (
         "platform_monthly",
-        """SELECT m AS stat_month, t.gmv AS total_gmv, t.orders AS total_orders, t.returned AS total_returns,
-  t.score AS avg_health_score, t.joined AS total_new_user, t.cvr AS avg_conversion_rate,
-  coalesce(a.n, 0) AS active_merchants, coalesce(c.js, '{}') AS category_sales, coalesce(p.js, '{}') AS promotion_effect
-FROM months LEFT JOIN pm_totals t USING (m) LEFT JOIN pm_active a USING (m) LEFT JOIN pm_category_json c USING (m)
-LEFT JOIN pm_promotion_json p USING (m)""",
+        """SELECT m AS stat_month, f.* EXCLUDE (m, sellers), coalesce(sellers, 0) AS active_merchants,
+  coalesce(c.js, '{}') AS category_sales, coalesce(p.js, '{}') AS promotion_effect
+FROM months LEFT JOIN month_folds f USING (m) LEFT JOIN pm_category_json c USING (m) LEFT JOIN pm_promotion_json p USING (m)""",
     ),
 ]
 PLATFORM_MONTH_BASE = [
@@ -354,17 +350,13 @@ ACTIVE = "action_type IN ('register','login','browse','favorite','add_cart','pur
 RETENTION_CTES = [
     ("years", "SELECT unnest(range(first_year, last_year + 1)) AS y FROM span"),
     (
-        "jan_active",
-        f"SELECT DISTINCT year(action_time) AS y, user_id FROM user_actions WHERE month(action_time) = 1 AND {ACTIVE}",
-    ),
-    (
-        "dec_active",
-        f"SELECT DISTINCT year(action_time) AS y, user_id FROM user_actions WHERE month(action_time) = 12 AND {ACTIVE}",
+        "months_seen",
+        f"SELECT year(action_time) AS y, user_id, list(DISTINCT month(action_time)) AS seen FROM user_actions WHERE {ACTIVE} GROUP BY ALL",
     ),
     (
         "retained",
-        """SELECT y, round(kept * 100.0 / jan, 2) AS rate FROM (SELECT y, count(*) AS jan,
-  count(CASE WHEN (y, user_id) IN (SELECT y, user_id FROM dec_active) THEN 1 END) AS kept FROM jan_active GROUP BY 1)""",
+        """SELECT y, round(100.0 * count(*) FILTER (WHERE list_contains(seen, 12)) / count(*), 2) AS rate
+FROM months_seen WHERE list_contains(seen, 1) GROUP BY y""",
     ),
 ]
 
