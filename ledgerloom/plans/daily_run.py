@@ -12,6 +12,7 @@ from ledgerloom.functions.months import ReportMonths
 from ledgerloom.operators.cleaning import EmptyResult
 from ledgerloom.operators.key_index import KeyIndex
 from ledgerloom.operators.links import LINK_KEYS, due, report_links
+from ledgerloom.operators.load_manifest import LoadManifest
 from ledgerloom.operators.quality import gate, warehouse_alerts
 from ledgerloom.plans.business_health import business_health
 from ledgerloom.plans.cleaners import clean_table
@@ -28,7 +29,7 @@ from ledgerloom.plans.user_reports import user_monthly, user_yearly
 from ledgerloom.schemas import SPECS, Warehouse
 from ledgerloom.session import remove, scratch_path
 from ledgerloom.sources.extracts import read_extract
-from ledgerloom.sources.tables import LOAD_DATE, append_clean, exists, remove_load, stored, upsert
+from ledgerloom.sources.tables import LOAD_DATE, append_clean, exists, folder_names, remove_load, replace_days, stored, upsert
 
 # Each table's key; the first column is the partition.
 KEYS = {
@@ -73,6 +74,18 @@ class Store:
         table = self.get(name)
         return df if table is None else table
 
+    def manifest(self) -> LoadManifest:
+        """What the loads have stored, and the days that wait to be built anew."""
+        return LoadManifest(self.spark, self.path("load_manifest"))
+
+    def replace_days(self, name: str, df: DataFrame, days: list[date]) -> None:
+        """Put rows in place of all stored rows of some days."""
+        replace_days(df.withColumn(STAMP, F.current_timestamp()), self.path(name), KEYS[name][0], days)
+
+    def built(self, name: str) -> list[date]:
+        """Days a table holds, from its folder names."""
+        return [date.fromisoformat(d) for d in folder_names(self.spark, self.path(name), KEYS[name][0])]
+
     def warehouse(self) -> Warehouse:
         """The cleaned tables as stored."""
         return Warehouse(
@@ -109,6 +122,11 @@ def clean_load(spark: SparkSession, extracts: str, store: Store, name: str, day:
     rejected = result.rejected.withColumn("data_date", F.lit(day)).withColumn("rejected_from", F.lit(name))
     remove(spark, f"{store.path('rejected_rows')}/data_date={day}/rejected_from={name}")
     rejected.write.mode("append").partitionBy("data_date", "rejected_from").parquet(store.path("rejected_rows"))
+    # days that a late or repeated load changes are noted before its rows are replaced (plans/late_loads.py)
+    announced = None
+    if spec.event_time:
+        typed = rows.select(*[F.col(c).cast(kind).alias(c) for c, kind in spec.types.items()])
+        announced = store.manifest().announce(name, day, typed, F.to_date(spec.event_time))
     remove_load(spark, store.path(f"dwd_{name}"), spec, day)
     good = rows.count()
     if index:
@@ -116,6 +134,8 @@ def clean_load(spark: SparkSession, extracts: str, store: Store, name: str, day:
         index.add(rows, spec.key, day)
     if good:
         append_clean(rows, store.path(f"dwd_{name}"), spec, datetime.combine(day, datetime.min.time()), day)
+    if announced:
+        store.manifest().settle(name, day, announced)
     remove(spark, scratch)
     return good
 

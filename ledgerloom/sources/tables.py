@@ -20,6 +20,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def folder_names(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Partition values of a table as written in its folder names, in order."""
+    if not exists(spark, path):
+        return []
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop_path)
+    names = [f.getPath().getName() for f in found]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -112,6 +122,24 @@ def upsert(new: DataFrame, path: str, keys: list[str]) -> None:
     remove(spark, scratch)
 
 
+def replace_days(new: DataFrame, path: str, partition: str, days: list[date]) -> None:
+    """Put the new rows in place of all that is stored of some days; a day without a new row is deleted.
+
+    ``new`` must hold no other days. It may read the table: its rows are staged before a folder is touched.
+    """
+    spark = new.sparkSession
+    scratch = scratch_path(spark, "replace")
+    new.write.parquet(scratch)
+    rows = spark.read.schema(new.schema).parquet(scratch)
+    filled = {row[0] for row in rows.select(partition).distinct().collect()}
+    writer = rows.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition).parquet(path)
+    for day in days:
+        if day not in filled:
+            remove(spark, f"{path}/{partition}={day}")
+    remove(spark, scratch)
+
+
 def stored(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame | None:
     """A table's present state, or None before its first run."""
     if not exists(spark, path):

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from verification import cleaning_queries, lifetime_queries, model_queries, primitive_queries, storage_queries
+from verification import cleaning_queries, late_queries, lifetime_queries, model_queries, primitive_queries, storage_queries
 
-MODULES = [model_queries, lifetime_queries, cleaning_queries, storage_queries, primitive_queries]
+MODULES = [model_queries, lifetime_queries, late_queries, cleaning_queries, storage_queries, primitive_queries]
 
 QUERIES: dict = {}
 ORACLES: dict = {}
