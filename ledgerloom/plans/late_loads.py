@@ -77,16 +77,23 @@ def changed_days(pending: Pending, tables: tuple[str, ...]) -> list[date]:
     return sorted({day for table in tables for day in pending.days.get(table, [])})
 
 
-def refresh_days(wh: Warehouse, store: Store, pending: Pending) -> dict[str, list[date]]:
+def built_days(store: Store) -> list[date]:
+    """From the first to the last day that any day table holds: a day on which nothing was sold has no folder, but is built."""
+    found = sorted({day for name in REACH for day in store.built(name)})
+    return [found[0] + timedelta(days=n) for n in range((found[-1] - found[0]).days + 1)] if found else []
+
+
+def refresh_days(wh: Warehouse, store: Store, pending: Pending, tables: tuple[str, ...] = tuple(REACH)) -> dict[str, list[date]]:
     """Rebuild the reached days of the day tables; gives back which ones, by table.
 
     A run of days is one pass over its facts, with the 30 days before it from the stored table: they are of no changed day's reach,
     or belong to an earlier run, which is rebuilt first.
     """
-    rebuilt = {}
-    for name, (facts, reach) in REACH.items():
-        days, built = changed_days(pending, facts), store.built(name)
-        if name == "dws_daily_sales" and built:
+    built, rebuilt = built_days(store), {}
+    for name in tables:
+        facts, reach = REACH[name]
+        days = changed_days(pending, facts)
+        if name == "dws_daily_sales":
             days = sorted({*days, *days_of_returns(wh, pending.days.get(SALES, []))})
         rebuilt[name] = reached(days, reach, built)
         for first, last in spans(rebuilt[name]):
@@ -109,10 +116,10 @@ def refresh(wh: Warehouse, store: Store) -> dict[str, list[date]]:
     day. What is pending is forgotten last, so a run that stops is repeated by the next call.
     """
     pending = store.manifest().pending()
-    rebuilt = refresh_days(wh, store, pending)
+    rebuilt, built = refresh_days(wh, store, pending), built_days(store)
     for name, facts in LIFETIME.items():
         changed = changed_days(pending, facts)
-        rebuilt[name] = [day for day in store.built(name) if changed and day >= changed[0]]
+        rebuilt[name] = [day for day in built if changed and day >= changed[0]]
     for first, last in spans(rebuilt["dws_product_summary"]):
         days = [d for d in rebuilt["dws_product_summary"] if first <= d <= last]
         store.replace_days("dws_product_summary", product_summary_days(wh, first, last), days)
@@ -122,11 +129,10 @@ def refresh(wh: Warehouse, store: Store) -> dict[str, list[date]]:
     for day in rebuilt["dws_user_profile"]:
         store.replace_days("dws_user_profile", user_profile(wh, Cutoffs.on(day)), [day])
     profiles = store.get("dws_merchant_profile")
-    rebuilt["ads_platform_daily_snapshot"] = [d for d in store.built("ads_platform_daily_snapshot") if d in set(rebuilt["dws_business_daily_health"])]
+    rebuilt["ads_platform_daily_snapshot"] = rebuilt["dws_business_daily_health"]
     for day in rebuilt["ads_platform_daily_snapshot"]:
         store.replace_days("ads_platform_daily_snapshot", platform_daily_snapshot(health, day), [day])
-    restated = {*rebuilt["dws_merchant_daily"], *rebuilt["dws_merchant_profile"]}
-    rebuilt["ads_merchant_daily_snapshot"] = [d for d in store.built("ads_merchant_daily_snapshot") if d in restated]
+    rebuilt["ads_merchant_daily_snapshot"] = sorted({*rebuilt["dws_merchant_daily"], *rebuilt["dws_merchant_profile"]})
     for day in rebuilt["ads_merchant_daily_snapshot"]:
         store.replace_days("ads_merchant_daily_snapshot", merchant_daily_snapshot(days, profiles, day), [day])
     first = min((d for found in rebuilt.values() for d in found), default=None)

@@ -92,6 +92,22 @@ def test_replace_days(spark, tmp_path):
     assert {(r.stat_date, r.v) for r in stored(spark, path).collect()} == {(D[0], 1), (D[1], 20), (D[3], 4)}
 
 
+def test_a_day_without_rows_is_built_too(spark, wh, tmp_path):
+    store, day = Store(spark, str(tmp_path / "store")), date(2000, 6, 15)
+    first, last = day - timedelta(days=2), day + timedelta(days=2)
+    without = F.to_date("order_time") != F.lit(day)
+    gone = F.to_date("apply_time") != F.lit(day)
+    store.put("dws_daily_sales", daily_sales(replace(wh, orders=wh.orders.filter(without), returns=wh.returns.filter(gone)), first, last))
+    sold = wh.orders.limit(1).withColumn("order_time", F.lit(at(day)).cast("timestamp"))
+    whole = replace(wh, orders=wh.orders.filter(without).unionByName(sold), returns=wh.returns.filter(gone))
+    store.manifest().announce("orders", last, sold, F.to_date("order_time"))
+    assert day not in store.built("dws_daily_sales")
+    refresh_days(whole, store, store.manifest().pending(), ("dws_daily_sales",))
+    theirs = daily_sales(whole, day, day)
+    mine = store.get("dws_daily_sales").filter(F.col("stat_date") == F.lit(day)).select(*theirs.columns).toPandas()
+    assert len(mine) == 1 and difference(mine, theirs.toPandas()) is None
+
+
 def files(root: str) -> dict[str, int]:
     return {str(p): p.stat().st_mtime_ns for p in Path(root).rglob("*.parquet")}
 
@@ -119,8 +135,8 @@ def test_other_folders_are_neither_read_nor_written(spark, wh, tmp_path):
             if not day <= event <= day + timedelta(days=30):
                 path.write_bytes(b"no parquet")
                 path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
-    rebuilt = refresh_days(read(), store, store.manifest().pending())
-    assert rebuilt["dws_merchant_daily"] == [day + timedelta(days=n) for n in range(31)] and not rebuilt["dws_daily_sales"]
+    rebuilt = refresh_days(read(), store, store.manifest().pending(), ("dws_merchant_daily",))
+    assert rebuilt == {"dws_merchant_daily": [day + timedelta(days=n) for n in range(31)]}
     after = files(store.path("dws_merchant_daily"))
     kept = {p for p in before if p in after and before[p] == after[p]}
     assert {Path(p).parent.name.split("=")[1] for p in kept} == {str(first + timedelta(days=n)) for n in range(86) if not 45 <= n <= 75}

@@ -84,7 +84,7 @@ def refreshed(spark, sf_dir: str, table: str) -> DataFrame:
     for name, df in facts.items():
         for load in (REPEATED, LATE):
             store_load(store, name, df.filter(recent & (F.col(LOAD_DATE) == F.lit(load))), load)
-    refresh_days(stored_facts(wh, store), store, store.manifest().pending())
+    refresh_days(stored_facts(wh, store), store, store.manifest().pending(), (table,))
     return store.get(table).filter((F.col("stat_date") >= F.lit(SHOWN)) & (F.col("stat_date") <= F.lit(LAST)))
 
 
