@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from conftest import SMALL
 from ledgerloom.functions.columns import EVENT_DATE
 from ledgerloom.operators.load_manifest import LoadManifest
-from ledgerloom.plans.daily_run import Store, backfill
+from ledgerloom.plans.daily_run import Store, backfill, clean_load
 from ledgerloom.plans.daily_sales import daily_sales
 from ledgerloom.plans.late_loads import days_of_returns, reached, refresh, refresh_days, spans
 from ledgerloom.plans.merchant_daily import merchant_daily
-from ledgerloom.sources.samples import sample_warehouse
+from ledgerloom.sources.extracts import write_extract
+from ledgerloom.sources.samples import SampleTables, sample_warehouse
 from ledgerloom.sources.tables import folder_names, replace_days, stored
 from verification.compare import difference
+from verification.dirty import EXTRACTS
 
 D = [date(2001, 1, 1) + timedelta(days=n) for n in range(60)]
 SCHEMA = "id string, at timestamp, amount int"
@@ -179,3 +181,22 @@ def test_refresh_equals_a_rebuild(spark, wh, tmp_path):
         theirs = fresh.get(name)
         assert difference(store.get(name).select(*theirs.columns).toPandas(), theirs.toPandas()) is None, name
     assert difference(store.get("dws_daily_sales").toPandas(), daily_sales(wrong, eve, new_year).toPandas()) is not None
+
+
+def test_cleaned_loads_are_noted(spark, tmp_path):
+    t, day = SampleTables(spark, SMALL), date(2024, 2, 1)
+    root, store = str(tmp_path / "extracts"), Store(spark, str(tmp_path / "store"))
+    views = {"users": t["users"], "dim_merchants": t["dim_merchants"].withColumn("contact_info", F.lit("")), "dim_products": t["dim_products"]}
+    for name, raw in views.items():
+        write_extract(raw, root, name, day)
+        assert clean_load(spark, root, store, name, day)
+    raw = t.sql(EXTRACTS["user_actions"]).limit(50)
+    write_extract(raw, root, "user_actions", day)
+    good = clean_load(spark, root, store, "user_actions", day)
+    held = {r[0] for r in store.get("dwd_user_actions").select(EVENT_DATE).distinct().collect()}
+    pending = store.manifest().pending()
+    assert good and pending.days == {"user_actions": sorted(held)}
+    store.manifest().done(pending)
+    # the same extract again changes no day
+    assert clean_load(spark, root, store, "user_actions", day) == good
+    assert store.manifest().pending().days == {}
