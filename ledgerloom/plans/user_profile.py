@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import between_days, ratio_or_zero, zero_if_null
 from ledgerloom.functions.cutoffs import Cutoffs, in_window
+from ledgerloom.functions.months import month_numbers
 from ledgerloom.operators.changes import changed_users
 from ledgerloom.operators.fold import fold, running_totals
 from ledgerloom.schemas import Warehouse
@@ -42,35 +43,84 @@ def user_level(score: Column) -> Column:
 
 
 def preferred_categories(orders: DataFrame, products: DataFrame, at: Cutoffs, carried: DataFrame | None = None) -> DataFrame:
-    """Per user and snapshot: categories bought more than five times, else the one bought most.
+    """Per user: categories bought more than five times, else the one bought most; for one snapshot.
 
-    Purchases are counted per product before the category is looked up; ``carried`` has the counts of the snapshot already.
+    Of several snapshots only those with a purchase have a row: ``frequent`` are the categories bought more than five times,
+    NULL where none of them was bought again, and ``most`` is the best of the categories bought then. Totals never fall, so the
+    last list and the best so far hold until the next row (``tastes_so_far``), and no month is repeated per category.
+    Purchases of one snapshot are counted per product before the category is looked up; ``carried`` has the counts already.
     A user's list is bounded by the number of categories, so collecting it is safe.
     """
     c = F.col
-    counts = carried.withColumn("as_of", F.lit(at.last)) if carried is not None else (
+    many = F.expr(
+        "listagg(CASE WHEN buy_count > 5 THEN category_name END, ',') "
+        "WITHIN GROUP (ORDER BY buy_count DESC, category_name)"
+    )
+    most = F.min(F.struct((-c("buy_count")).alias("rank"), c("category_name")))
+    categories = products.select("product_id", "category_name")
+    if at.single:
+        counts = carried.withColumn("as_of", F.lit(at.last)) if carried is not None else (
+            between_days(orders, "order_time", None, at.upper())
+            .select("user_id", "product_id", at.first_seen(F.to_date("order_time")).alias("as_of"))
+            .groupBy("user_id", "product_id", "as_of")
+            .agg(F.count(F.lit(1)).alias("bought"))
+            .join(categories, "product_id", "left")
+            .groupBy("user_id", "category_name", "as_of")
+            .agg(F.sum("bought").alias("buy_count"))
+        )
+        preferred = F.coalesce(many, most.getField("category_name"))
+        return counts.groupBy("user_id", "as_of").agg(preferred.alias("preferred_category"))
+
+    # a product is seldom bought twice by a user in a month: counting before the look-up would only shuffle once more
+    counts = (
         between_days(orders, "order_time", None, at.upper())
         .select("user_id", "product_id", at.first_seen(F.to_date("order_time")).alias("as_of"))
-        .groupBy("user_id", "product_id", "as_of")
-        .agg(F.count(F.lit(1)).alias("bought"))
-        .join(products.select("product_id", "category_name"), "product_id", "left")
+        .join(categories, "product_id", "left")
         .groupBy("user_id", "category_name", "as_of")
-        .agg(F.sum("bought").alias("buy_count"))
+        .agg(F.count(F.lit(1)).alias("buy_count"))
     )
-    if not at.single:
-        # a total stands from its snapshot until the category's next purchase
-        counts = running_totals(counts, ["user_id", "category_name"], "as_of", ["buy_count"])
-        following = F.lead("as_of").over(Window.partitionBy("user_id", "category_name").orderBy("as_of"))
-        until = F.coalesce(F.add_months(following, -1), F.lit(at.last))
-        counts = counts.withColumn("until", until).withColumn(
-            "as_of", F.explode(F.sequence("as_of", "until", F.expr("INTERVAL 1 MONTH")))
-        )
-    many = F.expr(
-        "listagg(CASE WHEN buy_count > 5 THEN category_name END, ',') "
-        "WITHIN GROUP (ORDER BY buy_count DESC, category_name)"
+    totals = running_totals(counts, ["user_id", "category_name"], "as_of", ["buy_count"])
+    following = F.lead("as_of").over(Window.partitionBy("user_id", "category_name").orderBy("as_of"))
+    frequent = (c("buy_count") > 5) & c("category_name").isNotNull()
+    # snapshots at which a user's list changes: a total stands at each of them until the category's next purchase
+    changes = F.collect_set(F.when(frequent, c("as_of"))).over(Window.partitionBy("user_id"))
+    totals = totals.withColumn("following", following).withColumn("changes", changes)
+    stands = F.filter("changes", lambda at_: (at_ >= c("as_of")) & (c("following").isNull() | (at_ < c("following"))))
+    rows = totals.select(
+        "user_id", "category_name", "buy_count", F.explode(F.when(frequent, stands).otherwise(F.array("as_of"))).alias("as_of")
     )
-    most = F.min(F.struct((-c("buy_count")).alias("rank"), c("category_name"))).getField("category_name")
-    return counts.groupBy("user_id", "as_of").agg(F.coalesce(many, most).alias("preferred_category"))
+    return rows.groupBy("user_id", "as_of").agg(many.alias("frequent"), most.alias("most"))
+
+
+def tastes_so_far(upto: WindowSpec) -> Column:
+    """The preferred categories after each row of ``preferred_categories``; ``upto`` runs over a user's rows up to it."""
+    last_list = F.last("frequent", ignorenulls=True).over(upto)
+    return F.coalesce(last_list, F.min("most").over(upto).getField("category_name"))
+
+
+def standing(cells: DataFrame, at: Cutoffs) -> DataFrame:
+    """Members at every snapshot, from their rows at the first one and at those with facts.
+
+    Lifetime counters and preferences stand until the user's next row; the 30-day counters are those of a row's own snapshot. The
+    windows see a row per user and snapshot with facts, and share one exchange by user, which the result keeps.
+    """
+    c = F.col
+    by_user = Window.partitionBy("user_id").orderBy("as_of")
+    upto = by_user.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = ["total_order_amount", "total_order_count", "total_return_count"]
+    maxima = ["last_order_date", "member", "register_date"]
+    totals = {m: F.sum(m).over(upto) for m in sums} | {m: F.max(m).over(upto) for m in maxima}
+    until = F.coalesce(F.lead("as_of").over(by_user), F.add_months(F.lit(at.last), 1))
+    # a NULL user's facts are counted, but no preference is looked up for them
+    preferred = F.when(c("user_id").isNotNull(), tastes_so_far(upto))
+    filled = cells.withColumns({**totals, "preferred_category": preferred, "until": until}).filter("member")
+    # counted in whole months, as a sequence of dates costs far more than one of numbers
+    months_on = F.explode(month_numbers(c("as_of"), c("until")))
+    rows = filled.withColumn("n", months_on).withColumn("at", F.add_months("as_of", c("n")))
+    own = c("at") == c("as_of")
+    recent = {m: F.when(own, c(m)) for m in ["last_30d_login_days", "last_30d_view_cnt", "last_30d_order_amount"]}
+    counts = {m: F.when(own, c(m)).otherwise(F.lit(0).cast("bigint")) for m in ["last_30d_order_cnt", "last_30d_return_cnt"]}
+    return rows.withColumns(recent | counts).drop("as_of", "until", "n", "frequent", "most").withColumnRenamed("at", "as_of")
 
 
 def user_profile(
@@ -100,8 +150,9 @@ def user_profile(
     def recent(day: str = "day") -> Column:
         return in_window(c(day), 30, closed=True, open_end=at.open_end)
 
-    members = at.grid(
-        users.select("user_id", F.to_date("created_time").alias("register_date"), F.lit(True).alias("member"))
+    # further snapshots of a user are laid out after all counting, so the grid is never shuffled
+    members = users.select(
+        "user_id", F.to_date("created_time").alias("register_date"), F.lit(True).alias("member"), F.lit(at.first).alias("as_of")
     )
     bought = at.spread(
         between_days(orders, "order_time", since, at.upper()).select(
@@ -164,19 +215,15 @@ def user_profile(
         },
         *frames,
     )
+    # every snapshot with a purchase has a folded row, so no preference is lost
+    tastes_at = preferred_categories(orders, wh.products, at, tastes)
+    folded = folded.join(tastes_at, ["user_id", "as_of"], "left")
     if not at.single:
-        folded = running_totals(
-            folded,
-            ["user_id"],
-            "as_of",
-            ["total_order_amount", "total_order_count", "total_return_count"],
-            ["last_order_date"],
-        )
+        folded = standing(folded, at)
     amount = zero_if_null(c("last_30d_order_amount"), MONEY).cast(MONEY)
     logins, views = zero_if_null(c("last_30d_login_days")), zero_if_null(c("last_30d_view_cnt"))
     return (
         folded.filter(c("member"))
-        .join(preferred_categories(orders, wh.products, at, tastes), ["user_id", "as_of"], "left")
         .withColumn("user_score", user_score(logins, c("last_30d_order_cnt"), amount))
         .select(
             c("as_of").alias("stat_date"),

@@ -32,26 +32,24 @@ UNKNOWN_CATEGORY = "未知"
 
 
 def brushing_suspects(wh: Warehouse, months: ReportMonths) -> DataFrame:
-    """Users with more than 10 orders in a day, or 50 in a month, at one merchant."""
+    """Users with more than 10 orders in a day, or 50 in a month, at one merchant, with the months they did so.
+
+    Only such users go into the last grouping, whose lists are bounded by the report months.
+    """
     c = F.col
     return (
         months.measured(wh.orders, "order_time")
-        .groupBy(
-            months.label(c("order_time")), "user_id", "product_id", F.to_date("order_time").alias("order_date")
-        )
-        .agg(F.count("order_id").alias("orders"))
+        .filter(c("user_id").isNotNull())
+        .select(months.label(c("order_time")), "user_id", "product_id", "order_id", F.to_date("order_time").alias("order_date"))
         .join(wh.products.select("product_id", "merchant_id"), "product_id", "left")
         .groupBy("stat_month", "user_id", "merchant_id", "order_date")
-        .agg(F.sum("orders").alias("orders"))
+        .agg(F.count("order_id").alias("orders"))
         .groupBy("stat_month", "user_id", "merchant_id")
         .agg(F.max("orders").alias("busiest_day"), F.sum("orders").alias("month_orders"))
         # an unknown merchant has day counts but no month of its own
-        .groupBy("stat_month", "user_id")
-        .agg(
-            F.max(
-                (c("busiest_day") > 10) | ((c("month_orders") > 50) & c("merchant_id").isNotNull())
-            ).alias("suspect")
-        )
+        .filter((c("busiest_day") > 10) | ((c("month_orders") > 50) & c("merchant_id").isNotNull()))
+        .groupBy("user_id")
+        .agg(F.collect_set("stat_month").alias("suspect_months"))
     )
 
 
@@ -125,12 +123,12 @@ def user_monthly(
         F.when(
             (c("month_return_cnt") >= 50) & (ratio(c("month_return_cnt"), c("month_order_cnt")) > 0.7), RISK_RETURNS
         )
-        .when(c("suspect"), RISK_BRUSHING)
+        .when(F.array_contains("suspect_months", c("stat_month")), RISK_BRUSHING)
         .otherwise(NORMAL)
     )
     return (
         totals.join(wh.users.select("user_id", "user_name"), "user_id", "left")
-        .join(brushing_suspects(wh, months), ["stat_month", "user_id"], "left")
+        .join(brushing_suspects(wh, months), "user_id", "left")
         .select(
             "stat_month",
             "user_id",
