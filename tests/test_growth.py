@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from ledgerloom.functions.cutoffs import Cutoffs
+from ledgerloom.plans.daily_sales import daily_sales
+from ledgerloom.plans.merchant_daily import merchant_daily
 from ledgerloom.plans.user_profile import preferred_categories, user_profile
 from ledgerloom.sources.samples import sample_warehouse
 from test_plans import plan
@@ -50,3 +52,35 @@ def test_all_months_at_once_equal_each_month_alone(spark):
 def test_the_months_of_users_are_not_shuffled_again(spark):
     text = plan(QUERIES["ads_user_monthly_snapshot"](spark, SMALL))
     assert not re.search(r"hashpartitioning\(stat_month#\d+, user_id#\d+, \d+\)|hashpartitioning\(user_id#\d+, stat_month#\d+, \d+\)", text)
+
+
+def test_days_of_merchants_are_laid_out_behind_all_shuffles(spark):
+    text = plan(merchant_daily(sample_warehouse(spark, SMALL), date(1999, 1, 1), date(1999, 12, 31)))
+    assert "Exchange" not in text.split("Generate explode")[0]
+
+
+def test_merchants_without_sales_unknown_ones_and_empty_ids(spark):
+    wh = shop(spark)
+    products = spark.createDataFrame([("a", "m1"), ("b", "m1"), ("z", "m2"), ("c", None)], "product_id string, merchant_id string")
+    returns = spark.createDataFrame([("r1", "m1"), ("r2", "gone"), ("r3", None)], "return_id string, merchant_id string")
+    returns = returns.withColumn("apply_time", F.lit(datetime(2000, 1, 3)))
+    rows = merchant_daily(replace(wh, products=products, returns=returns), date(2000, 1, 1), date(2000, 1, 31))
+    found = {r[0]: r[1:] for r in rows.groupBy("merchant_id").agg(F.count("*"), F.sum("order_count"), F.sum("refund_count")).collect()}
+    assert found == {"m1": (31, 2, 1), "m2": (31, 0, 0), None: (31, 0, 0)}
+
+
+def test_daily_sales_count_products_without_an_expand(spark):
+    wh = shop(spark)
+    # a product that is listed twice still counts once
+    products = spark.createDataFrame([("a", "m1"), ("b", "m1"), ("b", "m1"), ("d", None)], "product_id string, merchant_id string")
+    products = products.withColumn("product_category_id", F.lit("k"))
+    returns = spark.createDataFrame([], "return_id string, order_id string, user_id string, apply_time timestamp")
+    wh = replace(wh, products=products, returns=returns)
+    sales = daily_sales(wh)
+    assert "Expand" not in plan(sales)
+    expected = (
+        wh.orders.join(products, "product_id")
+        .groupBy(F.to_date("order_time").alias("stat_date"), "merchant_id", F.col("product_category_id").alias("category_id"))
+        .agg(F.count("order_id").alias("order_count"), F.countDistinct("user_id").alias("customer_count"), F.countDistinct("product_id").alias("product_count"))
+    )
+    assert difference(sales.select(*expected.columns).toPandas(), expected.toPandas()) is None
