@@ -9,7 +9,7 @@ from ledgerloom.functions.columns import between_days, ratio_or_zero, zero_if_nu
 from ledgerloom.functions.cutoffs import Cutoffs, in_window
 from ledgerloom.functions.months import month_numbers
 from ledgerloom.operators.changes import changed_users
-from ledgerloom.operators.fold import fold, running_totals
+from ledgerloom.operators.fold import fold, gathered, running_totals
 from ledgerloom.schemas import Warehouse
 
 MONEY = "decimal(24,2)"
@@ -113,7 +113,7 @@ def standing(cells: DataFrame, at: Cutoffs) -> DataFrame:
     until = F.coalesce(F.lead("as_of").over(by_user), F.add_months(F.lit(at.last), 1))
     # a NULL user's facts are counted, but no preference is looked up for them
     preferred = F.when(c("user_id").isNotNull(), tastes_so_far(upto))
-    filled = cells.withColumns({**totals, "preferred_category": preferred, "until": until}).filter("member")
+    filled = gathered(cells, "user_id").withColumns({**totals, "preferred_category": preferred, "until": until}).filter("member")
     # counted in whole months, as a sequence of dates costs far more than one of numbers
     months_on = F.explode(month_numbers(c("as_of"), c("until")))
     rows = filled.withColumn("n", months_on).withColumn("at", F.add_months("as_of", c("n")))
