@@ -130,7 +130,8 @@ def user_profile(
 
     The 30-day counters run from 30 days before the snapshot through the snapshot day (``Cutoffs.on(day,
     open_end=True)``: through everything stored). ``changed_only`` is the incremental form: users touched
-    since 30 days before the day; the facts of other users are dropped before they are aggregated.
+    since 30 days before the day. Other users are dropped from the counted rows, one a user: where the touched ones are too
+    many to broadcast, dropping their facts would shuffle and sort every fact row instead of map-side aggregates.
     ``carried`` and ``tastes`` (``Lifetime.users``, ``Lifetime.tastes`` after the day) replace the count over all facts,
     of which only the 30 days are read then.
     """
@@ -139,13 +140,6 @@ def user_profile(
     users, orders, returns, actions = wh.users, wh.orders, wh.returns, wh.actions
     if not at.single and (changed_only or carried is not None):
         raise ValueError("the incremental form works on one date")
-    if changed_only:
-        changed = changed_users(wh, at.last)
-        users, orders, returns, actions = (
-            df.join(changed, "user_id", "left_semi") for df in (users, orders, returns, actions)
-        )
-        if carried is not None:
-            carried, tastes = (df.join(changed, "user_id", "left_semi") for df in (carried, tastes))
 
     def recent(day: str = "day") -> Column:
         return in_window(c(day), 30, closed=True, open_end=at.open_end)
@@ -215,6 +209,8 @@ def user_profile(
         },
         *frames,
     )
+    if changed_only:
+        folded = folded.join(changed_users(wh, at.last), "user_id", "left_semi")
     # every snapshot with a purchase has a folded row, so no preference is lost
     tastes_at = preferred_categories(orders, wh.products, at, tastes)
     folded = folded.join(tastes_at, ["user_id", "as_of"], "left")

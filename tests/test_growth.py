@@ -84,3 +84,17 @@ def test_daily_sales_count_products_without_an_expand(spark):
         .agg(F.count("order_id").alias("order_count"), F.countDistinct("user_id").alias("customer_count"), F.countDistinct("product_id").alias("product_count"))
     )
     assert difference(sales.select(*expected.columns).toPandas(), expected.toPandas()) is None
+
+
+def test_touched_users_are_picked_from_counted_rows(spark):
+    """Many touched users cannot be broadcast; facts are then counted by user, not sorted to drop those of others."""
+    wh = shop(spark)
+    orders = wh.orders.unionByName(wh.orders.limit(1).withColumns({"user_id": F.lit("u3"), "order_time": F.lit(datetime(1990, 1, 1))}))
+    users = wh.users.unionByName(spark.createDataFrame([("u3", datetime(1990, 1, 1))], wh.users.schema))
+    wh = replace(wh, orders=orders, users=users.withColumn("updated_time", F.col("created_time")))
+    at = Cutoffs.on(date(2000, 12, 1), open_end=True)
+    changed = user_profile(wh, at, changed_only=True)
+    assert changed._jdf.queryExecution().analyzed().toString().count("LeftSemi") == 1
+    every = user_profile(wh, at).filter("user_id <> 'u3'")
+    assert {r.user_id for r in changed.select("user_id").collect()} == {"u1", "u2"}
+    assert difference(changed.toPandas(), every.toPandas()) is None
