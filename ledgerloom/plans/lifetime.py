@@ -12,6 +12,7 @@ from ledgerloom.functions.columns import whole_hours
 from ledgerloom.operators.carried import CarriedTotals
 from ledgerloom.operators.fold import stack
 from ledgerloom.schemas import Warehouse
+from ledgerloom.session import staged
 from ledgerloom.sources.tables import LOAD_DATE
 
 MONEY = "decimal(24,2)"
@@ -42,9 +43,13 @@ def taste_part(load: Warehouse) -> DataFrame:
 
 
 def product_part(load: Warehouse, orders: DataFrame) -> DataFrame:
-    """orders: all stored ones, of which two columns tell a return's product."""
+    """orders: all stored ones, of which two columns tell a return's product.
+
+    The load's returns are staged: the size of the few is known then, and all orders are read but not shuffled for them. Of a
+    folder of a stored table Spark only knows the size of the whole table.
+    """
     one = F.lit(1).cast("bigint")
-    returned = load.returns.select("order_id").join(orders.select("order_id", "product_id"), "order_id")
+    returned = staged(load.returns.select("order_id"), "load-returns").join(orders.select("order_id", "product_id"), "order_id")
     return stack(
         load.orders.select("product_id", F.col("order_amount").alias("total_sales_amount"), one.alias("total_sales_quantity")),
         returned.select("product_id", one.alias("total_return_times")),

@@ -11,6 +11,7 @@ from ledgerloom.functions.columns import between_days, is_true, ratio_or_zero, w
 from ledgerloom.operators.changes import changed_products
 from ledgerloom.operators.fold import fold, running_totals
 from ledgerloom.schemas import Warehouse
+from ledgerloom.session import staged
 
 MONEY = "decimal(24,2)"
 
@@ -51,7 +52,8 @@ def product_summary(wh: Warehouse, day: date, changed_only: bool = False, carrie
 
     ``changed_only`` is the incremental form: products touched since 30 days before ``day``. ``carried``
     (``Lifetime.products`` after the day) replaces the count over all facts, of which only the last week is read then, and
-    of orders the two columns that tell a return's product.
+    of orders the two columns that tell a return's product. The week's returns are staged, so that their size is known
+    and all orders are not shuffled for a few of them.
     """
     c = F.col
     first, last = day - timedelta(days=7), day - timedelta(days=1)
@@ -69,9 +71,11 @@ def product_summary(wh: Warehouse, day: date, changed_only: bool = False, carrie
         F.count("order_id").alias("total_sales_quantity"),
         F.count(F.when(within_days(c("order_time"), first, last), c("order_id"))).alias("last_7d_sales_quantity"),
     )
+    returns = returns.select("order_id", "return_id", "apply_time")
+    if carried is not None:
+        returns = staged(returns, "week-returns")
     returned = (
-        returns.select("order_id", "return_id", "apply_time")
-        .join(orders.select("order_id", "product_id"), "order_id")
+        returns.join(orders.select("order_id", "product_id"), "order_id")
         .groupBy("product_id")
         .agg(
             F.count("return_id").alias("total_return_times"),

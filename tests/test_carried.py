@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SMALL
 from ledgerloom.operators.carried import CarriedTotals
-from ledgerloom.plans.lifetime import loads, user_part
+from ledgerloom.plans.lifetime import loads, product_part, user_part
 from ledgerloom.plans.product_summary import product_summary, product_summary_days
 from ledgerloom.session import scratch_path
 from ledgerloom.sources.samples import sample_warehouse
@@ -107,3 +107,18 @@ def test_range_of_days_is_each_day(spark):
         own = product_summary(replace(known, orders=known.orders.filter(F.col("order_time") < upto)), day)
         one = at_once.filter(F.col("stat_date") == F.lit(day)).select(*own.columns)
         assert difference(own.toPandas(), one.toPandas()) is None
+
+
+def test_a_load_does_not_shuffle_all_orders(spark):
+    """A stored table is as large as all its folders to Spark; the few returns of one load are broadcast nevertheless."""
+    wh = stored_loads(sample_warehouse(spark, SMALL), scratch_path(spark, "loads"))
+    load = loads(wh, DAYS[2], DAYS[3])
+    whole = int(str(wh.returns.select("order_id")._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # Spark has to tell the load's returns from the whole table by their size, as at scale
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(whole // 2))
+    try:
+        text = product_part(load, wh.orders)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
