@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.session import staged
+
 # a used number: 18 digits at most, as no id repeats more often than that
 NUMBER = r"[1-9][0-9]{0,17}"
 RANGE_BITS = 16
@@ -86,6 +88,7 @@ def repair_duplicates(
     ``<id>_dup<number>``, where numbers already used by ids of the batch are not free.
 
     Ids are counted first, after map-side aggregation, and only rows whose id repeats go on; the others are passed through.
+    Repeated ids are staged, so the call runs a job: where they are few, which Spark knows then, no row is shuffled to part the two.
     Rows that are equal in all columns are counted first and written out again after numbering, in runs, so any number of them
     is spread over tasks. Different rows of one id are numbered in ``16 ** bucket_digits`` digest ranges. The numbers
     that a repeat skips are a running maximum over the used numbers in front of it; repeats and used numbers
@@ -93,6 +96,7 @@ def repair_duplicates(
     """
     columns = df.columns
     repeated = df.groupBy(F.col(key).alias("_repeated")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_repeated")
+    repeated = staged(repeated, "repeated-ids")
     of_repeated = F.col(key) == F.col("_repeated")
     single, several = (df.join(repeated, of_repeated, how) for how in ("left_anti", "left_semi"))
     groups = several.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_order", digest)

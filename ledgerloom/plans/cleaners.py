@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import cleaning as rules
 from ledgerloom.operators.keys import repair_duplicates, resolve_conflicts, row_digest
 from ledgerloom.schemas import SPECS, TableSpec
-from ledgerloom.session import staged
+from ledgerloom.session import compiled_methods, staged
 
 log = logging.getLogger(__name__)
 
@@ -75,7 +75,8 @@ def clean_table(
     checked = check_rows(dealt(raw), spec, references or {}, strict)
     if spec.key:
         # key repair and the rejected rows read this several times
-        checked = staged(checked, f"checked-{spec.name}")
+        with compiled_methods(raw.sparkSession):
+            checked = staged(checked, f"checked-{spec.name}")
     rows = checked.filter(rules.good(checked)).drop(rules.REJECT)
     if spec.key:
         rows = repair_duplicates(rows, spec.key, F.col("_digest")).drop("_digest")

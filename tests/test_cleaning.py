@@ -5,12 +5,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import json_text, parse_boolean, parse_timestamp, rename_json_key
+from ledgerloom.functions.columns import TIME_FORMATS, json_text, parse_boolean, parse_timestamp, rename_json_key
 from ledgerloom.operators import cleaning as rules
 from ledgerloom.operators.key_index import BUCKET, KeyIndex
 from ledgerloom.operators.keys import repair_duplicates, resolve_conflicts, row_digest
 from ledgerloom.plans.cleaners import clean_table
 from ledgerloom.schemas import ORDERS, USERS
+from ledgerloom.session import compiled_methods
 
 T = datetime(2026, 4, 1, 10, 5, 7)
 
@@ -216,3 +217,41 @@ def test_key_index_reads_only_its_folders(spark, tmp_path):
     assert sorted(r.id for r in index.resolve(batch, "id").collect()) == ["other", "u1_new1", "u1_new2"]
     named = index.resolve(batch, "id", make_id=lambda i, n: F.concat(F.lit("fresh-"), i))
     assert sorted(r.id for r in named.collect()) == ["fresh-u1", "other", "u1_new1"]
+
+
+def test_two_parsers_read_all_spellings(spark):
+    """A cell is tried by two parsers and one cast, and reads as by a parser for each spelling."""
+    cells = ["2024-1-2 3:4:5", "2024/1/2 3:4", "2-1-2024 3:4", "20240102030405", "2024-1-2", "2024/1/2", "2024-1-2 3:4", "20240102", "2/1/2024 3:4", "2024-1-2T3:4:5"]
+    bad = ["2024/1/2 3:4:5", "2-1/2024 3:4", "2024-1-2T3:4", "2024-13-2", "2024-02-30", "2024-1-2 24:00", "2024-1-2 3:4:60", "0000-00-00 00:00:00"]
+    bad += ["2024-1-2\n", "2024-1-2Z", "2024-1-2  3:4", "2-1-2024", "2024010203", "24-1-2", "2024-1-2 3", "x2024-1-2", "", "10000-1-1"]
+    df = spark.createDataFrame([(c,) for c in [*cells, *[f" {c} " for c in cells], *bad, None]], "t string").repartition(2)
+    each = F.coalesce(*[F.when(F.trim("t").rlike(s), F.try_to_timestamp(F.trim("t"), F.lit(p))) for s, p in TIME_FORMATS])
+    both = df.select("t", parse_timestamp(F.col("t")).alias("new"), each.alias("each"))
+    assert both.filter("new IS NOT NULL").count() == 2 * len(cells)
+    assert both.filter("NOT (new <=> each)").collect() == []
+    expression = df.select(parse_timestamp(F.col("t")).alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert expression.lower().count("gettimestamp(") <= 2
+
+
+def test_rows_are_not_shuffled_to_find_a_few_repeated_ids(spark):
+    rows = spark.range(5000).select(F.concat(F.lit("k"), F.when(F.col("id") < 3, 0).otherwise(F.col("id"))).alias("k"), F.col("id").cast("string").alias("v"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # the rows are larger than what is broadcast, the one repeated id is not
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        fixed = repair_duplicates(rows, "k", row_digest(["k", "v"]))
+        text = fixed._jdf.queryExecution().executedPlan().toString()
+        found = {r.k for r in fixed.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    anti = [line for line in text.splitlines() if "LeftAnti" in line]
+    assert anti and all("BroadcastHashJoin" in line for line in anti)
+    assert len(found) == 5000 and {"k0", "k0_dup1", "k0_dup2", "k4999"} <= found
+
+
+def test_the_code_limit_is_put_back(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    with compiled_methods(spark):
+        assert spark.conf.get(name) == "8000"
+    assert spark.conf.get(name) == before
