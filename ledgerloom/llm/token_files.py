@@ -66,20 +66,28 @@ class SharedTable:
             row[: len(block)] = block
         ids = ids.reshape(len(blocks), steps, LANES)
         sizes = np.array([len(b) for b in blocks])[:, None]
+        all_active = int(sizes.min()) // LANES  # steps in which no lane is past its block's end
         state = np.full((len(blocks), LANES), LOWEST, np.uint64)
         words = np.zeros((len(blocks), steps, LANES), np.uint32)
         sent = np.zeros((len(blocks), steps, LANES), bool)
         marks = []
+        room, word = np.uint64(63 - SCALE_BITS), np.uint64(32)
         for step in range(steps - 1, -1, -1):
             symbol = ids[:, step]
-            active = step * LANES + np.arange(LANES) < sizes
-            frequency = np.where(active, self.frequency[symbol], np.uint64(1))
-            full = active & (state >= frequency << np.uint64(63 - SCALE_BITS))
-            words[:, step], sent[:, step] = (state & np.uint64(0xFFFFFFFF)).astype(np.uint32), full
-            state = np.where(full, state >> np.uint64(32), state)
-            times = state // frequency
-            coded = (times << np.uint64(SCALE_BITS)) + (state - times * frequency) + self.start[symbol]
-            state = np.where(active, coded, state)
+            frequency = self.frequency[symbol]
+            active = None
+            if step >= all_active:
+                active = step * LANES + np.arange(LANES) < sizes
+                frequency = np.where(active, frequency, np.uint64(1))
+            full = state >= frequency << room
+            if active is not None:
+                full &= active
+            words[:, step], sent[:, step] = state, full  # the lower 32 bits
+            shrunk = np.where(full, state >> word, state)
+            times = shrunk // frequency
+            # times * 2^20 + the rest of the division + start
+            coded = times * (np.uint64(1 << SCALE_BITS) - frequency) + shrunk + self.start[symbol]
+            state = coded if active is None else np.where(active, coded, shrunk)
             if step % SEGMENT_STEPS == 0:
                 marks.append(state)
         marks = np.stack(marks[::-1], axis=1).astype("<u8")
@@ -99,17 +107,23 @@ class SharedTable:
         at = np.concatenate([np.frombuffer(b[2], "<u4").astype(np.int64) + base for b, base in zip(blocks, bases, strict=False)])
         left = np.concatenate([np.minimum(SEGMENT, n - np.arange(0, n, SEGMENT)) for *_, n in blocks])[:, None]
         out = np.zeros((len(state), SEGMENT_STEPS, LANES), np.uint32)
+        all_active = int(left.min()) // LANES
         for step in range(-(-int(left.max()) // LANES)):
-            active = step * LANES + np.arange(LANES) < left
+            active = None if step < all_active else step * LANES + np.arange(LANES) < left
             slot = state & np.uint64((1 << SCALE_BITS) - 1)
             symbol = self.symbol[slot]
             out[:, step] = symbol
             back = self.frequency[symbol] * (state >> np.uint64(SCALE_BITS)) + slot - self.start[symbol]
-            empty = active & (back < LOWEST)
-            nth = at[:, None] + np.cumsum(empty, axis=1) - empty
-            filled = back << np.uint64(32) | words[np.where(empty, nth, 0)].astype(np.uint64)
-            state = np.where(active, np.where(empty, filled, back), state)
-            at = at + empty.sum(axis=1)
+            empty = back < LOWEST
+            if active is not None:
+                empty &= active
+                back = np.where(active, back, state)
+            state = back
+            row, lane = np.nonzero(empty)  # lane by lane in each row, as the payload has them
+            taken = np.bincount(row, minlength=len(at))
+            nth = np.arange(len(row)) + np.repeat(at - (np.cumsum(taken) - taken), taken)
+            state[row, lane] = state[row, lane] << np.uint64(32) | words[nth].astype(np.uint64)
+            at = at + taken
         ends = np.cumsum([-(-n // SEGMENT) for *_, n in blocks])
         if (state[ends - 1] != LOWEST).any():
             raise ValueError("a block does not end in the coder's first state")
@@ -129,18 +143,24 @@ def library_encoder(tokenizer, kind: str):
     code = "H" if kind == "<u2" else "I"
 
     def encode(strings: list[str]) -> list[bytes]:
-        out, whole = [], []
+        out, whole, flat, ends = [], [], [], []
         for i, text in enumerate(strings):
             if text[text[:1] == " " :].isalpha():
                 if text.isascii():
                     text = text.replace(" ", spelled[32])
                 else:
                     text = text.encode().decode("latin-1").translate(spelled)
-                found = piece(text)
-                out.append(array(code, [t.id for t in found]).tobytes())
+                flat += [t.id for t in piece(text)]
             else:
-                out.append(b"")
                 whole.append(i)
+            ends.append(len(flat))
+        ids = array(code, flat)
+        size, raw = ids.itemsize, ids.tobytes()
+        del flat, ids
+        at = 0
+        for to in ends:
+            out.append(raw[size * at : size * to])
+            at = to
         for at in range(0, len(whole), 1000):
             some = whole[at : at + 1000]
             for i, e in zip(some, tokenizer.encode_batch_fast([strings[i] for i in some], add_special_tokens=False), strict=True):
@@ -174,8 +194,8 @@ def tokenize(docs: DataFrame, tokenizer_file: str, end_id: int, kind: str) -> Da
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
-        tokenizer = kept_in_worker(named, lambda: Tokenizer.from_str(content.value))
-        memo = WordMemo(library_encoder(tokenizer, kind), kind)
+        # words known from a worker's earlier tasks are not tokenized again
+        memo = kept_in_worker(named, lambda: WordMemo(library_encoder(Tokenizer.from_str(content.value), kind), kind))
         for batch in batches:
             for at, texts, ids, counts in memo.ids(batch.column("text")):
                 ends = np.cumsum(counts)

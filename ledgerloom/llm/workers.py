@@ -17,7 +17,7 @@ def by_value(module_name: str) -> None:
 def kept_in_worker(key, build):
     """What build() gives, kept in the Python worker for its later tasks; the last two keys at most.
 
-    For tables made from vocabularies, whose size does not depend on the data. Code sent by value has no module of its own
+    For tables made from vocabularies, whose size does not depend on the data, and memos with a bound of their own. Code sent by value has no module of its own
     that outlives a task, so they are kept in one that is made here.
     """
     name = "_kept_between_tasks"

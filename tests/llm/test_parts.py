@@ -37,6 +37,22 @@ def test_coder_round_trip():
     assert (two == blocks[1][7 * 8192 :]).all()
 
 
+def test_known_words_stay_in_the_worker(spark, tmp_path, monkeypatch):
+    seen = tmp_path / "kept"
+
+    def keep(key, build, path=str(seen)):
+        made = build()
+        with open(path, "a") as out:
+            out.write(f"{type(made).__name__}\n")
+        return made
+
+    monkeypatch.setattr(token_files, "kept_in_worker", keep)
+    docs = spark.createDataFrame([(1, "some words, some words\nagain")], "doc_id long, text string").coalesce(1)
+    vocabulary = str(public_tokenizers.path("byte_bpe_50k.json"))
+    assert len(token_files.tokenize(docs, vocabulary, 0, "<u2").collect()) == 1
+    assert set(seen.read_text().split()) == {"WordMemo"}  # not the vocabulary alone
+
+
 def test_checksums_pass_over_bytes():
     random = np.random.default_rng(2)
     for size in (0, 1, 7, 4096, 100_003):
