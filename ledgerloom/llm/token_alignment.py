@@ -12,6 +12,7 @@ import hashlib
 import json
 import os
 import re
+from itertools import chain, compress, pairwise
 from pathlib import Path
 
 import numpy as np
@@ -37,6 +38,7 @@ class Aligner:
     """Both vocabularies' token bytes, and the alignment of texts. A text is read behind one blank by both."""
 
     def __init__(self, tokenizer_json: str, model_proto: bytes):
+        import pyarrow as pa
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
@@ -52,7 +54,10 @@ class Aligner:
         self.bytes_b = [
             bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace(BLANK, " ").encode() for p in pieces
         ]
-        self.length_a, self.length_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
+        self.length_a, self.length_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
+        # how an id is written in a group's text: within its side, and last of it
+        sides = ((self.bytes_a, ",|"), (self.bytes_b, ",;"))
+        self.written = pa.array([f"{i}{mark}" for side, marks in sides for mark in marks for i in range(len(side))], pa.large_string())
         # texts may be cut before a blank only if no piece reaches over one, and at a line break if no piece holds one
         over = any(BLANK in p.lstrip(BLANK) or "\n" in p for p in pieces)
         level = json.loads(tokenizer_json)
@@ -66,63 +71,64 @@ class Aligner:
 
     def pieces(self, texts: list[str]) -> list[tuple | None]:
         """Alignments of pieces: words, behind a blank, or lines behind a line break; None where bytes differ."""
-        out: list[tuple | None] = [None] * len(texts)
-        lines = [i for i, t in enumerate(texts) if t[0] == "\n"]
-        words = [i for i, t in enumerate(texts) if t[0] != "\n"]
-        for i, ids_a, ids_b in zip(words, *self.ids([texts[i] for i in words]), strict=True):
-            out[i] = self.align((" " + texts[i]).encode(), ids_a, ids_b)
-        if lines:
-            wanted = [texts[i] for i in lines]
-            encoded = self.a.encode_batch_fast(wanted, add_special_tokens=False)
-            for i, e, ids_b in zip(lines, encoded, self.b.encode(wanted, num_threads=1), strict=True):
-                # the blank before the line break is a token of its own
-                out[i] = self.align(texts[i].encode(), e.ids, ids_b[1:]) if self.bytes_b[ids_b[0]] == b" " else None
-        return out
-
-    def align(self, content: bytes, ids_a: list[int], ids_b: list[int]) -> tuple | None:
-        """(n_a, n_b, n_groups, groups as text, linked pairs a * 2^32 + b); None where tokens' bytes are not the content's."""
+        behind_line = [t[0] == "\n" for t in texts]
+        contents = [t.encode() if line else b" " + t.encode() for t, line in zip(texts, behind_line, strict=True)]
+        marked = [t if line else " " + t for t, line in zip(texts, behind_line, strict=True)]
+        ids_a = [e.ids for e in self.a.encode_batch_fast(marked, add_special_tokens=False)]
+        ids_b = self.b.encode(texts, num_threads=1)
+        for i, line in enumerate(behind_line):
+            if line:  # the blank before the line break is a token of its own
+                ids_b[i] = ids_b[i][1:] if self.bytes_b[ids_b[i][0]] == b" " else []
+        return self.align(contents, ids_a, ids_b)
+
+    def align(self, contents: list[bytes], ids_a: list[list[int]], ids_b: list[list[int]]) -> list[tuple | None]:
+        """For each content (n_a, n_b, n_groups, groups as text, each with ';' behind it, and linked pairs a * 2^32 + b as raw integers).
+
+        None where tokens' bytes are not the content's. All contents are laid end to end, as are their tokens.
+        """
         bytes_a, bytes_b = self.bytes_a, self.bytes_b
-        if b"".join([bytes_a[i] for i in ids_a]) != content or b"".join([bytes_b[i] for i in ids_b]) != content:
-            return None
-        end, ends_a = 0, {}
-        for n, i in enumerate(ids_a, 1):
-            end += self.length_a[i]
-            ends_a[end] = n
-        end, ends_b = 0, {}
-        for n, i in enumerate(ids_b, 1):
-            end += self.length_b[i]
-            ends_b[end] = n
-        common = sorted(ends_a.keys() & ends_b.keys())
-        groups, links, at_a, at_b = [], [], 0, 0
-        for end in common:
-            to_a, to_b = ends_a[end], ends_b[end]
-            own_a, own_b = ids_a[at_a:to_a], ids_b[at_b:to_b]
-            groups.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
-            if len(own_a) == 1 or len(own_b) == 1:
-                links += [a << 32 | b for a in own_a for b in own_b]
-            else:
-                links += self.overlaps(own_a, own_b)
-            at_a, at_b = to_a, to_b
-        return len(ids_a), len(ids_b), len(common), ";".join(groups), links
-
-    def overlaps(self, ids_a: list[int], ids_b: list[int]) -> list[int]:
-        """Pairs of one group, with several tokens on both sides, whose byte ranges overlap."""
-        links, i, j = [], 0, 0
-        end_a, end_b = self.length_a[ids_a[0]], self.length_b[ids_b[0]]
-        while True:
-            links.append(ids_a[i] << 32 | ids_b[j])
-            if end_a <= end_b:
-                step_a, step_b = True, end_a == end_b
-            else:
-                step_a, step_b = False, True
-            if step_a:
-                i += 1
-                if i == len(ids_a):
-                    return links
-                end_a += self.length_a[ids_a[i]]
-            if step_b:
-                j += 1
-                end_b += self.length_b[ids_b[j]]
+        same = [
+            b"".join([bytes_a[i] for i in a]) == content and b"".join([bytes_b[i] for i in b]) == content
+            for content, a, b in zip(contents, ids_a, ids_b, strict=True)
+        ]
+        ids_a, ids_b = (list(compress(ids, same)) for ids in (ids_a, ids_b))
+        of_a, of_b = (np.concatenate(([0], np.cumsum([len(x) for x in ids], dtype=np.int64))) for ids in (ids_a, ids_b))
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(ids), np.int64, n[-1]) for ids, n in ((ids_a, of_a), (ids_b, of_b)))
+        if not len(flat_a):
+            return [None] * len(contents)
+        ends_a, ends_b = np.cumsum(self.length_a[flat_a]), np.cumsum(self.length_b[flat_b])
+        until, since = np.searchsorted(ends_b, ends_a), np.searchsorted(ends_a, ends_b)  # the other side's token that holds an end
+        last_a, last_b = ends_b[until] == ends_a, ends_a[since] == ends_b
+        # a token overlaps the other side's from the one behind the end before it up to the one that holds its own end
+        begin = np.concatenate(([0], (until + last_a)[:-1]))
+        each = until - begin + 1
+        behind = np.cumsum(each)
+        links = np.repeat(flat_a << 32, each) | flat_b[np.arange(behind[-1]) + np.repeat(begin - behind + each, each)]
+        # groups in order, in each the tokens of a before those of b
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        upto_a, upto_b = (np.concatenate(([0], np.flatnonzero(last) + 1)) for last in (last_a, last_b))
+        codes = np.empty(len(flat_a) + len(flat_b), np.int64)
+        n_a, n_b = len(bytes_a), len(bytes_b)
+        codes[np.arange(len(flat_a)) + upto_b[group_a]] = flat_a + n_a * last_a
+        codes[np.arange(len(flat_b)) + upto_a[group_b + 1]] = flat_b + 2 * n_a + n_b * last_b
+        text = self.written.take(codes)
+        _, offsets, written = text.buffers()
+        written = memoryview(written)
+        cuts = np.frombuffer(offsets, np.int64)[of_a + of_b].tolist()
+        n_groups = np.diff(np.concatenate(([0], np.cumsum(last_a)))[of_a]).tolist()
+        at = (8 * np.concatenate(([0], behind))[of_a]).tolist()
+        raw = links.tobytes()
+        found = iter(
+            zip(
+                np.diff(of_a).tolist(),
+                np.diff(of_b).tolist(),
+                n_groups,
+                [bytes(written[x:y]) for x, y in pairwise(cuts)],
+                [raw[x:y] for x, y in pairwise(at)],
+                strict=True,
+            )
+        )
+        return [next(found) if x else None for x in same]
 
 
 class PieceMemo:
@@ -131,49 +137,67 @@ class PieceMemo:
     def __init__(self, aligner: Aligner):
         self.aligner, self.known = aligner, {}
 
-    def cut(self, text: str) -> list[str] | None:
-        """Words and, behind line breaks, lines, whose tokens laid end to end are the text's; None if it is not to be cut.
+    @staticmethod
+    def lines(word: str) -> list[str]:
+        """A word and, behind line breaks, its lines, each with its line break; the word alone where it is not to be cut."""
+        first, *rest = word.split("\n")
+        if any(not line or line[0].isspace() or line[-1].isspace() for line in (first, *rest)):
+            return [word]
+        return [first, *("\n" + line for line in rest)]
 
-        A cut is right before a single blank or line break between two characters that are not white space.
+    def of(self, texts):
+        """(alignments, for each text of an Arrow column without NULLs the array of their numbers or None where it has no tokens).
+
+        A cut is right before a single blank or line break between two characters that are not white space; a text with any
+        other blank is aligned as a whole.
         """
-        if not self.aligner.cuts:
-            return None
-        words = text.split(" ")
-        out = []
-        for word in words:
-            if not word or word[0].isspace() or word[-1].isspace():
-                return None
-            if "\n" in word:
-                first, *rest = word.split("\n")
-                if any(not line or line[0].isspace() or line[-1].isspace() for line in (first, *rest)):
-                    out.append(word)
-                else:
-                    out.append(first)
-                    out += ["\n" + line for line in rest]
-            else:
-                out.append(word)
-        return out
-
-    def of(self, texts: list[str | None]):
-        """(distinct alignments, for each text the list of their numbers or None where it has no tokens)."""
-        cut = [self.cut(t) if t else None for t in texts]
+        import pyarrow.compute as pc
+
         if len(self.known) > MEMO_PIECES:
             self.known = {}
-        distinct = list(dict.fromkeys(p for pieces in cut if pieces for p in pieces))
-        fresh = [p for p in distinct if p not in self.known]
+        split = pc.split_pattern(texts, pattern=" ")
+        first = split.offsets.to_numpy() - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        pieces, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        if self.aligner.cuts:
+            void = np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in pieces), bool, len(pieces))
+            whole = np.logical_or.reduceat(void[codes], first[:-1])
+        else:
+            whole = np.ones(len(texts), bool)
+        used = np.zeros(len(pieces), bool)
+        used[codes[np.repeat(~whole, np.diff(first))]] = True
+        # words with line breaks are several pieces
+        number, spans = {}, {}
+        for i in np.flatnonzero(used).tolist():
+            if "\n" in pieces[i]:
+                cut = self.lines(pieces[i])
+                if len(cut) > 1:
+                    used[i] = False
+                    spans[i] = [number.setdefault(x, len(pieces) + len(number)) for x in cut]
+        own = list(compress(pieces, used)) + list(number)
+        fresh = [p for p in dict.fromkeys(own) if p not in self.known]
         for at in range(0, len(fresh), 10_000):
             some = fresh[at : at + 10_000]
             self.known.update(zip(some, self.aligner.pieces(some), strict=True))
-        number = {p: n for n, p in enumerate(distinct)}
-        alignments = [self.known[p] for p in distinct]
-        wholes = [i for i, (t, pieces) in enumerate(zip(texts, cut, strict=True)) if t and pieces is None]
-        for i in wholes:  # one at a time: such a text may be long
-            (ids_a,), (ids_b,) = self.aligner.ids([texts[i]])
-            cut[i] = [len(alignments)]
-            alignments.append(self.aligner.align((" " + texts[i]).encode(), ids_a, ids_b))
-        held = set(wholes)
-        codes = [None if p is None else p if i in held else [number[x] for x in p] for i, p in enumerate(cut)]
-        return alignments, [None if c is None or any(alignments[x] is None for x in c) else c for c in codes]
+        # numbers of words and lines among the alignments
+        alignments, place = [self.known[p] for p in own], np.full(len(pieces) + len(number), -1)
+        place[np.flatnonzero(used)], place[len(pieces) :] = np.arange(used.sum()), np.arange(used.sum(), len(own))
+        broken = np.zeros(len(pieces), bool)
+        broken[list(spans)] = True
+        out = []
+        for i, (at, to) in enumerate(pairwise(first.tolist())):
+            if whole[i]:  # one at a time: such a text may be long
+                text = texts[i].as_py()
+                out.append(np.array([len(alignments)]) if text else None)
+                if text:
+                    alignments += self.aligner.align([(" " + text).encode()], *self.aligner.ids([text]))
+                continue
+            some = codes[at:to]
+            if broken[some].any():
+                some = np.array([x for c in some.tolist() for x in spans.get(c, (c,))])
+            out.append(place[some])
+        failed = np.fromiter((a is None for a in alignments), bool, len(alignments))
+        return alignments, [None if c is None or failed[c].any() else c for c in out]
 
 
 def aligned_slices(docs: DataFrame, tokenizer_file: str, model_file: str, digests: bool) -> DataFrame:
@@ -190,7 +214,7 @@ def aligned_slices(docs: DataFrame, tokenizer_file: str, model_file: str, digest
         kinds = [pa.int64()] * 6 + [pa.string()] + [pa.binary()] * 4
         for batch in batches:
             for at, some in slices_by_size(batch.column("text").fill_null(""), SLICE_BYTES):
-                rows = slice_rows(memo, nth, batch.column("doc_id").slice(at, len(some)).to_pylist(), some.to_pylist(), digests)
+                rows = slice_rows(memo, nth, batch.column("doc_id").slice(at, len(some)).to_pylist(), some, digests)
                 columns = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
                 nth += 1
@@ -199,31 +223,29 @@ def aligned_slices(docs: DataFrame, tokenizer_file: str, model_file: str, digest
     return slim.mapInArrow(run, FIRST_SCHEMA)
 
 
-def slice_rows(memo: PieceMemo, nth: int, doc_ids: list, texts: list[str], digests: bool) -> list[tuple]:
+def slice_rows(memo: PieceMemo, nth: int, doc_ids: list, texts, digests: bool) -> list[tuple]:
     """A row for each document of a slice, and one for its dictionary of linked pairs."""
     alignments, codes = memo.of(texts)
-    usable = [a or (0, 0, 0, "", []) for a in alignments]
-    sizes = np.array([(x[0], x[1], x[2], len(x[4])) for x in usable], np.int64).reshape(-1, 4)
-    flat = np.fromiter((p for x in usable for p in x[4]), np.int64, int(sizes[:, 3].sum()))
+    usable = [a or (0, 0, 0, b"", b"") for a in alignments]
+    sizes = np.array([(x[0], x[1], x[2], len(x[4]) // 8) for x in usable], np.int64).reshape(-1, 4)
+    flat = np.frombuffer(b"".join([x[4] for x in usable]), np.int64)
     dictionary, coded = np.unique(flat, return_inverse=True)
     coded, first = coded.astype(np.int32), np.cumsum(sizes[:, 3]) - sizes[:, 3]
     group_text = [x[3] for x in usable]
     totals = np.zeros(len(dictionary), np.int64)
     rows = []
-    for doc_id, own in zip(doc_ids, codes, strict=True):
-        if not own:
+    for doc_id, at in zip(doc_ids, codes, strict=True):
+        if at is None:
             rows.append((nth, doc_id, 0, 0, 0, 0, "", b"", b"", None, None))
             continue
-        at = np.array(own)
         n_a, n_b, n_groups, n_links = sizes[at].sum(axis=0).tolist()
         each = sizes[at, 3]
         behind = np.cumsum(each)
         links = coded[np.arange(behind[-1]) + np.repeat(first[at] - behind + each, each)]
         pairs, times = np.unique(links, return_counts=True)
         totals[pairs] += times
-        groups = ";".join([group_text[i] for i in own])
-        if digests:
-            groups = hashlib.sha256(groups.encode()).hexdigest()
+        groups = b"".join([group_text[i] for i in at.tolist()])[:-1]
+        groups = hashlib.sha256(groups).hexdigest() if digests else groups.decode()
         rows.append((nth, doc_id, n_a, n_b, n_groups, n_links, groups, pairs.tobytes(), times.astype(np.int32).tobytes(), None, None))
     rows.append((nth, None, 0, 0, 0, 0, None, None, None, dictionary.tobytes(), totals.tobytes()))
     return rows

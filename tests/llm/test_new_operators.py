@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -169,6 +170,16 @@ def test_alignment_odd_documents(spark, odd_docs, odd_rows, monkeypatch, slice_b
     assert as_sorted(out.collect()) == plain_alignment(id_texts(odd_rows) + marked)
 
 
+def test_pieces_are_aligned_together():
+    aligner = token_alignment.Aligner(Path(JSON).read_text(encoding="utf-8"), Path(MODEL).read_bytes())
+    texts_ = ["unbelievable", "naïve—café’s", "x▁y", "zzqxjkv123,,", "x\x00y", "a"]
+    contents, ids = [f" {t}".encode() for t in texts_], aligner.ids(texts_)
+    together = aligner.align(contents, *ids)
+    assert together == [aligner.align([c], [a], [b])[0] for c, a, b in zip(contents, *ids, strict=True)]
+    assert together[2] is None and together[0] is not None
+    assert aligner.align(contents[2:3], ids[0][2:3], ids[1][2:3]) == [None]
+
+
 def test_alignment_of_no_documents(no_docs):  # noqa: F811
     assert token_alignment.align_tokenizers(no_docs, JSON, MODEL).count() == 0
 
