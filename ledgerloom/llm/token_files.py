@@ -14,6 +14,7 @@ import json
 import os
 import zlib
 from array import array
+from operator import attrgetter
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -139,28 +140,27 @@ def byte_characters() -> dict[int, str]:
 
 def library_encoder(tokenizer, kind: str):
     """Strings to raw ids by the tokenizers library; an optional blank and letters, one piece, go straight to its model."""
-    spelled, piece = byte_characters(), tokenizer.model.tokenize
+    piece, number = tokenizer.model.tokenize, attrgetter("id")
     code = "H" if kind == "<u2" else "I"
+    spelled = np.arange(256, dtype="<u2")
+    for byte, character in byte_characters().items():
+        spelled[byte] = ord(character)
+    spelled[10] = 10  # between strings, where letters are spelled in one go
 
     def encode(strings: list[str]) -> list[bytes]:
-        out, whole, flat, ends = [], [], [], []
+        out, alone, whole = [b""] * len(strings), [], []
         for i, text in enumerate(strings):
-            if text[text[:1] == " " :].isalpha():
-                if text.isascii():
-                    text = text.replace(" ", spelled[32])
-                else:
-                    text = text.encode().decode("latin-1").translate(spelled)
-                flat += [t.id for t in piece(text)]
-            else:
-                whole.append(i)
-            ends.append(len(flat))
-        ids = array(code, flat)
-        size, raw = ids.itemsize, ids.tobytes()
-        del flat, ids
-        at = 0
-        for to in ends:
-            out.append(raw[size * at : size * to])
-            at = to
+            (alone if text[text[:1] == " " :].isalpha() else whole).append(i)
+        if alone:
+            read = np.frombuffer("\n".join([strings[i] for i in alone]).encode(), np.uint8)
+            ids, ends = array(code), []
+            for text in spelled[read].tobytes().decode("utf-16-le").split("\n"):
+                ids.extend(map(number, piece(text)))
+                ends.append(len(ids))
+            size, raw, at = ids.itemsize, ids.tobytes(), 0
+            for i, to in zip(alone, ends, strict=True):
+                out[i] = raw[size * at : size * to]
+                at = to
         for at in range(0, len(whole), 1000):
             some = whole[at : at + 1000]
             for i, e in zip(some, tokenizer.encode_batch_fast([strings[i] for i in some], add_special_tokens=False), strict=True):

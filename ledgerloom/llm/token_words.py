@@ -13,16 +13,19 @@ MEMO_WORDS = 500_000
 MARKS = ".,!?;:%&*#$|"
 
 
-def pieces_of(word: str) -> list[tuple[str, str]]:
-    """A word cut at single line breaks, and each line into letters and the marks behind them where it is just that."""
+def lines_of(word: str) -> list[str]:
+    """A word cut before its line breaks, if each of them stands between characters that are not white space."""
     lines = word.split("\n")
-    if len(lines) > 1 and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
-        lines = [word]
-    cut = []
-    for line in lines:
-        letters = line.rstrip(MARKS)
-        cut.append((letters, line[len(letters) :]) if letters.isalpha() else (line, ""))
-    return cut
+    if lines != word.split() and any(not x or x[0].isspace() or x[-1].isspace() for x in lines):
+        return [word]
+    return [lines[0], *("\n" + x for x in lines[1:])]
+
+
+def laid_out(table: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """The stretches of a table that have the given numbers, one after the other; sizes are those of all its stretches."""
+    starts, each = np.cumsum(sizes, dtype=np.int64) - sizes, sizes[codes]
+    ends = np.cumsum(each, dtype=np.int64)
+    return table[np.arange(ends[-1]) + np.repeat(starts[codes] - ends + each, each)]
 
 
 class WordMemo:
@@ -39,42 +42,89 @@ class WordMemo:
         self.words, self.bare, self.marks = {}, {}, {}  # with a blank before them, without, and marks
         self.line_break = encode(["\n"])[0]
 
-    def resolve(self, words: list[str], blank: str) -> list[bytes | None]:
-        """Raw ids of words with or without a blank before them; None for those that may not be cut off.
+    def raw_ids(self, bases: list[str], lettered: np.ndarray, blank: str) -> list[bytes | None]:
+        """Raw ids of pieces: what starts with a line break stands alone, before all others goes the blank.
 
-        Only pieces are kept for later calls; words with marks or line breaks are joined from them each time.
+        None for those that may not be cut off, and for lettered ones that are not letters to Python, too.
         """
         known = self.words if blank else self.bare
-        fresh = [w for w in words if w not in known and w.isalpha()]
-        known.update(zip(fresh, self.encode([blank + w for w in fresh]), strict=True))
-        found = list(map(known.get, words))
-        ended, cut = [], []  # letters with marks behind them, by far the most; and all others
+        found = list(map(known.get, bases))
+        at, strings, behind, later = [], [], [], []  # later: letters behind a line break
         for i, ids in enumerate(found):
             if ids is None:
-                word = words[i]
-                letters = word.rstrip(MARKS)
-                if letters.isalpha():
-                    ended.append((i, letters, word[len(letters) :]))
-                elif word and not word[-1].isspace() and not (blank and word[0].isspace()):
-                    cut.append((i, pieces_of(word)))
-        first = {lines[0][0] for _, lines in cut} | {letters for _, letters, _ in ended}
-        later = {base for _, lines in cut if len(lines) > 1 for base, _ in lines[1:]}
-        marks = {m for _, lines in cut for _, m in lines} | {m for _, _, m in ended}
-        marks = [m for m in marks if m and m not in self.marks]
-        for memo, bases, before in ((known, first, blank), (self.bare, later, "")):
-            bases = [w for w in bases if w not in memo]
-            memo.update(zip(bases, self.encode([before + w for w in bases]), strict=True))
-        self.marks.update(zip(marks, self.encode(marks), strict=True))
-        of_marks = self.marks
-        for i, letters, mark in ended:
-            found[i] = known[letters] + of_marks[mark]
-        for i, lines in cut:
-            whole = known[lines[0][0]] + self.marks.get(lines[0][1], b"")
-            for base, mark in lines[1:]:
-                whole += self.line_break + self.bare[base] + self.marks.get(mark, b"")
-            found[i] = whole
+                base = bases[i]
+                if base.isalpha():
+                    at.append(i)
+                    strings.append(blank + base)
+                elif base[:1] == "\n" and base[1:].isalpha():
+                    behind.append(i)
+                    later.append(base[1:])
+                elif base and not lettered[i] and not base[-1].isspace() and (base[0] == "\n" or not (blank and base[0].isspace())):
+                    at.append(i)
+                    strings.append(base if base[0] == "\n" else blank + base)
+        for i, ids in zip(at, self.encode(strings), strict=True):
+            known[bases[i]] = found[i] = ids
+        for i, ids in zip(behind, self.encode(later), strict=True):
+            known[bases[i]] = found[i] = self.line_break + ids
         return found
 
+    def resolve(self, words, blank: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of an Arrow array of words with or without a blank before them, how many each has, and which may not be cut off.
+
+        Words are cut at line breaks, and letters from the marks behind them; only these pieces are kept for later calls.
+        """
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        void, n_parts = np.zeros(len(words), bool), np.ones(len(words), np.int64)
+        broken = np.flatnonzero(pc.match_substring(words, "\n").to_numpy(zero_copy_only=False))
+        lines = []
+        for i, word in zip(broken.tolist(), strings_of(words.take(pa.array(broken))), strict=True):
+            own = lines_of(word)
+            if len(own) > 1:
+                n_parts[i] = len(own)
+                lines += own
+            elif blank and word[0].isspace():  # not to be taken for a line
+                void[i] = True
+        whole = n_parts == 1
+        parts = pa.concat_arrays([words.filter(pa.array(whole)), pa.array(lines, words.type)])
+        part_from = np.empty(len(words), np.int64)  # a word's first part; its others follow
+        part_from[whole] = np.arange(whole.sum())
+        part_from[~whole] = whole.sum() + np.cumsum(n_parts[~whole]) - n_parts[~whole]
+        word_from = np.cumsum(n_parts) - n_parts
+        order = np.arange(n_parts.sum()) + np.repeat(part_from - word_from, n_parts)
+
+        letters = pc.utf8_rtrim(parts, MARKS)
+        lettered = pc.utf8_is_alpha(pc.utf8_ltrim(letters, "\n"))
+        coded = pc.if_else(lettered, letters, parts).dictionary_encode()
+        lettered, codes = lettered.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
+        of_bases = np.zeros(len(coded.dictionary), bool)
+        of_bases[codes[lettered]] = True
+        found = self.raw_ids(strings_of(coded.dictionary), of_bases, blank)
+        missing = np.fromiter((ids is None for ids in found), bool, len(found))
+        if missing.any():
+            found = [ids or b"" for ids in found]
+
+        tail = (pc.binary_length(parts).to_numpy() - pc.binary_length(letters).to_numpy()) * lettered
+        ended = np.flatnonzero(tail)
+        marks = [w[-n:] for w, n in zip(strings_of(parts.take(pa.array(ended))), tail[ended].tolist(), strict=True)]
+        places = {m: len(found) + i for i, m in enumerate(dict.fromkeys(marks))}
+        fresh = [m for m in places if m not in self.marks]
+        self.marks.update(zip(fresh, self.encode(fresh), strict=True))
+        found += map(self.marks.get, places)
+        mark_codes = np.zeros(len(parts), np.int64)
+        mark_codes[ended] = [places[m] for m in marks]
+
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        marked = tail[order] > 0
+        piece_from = np.cumsum(1 + marked) - 1 - marked
+        pieces = np.empty(len(order) + marked.sum(), np.int64)
+        pieces[piece_from] = codes[order]
+        pieces[piece_from[marked] + 1] = mark_codes[order[marked]]
+        counts = np.add.reduceat(sizes[pieces], piece_from[word_from])
+        void |= np.logical_or.reduceat(missing[codes[order]], word_from)
+        return laid_out(np.frombuffer(b"".join(found), self.kind), sizes, pieces), counts, void
+
     def ids(self, texts):
         """(start, texts, their ids laid end to end, number of ids of each) for parts of an Arrow text column; NULL is empty.
 
@@ -89,6 +139,7 @@ class WordMemo:
             pa.default_memory_pool().release_unused()  # workers live on between tasks
 
     def ids_of_some(self, texts):
+        import pyarrow as pa
         import pyarrow.compute as pc
 
         if len(self.words) + len(self.bare) > MEMO_WORDS:
@@ -97,25 +148,17 @@ class WordMemo:
         first = split.offsets.to_numpy() - split.offsets[0].as_py()
         coded = split.flatten().dictionary_encode()
         del split
-        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().copy()
-        begins = [words[c] for c in codes[first[:-1]].tolist()]
-        found = self.resolve(words, " ") + self.resolve(begins, "")
-        codes[first[:-1]] = len(words) + np.arange(len(begins))
-        void = np.zeros(len(found), bool)
-        if None in found:
-            void[[i for i, v in enumerate(found) if v is None]] = True
-            found = [v or b"" for v in found]
-        table = np.frombuffer(b"".join(found), self.kind)
-        sizes = np.fromiter(map(len, found), np.int32, len(found)) // self.kind.itemsize
-        starts = np.cumsum(sizes, dtype=np.int64) - sizes
-        del words, found
+        codes = coded.indices.to_numpy().copy()
+        begins = coded.dictionary.take(pa.array(codes[first[:-1]]))
+        codes[first[:-1]] = len(coded.dictionary) + np.arange(len(begins))
+        resolved = self.resolve(coded.dictionary, " "), self.resolve(begins, "")
+        table, sizes, void = (np.concatenate(both) for both in zip(*resolved, strict=True))
+        del coded, begins, resolved
         for at, part in slices_by_size(texts):
             own = codes[first[at] : first[at + len(part)]]
             bounds = first[at : at + len(part)] - first[at]
-            each = sizes[own]
-            ends = np.cumsum(each, dtype=np.int64)
-            out = table[np.arange(ends[-1]) + np.repeat(starts[own] - ends + each, each)]
-            counts = np.add.reduceat(each.astype(np.int64), bounds)
+            out = laid_out(table, sizes, own)
+            counts = np.add.reduceat(sizes[own], bounds)
             whole = np.flatnonzero(np.logical_or.reduceat(void[own], bounds))
             if len(whole):
                 parts = np.split(out, np.cumsum(counts)[:-1])
@@ -126,6 +169,10 @@ class WordMemo:
             yield at, part, out, counts
 
 
+def strings_of(column) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 def slices_by_size(column, most: int = 3_000_000):
     """(start, texts) of parts of an Arrow text column without NULLs, with some megabytes each."""
     import pyarrow.compute as pc

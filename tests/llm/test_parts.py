@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import zlib
 
@@ -13,6 +14,7 @@ from ledgerloom.llm.cap_filters import CapFilters, enough_filters, near_vectors,
 from ledgerloom.llm.components import connected_components
 from ledgerloom.llm.merge_replay import MergeReplay, read_ranks
 from ledgerloom.llm.simhash_grid import close_links, grid_groups, segment_counts
+from ledgerloom.llm.token_words import WordMemo
 from plain import components, vector_links
 
 
@@ -53,6 +55,52 @@ def test_known_words_stay_in_the_worker(spark, tmp_path, monkeypatch):
     assert set(seen.read_text().split()) == {"WordMemo"}  # not the vocabulary alone
 
 
+def library_memo(encoded: list[str]):
+    """A WordMemo over the library's encoder that notes the strings given to it; and the tokenizer."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = token_files.library_encoder(tokenizer, "<u2")
+
+    def noting(strings):
+        encoded.extend(strings)
+        return encode(strings)
+
+    return WordMemo(noting, "<u2"), tokenizer
+
+
+def ids_by_text(memo, texts: list[str | None]) -> list[list[int]]:
+    out = []
+    for at, part, ids, counts in memo.ids(pa.array(texts, pa.string())):
+        assert at == len(out) and len(part) == len(counts)
+        out += [own.tolist() for own in np.split(ids, np.cumsum(counts)[:-1])]
+    return out
+
+
+def test_each_piece_is_encoded_once():
+    encoded = []
+    memo, tokenizer = library_memo(encoded)
+    encoded.clear()
+    texts = ["Some cat, every dog.\nEvery cat! And every dog"] * 500 + ["Some dog.\nEvery cat, and every dog; every cat"] * 500
+    assert ids_by_text(memo, texts) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(encoded) <= 15  # the first words of all texts are one string, too
+    ids_by_text(memo, texts)
+    assert len(encoded) <= 15
+
+
+def test_words_cut_like_the_library():
+    import random
+
+    memo, tokenizer = library_memo([])
+    signs = [" ", " ", " ", "\n", "\n", "a", "the", "B", "é", "字", "ª", "𝔸", "\u0301", "1", "٣", ".", "!", "'", "'s", "|", "-", "\t", "\r", "\u00a0", "\x1c", "\u2028"]
+    fixed = [None, "", " ", "\n", "a\nb", "a \nb", "a\n b", "a\n\nb", "\na", "\n\na", "a\r\nb", "a\n\tb", "a b\n", "the.\nthe,\n1.", "x \nthe the\nthe", "a <|endoftext|>\nb.", "3. a1.", "##. a"]
+    for seed in range(20):
+        draw = random.Random(seed)
+        texts = fixed + ["".join(draw.choices(signs, k=draw.randrange(1, 25))) for _ in range(300)]
+        wanted = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert ids_by_text(memo, texts) == wanted
+
+
 def test_checksums_pass_over_bytes():
     random = np.random.default_rng(2)
     for size in (0, 1, 7, 4096, 100_003):
