@@ -18,6 +18,7 @@ from ledgerloom.functions.columns import (
     parse_timestamp,
     rename_json_key,
 )
+from ledgerloom.session import broadcastable, staged_alone
 
 REJECT = "_reject"
 REJECT_TYPE = "struct<rule:string,column_name:string,value:string>"
@@ -139,18 +140,30 @@ def join_key(df: DataFrame, column: str) -> Column:
 
 
 def require_reference(
-    df: DataFrame, column: str, reference: DataFrame, ref_column: str, nullable: bool = False
+    df: DataFrame, column: str, reference: DataFrame, ref_column: str, nullable: bool = False, cells: DataFrame | None = None
 ) -> DataFrame:
     """Reject rows whose key is not in the reference table; ``nullable`` lets blank keys pass.
 
     The join carries no hint: Spark broadcasts a small key list and otherwise merges, splitting hot keys
     of the left side at run time.
+
+    ``cells`` has the same cells of ``column`` where they are cheaper to read than from ``df``, such as the rows ahead of other
+    rules. A key list too large to broadcast then meets the distinct keys of the column alone, and rows are looked up among
+    the unknown keys. Those are staged, so the call runs a job: where they are few, which Spark knows then, no row is shuffled.
     """
     known = (
         reference.select(F.trim(F.col(ref_column).cast("string")).alias("_known"))
         .filter(F.col("_known").isNotNull())
         .distinct()
     )
+    if cells is not None and not broadcastable(known):
+        keys = cells.select(F.trim(F.col(column).cast("string")).alias("_unknown")).filter(F.col("_unknown").isNotNull()).distinct()
+        unknown = staged_alone(keys.join(known, F.col("_unknown") == F.col("_known"), "left_anti"), f"unknown-{column}")
+        joined = df.withColumn("_probe", join_key(df, column)).join(unknown, F.col("_probe") == F.col("_unknown"), "left")
+        bad = F.col("_unknown").isNotNull()
+        if not nullable:
+            bad = bad | F.col(column).isNull()
+        return mark(joined, bad, "foreign_key", column).drop("_probe", "_unknown")
     joined = df.withColumn("_probe", join_key(df, column)).join(known, F.col("_probe") == F.col("_known"), "left")
     bad = F.col("_known").isNull()
     if nullable:

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.session import staged
+from ledgerloom.session import staged_alone
 
 # a used number: 18 digits at most, as no id repeats more often than that
 NUMBER = r"[1-9][0-9]{0,17}"
@@ -96,7 +96,7 @@ def repair_duplicates(
     """
     columns = df.columns
     repeated = df.groupBy(F.col(key).alias("_repeated")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_repeated")
-    repeated = staged(repeated, "repeated-ids")
+    repeated = staged_alone(repeated, "repeated-ids")
     of_repeated = F.col(key) == F.col("_repeated")
     single, several = (df.join(repeated, of_repeated, how) for how in ("left_anti", "left_semi"))
     groups = several.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_order", digest)
