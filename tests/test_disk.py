@@ -88,3 +88,24 @@ def test_rejected_rows_keep_key_and_reason(spark):
     cleaned = clean_table(raw, ORDERS, refs)
     assert lines(cleaned.rejected) == lines(wanted)
     assert cleaned.rows.count() + cleaned.rejected.count() == raw.count()
+
+
+def test_days_of_merchants_are_not_shuffled_for_their_names(spark):
+    with setting(spark, LIMIT, "-1"):
+        text = plan(QUERIES["ads_merchant_daily_snapshot"](spark, SMALL))
+    assert not re.search(r"hashpartitioning\(stat_date#\d+, merchant_id#\d+, \d+\)|hashpartitioning\(merchant_id#\d+, stat_date#\d+, \d+\)", text)
+
+
+def test_names_of_days_equal_a_join(spark):
+    a, b, m = date(2024, 1, 1), date(2024, 2, 1), None
+    days = [(d, k, n) for n, (d, k) in enumerate([(a, "x"), (a, "x"), (b, "x"), (a, "y"), (a, "z"), (a, m), (m, "x"), (m, m)])]
+    daily = spark.createDataFrame(days, "stat_date date, merchant_id string, daily_sales int")
+    for column in ("order_count", "customer_count", "refund_count", "sales_mom", "sales_yoy", "order_count_mom", "refund_rate"):
+        daily = daily.withColumn(column, daily.daily_sales + len(column))
+    daily = daily.selectExpr("*", "false as zero_sales_flag", "true as abnormal_sales_flag")
+    names = [(a, "x", "first", "A"), (a, "x", "second", "B"), (b, "x", None, None), (a, "z", None, "C"), (a, m, "none", "D"), (m, "x", "never", "D"), (b, "y", "later", "A")]
+    profile = spark.createDataFrame(names, "stat_date date, merchant_id string, merchant_name string, merchant_level string")
+    found = merchant_daily_snapshot(daily, profile)
+    wanted = daily.join(profile, ["stat_date", "merchant_id"], "left").select(found.columns)
+    assert wanted.count() == len(days) + 2  # two days with two names each
+    assert lines(found) == lines(wanted)
