@@ -109,3 +109,8 @@ def test_names_of_days_equal_a_join(spark):
     wanted = daily.join(profile, ["stat_date", "merchant_id"], "left").select(found.columns)
     assert wanted.count() == len(days) + 2  # two days with two names each
     assert lines(found) == lines(wanted)
+
+
+def test_names_of_merchant_months_are_staged(spark):
+    text = plan(QUERIES["ads_merchant_monthly_snapshot"](spark, SMALL))
+    assert "as_of" not in text
