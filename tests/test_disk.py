@@ -114,3 +114,8 @@ def test_names_of_days_equal_a_join(spark):
 def test_names_of_merchant_months_are_staged(spark):
     text = plan(QUERIES["ads_merchant_monthly_snapshot"](spark, SMALL))
     assert "as_of" not in text
+
+
+def test_months_of_merchant_years_are_staged(spark):
+    text = plan(QUERIES["ads_merchant_yearly_snapshot"](spark, SMALL))
+    assert "by_date" not in text and "top_products" not in text
