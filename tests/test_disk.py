@@ -119,3 +119,7 @@ def test_names_of_merchant_months_are_staged(spark):
 def test_months_of_merchant_years_are_staged(spark):
     text = plan(QUERIES["ads_merchant_yearly_snapshot"](spark, SMALL))
     assert "by_date" not in text and "top_products" not in text
+
+
+def test_parts_of_platform_months_are_staged(spark):
+    assert "lineitem" not in plan(QUERIES["ads_platform_monthly_summary"](spark, SMALL))
